@@ -200,3 +200,76 @@ def orders_with_nulls(orders: DataFrame) -> DataFrame:
         "o_orderdate",
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
     )
+
+
+def table_metadata_from_customers(customer: DataFrame) -> DataFrame:
+    """F1 at scale: one raw (not yet normalised) table-metadata row per feed."""
+    k = F.col("c_custkey")
+    seg = F.lower("c_mktsegment")
+    nat = F.col("c_nationkey").cast("string")
+    db_type = F.element_at(F.array(F.lit("hive"), F.lit("teradata"), F.lit("oracle-sqoop"), F.lit("file")),
+                           (k % 4 + 1).cast("int"))
+    trunc = F.element_at(F.array(F.lit("p"), F.lit("y"), F.lit("n")), (k % 3 + 1).cast("int"))
+    s = lambda v: F.lit(v)
+    return customer.select(
+        F.when(k % 2 == 0, s("crm")).otherwise(s("CRM")).alias("SOURCESCHEMA"),
+        F.col("c_name").alias("SOURCETBLNM"),
+        s("daily").alias("REFRESHRATE"),
+        F.when(k % 4 == 0, s("")).otherwise(s("o_orderdate")).alias("DELTACOLUMN"),
+        s("date").alias("DELTACOLUMNTYPE"),
+        s("yyyymmdd").alias("DELTACOLUMNFMT"),
+        db_type.alias("DB_TYPE"),
+        F.concat(s("srv"), nat).alias("DB_SERVER"),
+        seg.alias("DB_USER"),
+        F.concat(s("/landing/"), seg, F.when(k % 2 == 0, s("/")).otherwise(s(""))).alias("EXTRACTLANDINGDIR"),
+        F.concat(s("/Data/"), F.col("c_mktsegment")).alias("HDFS_BASEDIR"),
+        F.concat(s("  Extract/"), nat, s(" ")).alias("HDFSEXTRACTDIR"),
+        F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(s("|")).alias("DELIMITER"),
+        s("").alias("BUCKETINGCLAUSE"),
+        s("stage").alias("TGT_STG_DB"),
+        s("dm").alias("TGT_DB"),
+        trunc.alias("HIVE_TBL_TRUNCATE"),
+        F.lower(F.regexp_replace("c_name", "#", "_")).alias("TRGTTBLNM"),
+        F.concat(s(" /Raw/"), nat).alias("HIVE_RAW_DIR"),
+        F.concat(s("/Refined/"), nat, s(" ")).alias("HIVE_REFINED_DIR"),
+        F.when(k % 7 == 0, s("")).otherwise(s("n")).alias("REFRESH_REFINED_DDL_DML"),
+        s("n").alias("V1SUPPORT"),
+        F.when(k % 9 == 0, s("select * from Orders where o_custkey = <<CUST>>")).otherwise(s("")).alias("SOURCE_SQL_TXT"),
+        F.when(k % 6 == 0, s("o_orderkey")).otherwise(F.lit(None).cast("string")).alias("SPLIT_BY"),
+        F.when(k % 8 == 0, F.lit(None).cast("string")).otherwise(s("parquet")).alias("RFND_FILE_FMT"),
+        F.when(k % 4 == 1, F.lit(None).cast("int")).otherwise((k % 30).cast("int")).alias("HIVE_RAW_RETENTION"),
+        F.when(k % 10 == 0, F.lit(None).cast("int")).otherwise(F.lit(90)).alias("HIVE_REFINED_RETENTION"),
+    )
+
+
+# The orders columns each feed's column metadata describes, with
+# raw name, refined name and refined type.
+ORDERS_COLUMN_META = (
+    ("o_orderkey", "ORDERKEY", "ORDER_KEY", "BIGINT"),
+    ("o_custkey", "CUSTKEY", "CUST_KEY", "INT"),
+    ("o_orderstatus", "ORDERSTATUS", "ORDER_STATUS", "STRING"),
+    ("o_totalprice", "TOTALPRICE", "TOTAL_PRICE", "DOUBLE"),
+    ("o_orderdate", "ORDERDATE", "ORDER_DATE", "DATE"),
+    ("o_orderpriority", "ORDERPRIORITY", "ORDER_PRIORITY", "STRING"),
+)
+
+
+def column_metadata_from_customers(customer: DataFrame) -> DataFrame:
+    """F2 at scale: six column rows per feed, SEQ_NB a per-feed permutation,
+    some columns not extracted, o_orderdate and o_orderstatus partitioned."""
+    k = F.col("c_custkey")
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(src).alias("SOURCECOLNM"), F.lit(raw).alias("RAW_COL_INHIVE"),
+                                 F.lit(rf).alias("RFND_COL_INHIVE"), F.lit(t).alias("RFND_COL_TYPE_INHIVE"))
+                        for i, (src, raw, rf, t) in enumerate(ORDERS_COLUMN_META)])
+    e = customer.select(F.lit("CRM").alias("SOURCESCHEMA"), F.col("c_name").alias("SOURCETBLNM"),
+                        k.alias("k"), F.explode(entries).alias("m"))
+    i = F.col("m.i")
+    return e.select(
+        "SOURCESCHEMA", "SOURCETBLNM", "m.SOURCECOLNM", "m.RAW_COL_INHIVE", "m.RFND_COL_INHIVE",
+        "m.RFND_COL_TYPE_INHIVE",
+        F.lit("").alias("LENGTH"),
+        F.when((i + F.col("k")) % 4 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("IS_EXTRACTED"),
+        F.lit("N").alias("IS_ENCRYPTED"),
+        F.when(F.col("m.SOURCECOLNM").isin("o_orderdate", "o_orderstatus"), F.lit("Y")).otherwise(F.lit("N")).alias("IS_PARTITIONED"),
+        ((i * 5 + F.col("k")) % 6 + 1).cast("int").alias("SEQ_NB"),
+    )
