@@ -1 +1,194 @@
-"""Placeholder until the operators land."""
+"""Format round trips: multi-line CSV, plain CSV, byte-level repair (batch and
+stream), XML rows, malformed XML, XML feed to CSV, job definitions.
+
+Each query writes data derived from a driver table below the shared checkpoint
+folder, reads it back with the operator under test and returns the result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedwright.operators.metadata import project
+from feedwright.operators.rules import job_numbers, missing_numbers, naming_check as _naming_check
+from feedwright.plans.job_defs import check_job_definitions
+from feedwright.plans.xml_feed import read_feed_csv, xml_feed_to_csv as _xml_feed_to_csv
+from feedwright.queries import register
+from feedwright.session import scratch_path
+from feedwright.sinks.files import write_csv, write_lines, write_xml
+from feedwright.sources import derive
+from feedwright.sources.files import latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
+from feedwright.sources.tables import read_table
+from feedwright.sources.xml import read_xml_rows
+from feedwright.streaming.delimiter_stream import start_delimiter_stream
+
+FILE_ROWS = 250          # rows per landed file: several files even at small scale
+DOC_ROWS = 2000          # rows per XML document in the malformed feed
+
+ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+ORDERS_TAGS = [c for c, _ in ORDERS_TYPES]
+
+
+def _typed_orders(df):
+    spec = [{"SOURCECOLNM": c, "RFND_COL_INHIVE": c, "RFND_COL_TYPE_INHIVE": t} for c, t in ORDERS_TYPES]
+    return project(df, spec)
+
+
+@register("csv_multiline", """
+SELECT doc_id, substr(r, 2, length(r) - 2) AS text, lang FROM (
+  SELECT doc_id, lang,
+         list_reduce(string_split('"' || text || '"', chr(10)),
+                     lambda a, b: a || CASE WHEN length(a) > 0 AND length(b) > 0 AND right(a, 1) <> ' '
+                                                 AND left(b, 1) <> ' ' THEN ' ' ELSE '' END || b) AS r
+  FROM documents)""")
+def csv_multiline(spark, sf_dir):
+    path = scratch_path(spark, "csv-multiline")
+    write_csv(read_table(spark, sf_dir, "documents"), path, header=True, max_records_per_file=FILE_ROWS)
+    df = read_multiline_csv(spark, path, 3)
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+
+
+@register("csv_first_n", "SELECT p_partkey, p_name, p_brand FROM part")
+def csv_first_n(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    path = scratch_path(spark, "csv-first-n")
+    write_lines(part.select(F.concat_ws("|", *[F.col(c).cast("string") for c in part.columns]).alias("value")),
+                path, max_records_per_file=FILE_ROWS)
+    df = read_first_n(spark, path, 3, "|")
+    return df.select(F.col("_c0").cast("long").alias("p_partkey"), F.col("_c1").alias("p_name"),
+                     F.col("_c2").alias("p_brand"))
+
+
+def _foreign_lines(part):
+    # p_partkey FE p_name FE DF p_brand DF " p_type " [CR]
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit("þ"), F.col("p_name"), F.lit("þß"), F.col("p_brand"),
+                    F.lit("ß\""), F.col("p_type"), F.lit("\""),
+                    F.when(F.col("p_size") % 2 == 0, F.lit("\r")).otherwise(F.lit("")))
+    return part.select(latin1_line(line).alias("value"))
+
+
+_REPAIR_DUCK = """
+SELECT translate(CAST(p_partkey AS VARCHAR) || 'þ' || p_name || 'þß' || p_brand || 'ß"' || p_type || '"'
+                 || CASE WHEN p_size % 2 = 0 THEN chr(13) ELSE '' END,
+                 'þß"' || chr(13), chr(1) || '"') AS value
+FROM part"""
+
+
+@register("delimiter_repair", _REPAIR_DUCK)
+def delimiter_repair(spark, sf_dir):
+    path = scratch_path(spark, "latin1-lines")
+    write_lines(_foreign_lines(read_table(spark, sf_dir, "part")), path, max_records_per_file=FILE_ROWS)
+    return read_repaired_lines(spark, path)
+
+
+@register("stream_delimiter", _REPAIR_DUCK)
+def stream_delimiter(spark, sf_dir):
+    in_dir = scratch_path(spark, "stream-in")
+    out_dir = scratch_path(spark, "stream-out")
+    write_lines(_foreign_lines(read_table(spark, sf_dir, "part")), in_dir, max_records_per_file=FILE_ROWS)
+    q = start_delimiter_stream(spark, in_dir, out_dir, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out_dir)
+
+
+@register("xml_roundtrip", "SELECT * FROM orders")
+def xml_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "xml-orders")
+    write_xml(read_table(spark, sf_dir, "orders"), path, "row", "rows", max_records_per_file=FILE_ROWS * 8)
+    return _typed_orders(read_xml_rows(spark, path, "row", ORDERS_TAGS))
+
+
+@register("xml_malformed_prefix", "SELECT * FROM orders WHERE o_orderkey % 89 <> 0")
+def xml_malformed_prefix(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    el = lambda c, v: F.concat(F.lit(f"<{c}>"), v, F.lit(f"</{c}>"))
+    body = F.concat(
+        el("o_orderkey", F.col("o_orderkey").cast("string")), el("o_custkey", F.col("o_custkey").cast("string")),
+        el("o_orderstatus", F.col("o_orderstatus")), el("o_totalprice", F.col("o_totalprice").cast("string")),
+        el("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")),
+        el("o_orderpriority", F.col("o_orderpriority")))
+    # every 89th record is cut (an element opened and never closed). One XML
+    # document per block of DOC_ROWS order keys (bounded by construction: keys
+    # are unique), cut records last: the reader keeps the rows before a fault
+    # and loses the rest of that document, i.e. each file is a truncated feed.
+    bad = F.col("o_orderkey") % 89 == 0
+    line = F.concat(F.lit("<row>"), body, F.when(bad, F.lit("<o_note>")).otherwise(F.lit("")), F.lit("</row>"))
+    rows = orders.select(F.floor(F.col("o_orderkey") / DOC_ROWS).alias("doc"),
+                         F.struct(bad.alias("bad"), F.col("o_orderkey"), line.alias("line")).alias("r"))
+    docs = rows.groupBy("doc").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    text = docs.select(F.concat(F.lit("<rows>\n"), F.array_join(F.transform("rs", lambda x: x["line"]), "\n"),
+                                F.lit("\n</rows>")).alias("value"))
+    path = scratch_path(spark, "xml-malformed")
+    write_lines(text, path, max_records_per_file=1)
+    return _typed_orders(read_xml_rows(spark, path, "row", ORDERS_TAGS))
+
+
+@register("xml_feed_to_csv", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END AS o_orderpriority,
+       count(*) OVER () AS rows_written
+FROM orders WHERE o_orderkey % 50 <> 0""")
+def xml_feed_to_csv(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    feed = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 50 == 0, F.lit(None).cast("long")).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus", "o_totalprice", "o_orderdate",
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+    xml_path = scratch_path(spark, "xml-feed")
+    write_xml(feed, xml_path, "row", "rows", max_records_per_file=FILE_ROWS * 8)
+    out = scratch_path(spark, "xml-feed-csv")
+    res = _xml_feed_to_csv(spark, xml_path, "row", ORDERS_TAGS, out, key="o_custkey")
+    back = _typed_orders(read_feed_csv(spark, out, ORDERS_TAGS))
+    back = back.withColumn("o_orderpriority", F.coalesce(F.col("o_orderpriority"), F.lit("")))
+    return back.withColumn("rows_written", F.lit(res["rows_written"]).cast("long"))
+
+
+_JOBS_DUCK = """
+WITH j AS (
+  SELECT 'JB' || lpad(CAST((p_size * 17) % 1000 AS VARCHAR), 3, '0') || '-'
+           || upper(split_part(p_type, ' ', 1)) || CAST(p_partkey AS VARCHAR) AS jobname,
+         p_partkey AS k FROM part),
+c AS (
+  SELECT jobname,
+         CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN 'PL-' || jobname || '-OK' WHEN 2 THEN 'WAIT'
+                    WHEN 3 THEN 'WAIT-OK' ELSE 'PL-X' END AS incond,
+         CASE WHEN k % 3 = 0 THEN 'PL-' || jobname || '-BAD' ELSE 'PL-' || jobname || '-OK' END AS outcond
+  FROM j)
+SELECT jobname, incond, outcond,
+       (coalesce(incond, '') <> '' AND NOT contains(coalesce(incond, ''), 'PL-')
+        AND NOT contains(coalesce(incond, ''), '-OK')) AS in_bad,
+       coalesce(outcond <> 'PL-' || jobname || '-OK', true) AS out_bad
+FROM c"""
+
+
+def _jobs_frame(spark, sf_dir):
+    return derive.job_definitions_from_part(read_table(spark, sf_dir, "part"))
+
+
+@register("naming_check", _JOBS_DUCK)
+def naming_check(spark, sf_dir):
+    jobs = derive.job_conditions_from_part(read_table(spark, sf_dir, "part"))
+    return _naming_check(jobs.select("jobname", "incond", "outcond"))
+
+
+@register("job_definitions_check", _JOBS_DUCK)
+def job_definitions_check(spark, sf_dir):
+    path = scratch_path(spark, "job-defs")
+    write_xml(_jobs_frame(spark, sf_dir), path, "JOB", "SMART_FOLDER",
+              max_records_per_file=FILE_ROWS * 4)
+    flags, _missing = check_job_definitions(spark, path)
+    return flags
+
+
+@register("sequence_gaps", """
+WITH n AS (SELECT DISTINCT CAST((p_size * 17) % 1000 AS BIGINT) AS job_num FROM part)
+SELECT g AS job_num
+FROM (SELECT unnest(generate_series((SELECT min(job_num) FROM n), (SELECT max(job_num) FROM n))) AS g)
+WHERE g NOT IN (SELECT job_num FROM n)""")
+def sequence_gaps(spark, sf_dir):
+    jobs = derive.job_conditions_from_part(read_table(spark, sf_dir, "part")).select("jobname")
+    return missing_numbers(spark, job_numbers(jobs), "job_num")

@@ -172,22 +172,32 @@ def catalog_from_part(part: DataFrame) -> dict[str, DataFrame]:
     return {"relations": relations.drop("brand"), "namespaces": namespaces, "partitions": partitions}
 
 
-def job_definitions_from_part(part: DataFrame) -> DataFrame:
-    """F9 at scale: one job per part with attribute-style columns for the XML writer."""
+def job_conditions_from_part(part: DataFrame) -> DataFrame:
+    """F9 at scale: one job per part — name, its (last) in-condition and out-condition."""
     k = F.col("p_partkey")
-    num = F.lpad((F.floor(F.col("p_retailprice")).cast("long") % 1000).cast("string"), 3, "0")
-    job = F.concat(F.lit("JB"), num, F.lit("-"), F.upper(F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))))
+    num = F.lpad(((F.col("p_size") * 17) % 1000).cast("string"), 3, "0")
+    job = F.concat(F.lit("JB"), num, F.lit("-"), F.upper(F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))),
+                   k.cast("string"))
     inc = (F.when(k % 5 == 0, F.lit(None).cast("string"))
            .when(k % 5 == 1, F.concat(F.lit("PL-"), job, F.lit("-OK")))
            .when(k % 5 == 2, F.lit("WAIT"))
            .when(k % 5 == 3, F.lit("WAIT-OK"))
            .otherwise(F.lit("PL-X")))
     out = F.when(k % 3 == 0, F.concat(F.lit("PL-"), job, F.lit("-BAD"))).otherwise(F.concat(F.lit("PL-"), job, F.lit("-OK")))
+    return part.select(k.alias("job_id"), job.alias("jobname"), inc.alias("incond"), out.alias("outcond"),
+                       (F.col("p_size") % 2 == 0).alias("two_inconds"))
+
+
+def job_definitions_from_part(part: DataFrame) -> DataFrame:
+    """F9 shaped for the XML writer: attribute columns, repeated conditions
+    (jobs with an even size get a first in-condition before the real one)."""
+    c = job_conditions_from_part(part)
+    inc = F.col("incond")
     incond = F.when(inc.isNull(), F.lit(None)).when(
-        F.col("p_size") % 2 == 0, F.array(F.struct(F.lit("FIRST-IN").alias("_NAME")), F.struct(inc.alias("_NAME")))
+        F.col("two_inconds"), F.array(F.struct(F.lit("FIRST-IN").alias("_NAME")), F.struct(inc.alias("_NAME")))
     ).otherwise(F.array(F.struct(inc.alias("_NAME"))))
-    return part.select(k.alias("_ID"), job.alias("_JOBNAME"), incond.alias("INCOND"),
-                       F.array(F.struct(out.alias("_NAME"))).alias("OUTCOND"))
+    return c.select(F.col("jobname").alias("_JOBNAME"), incond.alias("INCOND"),
+                    F.array(F.struct(F.col("outcond").alias("_NAME"))).alias("OUTCOND"))
 
 
 def orders_with_nulls(orders: DataFrame) -> DataFrame:
