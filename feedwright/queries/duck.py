@@ -73,3 +73,42 @@ SELECT coalesce(l.column_name, r.column_name) AS column_name,
        coalesce(l.column_name IS NOT NULL AND r.column_name IS NOT NULL
                 AND CAST(trunc(r.null_pct) AS INTEGER) = 100, false) AS full_null_right
 FROM l FULL OUTER JOIN r ON l.column_name = r.column_name"""
+
+
+def pretty_sql(x: str) -> str:
+    """Oracle of ``size_pretty`` (integer shifts, half-up per unit)."""
+    b = f"CAST({x} AS BIGINT)"
+    parts = [f"WHEN abs({b}) < 10240 THEN CAST({b} AS VARCHAR) || ' bytes'"]
+    for unit, shift in (("kB", 9), ("MB", 19), ("GB", 29)):
+        parts.append(f"WHEN abs({b} >> {shift}) < 20479 THEN CAST((({b} >> {shift}) + 1) >> 1 AS VARCHAR) || ' {unit}'")
+    return "CASE " + " ".join(parts) + f" ELSE CAST((({b} >> 39) + 1) >> 1 AS VARCHAR) || ' TB' END"
+
+
+CATALOG = """
+rel AS (
+  SELECT 't_' || CAST(p_partkey AS VARCHAR) AS relname,
+         CASE p_partkey % 6 WHEN 0 THEN 'dm' WHEN 1 THEN 'Dops' WHEN 2 THEN 'STAGE' WHEN 3 THEN 'bak'
+                            WHEN 4 THEN 'scratch' ELSE 'Archive' END AS nspname,
+         CAST(round(p_retailprice * 100) AS BIGINT) << CAST(p_size % 28 AS BIGINT) AS size_bytes,
+         CAST(p_size AS BIGINT) * 1000 + p_partkey % 97 AS reltuples,
+         p_brand AS brand, p_partkey AS relid
+  FROM part),
+nsp AS (SELECT DISTINCT nspname FROM rel),
+ptn AS (SELECT relname AS partitiontablename, nspname AS partitionschemaname,
+               'p_' || lower(replace(brand, '#', '')) AS tablename, nspname AS schemaname
+        FROM rel WHERE relid % 4 <> 0),
+rp AS (
+  SELECT coalesce(p.schemaname, r.nspname) AS schema_name, coalesce(p.tablename, r.relname) AS table_name,
+         r.relname, r.size_bytes, r.reltuples
+  FROM rel r JOIN nsp n ON r.nspname = n.nspname
+       LEFT JOIN ptn p ON r.relname = p.partitiontablename AND r.nspname = p.partitionschemaname),
+tsz AS (
+  SELECT schema_name, table_name, CAST(sum(size_bytes) AS BIGINT) AS size_bytes, count(*) AS n_partitions,
+         CAST(sum(reltuples) AS BIGINT) AS n_rows
+  FROM rp WHERE upper(schema_name) IN ('DM', 'DOPS', 'STAGE', 'BAK') GROUP BY ALL),
+per AS (SELECT nspname, CAST(sum(size_bytes) AS BIGINT) AS size_bytes FROM rel GROUP BY nspname),
+ssz AS (
+  SELECT nspname AS schema_name, size_bytes,
+         CAST(100.0 AS DOUBLE) * CAST(size_bytes AS DOUBLE) / CAST((SELECT sum(size_bytes) FROM per) AS DOUBLE) AS share_pct
+  FROM per WHERE upper(nspname) IN ('DM', 'DOPS', 'STAGE', 'BAK'))
+"""

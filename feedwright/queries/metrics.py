@@ -1 +1,103 @@
-"""Placeholder until the operators land."""
+"""Catalog size metrics (F8 derived from part) and file sizes."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from feedwright.functions.exprs import isin_ci, size_pretty as _size_pretty
+from feedwright.operators import metrics as m
+from feedwright.queries import register
+from feedwright.queries.duck import CATALOG, pretty_sql
+from feedwright.session import scratch_path
+from feedwright.sinks.tables import write_metrics
+from feedwright.sources import derive
+from feedwright.sources.tables import DRIVER_TABLES, read_table
+
+_W = "WITH " + CATALOG
+
+
+def _catalog(spark, sf_dir):
+    return derive.catalog_from_part(read_table(spark, sf_dir, "part"))
+
+
+def _rel_parent(spark, sf_dir):
+    c = _catalog(spark, sf_dir)
+    return m.relations_with_parent(c["relations"], c["namespaces"], c["partitions"])
+
+
+@register("relations_with_parent", _W + "SELECT * FROM rp")
+def relations_with_parent(spark, sf_dir):
+    return _rel_parent(spark, sf_dir)
+
+
+@register("table_sizes", _W + f"SELECT schema_name, table_name, size_bytes, {pretty_sql('size_bytes')} AS size_pretty, "
+                              "n_partitions, n_rows FROM tsz")
+def table_sizes(spark, sf_dir):
+    return m.table_sizes(_rel_parent(spark, sf_dir), derive.METRIC_SCHEMAS)
+
+
+@register("schema_share", _W + f"SELECT schema_name, size_bytes, {pretty_sql('size_bytes')} AS size_pretty, share_pct "
+                               "FROM ssz")
+def schema_share(spark, sf_dir):
+    return m.schema_share(_catalog(spark, sf_dir)["relations"], derive.METRIC_SCHEMAS)
+
+
+@register("size_pretty", _W + f"SELECT relname, size_bytes, {pretty_sql('size_bytes')} AS size_pretty FROM rel")
+def size_pretty(spark, sf_dir):
+    rel = _catalog(spark, sf_dir)["relations"]
+    return rel.select("relname", "size_bytes", _size_pretty(F.col("size_bytes")).alias("size_pretty"))
+
+
+@register("schema_membership", _W + "SELECT relname, nspname FROM rel WHERE upper(nspname) IN ('DM', 'DOPS', 'STAGE', 'BAK')")
+def schema_membership(spark, sf_dir):
+    rel = _catalog(spark, sf_dir)["relations"]
+    return rel.where(isin_ci(F.col("nspname"), derive.METRIC_SCHEMAS)).select("relname", "nspname")
+
+
+_METRIC_DAY_SQL = """
+SELECT 'SCHEMA_SIZE' AS query_info, DATE '{d}' AS process_dt, 'SCHEMA' AS entity_type, schema_name AS container_name,
+       schema_name AS entity_name, {pretty_s} AS size1, printf('%.2f', share_pct) AS size2, size_bytes, share_pct,
+       CAST(NULL AS BIGINT) AS n_partitions, CAST(NULL AS BIGINT) AS n_rows FROM ssz
+UNION ALL
+SELECT 'TABLE_SIZE_AND_PARTITIONS', DATE '{d}', 'TABLE', schema_name, table_name, {pretty_t},
+       CAST(n_partitions AS VARCHAR), size_bytes, CAST(NULL AS DOUBLE), n_partitions, n_rows FROM tsz"""
+
+METRIC_DAYS = (dt.date(2024, 1, 15), dt.date(2024, 1, 16))
+
+
+@register("metrics_rerun", _W + "\nUNION ALL\n".join(
+    _METRIC_DAY_SQL.format(d=d.isoformat(), pretty_s=pretty_sql("size_bytes"), pretty_t=pretty_sql("size_bytes"))
+    for d in METRIC_DAYS))
+def metrics_rerun(spark, sf_dir):
+    c = _catalog(spark, sf_dir)
+    tables = m.table_sizes(m.relations_with_parent(c["relations"], c["namespaces"], c["partitions"]),
+                           derive.METRIC_SCHEMAS)
+    schemas = m.schema_share(c["relations"], derive.METRIC_SCHEMAS)
+    path = scratch_path(spark, "metrics")
+    # first day, the same day again (rerun replaces it), then the next day
+    for d in (METRIC_DAYS[0], METRIC_DAYS[0], METRIC_DAYS[1]):
+        write_metrics(m.metric_rows(schemas, tables, d), path)
+    back = spark.read.parquet(path)
+    return back.withColumn("process_dt", F.col("process_dt").cast("date"))
+
+
+@register("file_sizes")
+def file_sizes(spark, sf_dir):
+    """E8 per driver table (rows only: the oracle cannot see the file paths)."""
+    files = m.file_listing(spark, sf_dir, "*.parquet")
+    name = F.regexp_extract(F.col("path"), r"([A-Za-z_]+)\.parquet$", 1)
+    return (files.where(name.isin(*DRIVER_TABLES)).groupBy(name.alias("table_name"))
+            .agg(F.sum("length").alias("size_bytes"), F.count(F.lit(1)).alias("n_files")))
+
+
+@register("total_external_size")
+def total_external_size(spark, sf_dir):
+    """E9 (rows only): a written copy of part, partitioned by brand — bytes in
+    data files versus bytes in markers and metadata."""
+    path = scratch_path(spark, "part-sizes")
+    read_table(spark, sf_dir, "part").write.partitionBy("p_brand").parquet(path)
+    return m.total_and_external(m.file_listing(spark, path)).withColumn("database_size",
+                                                                        m.database_size(m.file_listing(spark, path))
+                                                                        .first()["size_bytes"] * F.lit(1))

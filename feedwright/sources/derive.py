@@ -159,7 +159,8 @@ def catalog_from_part(part: DataFrame) -> dict[str, DataFrame]:
     relations = part.select(
         F.concat(F.lit("t_"), k.cast("string")).alias("relname"),
         schema.alias("nspname"),
-        F.shiftleft(F.round(F.col("p_retailprice") * 100).cast("long"), (F.col("p_size") % 28).cast("int")).alias("size_bytes"),
+        F.call_function("shiftleft", F.round(F.col("p_retailprice") * 100).cast("long"),
+                        (F.col("p_size") % 28).cast("int")).alias("size_bytes"),
         (F.col("p_size").cast("long") * 1000 + k % 97).alias("reltuples"),
         F.col("p_brand").alias("brand"),
         k.alias("relid"))
