@@ -66,13 +66,18 @@ def projection_spec(col_meta_rows) -> list[dict]:
     return sorted(rows, key=lambda r: (int(r["SEQ_NB"]), r["SOURCECOLNM"]))
 
 
-def project(df: DataFrame, spec: list[dict]) -> DataFrame:
+def project(df: DataFrame, spec: list[dict], source_key: str = "SOURCECOLNM") -> DataFrame:
     """Extracted columns in order, source name -> refined name, ``try_cast``
     to the refined type (failed casts become null, R24)."""
-    return df.select([F.col(f"`{r['SOURCECOLNM']}`").try_cast(r["RFND_COL_TYPE_INHIVE"])
+    return df.select([F.col(f"`{r[source_key]}`").try_cast(r["RFND_COL_TYPE_INHIVE"])
                       .alias(r["RFND_COL_INHIVE"].lower()) for r in spec])
 
 
+def raw_projection(df: DataFrame, spec: list[dict]) -> DataFrame:
+    """Extracted source columns under their raw-table names (no cast)."""
+    return df.select([F.col(f"`{r['SOURCECOLNM']}`").alias(r["RAW_COL_INHIVE"].lower()) for r in spec])
+
+
 def cast_rejects(df: DataFrame, spec: list[dict]) -> DataFrame:
     """Per target column, the number of non-null source values that failed the cast."""
     aggs = [F.count_if(F.col(f"`{r['SOURCECOLNM']}`").isNotNull()

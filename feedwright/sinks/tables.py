@@ -16,6 +16,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], trunc
     """``Y`` overwrites the table, ``P`` replaces only the partitions
     present in ``df`` (dynamic overwrite), anything else appends."""
     mode = {"Y": "overwrite", "P": "overwrite"}.get((truncate or "").upper(), "append")
+    if partition_cols:
+        # one writer per table partition instead of every task writing a file
+        # into every partition; AQE splits a skewed (hot) partition value and
+        # merges small ones (REBALANCE, unlike repartition, may be re-planned)
+        df = df.hint("rebalance", *partition_cols)
     w = df.write.format(fmt).mode(mode).partitionBy(*partition_cols)
     w = w.option("partitionOverwriteMode", "dynamic" if (truncate or "").upper() == "P" else "static")
     if compression:
