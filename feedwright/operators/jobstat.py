@@ -59,23 +59,32 @@ def completed_windows(jobstat: DataFrame, requests: DataFrame,
     return requests.join(done, ["feed", from_col, end_col], "left_semi")
 
 
+def keep_latest(rows: DataFrame, keys=KEY, order_cols=("process_end", "status")) -> DataFrame:
+    """One row per key: the one with the greatest ``order_cols``. An aggregate
+    (``max_by`` over a struct of the other fields), so rows of a hot key are
+    combined map-side before the shuffle."""
+    cols = rows.columns
+    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
+    order = F.struct(*[F.col(c) for c in order_cols])
+    merged = rows.groupBy(*keys).agg(F.max_by(payload, order).alias("_row"))
+    return merged.select(*[F.col(k) for k in keys],
+                         *[F.col(f"_row.{c}").alias(c) for c in cols if c not in keys]).select(*cols)
+
+
 def upsert(state: DataFrame, batch: DataFrame, keys=KEY, order_cols=("process_end", "status")) -> DataFrame:
     """Insert-or-update by key; the batch wins over the state, later rows
     win inside the batch.
 
-    Implemented as ``unionByName`` + one keep-latest aggregate (``max_by`` over a
-    struct of all fields): the aggregate combines map-side, so a key that holds a
-    large share of the rows is reduced before the shuffle instead of being sorted
-    in one window task. Re-applying the same batch leaves the state unchanged.
+    MERGE without a table format that supports it: the state rows whose key
+    occurs in the batch are removed with a left-anti join and the batch's
+    latest rows are appended. Only the batch is aggregated; the state is
+    streamed through the anti join (a broadcast of the batch keys when AQE
+    measures them small, a shuffle join otherwise). Re-applying the same batch
+    leaves the state unchanged.
     """
-    cols = [c for c in state.columns]
-    tagged = (state.select(*cols, F.lit(0).alias("_src"))
-              .unionByName(batch.select(*cols, F.lit(1).alias("_src"))))
-    order = F.struct(F.col("_src"), *[F.col(c) for c in order_cols])
-    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
-    merged = tagged.groupBy(*keys).agg(F.max_by(payload, order).alias("_row"))
-    return merged.select(*[F.col(k) for k in keys],
-                         *[F.col(f"_row.{c}").alias(c) for c in cols if c not in keys]).select(*cols)
+    latest = keep_latest(batch.select(*state.columns), keys, order_cols)
+    kept = state.join(latest.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(latest)
 
 
 def audit_record(spark: SparkSession, feed: str, jobpid: int, status: str, *, filedate=None,

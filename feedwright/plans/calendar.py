@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.operators.jobstat import COMPLETED, high_water_mark
+from feedwright.operators.jobstat import COMPLETED
 from feedwright.sources.derive import WEEKDAYS
 
 # Decision codes, in the order they are tested.
@@ -48,15 +48,16 @@ def calendar_decision(calendar: DataFrame, holidays: DataFrame, run_date: _dt.da
                           F.date_format(eff, "EEE").alias("day_of_eff"),
                           "RUN_ON_HOLIDAY", *[f"RUN_ON_{d}" for d in WEEKDAYS])
     j = cal.join(holidays.select("HOLIDAY_DT"), cal["eff_date"] == F.col("HOLIDAY_DT"), "left")
-    switch = (F.when(F.col("HOLIDAY_DT").isNotNull(),
-                     F.when(F.col("RUN_ON_HOLIDAY") == "Y", F.lit("Y")).otherwise(F.lit("N")))
-              .otherwise(F.when(_weekday_flag(F.col("day_of_eff")) == "Y", F.lit("Y")).otherwise(F.lit("N"))))
-    rows = j.select("feed", "eff_date", "day_of_eff", F.col("HOLIDAY_DT").alias("holiday_dt"),
-                    switch.alias("run_switch"))
-    return rows.groupBy("feed").agg(
-        F.max("eff_date").alias("eff_date"), F.max("day_of_eff").alias("day_of_eff"),
-        F.max("holiday_dt").alias("holiday_dt"), F.max("run_switch").alias("run_switch"),
-        F.count(F.lit(1)).alias("n_calendar_rows"))
+    switch = (F.when(F.col("HOLIDAY_DT").isNotNull(), F.col("RUN_ON_HOLIDAY") == "Y")
+              .otherwise(_weekday_flag(F.col("day_of_eff")) == "Y"))
+    # fixed-width aggregation buffers (date, boolean, count) keep this a hash
+    # aggregate; the text columns are derived after it
+    per_feed = j.groupBy("feed").agg(
+        F.max("eff_date").alias("eff_date"), F.max("HOLIDAY_DT").alias("holiday_dt"),
+        F.max(F.coalesce(switch, F.lit(False))).alias("_switch"), F.count(F.lit(1)).alias("n_calendar_rows"))
+    return per_feed.select(
+        "feed", "eff_date", F.date_format("eff_date", "EEE").alias("day_of_eff"), "holiday_dt",
+        F.when(F.col("_switch"), F.lit("Y")).otherwise(F.lit("N")).alias("run_switch"), "n_calendar_rows")
 
 
 def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame) -> DataFrame:
@@ -73,10 +74,13 @@ def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame)
     effective date when the feed never completed) and ends at the effective
     date; explicit dates skip the calendar, a missing end defaults to the start.
     """
-    hwm = high_water_mark(jobstat)
-    done = (jobstat.where(F.col("status") == COMPLETED)
-            .select("feed", F.col("filedate").alias("from_date"), F.col("file_end_dt").alias("end_date"))
-            .distinct().withColumn("completed", F.lit(True)))
+    # one aggregate over the run-status table: its completed windows; the
+    # high-water mark is the latest of them (feeds without one get null below)
+    windows = (jobstat.where(F.col("status") == COMPLETED)
+               .select("feed", F.col("filedate").alias("from_date"), F.col("file_end_dt").alias("end_date"))
+               .distinct())
+    hwm = windows.groupBy("feed").agg(F.max("end_date").alias("hwm"))
+    done = windows.withColumn("completed", F.lit(True))
     p = requests.join(decisions, "feed", "left").join(hwm, "feed", "left")
     explicit = F.col("explicit_from").isNotNull()
     from_d = F.when(explicit, F.col("explicit_from")).otherwise(
