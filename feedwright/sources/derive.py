@@ -108,17 +108,18 @@ def plan_requests(customer: DataFrame) -> DataFrame:
 
 def lineitem_raw(lineitem: DataFrame) -> DataFrame:
     """F7 raw side: l_discount null on line 1, l_tax always null."""
-    return lineitem.withColumn(
-        "l_discount", F.when(F.col("l_linenumber") == 1, F.lit(None).cast("double")).otherwise(F.col("l_discount"))
-    ).withColumn("l_tax", F.lit(None).cast("double"))
+    disc = F.when(F.col("l_linenumber") == 1, F.lit(None).cast("double")).otherwise(F.col("l_discount"))
+    return lineitem.select(*[disc.alias(c) if c == "l_discount" else
+                             F.lit(None).cast("double").alias(c) if c == "l_tax" else F.col(c)
+                             for c in lineitem.columns])
 
 
 def lineitem_refined(lineitem: DataFrame) -> DataFrame:
     """F7 refined side: no l_returnflag, a load_tag, l_discount null on lines 1-2."""
-    return (lineitem_raw(lineitem).drop("l_returnflag")
-            .withColumn("l_discount", F.when(F.col("l_linenumber").isin(1, 2), F.lit(None).cast("double"))
-                        .otherwise(F.col("l_discount")))
-            .withColumn("load_tag", F.lit("r1")))
+    disc = F.when(F.col("l_linenumber").isin(1, 2), F.lit(None).cast("double")).otherwise(F.col("l_discount"))
+    cols = [disc.alias(c) if c == "l_discount" else F.lit(None).cast("double").alias(c) if c == "l_tax"
+            else F.col(c) for c in lineitem.columns if c != "l_returnflag"]
+    return lineitem.select(*cols, F.lit("r1").alias("load_tag"))
 
 
 def dq_metadata(region: DataFrame, nation: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:

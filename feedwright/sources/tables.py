@@ -8,8 +8,19 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
 
+# Table handles per session: resolving a parquet path lists the files and reads
+# the footers; the driver tables are read-only, so one resolution per session is
+# enough (like a catalog table). Each action still scans the files afresh.
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
+    return df
