@@ -20,7 +20,9 @@ def xml_feed_to_csv(spark: SparkSession, xml_path: str, row_tag: str, tags: list
 
 
 def read_feed_csv(spark: SparkSession, path: str, tags: list[str]) -> DataFrame:
-    """The CSV written by ``xml_feed_to_csv`` (no header, all strings)."""
+    """The CSV written by ``xml_feed_to_csv`` (no header, all strings). Its
+    values are never null (absent tags became ``""``), so no token is read as
+    null and ``""`` stays an empty string."""
     schema = ", ".join(f"`{t}` string" for t in tags)
     return (spark.read.schema(schema).option("header", False).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).csv(path))
+            .option("nullValue", "\u0000").option("multiLine", True).csv(path))

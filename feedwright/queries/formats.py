@@ -143,7 +143,6 @@ def xml_feed_to_csv(spark, sf_dir):
     out = scratch_path(spark, "xml-feed-csv")
     res = _xml_feed_to_csv(spark, xml_path, "row", ORDERS_TAGS, out, key="o_custkey")
     back = _typed_orders(read_feed_csv(spark, out, ORDERS_TAGS))
-    back = back.withColumn("o_orderpriority", F.coalesce(F.col("o_orderpriority"), F.lit("")))
     return back.withColumn("rows_written", F.lit(res["rows_written"]).cast("long"))
 
 
