@@ -27,14 +27,15 @@ def relations_with_parent(relations: DataFrame, namespaces: DataFrame, partition
 
 
 def table_sizes(rel_parent: DataFrame, schemas) -> DataFrame:
-    """Size, partition count and row count per table of the listed
-    schemas (case-insensitive; unpartitioned tables kept, R14), largest first."""
+    """Size, partition count and row count per table of the listed
+    schemas (case-insensitive; unpartitioned tables kept, R14), largest first
+    (the sort runs on the per-table aggregate, one row per table)."""
     t = rel_parent.where(isin_ci(F.col("schema_name"), schemas))
     g = t.groupBy("schema_name", "table_name").agg(
         F.sum("size_bytes").alias("size_bytes"), F.count(F.lit(1)).alias("n_partitions"),
         F.sum("reltuples").alias("n_rows"))
     return g.select("schema_name", "table_name", "size_bytes", size_pretty(F.col("size_bytes")).alias("size_pretty"),
-                    "n_partitions", "n_rows")
+                    "n_partitions", "n_rows").orderBy(F.desc("size_bytes"), "schema_name", "table_name")
 
 
 def schema_share(relations: DataFrame, schemas) -> DataFrame:

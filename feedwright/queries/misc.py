@@ -155,3 +155,37 @@ FROM ({_INGEST_DUCK})""")
 def postprocess(spark, sf_dir):
     _spec, res = _ingest_orders(spark, sf_dir, POSTPROCESS)
     return res["postprocessed"]
+
+
+@register("ingest_audit")
+def ingest_audit(spark, sf_dir):
+    """L6/E10/E11 (rows only: run timestamps and file sizes vary): the audit
+    rows of one ingest run — status per step, counts, raw/refined bytes."""
+    _spec, res = _ingest_orders(spark, sf_dir)
+    return res["audit"]
+
+
+@register("dated_path_scan", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = '1997-03'""")
+def dated_path_scan(spark, sf_dir):
+    """A5: orders land in one folder per month; the feed's landing template
+    picks the folder of the run date."""
+    from feedwright.sources.scans import scan_dated_path
+    root = scratch_path(spark, "landing")
+    orders = read_table(spark, sf_dir, "orders")
+    (orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM")).hint("rebalance", "month")
+     .write.partitionBy("month").parquet(root))
+    return scan_dated_path(spark, f"{root}/month=<<%Y-%m>>", "19970315")
+
+
+@register("bucketed_refined", "SELECT * FROM orders")
+def bucketed_refined(spark, sf_dir):
+    """L2 with a bucketing clause from the table metadata: orders written as a
+    table bucketed and sorted by the order key (in the shared folder), read back."""
+    from feedwright.sinks.tables import parse_bucketing_clause, write_bucketed_table
+    cols, n = parse_bucketing_clause("CLUSTERED BY (O_ORDERKEY) INTO 8 BUCKETS")
+    name = "fw_orders_bucketed"
+    write_bucketed_table(spark, read_table(spark, sf_dir, "orders"), name, n, cols,
+                         path=scratch_path(spark, "bucketed"))
+    return spark.table(name)

@@ -34,13 +34,28 @@ def write_metrics(df: DataFrame, path: str) -> None:
     write_partitioned(df, path, ["process_dt"], truncate="P")
 
 
+def parse_bucketing_clause(clause: str) -> tuple[list[str], int] | None:
+    """``CLUSTERED BY (A, B) [SORTED BY (...)] INTO n BUCKETS`` -> (columns, n);
+    an empty clause means no bucketing."""
+    import re
+    if not clause or not clause.strip():
+        return None
+    m = re.search(r"CLUSTERED\s+BY\s*\(([^)]*)\).*?INTO\s+(\d+)\s+BUCKETS", clause, re.I | re.S)
+    if not m:
+        raise ValueError(f"unreadable bucketing clause {clause!r}")
+    return [c.strip().lower() for c in m.group(1).split(",") if c.strip()], int(m.group(2))
+
+
 def write_bucketed_table(spark: SparkSession, df: DataFrame, table: str, buckets: int, cols: list[str],
-                         partition_cols: list[str] | None = None, fmt: str = "parquet") -> None:
+                         partition_cols: list[str] | None = None, fmt: str = "parquet",
+                         path: str | None = None) -> None:
     """L2 with the metadata's bucketing clause: a catalog table bucketed (and
     sorted) by the join key, so later joins on it skip the shuffle."""
     w = df.write.format(fmt).mode("overwrite").bucketBy(buckets, *cols).sortBy(*cols)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(table)
 
 

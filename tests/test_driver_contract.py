@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tools.check_oracle import digest
 from tests.conftest import SF_SMALL
 
-ROWS_ONLY = {"file_sizes", "total_external_size"}
+ROWS_ONLY = {"file_sizes", "total_external_size", "ingest_audit"}
 
 
 def test_entry_smoke(spark):

@@ -156,3 +156,17 @@ def test_ingest_end_to_end_and_second_run_exits(spark):
     assert plan_windows(req, dec, state).first().decision == "GRACEFUL_EXIT"
     with pytest.raises(ValueError):
         ingest(spark, spec, "20240102", stages="XYZ")
+
+
+def test_bucketing_clause_and_colocated_join(spark):
+    from feedwright.sinks.tables import parse_bucketing_clause, write_bucketed_table
+    assert parse_bucketing_clause("") is None
+    assert parse_bucketing_clause("CLUSTERED BY (A, b) SORTED BY (A) INTO 16 BUCKETS") == (["a", "b"], 16)
+    cols, n = parse_bucketing_clause("CLUSTERED BY (K) INTO 4 BUCKETS")
+    left = spark.range(200).selectExpr("id AS k", "id * 2 AS v")
+    right = spark.range(200).selectExpr("id AS k", "id * 3 AS w")
+    write_bucketed_table(spark, left, "t_bucket_l", n, cols, path=scratch_path(spark, "bl"))
+    write_bucketed_table(spark, right, "t_bucket_r", n, cols, path=scratch_path(spark, "br"))
+    j = spark.table("t_bucket_l").join(spark.table("t_bucket_r"), "k")
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and j.count() == 200
