@@ -32,15 +32,17 @@ def compare_profiles(left: DataFrame, right: DataFrame) -> DataFrame:
 
     ``added`` = column only on the left, ``removed`` = only on the right;
     ``null_defer`` = both present, integer parts differ and the gap is > 1.0;
-    ``full_null_left/right`` = integer part of the percent is 100.
+    ``full_null_left/right`` = integer part of the percent is 100. Every flag
+    needs both percents (an empty table has none, R2).
     """
     l = left.select("column_name", F.col("n_rows").alias("left_rows"), F.col("null_pct").alias("left_pct"),
                     F.lit(True).alias("_l"))
     r = right.select("column_name", F.col("n_rows").alias("right_rows"), F.col("null_pct").alias("right_pct"),
                      F.lit(True).alias("_r"))
     j = l.join(r, "column_name", "full_outer")
-    both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
     lp, rp = F.col("left_pct"), F.col("right_pct")
+    # flags need both percents; an empty table has none (R2: all flags false)
+    both = lp.isNotNull() & rp.isNotNull()
     trunc_l = lp.cast("int")
     trunc_r = rp.cast("int")
     return j.select(

@@ -65,12 +65,12 @@ SELECT coalesce(l.column_name, r.column_name) AS column_name,
        l.n_rows AS left_rows, r.n_rows AS right_rows, l.null_pct AS left_pct, r.null_pct AS right_pct,
        (l.column_name IS NOT NULL AND r.column_name IS NULL) AS added,
        (l.column_name IS NULL AND r.column_name IS NOT NULL) AS removed,
-       coalesce(l.column_name IS NOT NULL AND r.column_name IS NOT NULL
+       coalesce(l.null_pct IS NOT NULL AND r.null_pct IS NOT NULL
                 AND CAST(trunc(l.null_pct) AS INTEGER) <> CAST(trunc(r.null_pct) AS INTEGER)
                 AND abs(l.null_pct - r.null_pct) > 1.0, false) AS null_defer,
-       coalesce(l.column_name IS NOT NULL AND r.column_name IS NOT NULL
+       coalesce(l.null_pct IS NOT NULL AND r.null_pct IS NOT NULL
                 AND CAST(trunc(l.null_pct) AS INTEGER) = 100, false) AS full_null_left,
-       coalesce(l.column_name IS NOT NULL AND r.column_name IS NOT NULL
+       coalesce(l.null_pct IS NOT NULL AND r.null_pct IS NOT NULL
                 AND CAST(trunc(r.null_pct) AS INTEGER) = 100, false) AS full_null_right
 FROM l FULL OUTER JOIN r ON l.column_name = r.column_name"""
 
