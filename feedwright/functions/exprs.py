@@ -28,17 +28,28 @@ def percent(num, den) -> Column:
 def typed_literal(value, kind: str = "DATE", fmt: str = "yyyyMMdd") -> Column:
     """Turn a metadata-given text value into a typed literal (delta column type)."""
     kind = (kind or "").upper()
-    if isinstance(value, (_dt.date, _dt.datetime)):
+    if isinstance(value, _dt.datetime):
+        return ts_literal(value)
+    if isinstance(value, _dt.date):
         return F.lit(value)
     if kind in ("DATE",):
         return F.to_date(F.lit(str(value)), fmt)
     if kind in ("TIMESTAMP", "DATETIME"):
-        return F.to_timestamp(F.lit(str(value)), fmt)
+        return F.to_timestamp_ntz(F.lit(str(value)), F.lit(fmt))
     if kind in ("NUMBER", "INT", "INTEGER", "BIGINT", "DECIMAL", "NUMERIC"):
         return F.lit(value).cast("decimal(38,10)") if "." in str(value) else F.lit(int(value))
     return F.lit(value)
 
 
+def ts_literal(value, kind: str = "timestamp_ntz") -> Column:
+    """A timestamp literal built from its wall-clock text, so no time zone of
+    the Python process enters: ``timestamp_ntz`` stays as written and
+    ``timestamp`` is read in the session time zone."""
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime.combine(value, _dt.time())
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)
+
+
 def compare(c, op: str, value, upper=None) -> Column:
     """Comparison predicate builder; ``between`` is inclusive on both ends.
 

@@ -3,8 +3,6 @@ twins, custom SQL, first-n columns and the refined-count fallback."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from feedwright.operators import metadata as md
@@ -110,7 +108,7 @@ CUSTOM_SQL = """
 SELECT c.c_mktsegment AS segment, count(*) AS n_orders, max(o.o_totalprice) AS max_price,
        min(o.o_orderdate) AS first_order
 FROM orders_src o JOIN customer_src c ON o.o_custkey = c.c_custkey
-WHERE o.o_orderdate BETWEEN <<FROM_TS>> AND <<END_TS>>
+WHERE o.o_orderdate BETWEEN to_timestamp_ntz(<<FROM_TS>>) AND to_timestamp_ntz(<<END_TS>>)
 GROUP BY c.c_mktsegment"""
 
 
@@ -122,7 +120,7 @@ WHERE o.o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-
 GROUP BY c.c_mktsegment""")
 def custom_sql_extract(spark, sf_dir):
     return scan_sql(spark, CUSTOM_SQL,
-                    params={"FROM_TS": dt.datetime(1996, 1, 1), "END_TS": dt.datetime(1998, 12, 31)},
+                    params={"FROM_TS": "1996-01-01 00:00:00", "END_TS": "1998-12-31 00:00:00"},
                     views={"orders_src": read_table(spark, sf_dir, "orders"),
                            "customer_src": read_table(spark, sf_dir, "customer")})
 

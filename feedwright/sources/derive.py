@@ -12,6 +12,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedwright.functions.exprs import ts_literal
+
 # Run-status vocabulary written by the ingest job, by event_id % 4.
 STATUS_BY_MOD4 = ("COMPLETED SUCCESSFULLY", "EXTRACT_COMPLETED",
                   "Completed Execute source db script", "GENERATE EXTRACT SCRIPT")
@@ -63,7 +65,7 @@ def jobstat_from_events(events: DataFrame, feed: Column | None = None) -> DataFr
 
 def planning_jobstat(events: DataFrame, customer: DataFrame, run_date=PLAN_RUN_DATE) -> DataFrame:
     """F5 for planning: rows before the run date, feed = c_name of the user."""
-    before = events.where(F.col("ts") < F.lit(_dt.datetime.combine(run_date, _dt.time())).cast("timestamp_ntz"))
+    before = events.where(F.col("ts") < ts_literal(run_date))
     joined = before.join(customer.select(F.col("c_custkey").alias("user_id"), "c_name"), "user_id")
     return jobstat_from_events(joined, F.col("c_name"))
 

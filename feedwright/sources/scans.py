@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedwright.functions.exprs import compare, typed_literal
+from feedwright.functions.exprs import compare, ts_literal, typed_literal
 
 
 def _as_date(value) -> _dt.date:
@@ -34,10 +34,8 @@ def _date_pred(df: DataFrame, col: str, lo, hi_inclusive) -> Column:
     hi_d = _as_date(hi_inclusive)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         # half-open range on the raw column keeps the predicate pushable
-        lo_ts = _dt.datetime.combine(lo_d, _dt.time())
-        hi_ts = _dt.datetime.combine(hi_d + _dt.timedelta(days=1), _dt.time())
         kind = "timestamp_ntz" if isinstance(dtype, T.TimestampNTZType) else "timestamp"
-        return (c >= F.lit(lo_ts).cast(kind)) & (c < F.lit(hi_ts).cast(kind))
+        return (c >= ts_literal(lo_d, kind)) & (c < ts_literal(hi_d + _dt.timedelta(days=1), kind))
     if isinstance(dtype, T.DateType):
         return (c >= F.lit(lo_d)) & (c <= F.lit(hi_d))
     if isinstance(dtype, T.StringType):
@@ -77,10 +75,10 @@ def scan_delta(df: DataFrame, delta_col: str | None, op: str = ">", from_val=Non
             return df.where(_date_pred(df, delta_col, lo_d, to_val))
         ts_type = "timestamp_ntz" if isinstance(dtype, T.TimestampNTZType) else (
             "timestamp" if isinstance(dtype, T.TimestampType) else "date")
-        start = F.lit(lo_d if ts_type == "date" else _dt.datetime.combine(lo_d, _dt.time())).cast(ts_type)
+        start = F.lit(lo_d) if ts_type == "date" else ts_literal(lo_d, ts_type)
         if ts_type == "date" or op in (">=", "<"):
             return df.where(compare(delta_col, op, start))
-        nxt = F.lit(_dt.datetime.combine(lo_d + _dt.timedelta(days=1), _dt.time())).cast(ts_type)
+        nxt = ts_literal(lo_d + _dt.timedelta(days=1), ts_type)
         # a date compared with a timestamp column means the whole day
         if op == ">":
             return df.where(F.col(delta_col) >= nxt)

@@ -111,3 +111,13 @@ def test_csv_writer_roundtrip_keeps_spaces(spark, tmp):
     back = sorted(tuple(r) for r in spark.read.option("header", True).option("multiLine", True)
                   .option("escape", '"').option("nullValue", "\u0000").csv(f"{tmp}/w").collect())
     assert back == [("1", "  lead", "trail  "), ("2", "\nnl", "")]
+
+
+def test_stream_restart_processes_new_files_once(spark, tmp):
+    write(f"{tmp}/in/a.txt", b"one\xfe1\n", "wb")
+    q = start_delimiter_stream(spark, f"{tmp}/in", f"{tmp}/out", f"{tmp}/ckpt")
+    q.awaitTermination()
+    write(f"{tmp}/in/b.txt", b"two\xdf2\xdf\n", "wb")
+    q = start_delimiter_stream(spark, f"{tmp}/in", f"{tmp}/out", f"{tmp}/ckpt")   # restart from the checkpoint
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(f"{tmp}/out").collect()) == ["one\x011", 'two"2"']

@@ -149,6 +149,12 @@ def test_ingest_end_to_end_and_second_run_exits(spark):
     assert statuses[0] == "GENERATE EXTRACT SCRIPT" and statuses[-1] == "COMPLETED SUCCESSFULLY"
     state = res["jobstat"]
     assert [(r.feed, r.status) for r in state.collect()] == [("FEED1", "COMPLETED SUCCESSFULLY")]
+    # a rerun of the same window replaces its partitions: same refined content
+    before = sorted(map(tuple, spark.read.schema(res["refined_schema"]).parquet(spec.refined_path).collect()))
+    again = ingest(spark, spec, "20240102", "20240103", run_date="20240103", jobpid=12, jobstat=state)
+    after = sorted(map(tuple, spark.read.schema(res["refined_schema"]).parquet(spec.refined_path).collect()))
+    assert before == after and again["refined_count"] == 20
+    assert sorted(r.jobpid for r in again["jobstat"].collect()) == [11, 12]
     # a second plan for the same window finds the completed row
     req = spark.createDataFrame([("FEED1", dt.date(2024, 1, 2), dt.date(2024, 1, 3), False)],
                                 "feed string, explicit_from date, explicit_end date, override boolean")
