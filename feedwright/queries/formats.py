@@ -22,7 +22,8 @@ from feedwright.sources.tables import read_table
 from feedwright.sources.xml import read_xml_rows
 from feedwright.streaming.delimiter_stream import start_delimiter_stream
 
-FILE_ROWS = 250          # rows per landed file: several files even at small scale
+FILE_ROWS = 1000         # rows per landed CSV / line file (multi-line CSV: one task per file)
+XML_FILE_ROWS = 20000    # rows per landed XML file
 DOC_ROWS = 2000          # rows per XML document in the malformed feed
 
 ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -97,7 +98,7 @@ def stream_delimiter(spark, sf_dir):
 @register("xml_roundtrip", "SELECT * FROM orders")
 def xml_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "xml-orders")
-    write_xml(read_table(spark, sf_dir, "orders"), path, "row", "rows", max_records_per_file=FILE_ROWS * 8)
+    write_xml(read_table(spark, sf_dir, "orders"), path, "row", "rows", max_records_per_file=XML_FILE_ROWS)
     return _typed_orders(read_xml_rows(spark, path, "row", ORDERS_TAGS))
 
 
@@ -139,7 +140,7 @@ def xml_feed_to_csv(spark, sf_dir):
         "o_orderstatus", "o_totalprice", "o_orderdate",
         F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
     xml_path = scratch_path(spark, "xml-feed")
-    write_xml(feed, xml_path, "row", "rows", max_records_per_file=FILE_ROWS * 8)
+    write_xml(feed, xml_path, "row", "rows", max_records_per_file=XML_FILE_ROWS)
     out = scratch_path(spark, "xml-feed-csv")
     res = _xml_feed_to_csv(spark, xml_path, "row", ORDERS_TAGS, out, key="o_custkey")
     back = _typed_orders(read_feed_csv(spark, out, ORDERS_TAGS))
@@ -178,7 +179,7 @@ def naming_check(spark, sf_dir):
 def job_definitions_check(spark, sf_dir):
     path = scratch_path(spark, "job-defs")
     write_xml(_jobs_frame(spark, sf_dir), path, "JOB", "SMART_FOLDER",
-              max_records_per_file=FILE_ROWS * 4)
+              max_records_per_file=XML_FILE_ROWS)
     flags, _missing = check_job_definitions(spark, path)
     return flags
 
