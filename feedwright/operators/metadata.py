@@ -124,3 +124,8 @@ def dq_plan(metadata_dq: DataFrame, grouping: DataFrame, xref: DataFrame, tbl_me
             .join(tbl_meta, ["sourceschema", "sourcetblnm"])
             .select("group_nm", "sub_group_nm", "filename", "src_qry_scr", "tgt_qry_scr",
                     "db_type", "db_server", "db_user"))
+
+
+def first_columns(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` columns (a projection; pruned at the scan)."""
+    return df.select(df.columns[:n])

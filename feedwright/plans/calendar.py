@@ -108,3 +108,12 @@ def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame)
                .otherwise(F.concat(F.lit("RUN "), ymd("from_date"), F.lit(" TO "), ymd("end_date"))))
     return p.select("feed", "from_date", "end_date", "run_switch", "hwm",
                     decision.alias("decision"), message.alias("message"))
+
+
+def job_calendar_check(decisions: DataFrame, feed: str) -> tuple[str, _dt.date]:
+    """M1 for one feed, as the reference's per-job call: ``(run_switch,
+    effective date)``; no calendar row or more than one is an error."""
+    rows = decisions.where(F.col("feed") == feed).select("run_switch", "eff_date", "n_calendar_rows").limit(2).collect()
+    if len(rows) != 1 or rows[0]["n_calendar_rows"] != 1:
+        raise RuntimeError(f"No Calendar Metadata Available for {feed}")
+    return rows[0]["run_switch"], rows[0]["eff_date"]

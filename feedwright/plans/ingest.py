@@ -75,6 +75,13 @@ def purge_path_partitions(spark: SparkSession, table_path: str, col: str, run_da
     return old
 
 
+def persist_jobstat(spark: SparkSession, state: DataFrame, name: str = "ops_jobstat") -> str:
+    """Write the merged run-status table as a new version folder in the
+    shared checkpoint root and return its path (readers switch to it)."""
+    from feedwright.sinks.tables import new_version
+    return new_version(spark, state, name)
+
+
 def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_date=None, stages: str = "GEL",
            jobpid: int | None = None, jobstat: DataFrame | None = None) -> dict:
     stages = stages.upper()

@@ -127,5 +127,4 @@ def custom_sql_extract(spark, sf_dir):
 
 @register("first_n_columns", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem")
 def first_n_columns(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(li.columns[:4])
+    return md.first_columns(read_table(spark, sf_dir, "lineitem"), 4)

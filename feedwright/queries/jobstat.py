@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from feedwright.operators import jobstat as js
-from feedwright.operators.report import format_status_report, run_reports
+from feedwright.operators.report import run_reports
+from feedwright.plans.run_report import status_reports
 from feedwright.queries import register
 from feedwright.queries.duck import JOBSTAT
 from feedwright.sources import derive
-from feedwright.sources.scans import scan_sql
 from feedwright.sources.tables import read_table
 
 _J = f"WITH jobstat AS ({JOBSTAT})\n"
@@ -126,9 +126,9 @@ SELECT Feed, ExpectedExtractDate, strftime(actual, '%Y-%m-%d') AS ActualExtractD
        CASE WHEN CAST(actual AS DATE) = ExpectedExtractDate THEN 'OK' ELSE 'LATE' END AS ActualFlag
 FROM g""")
 def run_status_report(spark, sf_dir):
-    rep = scan_sql(spark, STATUS_REPORT_SQL, {"jobstat_table": "fw_jobstat"},
-                   views={"fw_jobstat": _jobstat(spark, sf_dir)})
-    return format_status_report(rep, hide_first=True)
+    [(_name, report)] = status_reports(spark, STATUS_REPORT_SQL + " -> Run status", {"jobstat_table": "fw_jobstat"},
+                                       views={"fw_jobstat": _jobstat(spark, sf_dir)})
+    return report
 
 
 REPORT_SPEC = (

@@ -11,7 +11,7 @@ from feedwright.operators import metrics as m
 from feedwright.queries import register
 from feedwright.queries.duck import CATALOG, pretty_sql
 from feedwright.session import scratch_path
-from feedwright.sinks.tables import write_metrics
+from feedwright.plans.size_metrics import run_size_metrics
 from feedwright.sources import derive
 from feedwright.sources.tables import DRIVER_TABLES, read_table
 
@@ -72,13 +72,10 @@ METRIC_DAYS = (dt.date(2024, 1, 15), dt.date(2024, 1, 16))
     for d in METRIC_DAYS))
 def metrics_rerun(spark, sf_dir):
     c = _catalog(spark, sf_dir)
-    tables = m.table_sizes(m.relations_with_parent(c["relations"], c["namespaces"], c["partitions"]),
-                           derive.METRIC_SCHEMAS)
-    schemas = m.schema_share(c["relations"], derive.METRIC_SCHEMAS)
     path = scratch_path(spark, "metrics")
     # first day, the same day again (rerun replaces it), then the next day
     for d in (METRIC_DAYS[0], METRIC_DAYS[0], METRIC_DAYS[1]):
-        write_metrics(m.metric_rows(schemas, tables, d), path)
+        run_size_metrics(c["relations"], c["namespaces"], c["partitions"], derive.METRIC_SCHEMAS, d, path)
     back = spark.read.parquet(path)
     return back.withColumn("process_dt", F.col("process_dt").cast("date"))
 

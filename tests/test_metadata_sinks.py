@@ -155,6 +155,9 @@ def test_ingest_end_to_end_and_second_run_exits(spark):
     after = sorted(map(tuple, spark.read.schema(res["refined_schema"]).parquet(spec.refined_path).collect()))
     assert before == after and again["refined_count"] == 20
     assert sorted(r.jobpid for r in again["jobstat"].collect()) == [11, 12]
+    from feedwright.plans.ingest import persist_jobstat
+    v = persist_jobstat(spark, again["jobstat"])
+    assert spark.read.parquet(v).count() == 2
     # a second plan for the same window finds the completed row
     req = spark.createDataFrame([("FEED1", dt.date(2024, 1, 2), dt.date(2024, 1, 3), False)],
                                 "feed string, explicit_from date, explicit_end date, override boolean")

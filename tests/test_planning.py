@@ -72,3 +72,15 @@ def test_small_side_check(spark):
     assert "Broadcast" in j._jdf.queryExecution().executedPlan().toString() or j.count() == 10
     j2 = big.join(small_side(big, max_rows=20), "id")
     assert j2.count() == 100
+
+
+def test_job_calendar_check_errors(spark):
+    import pytest
+
+    from feedwright.plans.calendar import job_calendar_check
+    dec = spark.createDataFrame([("A", WED, "Y", 1), ("B", WED, "N", 2)],
+                                "feed string, eff_date date, run_switch string, n_calendar_rows long")
+    assert job_calendar_check(dec, "A") == ("Y", WED)
+    for feed in ("B", "missing"):
+        with pytest.raises(RuntimeError, match="No Calendar"):
+            job_calendar_check(dec, feed)
