@@ -76,9 +76,22 @@ def total_and_external(files: DataFrame, data_suffix: str = ".parquet") -> DataF
                      F.sum(F.when(is_data, F.lit(0)).otherwise(F.col("length"))).alias("external_bytes"))
 
 
+def path_bytes(spark: SparkSession, path: str, where=None, replicas: int = 3) -> DataFrame:
+    """Bytes of the data files below a table path, optionally restricted
+    to some partitions (partition columns are discovered from the folder names,
+    so the restriction prunes the listing), and bytes x replicas. Only the file
+    listing is used: no file is opened."""
+    files = spark.read.format("binaryFile").load(path).drop("content")
+    if where is not None:
+        files = files.where(where)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("size_bytes")).select(
+        "size_bytes", (F.col("size_bytes") * replicas).alias("replica_bytes"))
+
+
 def scanned_bytes(df: DataFrame, replicas: int = 3) -> DataFrame:
-    """Bytes of the files a DataFrame reads (per distinct file, from the
-    ``_metadata`` column, so partition filters apply) and bytes x replicas."""
+    """Bytes of the files a DataFrame reads (per distinct file, from the
+    ``_metadata`` column) and bytes x replicas. This walks the rows of the scan;
+    for table folders prefer ``path_bytes``, which only lists files."""
     files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
     return files.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("size_bytes")).select(
         "size_bytes", (F.col("size_bytes") * replicas).alias("replica_bytes"))

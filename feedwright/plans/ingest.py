@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from feedwright.operators.counts import refined_count_with_fallback
 from feedwright.operators.jobstat import JOBSTAT_SCHEMA, upsert
 from feedwright.operators.metadata import add_partition_twins, project, projection_spec, raw_projection
-from feedwright.operators.metrics import scanned_bytes
+from feedwright.operators.metrics import path_bytes
 from feedwright.operators.postprocess import apply_postprocessors
 from feedwright.sinks.tables import retention_candidates, write_partitioned
 from feedwright.sources.scans import _as_date, scan_delta, scan_refined
@@ -69,7 +69,9 @@ def purge_path_partitions(spark: SparkSession, table_path: str, col: str, run_da
     """L8 on a path table: drop partitions older than ``run_date - retention``."""
     if retention in (None, 0, ""):
         return []
-    parts = spark.read.parquet(table_path).select(F.col(col).cast("string").alias(col)).distinct()
+    # partition values from the file listing only (no file is opened)
+    parts = (spark.read.format("binaryFile").load(table_path).select(F.col(col).cast("string").alias(col))
+             .distinct())
     old = [r[0] for r in retention_candidates(parts, col, _as_date(run_date), int(retention)).collect()]
     _delete_paths(spark, [f"{table_path.rstrip('/')}/{col}={v}" for v in old])
     return old
@@ -142,9 +144,14 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
             spark.createDataFrame([(spec.feed, info["rowcount"])], "feed string, received_count long"),
             ref_win.agg(F.count(F.lit(1)).alias("refined_count")).withColumn("feed", F.lit(spec.feed)), ["feed"])
         info["refined_count"] = int(counted.first()["final_count"])
-        raw_sz = scanned_bytes(spark.read.parquet(spec.raw_path).where(F.col("loaddate") == loaddate),
-                               spec.replicas).first()
-        ref_sz = scanned_bytes(ref_win, spec.replicas).first()
+        raw_sz = path_bytes(spark, spec.raw_path, F.col("loaddate").cast("string") == loaddate,
+                            spec.replicas).first()
+        if ptn_src:
+            first_ptn = F.col(f"{ptn_src[0]}_ptn").cast("string")
+            ref_where = (first_ptn >= from_d.strftime("%Y%m%d")) & (first_ptn <= end_d.strftime("%Y%m%d"))
+        else:
+            ref_where = None
+        ref_sz = path_bytes(spark, spec.refined_path, ref_where, spec.replicas).first()
         info.update(raw_size=raw_sz[0], raw_replica_size=raw_sz[1], refined_size=ref_sz[0],
                     refined_replica_size=ref_sz[1])
         purged_raw = purge_path_partitions(spark, spec.raw_path, "loaddate", run_d, spec.raw_retention)
