@@ -88,6 +88,17 @@ def isin_ci(c, values) -> Column:
     return F.upper(_c(c)).isin([str(v).upper() for v in values])
 
 
+def size_pretty_sql(x: str) -> str:
+    """SQL text of ``size_pretty`` over the expression ``x``."""
+    b = f"CAST({x} AS BIGINT)"
+    parts = [f"WHEN abs({b}) < 10240 THEN concat(CAST({b} AS STRING), ' bytes')"]
+    for unit, shift in (("kB", 9), ("MB", 19), ("GB", 29)):
+        parts.append(f"WHEN abs(shiftright({b}, {shift})) < 20479 "
+                     f"THEN concat(CAST(shiftright(shiftright({b}, {shift}) + 1, 1) AS STRING), ' {unit}')")
+    return ("CASE " + " ".join(parts)
+            + f" ELSE concat(CAST(shiftright(shiftright({b}, 39) + 1, 1) AS STRING), ' TB') END")
+
+
 def size_pretty(c) -> Column:
     """Human-readable byte count with half-up rounding per unit.
 
@@ -95,17 +106,15 @@ def size_pretty(c) -> Column:
     the rounded value stays below 10240 (computed with shifts keeping one extra
     bit for the rounding, so no floating point is involved).
     """
-    b = _c(c).cast("long")
+    if isinstance(c, str):
+        return F.expr(size_pretty_sql(f"`{c}`"))
+    b = c.cast("long")
     units = (("kB", 9), ("MB", 19), ("GB", 29), ("TB", 39))
     out = F.when(F.abs(b) < 10240, F.concat(b.cast("string"), F.lit(" bytes")))
     for i, (unit, shift) in enumerate(units):
         half = F.shiftright(b, shift)
-        rounded = F.shiftright(half + 1, 1)
-        text = F.concat(rounded.cast("string"), F.lit(" " + unit))
-        if i < len(units) - 1:
-            out = out.when(F.abs(half) < 20479, text)
-        else:
-            out = out.otherwise(text)
+        text = F.concat(F.shiftright(half + 1, 1).cast("string"), F.lit(" " + unit))
+        out = out.when(F.abs(half) < 20479, text) if i < len(units) - 1 else out.otherwise(text)
     return out
 
 

@@ -64,11 +64,11 @@ def keep_latest(rows: DataFrame, keys=KEY, order_cols=("process_end", "status"))
     (``max_by`` over a struct of the other fields), so rows of a hot key are
     combined map-side before the shuffle."""
     cols = rows.columns
-    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
-    order = F.struct(*[F.col(c) for c in order_cols])
-    merged = rows.groupBy(*keys).agg(F.max_by(payload, order).alias("_row"))
-    return merged.select(*[F.col(k) for k in keys],
-                         *[F.col(f"_row.{c}").alias(c) for c in cols if c not in keys]).select(*cols)
+    rest = [c for c in cols if c not in keys]
+    payload = "struct(" + ", ".join(f"`{c}`" for c in rest) + ")"
+    order = "struct(" + ", ".join(f"`{c}`" for c in order_cols) + ")"
+    merged = rows.groupBy(*keys).agg(F.expr(f"max_by({payload}, {order})").alias("_row"))
+    return merged.selectExpr(*[f"_row.`{c}` AS `{c}`" if c in rest else f"`{c}`" for c in cols])
 
 
 def upsert(state: DataFrame, batch: DataFrame, keys=KEY, order_cols=("process_end", "status")) -> DataFrame:

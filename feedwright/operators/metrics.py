@@ -34,7 +34,7 @@ def table_sizes(rel_parent: DataFrame, schemas) -> DataFrame:
     g = t.groupBy("schema_name", "table_name").agg(
         F.sum("size_bytes").alias("size_bytes"), F.count(F.lit(1)).alias("n_partitions"),
         F.sum("reltuples").alias("n_rows"))
-    return g.select("schema_name", "table_name", "size_bytes", size_pretty(F.col("size_bytes")).alias("size_pretty"),
+    return g.select("schema_name", "table_name", "size_bytes", size_pretty("size_bytes").alias("size_pretty"),
                     "n_partitions", "n_rows").orderBy(F.desc("size_bytes"), "schema_name", "table_name")
 
 
@@ -49,7 +49,7 @@ def schema_share(relations: DataFrame, schemas) -> DataFrame:
     w = per.select("nspname", "size_bytes", total.alias("db_bytes"))
     return (w.where(isin_ci(F.col("nspname"), schemas))
             .select(F.col("nspname").alias("schema_name"), "size_bytes",
-                    size_pretty(F.col("size_bytes")).alias("size_pretty"),
+                    size_pretty("size_bytes").alias("size_pretty"),
                     percent(F.col("size_bytes"), F.col("db_bytes")).alias("share_pct")))
 
 

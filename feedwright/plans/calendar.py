@@ -82,32 +82,30 @@ def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame)
     hwm = windows.groupBy("feed").agg(F.max("end_date").alias("hwm"))
     done = windows.withColumn("completed", F.lit(True))
     p = requests.join(decisions, "feed", "left").join(hwm, "feed", "left")
-    explicit = F.col("explicit_from").isNotNull()
-    from_d = F.when(explicit, F.col("explicit_from")).otherwise(
-        F.coalesce(F.date_add(F.col("hwm"), 1), F.col("eff_date")))
-    end_d = F.when(explicit, F.coalesce(F.col("explicit_end"), F.col("explicit_from"))).otherwise(F.col("eff_date"))
-    p = p.select("feed", "explicit_from", "explicit_end", "override", "run_switch", "n_calendar_rows", "hwm",
-                 from_d.alias("from_date"), end_d.alias("end_date"))
+    p = p.selectExpr(
+        "feed", "explicit_from", "explicit_end", "override", "run_switch", "n_calendar_rows", "hwm",
+        "CASE WHEN explicit_from IS NOT NULL THEN explicit_from ELSE coalesce(date_add(hwm, 1), eff_date) END "
+        "AS from_date",
+        "CASE WHEN explicit_from IS NOT NULL THEN coalesce(explicit_end, explicit_from) ELSE eff_date END AS end_date")
     p = p.join(done, ["feed", "from_date", "end_date"], "left")
-    cal_path = ~explicit
-    decision = (F.when(F.col("explicit_end").isNotNull() & ~explicit, F.lit(END_WITHOUT_FROM))
-                .when(cal_path & (F.coalesce(F.col("n_calendar_rows"), F.lit(0)) != 1), F.lit(NO_CALENDAR))
-                .when(cal_path & (F.col("end_date") == F.col("from_date")) & (F.col("run_switch") == "N"),
-                      F.lit(NOT_SCHEDULED))
-                .when(cal_path & (F.col("from_date") > F.col("end_date")), F.lit(ABORTED))
-                .when(F.coalesce(F.col("completed"), F.lit(False)) & ~F.coalesce(F.col("override"), F.lit(False)),
-                      F.lit(GRACEFUL_EXIT))
-                .otherwise(F.lit(RUN)))
-    ymd = lambda c: F.date_format(F.col(c), "yyyyMMdd")
-    message = (F.when(decision == NOT_SCHEDULED, F.concat(F.lit("JOB NOT SCHEDULED TO RUN FOR "), ymd("end_date")))
-               .when(decision == ABORTED, F.concat(F.lit("JOB ABORTED: FROM DATE "), ymd("from_date"),
-                                                   F.lit(" GREATER THAN END DATE "), ymd("end_date")))
-               .when(decision == GRACEFUL_EXIT, F.lit("GRACEFUL EXIT PERFORMED"))
-               .when(decision == NO_CALENDAR, F.lit("No Calendar Metadata Available"))
-               .when(decision == END_WITHOUT_FROM, F.lit("End Date not accepted without from date"))
-               .otherwise(F.concat(F.lit("RUN "), ymd("from_date"), F.lit(" TO "), ymd("end_date"))))
-    return p.select("feed", "from_date", "end_date", "run_switch", "hwm",
-                    decision.alias("decision"), message.alias("message"))
+    decision = f"""CASE
+        WHEN explicit_end IS NOT NULL AND explicit_from IS NULL THEN '{END_WITHOUT_FROM}'
+        WHEN explicit_from IS NULL AND coalesce(n_calendar_rows, 0) <> 1 THEN '{NO_CALENDAR}'
+        WHEN explicit_from IS NULL AND end_date = from_date AND run_switch = 'N' THEN '{NOT_SCHEDULED}'
+        WHEN explicit_from IS NULL AND from_date > end_date THEN '{ABORTED}'
+        WHEN coalesce(completed, false) AND NOT coalesce(override, false) THEN '{GRACEFUL_EXIT}'
+        ELSE '{RUN}' END"""
+    ymd = lambda c: f"date_format({c}, 'yyyyMMdd')"
+    message = f"""CASE decision
+        WHEN '{NOT_SCHEDULED}' THEN concat('JOB NOT SCHEDULED TO RUN FOR ', {ymd('end_date')})
+        WHEN '{ABORTED}' THEN concat('JOB ABORTED: FROM DATE ', {ymd('from_date')}, ' GREATER THAN END DATE ',
+                                     {ymd('end_date')})
+        WHEN '{GRACEFUL_EXIT}' THEN 'GRACEFUL EXIT PERFORMED'
+        WHEN '{NO_CALENDAR}' THEN 'No Calendar Metadata Available'
+        WHEN '{END_WITHOUT_FROM}' THEN 'End Date not accepted without from date'
+        ELSE concat('RUN ', {ymd('from_date')}, ' TO ', {ymd('end_date')}) END"""
+    return (p.selectExpr("feed", "from_date", "end_date", "run_switch", "hwm", f"{decision} AS decision")
+            .selectExpr("*", f"{message} AS message"))
 
 
 def job_calendar_check(decisions: DataFrame, feed: str) -> tuple[str, _dt.date]:

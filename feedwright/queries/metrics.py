@@ -47,7 +47,7 @@ def schema_share(spark, sf_dir):
 @register("size_pretty", _W + f"SELECT relname, size_bytes, {pretty_sql('size_bytes')} AS size_pretty FROM rel")
 def size_pretty(spark, sf_dir):
     rel = _catalog(spark, sf_dir)["relations"]
-    return rel.select("relname", "size_bytes", _size_pretty(F.col("size_bytes")).alias("size_pretty"))
+    return rel.select("relname", "size_bytes", _size_pretty("size_bytes").alias("size_pretty"))
 
 
 @register("schema_membership", _W + "SELECT relname, nspname FROM rel WHERE upper(nspname) IN ('DM', 'DOPS', 'STAGE', 'BAK')")

@@ -33,55 +33,42 @@ EXPLICIT_DATE = _dt.date(2024, 1, 5)
 HOLIDAY_BASE = _dt.date(2024, 1, 1)
 
 
-def _status_col(event_id: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in STATUS_BY_MOD4]), (event_id % 4 + 1).cast("int"))
-
-
-def jobstat_from_events(events: DataFrame, feed: Column | None = None) -> DataFrame:
+def jobstat_from_events(events: DataFrame, feed: Column | str | None = None) -> DataFrame:
     """one run-status row per event, keyed by (feed, jobpid)."""
-    eid = F.col("event_id")
-    lc = F.when(eid % 11 == 0, F.lit(None).cast("long")).otherwise(F.floor(F.col("value") * 100).cast("long"))
-    feed = F.upper(F.col("event_type")) if feed is None else feed
-    return events.select(
-        feed.alias("feed"),
-        eid.alias("jobpid"),
-        F.concat(F.lower("event_type"), F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit(".dat")).alias("filename"),
-        F.col("ts").alias("process_start"),
-        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (eid % 7 + 1).cast("int"))).alias("process_end"),
-        lc.alias("linecount"),
-        (lc - F.when(eid % 5 == 0, F.lit(1)).otherwise(F.lit(0))).alias("rowcount"),
-        F.to_date("ts").alias("filedate"),
-        _status_col(eid).alias("status"),
-        F.lit("").alias("message"),
-        (eid * 10).alias("raw_size"),
-        (eid * 30).alias("raw_replica_size"),
-        (eid * 8).alias("refined_size"),
-        (eid * 24).alias("refined_replica_size"),
-        F.lit("filedate_ptn").alias("partition_col"),
-        F.to_date("ts").alias("file_end_dt"),
-        (lc - F.when(eid % 5 == 0, F.lit(1)).otherwise(F.lit(0))).alias("refined_count"),
-    )
+    if isinstance(feed, Column):
+        events = events.withColumn("__feed", feed)
+        feed_sql = "__feed"
+    else:
+        feed_sql = feed or "upper(event_type)"
+    lc = "CASE WHEN event_id % 11 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST(floor(value * 100) AS BIGINT) END"
+    rc = f"{lc} - CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END"
+    statuses = ", ".join(f"'{x}'" for x in STATUS_BY_MOD4)
+    return events.selectExpr(
+        f"{feed_sql} AS feed", "event_id AS jobpid",
+        "concat(lower(event_type), '_', date_format(ts, 'yyyyMMdd'), '.dat') AS filename",
+        "ts AS process_start",
+        "ts + make_dt_interval(0, 0, CAST(event_id % 7 + 1 AS INT)) AS process_end",
+        f"{lc} AS linecount", f"{rc} AS rowcount", "to_date(ts) AS filedate",
+        f"element_at(array({statuses}), CAST(event_id % 4 + 1 AS INT)) AS status",
+        "'' AS message", "event_id * 10 AS raw_size", "event_id * 30 AS raw_replica_size",
+        "event_id * 8 AS refined_size", "event_id * 24 AS refined_replica_size",
+        "'filedate_ptn' AS partition_col", "to_date(ts) AS file_end_dt", f"{rc} AS refined_count")
 
 
 def planning_jobstat(events: DataFrame, customer: DataFrame, run_date=PLAN_RUN_DATE) -> DataFrame:
     """F5 for planning: rows before the run date, feed = c_name of the user."""
     before = events.where(F.col("ts") < ts_literal(run_date))
     joined = before.join(customer.select(F.col("c_custkey").alias("user_id"), "c_name"), "user_id")
-    return jobstat_from_events(joined, F.col("c_name"))
+    return jobstat_from_events(joined, "c_name")
 
 
 def calendar_from_customers(customer: DataFrame) -> DataFrame:
     """one calendar row per feed (customer)."""
-    k = F.col("c_custkey")
-    flags = [F.when(F.shiftright(k, i) % 2 == 1, F.lit("Y")).otherwise(F.lit("N")).alias(f"RUN_ON_{d}")
+    flags = [f"CASE WHEN shiftright(c_custkey, {i}) % 2 = 1 THEN 'Y' ELSE 'N' END AS RUN_ON_{d}"
              for i, d in enumerate(WEEKDAYS)]
-    return customer.select(
-        F.lit("CRM").alias("SOURCESCHEMA"),
-        F.col("c_name").alias("SOURCETBLNM"),
-        (k % 5).cast("int").alias("LAG_DAYS"),
-        F.when(k % 3 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("RUN_ON_HOLIDAY"),
-        *flags,
-    )
+    return customer.selectExpr(
+        "'CRM' AS SOURCESCHEMA", "c_name AS SOURCETBLNM", "CAST(c_custkey % 5 AS INT) AS LAG_DAYS",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'Y' ELSE 'N' END AS RUN_ON_HOLIDAY", *flags)
 
 
 def holidays_from_orders(orders: DataFrame) -> DataFrame:
@@ -110,18 +97,17 @@ def plan_requests(customer: DataFrame) -> DataFrame:
 
 def lineitem_raw(lineitem: DataFrame) -> DataFrame:
     """F7 raw side: l_discount null on line 1, l_tax always null."""
-    disc = F.when(F.col("l_linenumber") == 1, F.lit(None).cast("double")).otherwise(F.col("l_discount"))
-    return lineitem.select(*[disc.alias(c) if c == "l_discount" else
-                             F.lit(None).cast("double").alias(c) if c == "l_tax" else F.col(c)
-                             for c in lineitem.columns])
+    repl = {"l_discount": "CASE WHEN l_linenumber = 1 THEN CAST(NULL AS DOUBLE) ELSE l_discount END AS l_discount",
+            "l_tax": "CAST(NULL AS DOUBLE) AS l_tax"}
+    return lineitem.selectExpr(*[repl.get(c, c) for c in lineitem.columns])
 
 
 def lineitem_refined(lineitem: DataFrame) -> DataFrame:
     """F7 refined side: no l_returnflag, a load_tag, l_discount null on lines 1-2."""
-    disc = F.when(F.col("l_linenumber").isin(1, 2), F.lit(None).cast("double")).otherwise(F.col("l_discount"))
-    cols = [disc.alias(c) if c == "l_discount" else F.lit(None).cast("double").alias(c) if c == "l_tax"
-            else F.col(c) for c in lineitem.columns if c != "l_returnflag"]
-    return lineitem.select(*cols, F.lit("r1").alias("load_tag"))
+    repl = {"l_discount": "CASE WHEN l_linenumber IN (1, 2) THEN CAST(NULL AS DOUBLE) ELSE l_discount END "
+                          "AS l_discount",
+            "l_tax": "CAST(NULL AS DOUBLE) AS l_tax"}
+    return lineitem.selectExpr(*[repl.get(c, c) for c in lineitem.columns if c != "l_returnflag"], "'r1' AS load_tag")
 
 
 def dq_metadata(region: DataFrame, nation: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
