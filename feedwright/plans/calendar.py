@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.operators.jobstat import COMPLETED
@@ -25,15 +25,6 @@ GRACEFUL_EXIT = "GRACEFUL_EXIT"
 RUN = "RUN"
 
 
-def _weekday_flag(day: Column) -> Column:
-    expr = None
-    for d in WEEKDAYS:
-        name = d.capitalize()
-        expr = (F.when(day == name, F.col(f"RUN_ON_{d}")) if expr is None
-                else expr.when(day == name, F.col(f"RUN_ON_{d}")))
-    return expr.otherwise(F.lit("N"))
-
-
 def calendar_decision(calendar: DataFrame, holidays: DataFrame, run_date: _dt.date,
                       feed_col: str = "SOURCETBLNM") -> DataFrame:
     """M1/B3/D1 for every calendar row: the effective date is ``run_date - LAG_DAYS``;
@@ -43,21 +34,22 @@ def calendar_decision(calendar: DataFrame, holidays: DataFrame, run_date: _dt.da
     n_calendar_rows (a feed with 0 or >1 joined rows is unusable, R: M1 error).
     ``holidays`` must already be a bounded or checked broadcast side.
     """
-    eff = F.date_sub(F.lit(run_date), F.col("LAG_DAYS"))
-    cal = calendar.select(F.col(feed_col).alias("feed"), eff.alias("eff_date"),
-                          F.date_format(eff, "EEE").alias("day_of_eff"),
-                          "RUN_ON_HOLIDAY", *[f"RUN_ON_{d}" for d in WEEKDAYS])
+    eff = f"date_sub(DATE'{run_date.isoformat()}', LAG_DAYS)"
+    weekday = "CASE date_format(eff_date, 'EEE') " + " ".join(
+        f"WHEN '{d.capitalize()}' THEN RUN_ON_{d}" for d in WEEKDAYS) + " END"
+    cal = calendar.selectExpr(f"`{feed_col}` AS feed", f"{eff} AS eff_date", "RUN_ON_HOLIDAY",
+                              *[f"RUN_ON_{d}" for d in WEEKDAYS])
     j = cal.join(holidays.select("HOLIDAY_DT"), cal["eff_date"] == F.col("HOLIDAY_DT"), "left")
-    switch = (F.when(F.col("HOLIDAY_DT").isNotNull(), F.col("RUN_ON_HOLIDAY") == "Y")
-              .otherwise(_weekday_flag(F.col("day_of_eff")) == "Y"))
+    switch = (f"coalesce(CASE WHEN HOLIDAY_DT IS NOT NULL THEN RUN_ON_HOLIDAY = 'Y' "
+              f"ELSE ({weekday}) = 'Y' END, false)")
     # fixed-width aggregation buffers (date, boolean, count) keep this a hash
     # aggregate; the text columns are derived after it
     per_feed = j.groupBy("feed").agg(
         F.max("eff_date").alias("eff_date"), F.max("HOLIDAY_DT").alias("holiday_dt"),
-        F.max(F.coalesce(switch, F.lit(False))).alias("_switch"), F.count(F.lit(1)).alias("n_calendar_rows"))
-    return per_feed.select(
-        "feed", "eff_date", F.date_format("eff_date", "EEE").alias("day_of_eff"), "holiday_dt",
-        F.when(F.col("_switch"), F.lit("Y")).otherwise(F.lit("N")).alias("run_switch"), "n_calendar_rows")
+        F.expr(f"max({switch})").alias("_switch"), F.count(F.lit(1)).alias("n_calendar_rows"))
+    return per_feed.selectExpr(
+        "feed", "eff_date", "date_format(eff_date, 'EEE') AS day_of_eff", "holiday_dt",
+        "CASE WHEN _switch THEN 'Y' ELSE 'N' END AS run_switch", "n_calendar_rows")
 
 
 def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame) -> DataFrame:

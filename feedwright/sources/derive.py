@@ -73,26 +73,21 @@ def calendar_from_customers(customer: DataFrame) -> DataFrame:
 
 def holidays_from_orders(orders: DataFrame) -> DataFrame:
     """holiday dates (at most 30 distinct by construction)."""
-    k = F.datediff(F.to_date("o_orderdate"), F.lit(_dt.date(1995, 1, 1))) % 30
-    return (orders.where(F.col("o_orderkey") % 97 == 0)
-            .select(k.alias("k")).where(F.col("k") % 4 == 0)
-            .select(F.date_add(F.lit(HOLIDAY_BASE), F.col("k").cast("int")).alias("HOLIDAY_DT"),
-                    F.concat(F.lit("HOLIDAY "), F.col("k").cast("string")).alias("HOLIDAY_DESC"))
+    k = "datediff(to_date(o_orderdate), DATE'1995-01-01') % 30"
+    return (orders.where("o_orderkey % 97 = 0").selectExpr(f"{k} AS k").where("k % 4 = 0")
+            .selectExpr(f"date_add(DATE'{HOLIDAY_BASE.isoformat()}', CAST(k AS INT)) AS HOLIDAY_DT",
+                        "concat('HOLIDAY ', CAST(k AS STRING)) AS HOLIDAY_DESC")
             .distinct())
 
 
 def plan_requests(customer: DataFrame) -> DataFrame:
     """One planning request per feed; some ask for an explicit window."""
-    k = F.col("c_custkey")
-    explicit = k % 10 == 9
-    d = F.lit(EXPLICIT_DATE)
-    none = F.lit(None).cast("date")
-    return customer.select(
-        F.col("c_name").alias("feed"),
-        F.when(explicit, d).otherwise(none).alias("explicit_from"),
-        F.when(explicit, d).otherwise(none).alias("explicit_end"),
-        (k % 20 == 19).alias("override"),
-    )
+    d = f"DATE'{EXPLICIT_DATE.isoformat()}'"
+    return customer.selectExpr(
+        "c_name AS feed",
+        f"CASE WHEN c_custkey % 10 = 9 THEN {d} END AS explicit_from",
+        f"CASE WHEN c_custkey % 10 = 9 THEN {d} END AS explicit_end",
+        "c_custkey % 20 = 19 AS override")
 
 
 def lineitem_raw(lineitem: DataFrame) -> DataFrame:
