@@ -25,11 +25,23 @@ def parse_report_spec(spec: str) -> list[tuple[str, str]]:
     return out
 
 
+def positional_to_named(query: str) -> str:
+    """Report queries written with two positional ``%s`` markers (the run-status
+    table, then the report date) become named parameters ``:report_table`` and
+    ``:report_dt``; the table name is bound as an identifier."""
+    if "%s" not in query:
+        return query
+    first, rest = query.split("%s", 1)
+    return first + "IDENTIFIER(:report_table)" + rest.replace("%s", ":report_dt", 1)
+
+
 def run_reports(spark: SparkSession, spec: str, params: dict | None = None,
                 views: dict[str, DataFrame] | None = None) -> list[tuple[str, DataFrame]]:
     """Run every named report; a ``;`` list runs in order and the last result
-    counts. A report with no rows is an empty DataFrame, not an error (R26)."""
-    return [(name, scan_sql(spark, query, params, views)) for name, query in parse_report_spec(spec)]
+    counts. A report with no rows is an empty DataFrame, not an error (R26).
+    Queries with positional ``%s`` markers get ``report_table``/``report_dt``."""
+    return [(name, scan_sql(spark, positional_to_named(query), params, views))
+            for name, query in parse_report_spec(spec)]
 
 
 def format_status_report(df: DataFrame, hide_first: bool = False) -> DataFrame:

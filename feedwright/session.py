@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

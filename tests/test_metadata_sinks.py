@@ -74,6 +74,22 @@ def test_report_spec_b8(spark):
     assert [df.count() for _, df in reps] == [1, 1, 0]
 
 
+def test_report_positional_markers(spark):
+    import datetime as _d
+    spark.createDataFrame([("A", _d.date(2024, 1, 3)), ("A", _d.date(2024, 1, 4))],
+                          "feed string, filedate date").createOrReplaceTempView("js_rep")
+    spec = "SELECT feed, count(*) AS n FROM %s WHERE filedate = %s GROUP BY feed -> Day"
+    [(name, df)] = run_reports(spark, spec, {"report_table": "js_rep", "report_dt": _d.date(2024, 1, 3)})
+    assert name == "Day" and [tuple(r) for r in df.collect()] == [("A", 1)]
+
+
+def test_numeric_delta_column(spark):
+    df = spark.range(10).selectExpr("id", "id * 10 AS v")
+    assert scan_delta(df, "v", ">", "40", col_type="NUMBER").count() == 5
+    assert scan_delta(df, "v", "between", "10", "30", col_type="NUMBER").count() == 3
+    assert scan_delta(df, "v", "=", "7.5", col_type="NUMBER").count() == 0
+
+
 def test_status_report_format_f13(spark):
     df = spark.createDataFrame([(1, dt.date(2024, 1, 3), dt.datetime(2024, 1, 4, 13, 5), None,
                                  dt.datetime(2024, 1, 4, 13, 5, 9))],
