@@ -1,5 +1,4 @@
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +8,7 @@ from feedwright.plans.xml_feed import read_feed_csv, xml_feed_to_csv
 from feedwright.session import scratch_path
 from feedwright.sinks.files import write_csv, write_csv_counted
 from feedwright.sources.files import read_first_n, read_multiline_csv, read_repaired_lines
-from feedwright.sources.xml import key_rejects, read_xml_raw, read_xml_rows, xml_rows
+from feedwright.sources.xml import key_rejects, read_xml_raw, read_xml_rows
 from feedwright.streaming.delimiter_stream import start_delimiter_stream
 
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from feedwright.operators import jobstat as js
 from feedwright.operators.joins import small_side

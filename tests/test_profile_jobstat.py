@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from feedwright.operators import jobstat as js
 from feedwright.operators.profile import compare_profiles, null_profile

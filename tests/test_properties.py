@@ -5,7 +5,6 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from feedwright.functions.exprs import seam_repair, size_pretty
 from feedwright.operators.profile import compare_profiles
