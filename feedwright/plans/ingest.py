@@ -123,9 +123,17 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
 
     if "L" in stages:
         raw_part = spark.read.parquet(spec.raw_path).where(F.col("loaddate") == loaddate)
-        refined, ptn_list, _dq_col = add_partition_twins(project(raw_part, cols, "RAW_COL_INHIVE"), ptn_src)
+        # Values that fail the cast become null; their number per column is
+        # observed on the same write (no second scan)
+        rejects = Observation(f"rejects_{jobpid}")
+        checked = raw_part.observe(rejects, F.count(F.lit(1)).alias("_rows"), *[
+            F.count_if(F.col(r["RAW_COL_INHIVE"].lower()).isNotNull()
+                       & F.col(r["RAW_COL_INHIVE"].lower()).try_cast(r["RFND_COL_TYPE_INHIVE"]).isNull())
+            .alias(r["RFND_COL_INHIVE"].lower()) for r in cols])
+        refined, ptn_list, _dq_col = add_partition_twins(project(checked, cols, "RAW_COL_INHIVE"), ptn_src)
         info["refined_schema"] = refined.schema
         write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src] or [], truncate=spec.truncate)
+        info["cast_rejects"] = {k: int(v) for k, v in rejects.get.items() if k != "_rows" and v}
         # Compact the raw partition unless raw data is not retained or the
         # source lands its own files; cut the lineage first (reliable checkpoint
         # in the shared folder) because the partition is rewritten in place.
@@ -159,7 +167,9 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
         if (spec.truncate or "").upper() != "P" and ptn_src:
             purged_ref = purge_path_partitions(spark, spec.refined_path, f"{ptn_src[0]}_ptn", run_d,
                                                spec.refined_retention)
-        log(ST_LOADED, f"purged raw {len(purged_raw)}, refined {len(purged_ref)}")
+        rej = ", ".join(f"{k} {v}" for k, v in sorted(info["cast_rejects"].items()))
+        log(ST_LOADED, f"purged raw {len(purged_raw)}, refined {len(purged_ref)}"
+                       + (f"; cast rejects: {rej}" if rej else ""))
 
     if spec.postprocess:
         reader = spark.read.schema(info["refined_schema"]) if "refined_schema" in info else spark.read

@@ -146,20 +146,24 @@ def test_compaction_and_retention_l7_l8(spark):
 
 
 def test_ingest_end_to_end_and_second_run_exits(spark):
-    src = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i % 5), f"s{i % 2}") for i in range(50)],
-                                "id long, ts timestamp_ntz, st string")
+    src = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i % 5), f"s{i % 2}", "x" if i % 10 == 1 else str(i))
+                                 for i in range(50)],
+                                "id long, ts timestamp_ntz, st string, code string")
     meta = [{"SOURCECOLNM": "id", "RAW_COL_INHIVE": "ID", "RFND_COL_INHIVE": "ID", "RFND_COL_TYPE_INHIVE": "BIGINT",
              "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 1},
             {"SOURCECOLNM": "ts", "RAW_COL_INHIVE": "TS", "RFND_COL_INHIVE": "BUS_DT", "RFND_COL_TYPE_INHIVE": "DATE",
              "IS_EXTRACTED": "Y", "IS_PARTITIONED": "Y", "SEQ_NB": 2},
             {"SOURCECOLNM": "st", "RAW_COL_INHIVE": "ST", "RFND_COL_INHIVE": "ST", "RFND_COL_TYPE_INHIVE": "STRING",
-             "IS_EXTRACTED": "N", "IS_PARTITIONED": "N", "SEQ_NB": 3}]
+             "IS_EXTRACTED": "N", "IS_PARTITIONED": "N", "SEQ_NB": 3},
+            {"SOURCECOLNM": "code", "RAW_COL_INHIVE": "CODE", "RFND_COL_INHIVE": "CODE_NUM",
+             "RFND_COL_TYPE_INHIVE": "INT", "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 4}]
     base = scratch_path(spark, "ingest-test")
     spec = FeedSpec("FEED1", src, meta, f"{base}/raw", f"{base}/refined", delta_col="ts", operator="between",
                     raw_retention=3)
     res = ingest(spark, spec, "20240102", "20240103", run_date="20240103", jobpid=11)
     assert res["rowcount"] == 20 and res["refined_count"] == 20 and res["partition_col"] == "bus_dt_ptn"
     assert res["raw_size"] > 0 and res["raw_replica_size"] == 3 * res["raw_size"]
+    assert res["cast_rejects"] == {"code_num": 5}       # ids 1, 11, 21, 31, 41: all on Jan 2
     statuses = [r.status for r in res["audit"].collect()]
     assert statuses[0] == "GENERATE EXTRACT SCRIPT" and statuses[-1] == "COMPLETED SUCCESSFULLY"
     state = res["jobstat"]
