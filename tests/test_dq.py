@@ -53,3 +53,19 @@ def test_single_row_rule(spark):
 def test_blank_subgroups_dropped(spark):
     df = spark.createDataFrame([(None,), ("",), ("x",)], "s string")
     assert [r.s for r in df.where(not_blank("s")).collect()] == ["x"]
+
+
+def test_jobstat_check_against_hive_target(spark):
+    import datetime as dt
+
+    from feedwright.operators.jobstat import EXTRACT_COMPLETED, JOBSTAT_SCHEMA
+    t = dt.datetime(2024, 1, 3, 10)
+    d = dt.date(2024, 1, 3)
+    rows = [("F", 1, "f", t, t, 10, 10, d, EXTRACT_COMPLETED, "", 0, 0, 0, 0, "", d, 10),
+            ("G", 2, "f", t, t, 7, 7, d, EXTRACT_COMPLETED, "", 0, 0, 0, 0, "", d, 7)]
+    jobstat = spark.createDataFrame(rows, JOBSTAT_SCHEMA)
+    target = spark.createDataFrame([("F|2024-01-03", 10), ("G|2024-01-03", 6)], "sub_group string, linecount long")
+    src = dq.run_check(spark, "JOBSTAT", jobstat=jobstat)
+    tgt = dq.run_check(spark, "HIVE", query="SELECT * FROM dq_tgt_lc", views={"dq_tgt_lc": target})
+    got = {(r.sub_group, r.stat): r.dq_status for r in dq.reconcile(src, tgt).collect()}
+    assert got == {("F|2024-01-03", "linecount"): "MATCH", ("G|2024-01-03", "linecount"): "MISMATCH"}
