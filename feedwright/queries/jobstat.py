@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import functions as F
 
+from feedwright.functions.exprs import ts_literal
 from feedwright.operators import jobstat as js
 from feedwright.operators.report import run_reports
 from feedwright.plans.run_report import status_reports
@@ -51,18 +53,21 @@ def latest_linecount(spark, sf_dir):
 
 
 def _upsert_inputs(spark, sf_dir):
+    """State: runs started before Jan 20, as first inserted (status of the first
+    audit step). Batch: the runs from Jan 15 on with their final status — the
+    overlap updates existing keys, the rest are inserts."""
     j = _jobstat(spark, sf_dir)
-    state = (j.where(F.col("jobpid") % 10 != 4)
+    state = (j.where(F.col("process_start") < ts_literal(dt.date(2024, 1, 20)))
              .withColumn("status", F.lit("GENERATE EXTRACT SCRIPT"))
              .withColumn("process_end", F.col("process_start")))
-    batch = j.where(F.col("jobpid") % 2 == 0)
+    batch = j.where(F.col("process_start") >= ts_literal(dt.date(2024, 1, 15)))
     return state, batch
 
 
 @register("jobstat_upsert", _J + f"""
 , state AS (SELECT * REPLACE ('GENERATE EXTRACT SCRIPT' AS status, process_start AS process_end), 0 AS src
-            FROM jobstat WHERE jobpid % 10 <> 4),
-  batch AS (SELECT *, 1 AS src FROM jobstat WHERE jobpid % 2 = 0),
+            FROM jobstat WHERE process_start < TIMESTAMP '2024-01-20 00:00:00'),
+  batch AS (SELECT *, 1 AS src FROM jobstat WHERE process_start >= TIMESTAMP '2024-01-15 00:00:00'),
   u AS (SELECT * FROM state UNION ALL BY NAME SELECT * FROM batch),
   r AS (SELECT *, row_number() OVER (PARTITION BY feed, jobpid ORDER BY src DESC, process_end DESC, status DESC) AS rn
         FROM u)
@@ -149,7 +154,6 @@ SELECT 'Report No 2', feed, count_if(filedate = DATE '2024-01-15') FROM jobstat
 UNION ALL
 SELECT 'Extract days', feed, count(DISTINCT filedate) FROM jobstat WHERE status = 'EXTRACT_COMPLETED' GROUP BY feed""")
 def named_reports(spark, sf_dir):
-    import datetime as dt
     reports = run_reports(spark, REPORT_SPEC, {"jobstat_table": "fw_jobstat", "report_dt": dt.date(2024, 1, 15)},
                           views={"fw_jobstat": _jobstat(spark, sf_dir)})
     parts = [df.select(F.lit(name).alias("report_name"), "feed", F.col("n").cast("long").alias("n"))
