@@ -82,11 +82,15 @@ def metrics_rerun(spark, sf_dir):
 
 @register("file_sizes")
 def file_sizes(spark, sf_dir):
-    """E8 per driver table (rows only: the oracle cannot see the file paths)."""
+    """E8 (rows only: the oracle cannot see the file paths): bytes and files per
+    driver table, plus the database total over distinct files."""
     files = m.file_listing(spark, sf_dir, "*.parquet")
     name = F.regexp_extract(F.col("path"), r"([A-Za-z_]+)\.parquet$", 1)
-    return (files.where(name.isin(*DRIVER_TABLES)).groupBy(name.alias("table_name"))
-            .agg(F.sum("length").alias("size_bytes"), F.count(F.lit(1)).alias("n_files")))
+    tables = files.where(name.isin(*DRIVER_TABLES)).withColumn("table_name", name)
+    per_table = tables.groupBy("table_name").agg(F.sum("length").alias("size_bytes"),
+                                                 F.count(F.lit(1)).alias("n_files"))
+    total = m.database_size(tables).select(F.lit("DATABASE").alias("table_name"), "size_bytes", "n_files")
+    return per_table.unionByName(total)
 
 
 @register("total_external_size")
