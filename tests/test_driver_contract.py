@@ -49,3 +49,37 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only_queries_run(spark, name):
     assert entry.queries()[name](spark, SF_SMALL).count() > 0
+
+
+def test_file_sizes_brute_force(spark):
+    import os
+    got = {r.table_name: (r.size_bytes, r.n_files) for r in entry.queries()["file_sizes"](spark, SF_SMALL).collect()}
+    sizes = {f[:-len(".parquet")]: os.path.getsize(os.path.join(SF_SMALL, f))
+             for f in os.listdir(SF_SMALL) if f.endswith(".parquet")}
+    assert {k: v for k, v in got.items() if k != "DATABASE"} == {k: (v, 1) for k, v in sizes.items()}
+    assert got["DATABASE"] == (sum(sizes.values()), len(sizes))
+
+
+def test_total_external_size_brute_force(spark, monkeypatch):
+    import os
+
+    from feedwright.queries import metrics as qm
+    seen = {}
+    real = qm.scratch_path
+
+    def remember(s, name):
+        seen["path"] = real(s, name)
+        return seen["path"]
+    monkeypatch.setattr(qm, "scratch_path", remember)
+    r = entry.queries()["total_external_size"](spark, SF_SMALL).first()
+    data = other = 0
+    for dp, _dn, fn in os.walk(seen["path"]):
+        for f in fn:
+            if f.startswith((".", "_")):
+                continue                      # hidden files are not part of a Spark table listing
+            size = os.path.getsize(os.path.join(dp, f))
+            if f.endswith(".parquet"):
+                data += size
+            else:
+                other += size
+    assert (r.total_bytes, r.data_bytes, r.external_bytes) == (data + other, data, other)
