@@ -32,8 +32,13 @@ def main() -> None:
     from feedwright.queries import queries
     from feedwright.session import get_session
 
-    spark = get_session(f"local[{cpus}]", cpus, app_name="feedwright-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):        # stage/task times for tools/stage_times.py
+        import tempfile
+        log_dir = tempfile.mkdtemp(prefix="feedwright-eventlog-")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+        print(f"event log: {log_dir}", file=sys.stderr)
+    spark = get_session(f"local[{cpus}]", cpus, app_name="feedwright-bench", extra=extra)
     qs = queries()
 
     def once(name):
