@@ -22,7 +22,7 @@ from feedwright.operators.metadata import add_partition_twins, project, projecti
 from feedwright.operators.metrics import path_bytes
 from feedwright.operators.postprocess import apply_postprocessors
 from feedwright.sinks.tables import retention_candidates, write_partitioned
-from feedwright.sources.scans import _as_date, scan_delta, scan_refined
+from feedwright.sources.scans import _as_date, scan_delta, scan_refined, scan_sql
 
 # Audit status messages per step.
 ST_GENERATE = "GENERATE EXTRACT SCRIPT"
@@ -53,6 +53,8 @@ class FeedSpec:
     replicas: int = 3
     raw_files: int = 1
     postprocess: object = None
+    source_sql: str | None = None          # custom extract (text or file) replacing the delta predicate
+    source_views: dict = field(default_factory=dict)
     extra: dict = field(default_factory=dict)
 
 
@@ -113,8 +115,14 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
 
     if "E" in stages:
         log(ST_EXTRACT)
-        extracted = scan_delta(spec.source, spec.delta_col, spec.operator, from_d,
-                               end_d if spec.operator == "between" else None, col_type=spec.delta_type)
+        if spec.source_sql:
+            # A4: the custom SQL replaces the generated extract; the window is
+            # bound as parameters <<FROM_DT>> / <<END_DT>> (dates)
+            extracted = scan_sql(spark, spec.source_sql, {"FROM_DT": from_d, "END_DT": end_d},
+                                 spec.source_views or None)
+        else:
+            extracted = scan_delta(spec.source, spec.delta_col, spec.operator, from_d,
+                                   end_d if spec.operator == "between" else None, col_type=spec.delta_type)
         obs = Observation(f"extract_{jobpid}")
         raw = raw_projection(extracted, cols).withColumn("loaddate", F.lit(loaddate))
         write_partitioned(raw.observe(obs, F.count(F.lit(1)).alias("n")), spec.raw_path, ["loaddate"], truncate="P")

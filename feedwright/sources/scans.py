@@ -94,6 +94,20 @@ def scan_delta(df: DataFrame, delta_col: str | None, op: str = ">", from_val=Non
     return df.where(compare(delta_col, op, lo, hi))
 
 
+def read_sql_text(spark: SparkSession, text_or_path: str) -> str:
+    """SQL text given inline or as a file (a local path or a URI the cluster's
+    file systems read); kept as written (R30)."""
+    import os
+    t = text_or_path.strip()
+    if "\n" not in t and len(t) < 4096:
+        if os.path.isfile(t):
+            with open(t) as fh:
+                return fh.read()
+        if "://" in t and t.lower().endswith(".sql"):
+            return spark.read.text(t, wholetext=True).first()[0]
+    return text_or_path
+
+
 def scan_sql(spark: SparkSession, text: str, params: dict | None = None,
              views: dict[str, DataFrame] | None = None) -> DataFrame:
     """A4/C11: custom extract SQL with ``<<KEY>>`` or ``:key`` parameters.
@@ -104,6 +118,7 @@ def scan_sql(spark: SparkSession, text: str, params: dict | None = None,
     """
     for name, view in (views or {}).items():
         view.createOrReplaceTempView(name)
+    text = read_sql_text(spark, text)
     params = dict(params or {})
     text = re.sub(r"<<\s*(\w+)\s*>>", lambda m: ":" + m.group(1), text)
     statements = [s.strip() for s in text.split(";") if s.strip()]

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,20 @@ def test_bucketing_clause_and_colocated_join(spark):
     j = spark.table("t_bucket_l").join(spark.table("t_bucket_r"), "k")
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and j.count() == 200
+
+
+def test_ingest_with_custom_sql_file(spark):
+    src = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i % 5)) for i in range(50)], "id long, ts timestamp_ntz")
+    meta = [{"SOURCECOLNM": "id", "RAW_COL_INHIVE": "ID", "RFND_COL_INHIVE": "ID", "RFND_COL_TYPE_INHIVE": "BIGINT",
+             "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 1},
+            {"SOURCECOLNM": "ts", "RAW_COL_INHIVE": "TS", "RFND_COL_INHIVE": "BUS_DT", "RFND_COL_TYPE_INHIVE": "DATE",
+             "IS_EXTRACTED": "Y", "IS_PARTITIONED": "Y", "SEQ_NB": 2}]
+    base = scratch_path(spark, "ingest-sql")
+    os.makedirs(base, exist_ok=True)
+    sql_file = os.path.join(base, "extract.sql")
+    with open(sql_file, "w") as fh:
+        fh.write("SELECT id, ts FROM src_custom WHERE to_date(ts) BETWEEN <<FROM_DT>> AND <<END_DT>> AND id % 2 = 0")
+    spec = FeedSpec("FEED2", src, meta, f"{base}/raw", f"{base}/refined", source_sql=sql_file,
+                    source_views={"src_custom": src})
+    res = ingest(spark, spec, "20240102", "20240103", run_date="20240103", jobpid=21)
+    assert res["rowcount"] == 10 and res["refined_count"] == 10
