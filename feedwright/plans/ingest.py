@@ -179,6 +179,21 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
         log(ST_LOADED, f"purged raw {len(purged_raw)}, refined {len(purged_ref)}"
                        + (f"; cast rejects: {rej}" if rej else ""))
 
+    if "Q" in stages:
+        # M5 after the load: null profile of the raw partition against the
+        # refined window (one aggregate per side, compared by column name)
+        from feedwright.plans.validate import validate_tables
+        raw_q = spark.read.parquet(spec.raw_path).where(F.col("loaddate") == loaddate).drop("loaddate")
+        ref_q = spark.read.schema(info["refined_schema"]).parquet(spec.refined_path) \
+            if "refined_schema" in info else spark.read.parquet(spec.refined_path)
+        if ptn_src:
+            first = f"{ptn_src[0]}_ptn"
+            ref_q = scan_refined(ref_q, first, from_d, end_d).drop(*[f"{c}_ptn" for c in ptn_src])
+        quality = validate_tables(raw_q, ref_q)
+        info["quality"] = quality
+        flagged = quality.where("null_defer OR full_null_right").count()
+        log("DATA QUALITY CHECKED", f"{flagged} column(s) flagged")
+
     if spec.postprocess:
         reader = spark.read.schema(info["refined_schema"]) if "refined_schema" in info else spark.read
         published = apply_postprocessors(reader.parquet(spec.refined_path), spec.postprocess)

@@ -216,3 +216,21 @@ def test_ingest_with_custom_sql_file(spark):
                     source_views={"src_custom": src})
     res = ingest(spark, spec, "20240102", "20240103", run_date="20240103", jobpid=21)
     assert res["rowcount"] == 10 and res["refined_count"] == 10
+
+
+def test_ingest_quality_stage(spark):
+    src = spark.createDataFrame([(i, dt.datetime(2024, 1, 2), None if i % 2 else "x") for i in range(20)],
+                                "id long, ts timestamp_ntz, note string")
+    meta = [{"SOURCECOLNM": "id", "RAW_COL_INHIVE": "ID", "RFND_COL_INHIVE": "ID", "RFND_COL_TYPE_INHIVE": "BIGINT",
+             "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 1},
+            {"SOURCECOLNM": "ts", "RAW_COL_INHIVE": "TS", "RFND_COL_INHIVE": "BUS_DT", "RFND_COL_TYPE_INHIVE": "DATE",
+             "IS_EXTRACTED": "Y", "IS_PARTITIONED": "Y", "SEQ_NB": 2},
+            {"SOURCECOLNM": "note", "RAW_COL_INHIVE": "NOTE", "RFND_COL_INHIVE": "NOTE", "RFND_COL_TYPE_INHIVE": "STRING",
+             "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 3}]
+    base = scratch_path(spark, "ingest-q")
+    spec = FeedSpec("FEED3", src, meta, f"{base}/raw", f"{base}/refined", delta_col="ts")
+    res = ingest(spark, spec, "20240102", stages="GELQ", jobpid=31)
+    q = {r.column_name: (r.left_pct, r.right_pct, r.added, r.removed) for r in res["quality"].collect()}
+    assert q["note"] == (50.0, 50.0, False, False)
+    assert q["id"][:2] == (0.0, 0.0) and q["ts"][2] and q["bus_dt"][3]     # renamed column: added / removed
+    assert "DATA QUALITY CHECKED" in [r.status for r in res["audit"].collect()]
