@@ -13,3 +13,46 @@ def dq_reconcile(spark: SparkSession, source_check: dict, target_check: dict,
     src = run_check(spark, **source_check)
     tgt = run_check(spark, **target_check)
     return reconcile(src, tgt, tolerance)
+
+
+def reconcile_scripts(spark: SparkSession, plan: DataFrame, load_script, params: dict | None = None,
+                      views: dict | None = None, tolerance: float = 0.0, strict: bool = True) -> DataFrame:
+    """M4 with one script per sub-group, as the reference's DQ plans hold them.
+
+    ``plan`` is the DQ plan of one group (B6: sub_group_nm, src_qry_scr,
+    tgt_qry_scr, db_type, db_server, …) — metadata, one row per sub-group, so it
+    is collected. ``load_script(name)`` returns the script text (or a path).
+    Each script's one-row result is tagged with its sub-group and unpivoted; all
+    sub-groups are unioned and reconciled in one job. With many sub-groups over
+    the same table, one grouped script per side (``dq_reconcile``) reads the
+    table once instead of once per sub-group.
+    """
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from feedwright.operators.dq import require_single_row, to_stats
+    from feedwright.sources.jdbc import JDBC_TYPES, scan_jdbc
+    from feedwright.sources.scans import scan_sql
+
+    def one(row, script_col):
+        text = load_script(row[script_col])
+        args = dict(params or {}, SUB_GROUP=row["sub_group_nm"])
+        if row["db_type"].upper() in JDBC_TYPES:
+            for k, v in args.items():
+                text = text.replace(f"<<{k}>>", str(v))
+            df = scan_jdbc(spark, row["db_type"], row["db_server"], query=text)
+        else:
+            df = scan_sql(spark, text, args, views)
+        df = df.withColumn("sub_group", F.lit(row["sub_group_nm"]))
+        if strict:
+            require_single_row(df)
+        return to_stats(df)
+
+    rows = plan.collect()
+    if not rows:
+        return spark.createDataFrame([], "sub_group string, stat string, src_value double, tgt_value double, "
+                                         "diff double, dq_status string")
+    src = reduce(lambda a, b: a.unionByName(b), [one(r, "src_qry_scr") for r in rows])
+    tgt = reduce(lambda a, b: a.unionByName(b), [one(r, "tgt_qry_scr") for r in rows])
+    return reconcile(src, tgt, tolerance)

@@ -69,3 +69,17 @@ def test_jobstat_check_against_hive_target(spark):
     tgt = dq.run_check(spark, "HIVE", query="SELECT * FROM dq_tgt_lc", views={"dq_tgt_lc": target})
     got = {(r.sub_group, r.stat): r.dq_status for r in dq.reconcile(src, tgt).collect()}
     assert got == {("F|2024-01-03", "linecount"): "MATCH", ("G|2024-01-03", "linecount"): "MISMATCH"}
+
+
+def test_reconcile_per_subgroup_scripts(spark):
+    from feedwright.plans.reconcile import reconcile_scripts
+    src = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "g string, v long")
+    tgt = spark.createDataFrame([("a", 1), ("a", 2), ("b", 4)], "g string, v long")
+    scripts = {"s.sql": "SELECT count(*) AS n, sum(v) AS total FROM dq_s WHERE g = <<SUB_GROUP>>",
+               "t.sql": "SELECT count(*) AS n, sum(v) AS total FROM dq_t WHERE g = <<SUB_GROUP>>"}
+    plan = spark.createDataFrame([("G", "a", "s.sql", "t.sql", "HIVE", "srv"), ("G", "b", "s.sql", "t.sql", "HIVE", "srv")],
+                                 "group_nm string, sub_group_nm string, src_qry_scr string, tgt_qry_scr string, "
+                                 "db_type string, db_server string")
+    res = reconcile_scripts(spark, plan, scripts.get, views={"dq_s": src, "dq_t": tgt})
+    got = {(r.sub_group, r.stat): r.dq_status for r in res.collect()}
+    assert got == {("a", "n"): "MATCH", ("a", "total"): "MATCH", ("b", "n"): "MATCH", ("b", "total"): "MISMATCH"}
