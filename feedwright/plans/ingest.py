@@ -22,6 +22,7 @@ from feedwright.operators.metadata import add_partition_twins, project, projecti
 from feedwright.operators.metrics import path_bytes
 from feedwright.operators.postprocess import apply_postprocessors
 from feedwright.sinks.tables import retention_candidates, write_partitioned
+from feedwright.sources.jdbc import scan_jdbc
 from feedwright.sources.scans import _as_date, scan_delta, scan_refined, scan_sql
 
 # Audit status messages per step.
@@ -55,6 +56,7 @@ class FeedSpec:
     postprocess: object = None
     source_sql: str | None = None          # custom extract (text or file) replacing the delta predicate
     source_views: dict = field(default_factory=dict)
+    jdbc: dict | None = None               # relational source: scan_jdbc arguments (A6/A7)
     extra: dict = field(default_factory=dict)
 
 
@@ -121,7 +123,10 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
             extracted = scan_sql(spark, spec.source_sql, {"FROM_DT": from_d, "END_DT": end_d},
                                  spec.source_views or None)
         else:
-            extracted = scan_delta(spec.source, spec.delta_col, spec.operator, from_d,
+            # A relational source is read through JDBC (split-column
+            # parallel read); the delta predicate is pushed into its query
+            source = scan_jdbc(spark, **spec.jdbc) if spec.jdbc else spec.source
+            extracted = scan_delta(source, spec.delta_col, spec.operator, from_d,
                                    end_d if spec.operator == "between" else None, col_type=spec.delta_type)
         obs = Observation(f"extract_{jobpid}")
         raw = raw_projection(extracted, cols).withColumn("loaddate", F.lit(loaddate))

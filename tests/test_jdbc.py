@@ -25,3 +25,23 @@ def test_derby_write_split_read_and_check(spark):
     stats = dq.run_check(spark, "DERBY", query='SELECT "g" AS SUB_GROUP, COUNT(*) AS N FROM T_SRC GROUP BY "g"',
                          server=url, key="SUB_GROUP")
     assert sorted((r.sub_group, r.value) for r in stats.collect())[0] == ("0", 143.0)
+
+
+def test_ingest_from_jdbc_source(spark):
+    import datetime as dt
+
+    from feedwright.plans.ingest import FeedSpec, ingest
+    from feedwright.session import scratch_path
+    url = "jdbc:derby:memory:fw_ingest;create=true"
+    src = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i % 5)) for i in range(100)], "id long, bus_dt date")
+    write_jdbc(src, "DERBY", url, "T_FEED", mode="overwrite")
+    meta = [{"SOURCECOLNM": "id", "RAW_COL_INHIVE": "ID", "RFND_COL_INHIVE": "ID", "RFND_COL_TYPE_INHIVE": "BIGINT",
+             "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 1},
+            {"SOURCECOLNM": "bus_dt", "RAW_COL_INHIVE": "BUS_DT", "RFND_COL_INHIVE": "BUS_DT",
+             "RFND_COL_TYPE_INHIVE": "DATE", "IS_EXTRACTED": "Y", "IS_PARTITIONED": "Y", "SEQ_NB": 2}]
+    base = scratch_path(spark, "ingest-jdbc")
+    spec = FeedSpec("JFEED", None, meta, f"{base}/raw", f"{base}/refined", delta_col="bus_dt",
+                    jdbc={"db_type": "DERBY", "server": url, "table": "T_FEED", "split_by": "id",
+                          "bounds": (0, 99), "num_partitions": 4})
+    res = ingest(spark, spec, "20240102", "20240103", jobpid=41)
+    assert res["rowcount"] == 40 and res["refined_count"] == 40
