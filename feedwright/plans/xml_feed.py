@@ -10,13 +10,26 @@ from feedwright.sources.xml import key_rejects, read_xml_raw, xml_rows
 
 
 def xml_feed_to_csv(spark: SparkSession, xml_path: str, row_tag: str, tags: list[str], out_path: str,
-                    key: str | None = None, max_records_per_file: int | None = None) -> dict:
+                    key: str | None = None, max_records_per_file: int | None = None, feed: str = "FILE",
+                    jobpid: int | None = None, filedate=None) -> dict:
+    """Returns counts, the output path and the audit rows (L6: started, then
+    completed with the written row count; R9 rejects in the message)."""
+    import datetime as _dt
+    import time
+
+    from feedwright.operators.jobstat import audit_record
+    jobpid = jobpid if jobpid is not None else int(time.time() * 1000)
+    started = _dt.datetime.now().replace(microsecond=0)
     raw = read_xml_raw(spark, xml_path, row_tag, tags)
     rows = xml_rows(raw, tags, key)
     written = write_csv_counted(rows, out_path, max_records_per_file=max_records_per_file)
     rejected = int(key_rejects(raw, key).first()["rejected"]) if key else 0
+    audit = audit_record(spark, feed, jobpid, "XML Parsing Started", filedate=filedate, process_start=started,
+                         process_end=started).unionByName(
+        audit_record(spark, feed, jobpid, "XML Parsing Completed", filedate=filedate, process_start=started,
+                     filename=out_path, rowcount=written, message=f"{rejected} row(s) without key"))
     return {"rows_written": written, "rows_rejected": rejected, "status": "XML Parsing Completed",
-            "path": out_path}
+            "path": out_path, "audit": audit}
 
 
 def read_feed_csv(spark: SparkSession, path: str, tags: list[str]) -> DataFrame:

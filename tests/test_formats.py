@@ -78,6 +78,8 @@ def test_xml_feed_to_csv_counts(spark, tmp):
                             "<row><k>3</k><v/></row></R>")
     res = xml_feed_to_csv(spark, f"{tmp}/x", "row", ["k", "v"], f"{tmp}/csv", key="k")
     assert res["rows_written"] == 3 and res["rows_rejected"] == 1
+    assert [(r.status, r.rowcount) for r in res["audit"].collect()] == \
+        [("XML Parsing Started", 0), ("XML Parsing Completed", 3)]
     back = sorted(tuple(r) for r in read_feed_csv(spark, f"{tmp}/csv", ["k", "v"]).collect())
     assert back == [("1", "a,b"), ("2", 'q"x'), ("3", "")]
     raw = "".join(open(os.path.join(f"{tmp}/csv", f)).read() for f in os.listdir(f"{tmp}/csv") if f.endswith(".csv"))
