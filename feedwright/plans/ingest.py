@@ -52,7 +52,7 @@ class FeedSpec:
     refined_retention: int | None = 0
     db_type: str = "HIVE"
     replicas: int = 3
-    raw_files: int = 1
+    raw_file_bytes: int = 256 * 1024 * 1024   # compaction target per raw file
     postprocess: object = None
     source_sql: str | None = None          # custom extract (text or file) replacing the delta predicate
     source_views: dict = field(default_factory=dict)
@@ -148,12 +148,21 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
         write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src] or [], truncate=spec.truncate)
         info["cast_rejects"] = {k: int(v) for k, v in rejects.get.items() if k != "_rows" and v}
         # Compact the raw partition unless raw data is not retained or the
-        # source lands its own files; cut the lineage first (reliable checkpoint
-        # in the shared folder) because the partition is rewritten in place.
+        # source lands its own files — and only when it holds more files than
+        # its size needs (ceil(bytes / raw_file_bytes)); the rebalanced raw write
+        # usually does not. The partition is rewritten in place, so the lineage
+        # is cut first (reliable checkpoint in the shared folder).
+        info["compacted"] = False
         if str(spec.raw_retention) != "-1" and "SQOOP" not in spec.db_type.upper():
-            frozen = raw_part.checkpoint(eager=True)
-            write_partitioned(frozen.coalesce(spec.raw_files), spec.raw_path, ["loaddate"], truncate="P",
-                              compression="zstd")
+            listed = (spark.read.format("binaryFile").load(spec.raw_path).drop("content")
+                      .where(F.col("loaddate").cast("string") == loaddate)
+                      .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first())
+            target = max(1, -(-int(listed["b"]) // spec.raw_file_bytes))
+            if listed["n"] > target:
+                frozen = raw_part.checkpoint(eager=True)
+                write_partitioned(frozen.coalesce(target), spec.raw_path, ["loaddate"], truncate="P",
+                                  compression="zstd")
+                info["compacted"] = True
         # Refined rows of the window, with the received-count fallback
         ref_tbl = spark.read.schema(refined.schema).parquet(spec.refined_path)
         if ptn_src:

@@ -71,7 +71,9 @@ def new_version(spark: SparkSession, df: DataFrame, name: str) -> str:
 def compact(spark: SparkSession, src_path: str, dst_path: str, files: int, compression: str = "zstd",
             fmt: str = "parquet") -> DataFrame:
     """Rewrite a raw partition into ``files`` compressed files (narrow
-    ``coalesce``: no shuffle) at a new path, and return the new data."""
+    ``coalesce``: no shuffle) at a new path, and return the new data. Choose
+    ``files`` from the partition's bytes (for example bytes / 256 MB), never a
+    constant: each output file is one task."""
     spark.read.format(fmt).load(src_path).coalesce(files).write.mode("errorifexists") \
         .option("compression", compression).format(fmt).save(dst_path)
     return spark.read.format(fmt).load(dst_path)

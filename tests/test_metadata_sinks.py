@@ -159,9 +159,11 @@ def test_ingest_end_to_end_and_second_run_exits(spark):
             {"SOURCECOLNM": "code", "RAW_COL_INHIVE": "CODE", "RFND_COL_INHIVE": "CODE_NUM",
              "RFND_COL_TYPE_INHIVE": "INT", "IS_EXTRACTED": "Y", "IS_PARTITIONED": "N", "SEQ_NB": 4}]
     base = scratch_path(spark, "ingest-test")
-    spec = FeedSpec("FEED1", src, meta, f"{base}/raw", f"{base}/refined", delta_col="ts", operator="between",
-                    raw_retention=3)
+    spec = FeedSpec("FEED1", src.repartition(6), meta, f"{base}/raw", f"{base}/refined", delta_col="ts",
+                    operator="between", raw_retention=3)
     res = ingest(spark, spec, "20240102", "20240103", run_date="20240103", jobpid=11)
+    raw_files = [f for f in os.listdir(f"{base}/raw/loaddate=20240102") if f.endswith(".parquet")]
+    assert len(raw_files) == 1
     assert res["rowcount"] == 20 and res["refined_count"] == 20 and res["partition_col"] == "bus_dt_ptn"
     assert res["raw_size"] > 0 and res["raw_replica_size"] == 3 * res["raw_size"]
     assert res["cast_rejects"] == {"code_num": 5}       # ids 1, 11, 21, 31, 41: all on Jan 2
