@@ -1,6 +1,7 @@
 """Property tests: Spark expressions against small plain-Python models of the
 reference behaviour, on random inputs (one Spark job per example batch)."""
 
+import datetime as dt
 import math
 
 from hypothesis import HealthCheck, given, settings
@@ -85,3 +86,63 @@ def test_profile_flags_model(spark, pairs):
         both = a is not None and b is not None
         defer = both and int(a) != int(b) and math.fabs(a - b) > 1.0
         assert got[f"c{i}"] == (defer, both and int(a) == 100, both and int(b) == 100)
+
+
+def plan_model(req, dec, hwm, done):
+    """Python model of the window decision, in the reference's order."""
+    feed, ex_from, ex_end, override = req
+    if ex_end is not None and ex_from is None:
+        return "END_WITHOUT_FROM", None, None
+    if ex_from is not None:
+        f, e = ex_from, ex_end or ex_from
+    else:
+        if dec is None or dec[2] != 1:
+            return "NO_CALENDAR", None, None
+        eff, switch, _n = dec
+        f = hwm + dt.timedelta(days=1) if hwm is not None else eff
+        e = eff
+        if e == f and switch == "N":
+            return "NOT_SCHEDULED", f, e
+        if f > e:
+            return "ABORTED", f, e
+    if (feed, f, e) in done and not override:
+        return "GRACEFUL_EXIT", f, e
+    return "RUN", f, e
+
+
+days = st.dates(min_value=dt.date(2024, 1, 1), max_value=dt.date(2024, 1, 8))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), days), st.one_of(st.none(), days), st.booleans(),
+                          st.one_of(st.none(), st.tuples(days, st.sampled_from("YN"), st.integers(1, 2))),
+                          st.one_of(st.none(), days), st.booleans()), min_size=1, max_size=25))
+def test_plan_windows_model(spark, feeds):
+    from feedwright.operators.jobstat import COMPLETED, JOBSTAT_SCHEMA
+    from feedwright.plans.calendar import plan_windows
+    reqs, decs, js_rows, done, expect = [], [], [], set(), {}
+    for i, (ex_from, ex_end, override, dec, hwm, complete_window) in enumerate(feeds):
+        feed = f"f{i}"
+        reqs.append((feed, ex_from, ex_end, override))
+        if dec is not None:
+            decs.append((feed, dec[0], dec[1], dec[2]))
+        t = dt.datetime(2024, 1, 1)
+        if hwm is not None:
+            js_rows.append((feed, 2 * i, "f", t, t, 1, 1, hwm, COMPLETED, "", 0, 0, 0, 0, "", hwm, 1))
+            done.add((feed, hwm, hwm))
+        if complete_window and ex_from is not None:
+            e = ex_end or ex_from
+            js_rows.append((feed, 2 * i + 1, "f", t, t, 1, 1, ex_from, COMPLETED, "", 0, 0, 0, 0, "", e, 1))
+            done.add((feed, ex_from, e))
+    for i, (ex_from, ex_end, override, dec, hwm, cw) in enumerate(feeds):
+        feed = f"f{i}"
+        hw = max([w[2] for w in done if w[0] == feed], default=None)
+        expect[feed] = plan_model((feed, ex_from, ex_end, override), dec, hw, done)
+    req_df = spark.createDataFrame(reqs, "feed string, explicit_from date, explicit_end date, override boolean")
+    dec_df = spark.createDataFrame(decs, "feed string, eff_date date, run_switch string, n_calendar_rows long")
+    js_df = spark.createDataFrame(js_rows, JOBSTAT_SCHEMA)
+    got = {r.feed: (r.decision, r.from_date, r.end_date) for r in plan_windows(req_df, dec_df, js_df).collect()}
+    for feed, (decision, f, e) in expect.items():
+        assert got[feed][0] == decision, (feed, got[feed], expect[feed])
+        if decision not in ("END_WITHOUT_FROM", "NO_CALENDAR"):
+            assert got[feed][1:] == (f, e), (feed, got[feed], expect[feed])
