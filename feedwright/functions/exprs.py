@@ -121,11 +121,14 @@ def size_pretty(c) -> Column:
 def seam_repair(c) -> Column:
     """Join the physical lines of a quoted field.
 
-    A run of line breaks becomes one space when neither neighbour is a space (or a
-    line break); every other line break is dropped. The start and the end of the
-    field count as non-space neighbours, as the quote character sits there.
+    A line ends at ``\n``, ``\r\n`` or a lone ``\r`` (as a line reader sees
+    it). A run of line breaks becomes one space when neither neighbour is a
+    space (or a line break); every other line break is dropped. The start and
+    the end of the field count as non-space neighbours, as the quote character
+    sits there.
     """
-    once = F.regexp_replace(_c(c), r"(?<![ \n])\n+(?![ \n])", " ")
+    lines = F.regexp_replace(_c(c), r"\r\n?", "\n")
+    once = F.regexp_replace(lines, r"(?<![ \n])\n+(?![ \n])", " ")
     return F.regexp_replace(once, r"\n", "")
 
 

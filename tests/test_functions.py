@@ -37,8 +37,10 @@ def test_between_inclusive(spark):
 
 
 def test_seam_repair_f10(spark):
-    rows = [("ab\ncd",), ("ab \ncd",), ("ab\n\ncd\n ef",), ('\nq"q"',), ("plain",), ("end\n",)]
-    assert one(spark, exprs.seam_repair("x"), rows=rows) == ["ab cd", "ab cd", "ab cd ef", ' q"q"', "plain", "end "]
+    rows = [("ab\ncd",), ("ab \ncd",), ("ab\n\ncd\n ef",), ('\nq"q"',), ("plain",), ("end\n",),
+            ("ab\r\ncd",), ("ab\rcd\r\n\r\nef",)]
+    assert one(spark, exprs.seam_repair("x"), rows=rows) == ["ab cd", "ab cd", "ab cd ef", ' q"q"', "plain", "end ",
+                                                             "ab cd", "ab cd ef"]
 
 
 def test_delimiter_repair_f12(spark):
