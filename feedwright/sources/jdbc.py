@@ -20,6 +20,8 @@ JDBC_TYPES = {
     "SQLSERVER": ("jdbc:sqlserver://", "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
     "TERADATA": ("jdbc:teradata://", "com.teradata.jdbc.TeraDriver"),
     "GREENPLUM": ("jdbc:postgresql://", "org.postgresql.Driver"),
+    "GPHDFS-PULL": ("jdbc:postgresql://", "org.postgresql.Driver"),
+    "PSQL": ("jdbc:postgresql://", "org.postgresql.Driver"),
     "DERBY": ("jdbc:derby:", "org.apache.derby.jdbc.EmbeddedDriver"),
 }
 

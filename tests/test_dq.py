@@ -38,7 +38,8 @@ def test_unknown_source_type_is_error(spark):
 
 
 def test_every_source_type_dispatches():
-    for t in ("HIVE", "JOBSTAT", "ORACLE", "ORACLE-SQOOP", "SYBASE-SQOOP", "TERADATA", "SQLSERVER", "GREENPLUM"):
+    for t in ("HIVE", "JOBSTAT", "ORACLE", "ORACLE-SQOOP", "SYBASE-SQOOP", "TERADATA", "SQLSERVER", "GREENPLUM",
+              "GPHDFS-PULL", "PSQL"):
         assert t in dq.CHECKS
 
 
