@@ -24,9 +24,9 @@ def main():
     print("# Physical plans of the registered queries\n")
     print(f"Input `{sf_dir}`, `local[8]`, AQE on (plans before AQE's run-time changes). Columns: shuffles "
           "(`Exchange` excluding broadcasts), broadcasts, sort-based aggregates, cartesian/nested-loop joins, "
-          "Python evaluation, scans with pushed filters.\n")
-    print("| query | shuffles | broadcasts | sort aggs | cartesian / BNLJ | python | pushed filters |")
-    print("|---|---|---|---|---|---|---|")
+          "Python evaluation, number of columns each parquet scan reads (ReadSchema), scans with pushed filters.\n")
+    print("| query | shuffles | broadcasts | sort aggs | cartesian / BNLJ | python | columns read per scan | pushed filters |")
+    print("|---|---|---|---|---|---|---|---|")
     for name, fn in queries().items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -37,7 +37,9 @@ def main():
         py = len(re.findall(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", plan))
         pushed = [p for p in re.findall(r"PushedFilters: \[([^\]]*?)(?:\]|\.\.\.)", plan) if p]
         pf = "; ".join(p[:90] for p in pushed[:2]) or "-"
-        print(f"| `{name}` | {shuffles} | {bcast} | {sortagg} | {cart} | {py} | {pf} |")
+        reads = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+        rc = ", ".join(str(len([f for f in r.split(",") if ":" in f])) for r in reads) or "-"
+        print(f"| `{name}` | {shuffles} | {bcast} | {sortagg} | {cart} | {py} | {rc} | {pf} |")
 
 
 if __name__ == "__main__":
