@@ -16,6 +16,27 @@ import sys
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 
+def read_field_counts(plan: str) -> list[int]:
+    """Top-level field count of every ``ReadSchema: struct<...>`` (nested types aware)."""
+    out = []
+    for m in re.finditer(r"ReadSchema: struct<", plan):
+        i, depth, fields = m.end(), 1, 1
+        if plan[i:i + 1] == ">":
+            out.append(0)
+            continue
+        while i < len(plan) and depth:
+            ch = plan[i]
+            if ch == "<":
+                depth += 1
+            elif ch == ">":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                fields += 1
+            i += 1
+        out.append(fields)
+    return out
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from feedwright.queries import queries
@@ -37,8 +58,7 @@ def main():
         py = len(re.findall(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", plan))
         pushed = [p for p in re.findall(r"PushedFilters: \[([^\]]*?)(?:\]|\.\.\.)", plan) if p]
         pf = "; ".join(p[:90] for p in pushed[:2]) or "-"
-        reads = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-        rc = ", ".join(str(len([f for f in r.split(",") if ":" in f])) for r in reads) or "-"
+        rc = ", ".join(str(n) for n in read_field_counts(plan)) or "-"
         print(f"| `{name}` | {shuffles} | {bcast} | {sortagg} | {cart} | {py} | {rc} | {pf} |")
 
 
