@@ -104,3 +104,9 @@ def test_completed_windows_semi(spark):
 def test_audit_record_has_17_fields(spark):
     a = js.audit_record(spark, "F", 7, "GENERATE EXTRACT SCRIPT", filedate=D1)
     assert len(a.columns) == 17 and a.first().file_end_dt == D1
+
+
+def test_null_profile_awkward_column_names(spark):
+    df = spark.createDataFrame([(1, None, "x"), (None, 2, None)], "`it's` int, `a``b` int, `sp ace` string")
+    got = {r.column_name: r.null_pct for r in null_profile(df).collect()}
+    assert got == {"it's": 50.0, "a`b": 50.0, "sp ace": 50.0}
