@@ -11,6 +11,16 @@ from pyspark.sql import functions as F
 COMPARISON_OPERATORS = (">", ">=", "<", "<=", "=", "<>")
 
 
+def quote_ident(name: str) -> str:
+    """A column name as a SQL identifier (backticks, inner backticks doubled)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quote_literal(text: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

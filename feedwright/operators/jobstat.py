@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedwright.functions.exprs import quote_ident
+
 COMPLETED = "COMPLETED SUCCESSFULLY"
 EXTRACT_COMPLETED = "EXTRACT_COMPLETED"
 KEY = ("feed", "jobpid")
@@ -65,10 +67,11 @@ def keep_latest(rows: DataFrame, keys=KEY, order_cols=("process_end", "status"))
     combined map-side before the shuffle."""
     cols = rows.columns
     rest = [c for c in cols if c not in keys]
-    payload = "struct(" + ", ".join(f"`{c}`" for c in rest) + ")"
-    order = "struct(" + ", ".join(f"`{c}`" for c in order_cols) + ")"
+    payload = "struct(" + ", ".join(quote_ident(c) for c in rest) + ")"
+    order = "struct(" + ", ".join(quote_ident(c) for c in order_cols) + ")"
     merged = rows.groupBy(*keys).agg(F.expr(f"max_by({payload}, {order})").alias("_row"))
-    return merged.selectExpr(*[f"_row.`{c}` AS `{c}`" if c in rest else f"`{c}`" for c in cols])
+    return merged.selectExpr(*[f"_row.{quote_ident(c)} AS {quote_ident(c)}" if c in rest else quote_ident(c)
+                               for c in cols])
 
 
 def upsert(state: DataFrame, batch: DataFrame, keys=KEY, order_cols=("process_end", "status")) -> DataFrame:

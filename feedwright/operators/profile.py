@@ -8,13 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _lit(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+from feedwright.functions.exprs import quote_ident as _q
+from feedwright.functions.exprs import quote_literal as _lit
 
 
 def null_profile(df: DataFrame) -> DataFrame:
