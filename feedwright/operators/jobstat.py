@@ -1,4 +1,4 @@
-"""Run-status table ``ops_jobstat``: lookups, high-water mark, latest line count,
+"""Run-status table: lookups, high-water mark, latest line count,
 upsert and audit records (B4, B5, B7, D8, L5, L6, M10)."""
 
 from __future__ import annotations

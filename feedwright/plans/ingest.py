@@ -81,7 +81,7 @@ def purge_path_partitions(spark: SparkSession, table_path: str, col: str, run_da
     return old
 
 
-def persist_jobstat(spark: SparkSession, state: DataFrame, name: str = "ops_jobstat") -> str:
+def persist_jobstat(spark: SparkSession, state: DataFrame, name: str = "run_status") -> str:
     """Write the merged run-status table as a new version folder in the
     shared checkpoint root and return its path (readers switch to it)."""
     from feedwright.sinks.tables import new_version
