@@ -32,9 +32,26 @@ ST_EXTRACTED = "Completed Execute source db script"
 ST_LOADED = "Completed Loading data to Hive"
 ST_DONE = "COMPLETED SUCCESSFULLY"
 
-# The stage letters and the combinations a run may ask for.
+# The stage letters (G generate, E extract, L load, F custom SQL
+# from the metadata, Q quality, P folder post-processing) and the combinations
+# a run may ask for.
 STAGES = {"G", "E", "L", "F", "Q", "P"}
-ALLOWED_STAGES = {"G", "GE", "GEL", "GELQ", "GEF", "GF", "L", "LQ", "Q", "GEFL", "GEFLQ", "EL", "ELQ"}
+ALLOWED_STAGES = ("G", "GE", "GEL", "GL", "GQ", "Q", "GLQ", "GELQ", "GF", "GEF", "GELF", "GLF", "GQF", "GELQF",
+                  "GFE", "GEFL", "GEFLQ", "GEQLF", "GFEL", "P")
+
+
+def check_stages(stages: str) -> str:
+    """Refuse combinations outside the allowed list and runs without G. P
+    (edge-node folder post-processing) is not built; F without custom SQL is
+    refused by ``ingest``."""
+    st = (stages or "").upper()
+    if st not in ALLOWED_STAGES:
+        raise ValueError(f"stage combination {stages!r} is not allowed: {ALLOWED_STAGES}")
+    if st == "P":
+        raise NotImplementedError("folder post-processing (P) is not built; use FeedSpec.postprocess")
+    if "G" not in st:
+        raise ValueError("extraction, load or quality check need script generation: include G")
+    return st
 
 
 @dataclass
@@ -90,9 +107,9 @@ def persist_jobstat(spark: SparkSession, state: DataFrame, name: str = "run_stat
 
 def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_date=None, stages: str = "GEL",
            jobpid: int | None = None, jobstat: DataFrame | None = None) -> dict:
-    stages = stages.upper()
-    if stages not in ALLOWED_STAGES:
-        raise ValueError(f"stage combination {stages!r} is not allowed")
+    stages = check_stages(stages)
+    if "F" in stages and not spec.source_sql:
+        raise ValueError("stage F needs the custom extract SQL (SOURCE_SQL_TXT)")
     from_d = _as_date(from_date)
     end_d = _as_date(end_date) if end_date else from_d          # R28
     run_d = _as_date(run_date) if run_date else end_d

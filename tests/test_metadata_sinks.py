@@ -185,8 +185,11 @@ def test_ingest_end_to_end_and_second_run_exits(spark):
                                 "feed string, explicit_from date, explicit_end date, override boolean")
     dec = spark.createDataFrame([], "feed string, eff_date date, run_switch string, n_calendar_rows long")
     assert plan_windows(req, dec, state).first().decision == "GRACEFUL_EXIT"
-    with pytest.raises(ValueError):
-        ingest(spark, spec, "20240102", stages="XYZ")
+    for bad in ("XYZ", "EL", "Q", "GELF"):               # unknown, no G, no G, F without SQL
+        with pytest.raises(ValueError):
+            ingest(spark, spec, "20240102", stages=bad)
+    with pytest.raises(NotImplementedError):
+        ingest(spark, spec, "20240102", stages="P")
 
 
 def test_bucketing_clause_and_colocated_join(spark):
