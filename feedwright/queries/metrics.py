@@ -90,7 +90,7 @@ def file_sizes(spark, sf_dir):
     per_table = tables.groupBy("table_name").agg(F.sum("length").alias("size_bytes"),
                                                  F.count(F.lit(1)).alias("n_files"))
     total = m.database_size(tables).select(F.lit("DATABASE").alias("table_name"), "size_bytes", "n_files")
-    return per_table.unionByName(total)
+    return per_table.unionByName(total).withColumn("size_pretty", _size_pretty("size_bytes"))
 
 
 @register("total_external_size")
@@ -99,4 +99,5 @@ def total_external_size(spark, sf_dir):
     data files versus bytes in markers and metadata."""
     path = scratch_path(spark, "part-sizes")
     read_table(spark, sf_dir, "part").write.partitionBy("p_brand").parquet(path)
-    return m.total_and_external(m.file_listing(spark, path))
+    sizes = m.total_and_external(m.file_listing(spark, path))
+    return sizes.select("*", _size_pretty("total_bytes").alias("size1"), _size_pretty("external_bytes").alias("size2"))
