@@ -6,6 +6,7 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from feedwright.functions.exprs import seam_repair, size_pretty
 from feedwright.operators.profile import compare_profiles
@@ -146,3 +147,43 @@ def test_plan_windows_model(spark, feeds):
         assert got[feed][0] == decision, (feed, got[feed], expect[feed])
         if decision not in ("END_WITHOUT_FROM", "NO_CALENDAR"):
             assert got[feed][1:] == (f, e), (feed, got[feed], expect[feed])
+
+
+def repair_model(raw: bytes) -> str:
+    """Model of the byte-level repair: drop quotes and CR, then FE -> U+0001, DF -> quote."""
+    s = raw.decode("latin-1")
+    return s.replace('"', "").replace("\r", "").replace("\xfe", "\x01").replace("\xdf", '"')
+
+
+@SETTINGS
+@given(st.lists(st.binary(max_size=20).map(lambda b: b.replace(b"\n", b"")), min_size=1, max_size=60))
+def test_delimiter_repair_model(spark, lines):
+    from feedwright.functions.exprs import delimiter_repair
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(lines)], "i int, b binary")
+    got = {r.i: r.v for r in df.select("i", delimiter_repair(F.col("b").cast("string")).alias("v")).collect()}
+    assert got == {i: repair_model(b) for i, b in enumerate(lines)}
+
+
+def naming_model(job, inc, out):
+    inc_bad = inc not in (None, "") and "PL-" not in inc and "-OK" not in inc
+    out_bad = ("PL-" + job + "-OK") != out
+    head = job.split("-")[0][-3:]
+    try:
+        num = int(head)
+    except ValueError:
+        num = None
+    return inc_bad, out_bad, num
+
+
+names = st.text(alphabet=["A", "B", "1", "2", "-", "P", "L", "O", "K"], min_size=1, max_size=10)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(names, st.one_of(st.none(), names), names), min_size=1, max_size=60))
+def test_naming_rules_model(spark, jobs):
+    from feedwright.functions.exprs import job_number, naming_flags
+    df = spark.createDataFrame([(i, j, a, b) for i, (j, a, b) in enumerate(jobs)], "i int, j string, a string, b string")
+    ib, ob = naming_flags(F.col("j"), F.col("a"), F.col("b"))
+    got = {r.i: (r.ib, r.ob, r.n) for r in df.select("i", ib.alias("ib"), ob.alias("ob"),
+                                                      job_number("j").alias("n")).collect()}
+    assert got == {i: naming_model(j, a, b) for i, (j, a, b) in enumerate(jobs)}
