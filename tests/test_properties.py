@@ -187,3 +187,40 @@ def test_naming_rules_model(spark, jobs):
     got = {r.i: (r.ib, r.ob, r.n) for r in df.select("i", ib.alias("ib"), ob.alias("ob"),
                                                       job_number("j").alias("n")).collect()}
     assert got == {i: naming_model(j, a, b) for i, (j, a, b) in enumerate(jobs)}
+
+
+vals = st.one_of(st.none(), st.just(""), st.text(alphabet=["a", "b", "z", " ", "1"], min_size=1, max_size=6))
+records = st.lists(st.tuples(st.lists(vals, max_size=2), st.lists(vals, max_size=2)), min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(records)
+def test_xml_rows_model(spark, recs):
+    """Each record has 0-2 <k> and 0-2 <v> children (None = empty element);
+    model: first child wins, empty or absent gives '', rows without <k> are
+    dropped when k is the key."""
+    import os
+    import xml.etree.ElementTree as ET
+    from xml.sax.saxutils import escape
+
+    from feedwright.sources.xml import read_xml_rows
+
+    def el(tag, v):
+        return f"<{tag}/>" if v is None else f"<{tag}>{escape(v)}</{tag}>"
+    body = "".join("<row>" + "".join(el("k", v) for v in ks) + "".join(el("v", v) for v in vs) + "</row>"
+                   for ks, vs in recs)
+    doc = f"<R>{body}</R>"
+    path = scratch_path(spark, "prop-xml")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.xml"), "w") as fh:
+        fh.write(doc)
+    model_all, model_key = [], []
+    for row in ET.fromstring(doc).findall("row"):
+        vals_ = tuple((n.text or "") if (n := row.find(t)) is not None else "" for t in ("k", "v"))
+        model_all.append(vals_)
+        if row.find("k") is not None:
+            model_key.append(vals_)
+    got_all = sorted(tuple(r) for r in read_xml_rows(spark, path, "row", ["k", "v"]).collect())
+    got_key = sorted(tuple(r) for r in read_xml_rows(spark, path, "row", ["k", "v"], key="k").collect())
+    assert got_all == sorted(model_all)
+    assert got_key == sorted(model_key)
