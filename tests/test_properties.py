@@ -224,3 +224,25 @@ def test_xml_rows_model(spark, recs):
     got_key = sorted(tuple(r) for r in read_xml_rows(spark, path, "row", ["k", "v"], key="k").collect())
     assert got_all == sorted(model_all)
     assert got_key == sorted(model_key)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 3), st.one_of(st.none(), st.integers(0, 50)),
+                          st.sampled_from(["EXTRACT_COMPLETED", "COMPLETED SUCCESSFULLY"])),
+                min_size=1, max_size=40))
+def test_latest_linecount_model(spark, rows):
+    """Model: per (feed, filedate) among EXTRACT_COMPLETED rows with a line
+    count, the one with the latest process_end, ties to the highest jobpid."""
+    from feedwright.operators.jobstat import JOBSTAT_SCHEMA, latest_linecount
+    d = dt.date(2024, 1, 3)
+    full = []
+    for pid, (feed, minute, lc, status) in enumerate(rows):
+        t = dt.datetime(2024, 1, 3, 10, minute)
+        full.append((feed, pid, "f", t, t, lc, lc, d, status, "", 0, 0, 0, 0, "", d, lc))
+    got = {r.feed: r.linecount for r in latest_linecount(spark.createDataFrame(full, JOBSTAT_SCHEMA)).collect()}
+    model = {}
+    for feed in ("A", "B"):
+        cand = [(r[4], r[1], r[5]) for r in full if r[0] == feed and r[8] == "EXTRACT_COMPLETED" and r[5] is not None]
+        if cand:
+            model[feed] = str(max(cand)[2])
+    assert got == model
