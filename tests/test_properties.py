@@ -246,3 +246,37 @@ def test_latest_linecount_model(spark, rows):
         if cand:
             model[feed] = str(max(cand)[2])
     assert got == model
+
+
+def _keys():
+    return st.lists(st.text(alphabet=["a", "A", "b", "B", "c", "C"], min_size=1, max_size=3), min_size=1,
+                    max_size=4, unique_by=str.lower)
+
+
+leaf = st.one_of(st.integers(-5, 5), st.lists(st.integers(0, 3), min_size=1, max_size=3))
+nested = st.recursive(leaf, lambda inner: _keys().flatmap(
+    lambda ks: st.tuples(*[inner for _ in ks]).map(lambda vs, ks=ks: dict(zip(ks, vs)))), max_leaves=8)
+
+
+def lower_model(x):
+    if isinstance(x, dict):
+        return {k.lower(): lower_model(v) for k, v in x.items()}
+    if isinstance(x, list):
+        return [lower_model(v) for v in x]
+    return x
+
+
+def to_row(x):
+    from pyspark.sql import Row
+    if isinstance(x, dict):
+        return Row(**{k: to_row(v) for k, v in x.items()})
+    return x
+
+
+@SETTINGS
+@given(_keys().flatmap(lambda ks: st.tuples(*[nested for _ in ks]).map(lambda vs, ks=ks: dict(zip(ks, vs)))))
+def test_lower_keys_model(spark, record):
+    from feedwright.functions.keys import lower_keys
+    df = spark.createDataFrame([to_row(record)])
+    got = lower_keys(df).first().asDict(recursive=True)
+    assert got == lower_model(record)
