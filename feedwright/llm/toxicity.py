@@ -7,7 +7,7 @@ training, so every part of a telling word carries weight, and misspellings that
 the words that were. A segment starts with the label of its document; after the first rounds, segments of toxic
 documents that the model itself calls harmless are relabelled, so long documents with few toxic words teach the words.
 
-A document's evidence is its highest segment logit; a logistic fit on training documents turns it into
+A document's evidence is its segment logits at a few places from the top and their mean; a logistic fit on training documents turns it into
 a probability, and ``predicted`` is 1 from ``THRESHOLD`` on.
 
 Training uses labelled rows only, at most ``MAX_DOCS`` documents (smallest hashes of the ids, a fixed sample) and ``MAX_BYTES`` of text,
@@ -32,8 +32,10 @@ from feedwright.llm import subword
 from feedwright.llm.common import byte_blocks, ship_package
 
 SIZES, BITS, DIM = (3, 4, 5), 17, 8
-SEGMENT = 8
-MAX_DOCS, MAX_BYTES = 4000, 24 << 20
+SEGMENT = 1
+#: Places from the top whose segment logits are a document's evidence, and the pull of their fit.
+RANKS, PULL = (1, 2, 3, 5, 8, 13), 1.0
+MAX_DOCS, MAX_BYTES = 4000, 8 << 20
 HELD_OUT, THRESHOLD = 2, 0.3
 ROUNDS, BATCH, RATE, DROP, SEED = 4, 1024, 0.3, 0.3, 7
 
@@ -50,20 +52,19 @@ def segments(texts: list[bytes], words: int = SEGMENT) -> tuple[np.ndarray, np.n
 
 
 def _train(texts: list[bytes], labels: np.ndarray, seed: int = SEED):
-    """Embeddings reduced to one weight per n-gram, bias, and the logistic fit of documents: (weights, bias, slope, intercept)."""
+    """Embeddings reduced to one weight per n-gram, bias, and the logistic fit of documents: (weights, bias, fit)."""
     rng = np.random.default_rng(seed)
     text, begins, doc = segments(texts)
     at, rows = [], []
     for row, ok in subword.grams(text, SIZES, BITS):
         p = np.flatnonzero(ok)
-        at.append(p)
-        rows.append(row[p])
-    at, rows = np.concatenate(at), np.concatenate(rows).astype(np.int64)
-    seg = np.searchsorted(begins, at, "right") - 1
-    order = np.argsort(seg, kind="stable")
-    seg, rows = seg[order], rows[order]
-    del at, order
-    bounds = np.searchsorted(seg, np.arange(len(begins) + 1))
+        at.append((np.searchsorted(begins, p, "right") - 1).astype(np.int32))
+        rows.append(row[p].astype(np.int32))
+    seg, rows = np.concatenate(at), np.concatenate(rows)
+    del at, text
+    rows = rows[np.argsort(seg, kind="stable")]
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(seg, minlength=len(begins)))])
+    del seg
     y = labels[doc].astype(np.float64)
     emb = rng.normal(0, 0.1, (DIM, 1 << BITS))
     out = rng.normal(0, 0.1, (DIM, 2))
@@ -115,8 +116,8 @@ def _train(texts: list[bytes], labels: np.ndarray, seed: int = SEED):
             bias -= RATE * db / np.sqrt(gb)
     weights = ((out[:, 1] - out[:, 0]) @ emb).astype(np.float32)
     offset = float(bias[1] - bias[0])
-    slope, intercept = _logistic(evidence(texts, weights, offset), labels)
-    return weights, offset, slope, intercept
+    found = np.concatenate([evidence(texts[s:s + 200], weights, offset) for s in range(0, len(texts), 200)])
+    return weights, offset, _logistic(found, labels)
 
 
 def _segment_logits(rows, bounds, emb, out, bias):
@@ -126,30 +127,52 @@ def _segment_logits(rows, bounds, emb, out, bias):
 
 
 def evidence(texts: list[bytes], weights: np.ndarray, offset: float) -> np.ndarray:
-    """Highest segment logit of each text (without segments: the offset alone)."""
+    """Per text: its segment logits at ``RANKS`` from the top, their mean, and the logarithm of their number."""
     text, begins, doc = segments(texts)
-    best = np.full(len(texts), -np.inf)
-    if len(begins):
-        total, count = np.zeros(len(begins)), np.zeros(len(begins))
-        for row, ok in subword.grams(text, SIZES, BITS):
-            total += np.add.reduceat(np.where(ok, weights[row], np.float32(0)).astype(np.float64), begins)
-            count += np.add.reduceat(ok.astype(np.int64), begins)
-        np.maximum.at(best, doc, total / np.maximum(count, 1) + offset)
-    return np.where(np.isfinite(best), best, offset)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic fit by Newton steps, with a light pull towards slope 1."""
-    m = np.stack([x, np.ones(len(x))], axis=1)
-    w = np.array([1.0, 0.0])
+    out = np.full((len(texts), len(RANKS) + 2), offset)
+    out[:, -1] = 0
+    if not len(begins):
+        return out
+    total, count = np.zeros(len(begins)), np.zeros(len(begins))
+    for row, ok in subword.grams(text, SIZES, BITS):
+        total += np.add.reduceat(np.where(ok, weights[row], np.float32(0)).astype(np.float64), begins)
+        count += np.add.reduceat(ok.astype(np.int64), begins)
+    logit = total / np.maximum(count, 1) + offset
+    order = np.lexsort((-logit, doc))
+    logit, doc = logit[order], doc[order]
+    first = np.searchsorted(doc, np.arange(len(texts)))
+    n = np.bincount(doc, minlength=len(texts))
+    for i, rank in enumerate(RANKS):
+        has = n >= rank
+        out[has, i] = logit[first[has] + rank - 1]
+    some = n > 0
+    out[some, -2] = np.bincount(doc, weights=logit, minlength=len(texts))[some] / n[some]
+    out[:, -1] = np.log1p(n)
+    return out
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the columns and an intercept: a logistic fit by damped Newton steps with a light pull towards 0."""
+    center, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale == 0] = 1.0
+    m = np.column_stack([(x - center) / scale, np.ones(len(x))])
+    pull = np.append(np.full(x.shape[1], PULL), 1e-6)
+    w = np.zeros(m.shape[1])
+    w[-1] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    loss = lambda w: np.logaddexp(0, m @ w).sum() - y @ (m @ w) + 0.5 * (pull * w * w).sum()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(m @ w, -30, 30)))
-        g = m.T @ (p - y) + 0.1 * (w - [1.0, 0.0])
-        step = np.linalg.solve((m * (p * (1 - p))[:, None]).T @ m + 0.1 * np.eye(2), g)
+        step = np.linalg.solve((m * (p * (1 - p))[:, None]).T @ m + np.diag(pull), m.T @ (p - y) + pull * w)
+        while np.abs(step).max() > 1e-9 and loss(w - step) > loss(w):
+            step = step / 2
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(w[0], 1e-3)), float(w[1])
+    return np.append(w[:-1] / scale, w[-1] - (w[:-1] / scale * center).sum())
+
+
+def probability(x: np.ndarray, fit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ fit[:-1] + fit[-1], -30, 30)))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -178,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_byte
     if len(set(toxic)) < 2:
         rate = float(y.mean()) if len(y) else 0.5
         rate = min(max(rate, 0.01), 0.99)
-        return np.zeros(1 << BITS, np.float32), 0.0, 1.0, float(np.log(rate / (1 - rate)))
+        return np.zeros(1 << BITS, np.float32), 0.0, np.array([0.0] * (len(RANKS) + 2) + [np.log(rate / (1 - rate))])
     return _train(texts, y)
 
 
@@ -190,11 +213,10 @@ def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
     def run(batches):
-        weights, offset, slope, intercept = shared.value
+        weights, offset, fit = shared.value
         for batch in byte_blocks(batches, 1 << 20):
             ids = batch.column(0).to_pylist()
-            x = evidence(batch.column(1).to_pylist(), weights, offset)
-            p = 1 / (1 + np.exp(-np.clip(slope * x + intercept, -30, 30)))
+            p = probability(evidence(batch.column(1).to_pylist(), weights, offset), fit)
             out = [i is not None and zlib.crc32(str(i).encode()) % 4 == HELD_OUT for i in ids]
             yield pa.record_batch([batch.column(0), pa.array(out), pa.array(p), pa.array((p >= threshold).astype(np.int32))], schema=schema)
 

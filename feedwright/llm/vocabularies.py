@@ -7,6 +7,7 @@ the data, and executors need no path to the file. Workers keep what they build f
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 
 from pyspark.sql import SparkSession
@@ -26,10 +27,22 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def shared(spark: SparkSession, path: str):
-    """The file's bytes as a broadcast variable."""
-    with open(path, "rb") as f:
-        return spark.sparkContext.broadcast(f.read())
+class File:
+    """A file's bytes as a broadcast variable, and a name for its contents."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        with open(path, "rb") as f:
+            data = f.read()
+        self.id = hashlib.sha256(data).hexdigest()
+        self._data = spark.sparkContext.broadcast(data)
+
+    @property
+    def value(self) -> bytes:
+        return self._data.value
+
+
+def shared(spark: SparkSession, path: str) -> File:
+    return File(spark, path)
 
 
 def built(key, make):
