@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.session import checkpoint_root, scratch_path
+from feedwright.session import scratch_path
 
 #: Stands for a null id inside an operator (sorts before every other id).
 NULL_ID = -(2**63)
@@ -61,12 +61,32 @@ def one_row_per_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship_package(df.sparkSession)
     ids = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    repeated = ids.groupBy("id").count().filter("count > 1").limit(1).count()
-    if not repeated:
+    if not has_repeated_ids(ids, "id"):
         return ids
     return ids.groupBy("id").agg(F.expr("max_by(text, struct(length(text), text))").alias("text"))
 
 
+def has_repeated_ids(df: DataFrame, id_col: str = "doc_id") -> bool:
+    return bool(df.groupBy(F.col(id_col).cast("long")).count().filter("count > 1").limit(1).count())
+
+
+def full_row_per_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of ``df``, one row per id: of repeated ids the row that :func:`one_row_per_id` judges."""
+    if not has_repeated_ids(df, id_col):
+        return df
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # ties of the text: the greatest row in a text form that any column type has
+    best = F.max_by(row, F.struct(F.length(text), text, F.xxhash64(row))).alias("row")
+    return df.groupBy(F.col(id_col).cast("long").alias("id")).agg(best).select("row.*")
+
+
+def only_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``df`` whose id is in the first column of ``ids`` (null counts as an id)."""
+    keep = ids.select(F.coalesce(ids[ids.columns[0]].cast("long"), F.lit(NULL_ID)).alias("keep"))
+    return df.join(keep, F.coalesce(df[id_col].cast("long"), F.lit(NULL_ID)) == keep["keep"], "left_semi")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` below the shared checkpoint folder and read it again."""
     spark = df.sparkSession
@@ -117,7 +137,3 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         edges = new
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    return checkpoint_root(spark)

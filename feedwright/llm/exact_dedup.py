@@ -2,8 +2,8 @@
 
 The index is a table with one row per distinct text, bucketed and sorted by the digest of
 the normalised text. New data is reduced to one row per digest, set against the
-index by a sort-merge anti join (the index side is read in bucket order: no exchange
-and no sort of what is already stored), and the new digests are appended. Texts are
+index by a sort-merge anti join (the index side is read by its buckets: no exchange
+of what is already stored), and the new digests are appended. Texts are
 never shuffled, only digests.
 
 Equal means equal after deleting every character of ``[\\x20\\x09-\\x0D]``. Within one

@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedwright.llm import subword
 from feedwright.llm.common import byte_blocks, ship_package
@@ -192,6 +194,17 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     return cotrain(array(1), array(2), np.array([y for _, y in rows], np.int64))
 
 
+def _scores(model, texts, sources, langs):
+    """Content, metadata and combined score of each text."""
+    if model is None:
+        return [np.full(len(texts), 0.5)] * 3
+    (content, meta), *_ = model
+    bag, rest = content.weights[:1 << BITS], content.weights[1 << BITS:]
+    total, count = subword.bag_sums(texts, bag, SIZES, BITS)
+    first = np.clip(total / np.maximum(count, 1) + _words(texts) @ rest + content.bias, -30, 30)
+    return _combine(model, first, meta.logit(metadata_view(texts, sources, langs)))
+
+
 def score(docs: DataFrame, model) -> DataFrame:
     """Per row: doc_id, content_score, metadata_score, score (the combination)."""
     spark = docs.sparkSession
@@ -200,18 +213,8 @@ def score(docs: DataFrame, model) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.float64()) for c in ("content_score", "metadata_score", "score"))])
 
     def run(batches):
-        model = shared.value
         for batch in byte_blocks(batches, 1 << 20):
-            texts = batch.column(1).to_pylist()
-            if model is None:
-                found = [np.full(len(texts), 0.5)] * 3
-            else:
-                (content, meta), *_ = model
-                bag, rest = content.weights[:1 << BITS], content.weights[1 << BITS:]
-                total, count = subword.bag_sums(texts, bag, SIZES, BITS)
-                first = np.clip(total / np.maximum(count, 1) + _words(texts) @ rest + content.bias, -30, 30)
-                second = meta.logit(metadata_view(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist()))
-                found = _combine(model, first, second)
+            found = _scores(shared.value, *(batch.column(i).to_pylist() for i in (1, 2, 3)))
             yield pa.record_batch([batch.column(0), *(pa.array(f) for f in found)], schema=schema)
 
     return docs.select(*_columns(docs)).mapInArrow(run, "doc_id long, content_score double, metadata_score double, score double")
@@ -220,3 +223,18 @@ def score(docs: DataFrame, model) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, content_score, metadata_score, score, kept (score of ``threshold`` or more)."""
     return score(docs, train(docs, labels)).withColumn("kept", F.col("score") >= threshold)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (all columns) that the classifier keeps; rows are filtered where they are, without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_columns(docs)[1:])
+    out = T.StructType([rows.schema["row"]])
+    schema = to_arrow_schema(out)
+
+    def run(batches):
+        for batch in byte_blocks(batches, 1 << 20):
+            keep = _scores(shared.value, *(batch.column(i).to_pylist() for i in (1, 2, 3)))[2] >= threshold
+            yield pa.record_batch([batch.column(0).filter(pa.array(keep)).cast(schema.field(0).type)], schema=schema)
+
+    return rows.mapInArrow(run, out).select("row.*")

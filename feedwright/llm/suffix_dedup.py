@@ -40,8 +40,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedwright.llm.common import byte_blocks, one_row_per_id, public_id, written
+from feedwright.llm.common import NULL_ID, byte_blocks, one_row_per_id, public_id, written
 
 MIN_LEN = 100
 GRAM = 24
@@ -466,3 +468,44 @@ def removal_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return dedup_substrings(df, id_col, text_col).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _char_runs(text: bytes, runs):
+    """Runs shrunk to whole UTF-8 characters."""
+    for s, e in runs:
+        while s < e and text[s] & 0xC0 == 0x80:
+            s += 1
+        while e < len(text) and e > s and text[e] & 0xC0 == 0x80:
+            e -= 1
+        if e > s:
+            yield s, e
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` (unique ids, any further columns) with the repeated characters cut out of the texts.
+
+    A character goes if all its bytes are covered; a null text stays null, a text that is covered whole becomes empty.
+    """
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id")
+    spans = _spans(one_row_per_id(df, id_col, text_col)).groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    rest = [c for c in df.columns if c != text_col]
+    rows = df.select(key, F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("rest"))
+    rows = rows.join(spans, "id", "left").select("text", "spans", "rest")
+    out = T.StructType([T.StructField("text", T.BinaryType()), rows.schema["rest"]])
+    schema = to_arrow_schema(out)
+
+    def cut(batches):
+        for batch in byte_blocks(batches):
+            texts = []
+            for text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text is not None and found:
+                    at, parts = 0, []
+                    for s, e in _char_runs(text, _merge(found, len(text))):
+                        parts.append(text[at:s])
+                        at = e
+                    text = b"".join([*parts, text[at:]])
+                texts.append(text)
+            yield pa.record_batch([pa.array(texts, pa.binary()).cast(schema.field(0).type), batch.column(2).cast(schema.field(1).type)], schema=schema)
+
+    done = rows.mapInArrow(cut, out)
+    return done.select(*(F.col("text").cast("string").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns))

@@ -8,8 +8,8 @@ from feedwright.llm import suffix_dedup as sd
 SCHEMA = "doc_id long, text string, spans string, left long"
 
 
-def brute(docs):
-    """The contract, window by window."""
+def _brute_cover(docs):
+    """Bytes that the contract covers, window by window."""
     first, covered = {}, {}
     for doc, text in sorted(docs):
         b = (text or "").encode()
@@ -20,7 +20,11 @@ def brute(docs):
                 covered[doc][i:i + 100] = b"\1" * 100
             else:
                 first[w] = (doc, i)
-    out = {}
+    return covered
+
+
+def brute(docs):
+    covered, out = _brute_cover(docs), {}
     for doc, text in docs:
         b, c = (text or "").encode(), covered[doc]
         runs = sum(1 for i in range(len(c)) if c[i] and not (i and c[i - 1]))

@@ -1,0 +1,88 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedwright.llm import subword
+from feedwright.llm import toxicity as tx
+
+SF = "/root/testdata/sf0.1"
+
+
+def held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    rank[order] = np.arange(len(score))
+    return (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() - 1) / 2) / ((y == 1).sum() * (y == 0).sum())
+
+
+def test_held_out_accuracy(spark, tables):
+    docs, labels = tables
+    got = tx.toxicity(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), labels).join(labels, "doc_id").toPandas()
+    assert (got.held_out == got.doc_id.map(held)).all()
+    out = got[got.held_out]
+    assert auc(out.score.values, out.toxic.values) > 0.94
+    assert out[out.predicted == 1].toxic.mean() > 0.85 and out[out.toxic == 1].predicted.mean() > 0.85
+    assert ((got.score >= 0.3) == (got.predicted == 1)).all() and got.score.between(0, 1).all()
+
+
+def test_held_out_labels_do_not_matter(spark, tables):
+    docs, labels = tables
+    few = docs.filter("doc_id < 300")
+    flipped = labels.withColumn("toxic", F.when(tx.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (tx.train(docs, x, max_docs=300) for x in (labels, flipped))
+    assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
+    assert few.count() == tx.score(few, a).count()
+
+
+def test_unseen_spellings_share_ngrams():
+    r = np.random.default_rng(3)
+    plain = lambda: b" ".join(bytes(r.choice(list(b"aeinorstl"), r.integers(2, 8))) for _ in range(40))
+    texts = [plain() for _ in range(600)]
+    y = np.zeros(600, int)
+    for i in range(0, 600, 6):
+        y[i] = 1
+        texts[i] += b" wretchpig" * 3
+    weights, offset, _ = tx._train(texts, y)
+    top = lambda word: tx.evidence([b"so " + word], weights, offset)[0, 0]
+    assert min(top(b"wretchpigg"), top(b"wretchhpig"), top(b"xwretchpig")) > max(top(b"lonest"), top(b"starlie"), top(b"tornail"))
+
+
+def test_ngrams_against_plain_python():
+    texts = [b"", b"Ab c\n\nabc", "é x".encode(), b"   ", b"a" * 50]
+
+    def plain(text, size):
+        padded = b" " + b"".join(b" " if c in b" \t\n\x0b\x0c\r" else bytes([c]) for c in text).lower() + b" "
+        grams = [padded[i:i + size] for i in range(len(padded) - size + 1)]
+        return [g for g in grams if b" " not in g[1:-1] and not (g[:1] == b" " == g[-1:])] if size > 1 else [g for g in grams if g != b" "]
+
+    for sizes in ((1, 2, 3), (3, 4, 5)):
+        _, count = subword.bag_sums(texts, np.ones(1 << 10, np.float32), sizes, 10)
+        assert count.tolist() == [sum(len(plain(t, s)) for s in sizes) for t in texts]
+        which, rows = subword.bags(texts, sizes, 10)
+        assert np.bincount(which, minlength=len(texts)).tolist() == count.tolist()
+        alone = [np.sort(subword.bags([t], sizes, 10)[1]) for t in texts]  # a bag doesn't depend on its neighbours
+        assert all(np.array_equal(np.sort(rows[which == i]), a) for i, a in enumerate(alone))
+
+
+def test_cases(spark, tables):
+    _, labels = tables
+    df = spark.createDataFrame([(None, None, 1.0), (1, "", 0.0), (1, " \n", 0.0), (2, "idiot " * 30000, 5.0)], "doc_id long, text string, score double")
+    rows = tx.toxicity(df, labels).collect()
+    assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
+    empty = [r.score for r in rows if r.doc_id != 2]
+    assert len(set(empty)) == 1
+    assert [r.score for r in tx.toxicity(df, labels.limit(0)).collect()] == [0.5] * 4
+    one = spark.createDataFrame([(i, 1) for i in range(9)] + [(None, 0), (3, None)], "doc_id long, toxic int")
+    assert len({r.score for r in tx.toxicity(df, one).collect()}) == 1
+    assert tx.toxicity(df.limit(0), labels).count() == 0
