@@ -2,9 +2,17 @@
 compaction, retention, audit.
 
 One lazy plan per step; the writes are the only actions besides the refined
-count and the size listing. Counts of written rows come from ``Observation``s
-on the writes (no re-scan). Every step appends an audit row (L6); the run-status
-table is updated by one upsert at the end (L5) and written as a new version.
+count. Counts of written rows come from ``Observation``s on the writes (no
+re-scan; an empty window drops the observation and counts as no rows). Every
+step appends an audit row (L6), saved at once when the feed names a status path,
+so a failed run leaves its steps and a FAILED row. The run-status table is updated by
+one upsert at the end (L5) and saved as a new version; a run of a window that
+is already complete ends before it extracts anything (D8/M2).
+
+What a load replaces: with truncate ``Y`` the table; with ``P``, or by default
+where the first partition column is the delta column, the partitions of the loaded
+window; otherwise it appends. ``P`` is refused where partitions don't imply the window, as it
+would replace rows of other windows.
 """
 
 from __future__ import annotations
@@ -17,11 +25,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.operators.counts import refined_count_with_fallback
-from feedwright.operators.jobstat import JOBSTAT_SCHEMA, upsert
+from feedwright.operators.jobstat import COMPLETED, JOBSTAT_SCHEMA, upsert
 from feedwright.operators.metadata import add_partition_twins, project, projection_spec, raw_projection
 from feedwright.operators.metrics import path_bytes
 from feedwright.operators.postprocess import apply_postprocessors
-from feedwright.sinks.tables import retention_candidates, write_partitioned
+from feedwright.sinks.tables import VersionedTable, retention_candidates, write_partitioned
+from feedwright.sources import storage
 from feedwright.sources.jdbc import scan_jdbc
 from feedwright.sources.scans import _as_date, scan_delta, scan_refined, scan_sql
 
@@ -31,6 +40,7 @@ ST_EXTRACT = "START EXECUTE SOURCE DB EXTRACT SCRIPT"
 ST_EXTRACTED = "Completed Execute source db script"
 ST_LOADED = "Completed Loading data to Hive"
 ST_DONE = "COMPLETED SUCCESSFULLY"
+ST_FAILED = "FAILED"
 
 # The stage letters (G generate, E extract, L load, F custom SQL
 # from the metadata, Q quality, P folder post-processing) and the combinations
@@ -57,102 +67,221 @@ def check_stages(stages: str) -> str:
 @dataclass
 class FeedSpec:
     feed: str
-    source: DataFrame
+    source: DataFrame | None
     col_meta: list[dict]
     raw_path: str
     refined_path: str
     delta_col: str | None = None
     delta_type: str = "DATE"
+    delta_fmt: str = "yyyyMMdd"
     operator: str = "between"
-    truncate: str = "P"
+    truncate: str | None = None            # Y, P, N; None: the window where partitions imply it, else append
     raw_retention: int | None = 0
     refined_retention: int | None = 0
     db_type: str = "HIVE"
     replicas: int = 3
     raw_file_bytes: int = 256 * 1024 * 1024   # compaction target per raw file
     postprocess: object = None
+    publish_path: str | None = None        # where the post-processed window is written
     source_sql: str | None = None          # custom extract (text or file) replacing the delta predicate
     source_views: dict = field(default_factory=dict)
     jdbc: dict | None = None               # relational source: scan_jdbc arguments (A6/A7)
+    file: dict | None = None               # file source: sources.feeds.open_file arguments (A5, A8, A9, A10, A12)
+    refined_format: str = "parquet"
+    status_path: str | None = None         # run status and audit are kept here
     extra: dict = field(default_factory=dict)
 
 
-def _delete_paths(spark: SparkSession, paths: list[str]) -> None:
-    """Remove partition folders through the Hadoop file system of the path."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
+def status_table(spark: SparkSession, status_path: str) -> VersionedTable:
+    """The durable run-status table of a status path."""
+    return VersionedTable(spark, f"{status_path.rstrip('/')}/jobstat", JOBSTAT_SCHEMA)
+
+
+def audit_table(spark: SparkSession, status_path: str) -> DataFrame:
+    """All audit rows saved below a status path."""
+    path = f"{status_path.rstrip('/')}/audit"
+    return spark.read.schema(JOBSTAT_SCHEMA).parquet(path) if storage.exists(spark, path) else \
+        spark.createDataFrame([], JOBSTAT_SCHEMA)
 
 
 def purge_path_partitions(spark: SparkSession, table_path: str, col: str, run_date, retention) -> list[str]:
-    """L8 on a path table: drop partitions older than ``run_date - retention``."""
+    """L8 on a path table: drop partitions older than ``run_date - retention``.
+    Candidates come from the folder names of the first level; values that are no date stay."""
     if retention in (None, 0, ""):
         return []
-    # partition values from the file listing only (no file is opened)
-    parts = (spark.read.format("binaryFile").load(table_path).select(F.col(col).cast("string").alias(col))
-             .distinct())
+    values = storage.partition_values(spark, table_path, col)
+    parts = spark.createDataFrame([(v,) for v in values], f"`{col}` string")
     old = [r[0] for r in retention_candidates(parts, col, _as_date(run_date), int(retention)).collect()]
-    _delete_paths(spark, [f"{table_path.rstrip('/')}/{col}={v}" for v in old])
-    return old
+    for v in old:
+        storage.delete(spark, f"{table_path.rstrip('/')}/{col}={v}")
+    return sorted(old)
 
 
 def persist_jobstat(spark: SparkSession, state: DataFrame, name: str = "run_status") -> str:
-    """Write the merged run-status table as a new version folder in the
-    shared checkpoint root and return its path (readers switch to it)."""
+    """A one-off copy of a run-status table; ``status_table`` keeps the durable one."""
     from feedwright.sinks.tables import new_version
     return new_version(spark, state, name)
 
 
+def _observed(obs: Observation) -> dict:
+    """What a write has observed; nothing when the plan was empty (the optimiser
+    then removes the observation with the rest of the plan)."""
+    from py4j.protocol import Py4JJavaError
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
+
+
+def _is_date(type_name: str) -> bool:
+    return type_name.upper().startswith(("DATE", "TIMESTAMP"))
+
+
+def partitions_imply_window(spec: FeedSpec, cols: list[dict]) -> bool:
+    """Whether the first partition column is the delta column of a date window (for a
+    custom extract: any date), so that the partitions of a window hold that window only."""
+    ptn = [r for r in cols if str(r.get("IS_PARTITIONED", "N")).upper() == "Y"]
+    if not ptn or not _is_date(str(ptn[0]["RFND_COL_TYPE_INHIVE"])):
+        return False
+    if spec.source_sql:
+        return True
+    return bool(spec.delta_col) and spec.delta_col.lower() == str(ptn[0]["SOURCECOLNM"]).lower()
+
+
+def truncate_mode(spec: FeedSpec, cols: list[dict]) -> str:
+    """Y, P or N after the rules above."""
+    mode = (spec.truncate or "").upper()
+    if mode == "Y":
+        return "Y"
+    if mode == "P" and not partitions_imply_window(spec, cols):
+        raise ValueError(f"{spec.feed}: truncate P would replace rows outside the loaded window; "
+                         "partition by the delta date first, or use N")
+    return "P" if mode == "P" or (not mode and partitions_imply_window(spec, cols)) else "N"
+
+
+def _compact(spark: SparkSession, folder: str, target: int) -> None:
+    """Rewrite one partition folder into ``target`` files beside it and swap the folders."""
+    parent, _, name = folder.rstrip("/").rpartition("/")
+    mark = f"{name.replace('=', '-')}-{int(time.time() * 1000)}"
+    staged = f"{parent}/_compact-{mark}"
+    spark.read.parquet(folder).repartition(target).write.option("compression", "zstd").parquet(staged)
+    storage.swap(spark, staged, folder, f"{parent}/_before-{mark}")
+
+
 def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_date=None, stages: str = "GEL",
-           jobpid: int | None = None, jobstat: DataFrame | None = None) -> dict:
+           jobpid: int | None = None, jobstat: DataFrame | None = None, override: bool = False) -> dict:
+    """One window of one feed. With a status path (or a ``jobstat`` frame and no ``override``) a
+    window that already completed returns ``{"decision": "GRACEFUL_EXIT"}`` and loads nothing."""
     stages = check_stages(stages)
     if "F" in stages and not spec.source_sql:
         raise ValueError("stage F needs the custom extract SQL (SOURCE_SQL_TXT)")
+    cols = projection_spec(spec.col_meta)
+    mode = truncate_mode(spec, cols)
     from_d = _as_date(from_date)
     end_d = _as_date(end_date) if end_date else from_d          # R28
-    run_d = _as_date(run_date) if run_date else end_d
+    run_d = _as_date(run_date) if run_date else from_d
+    table = status_table(spark, spec.status_path) if spec.status_path else None
+    if table is not None and jobstat is None:
+        jobstat = table.read()
+    if table is not None and not override and "L" in stages:
+        done = jobstat.where((F.col("feed") == spec.feed) & (F.col("status") == COMPLETED)
+                             & (F.col("filedate") == F.lit(from_d)) & (F.col("file_end_dt") == F.lit(end_d)))
+        if done.limit(1).count():
+            return {"decision": "GRACEFUL_EXIT", "jobstat": jobstat, "from_date": from_d, "end_date": end_d}
     jobpid = jobpid if jobpid is not None else int(time.time() * 1000)
-    loaddate = from_d.strftime("%Y%m%d")
-    started = _dt.datetime.now().replace(microsecond=0)
     audit: list[tuple] = []
-    info = {"raw_size": 0, "raw_replica_size": 0, "refined_size": 0, "refined_replica_size": 0,
+    info = {"decision": "RUN", "raw_size": 0, "raw_replica_size": 0, "refined_size": 0, "refined_replica_size": 0,
             "linecount": 0, "rowcount": 0, "refined_count": 0, "partition_col": ""}
+    loaddate = from_d.strftime("%Y%m%d")
+    started = _dt.datetime.now().replace(microsecond=0)
 
     def log(status: str, message: str = ""):
         audit.append((spec.feed, jobpid, f"{spec.feed.lower()}_{loaddate}", started,
                       _dt.datetime.now().replace(microsecond=0), info["linecount"], info["rowcount"], from_d, status,
                       message, info["raw_size"], info["raw_replica_size"], info["refined_size"],
                       info["refined_replica_size"], info["partition_col"], end_d, info["refined_count"]))
+        if spec.status_path:
+            spark.createDataFrame(audit[-1:], JOBSTAT_SCHEMA).coalesce(1).write.mode("append").parquet(
+                f"{spec.status_path.rstrip('/')}/audit")
 
-    cols = projection_spec(spec.col_meta)
+    try:
+        _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid, info, log)
+    except Exception as e:
+        log(ST_FAILED, f"{type(e).__name__}: {str(e)[:500]}")
+        raise
+    last = spark.createDataFrame(audit[-1:], JOBSTAT_SCHEMA)      # the run's final status row
+    state = upsert(jobstat, last) if jobstat is not None else last
+    if table is not None:
+        table.save(state)
+        state = table.read()
+    return {"audit": spark.createDataFrame(audit, JOBSTAT_SCHEMA), "jobstat": state, **info, "from_date": from_d,
+            "end_date": end_d, "loaddate": loaddate}
+
+
+def _extract(spark: SparkSession, spec: FeedSpec, from_d, end_d) -> DataFrame:
+    if spec.source_sql:
+        # A4: the custom SQL replaces the generated extract; the window is
+        # bound as parameters <<FROM_DT>> / <<END_DT>> (dates)
+        return scan_sql(spark, spec.source_sql, {"FROM_DT": from_d, "END_DT": end_d}, spec.source_views or None)
+    if spec.jdbc:
+        # A relational source is read through JDBC (split-column
+        # parallel read); the delta predicate is pushed into its query
+        source = scan_jdbc(spark, **spec.jdbc)
+    elif spec.file:
+        from feedwright.sources.feeds import open_file
+        source = open_file(spark, from_d, **spec.file)
+    else:
+        source = spec.source
+    return scan_delta(source, spec.delta_col, spec.operator, from_d, end_d if spec.operator == "between" else None,
+                      col_type=spec.delta_type, col_fmt=spec.delta_fmt)
+
+
+def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid, info, log) -> None:
     ptn_src = [r["RFND_COL_INHIVE"].lower() for r in cols if str(r.get("IS_PARTITIONED", "N")).upper() == "Y"]
     info["partition_col"] = ",".join(f"{c}_ptn" for c in ptn_src)            # R13
+    raw_folder = f"{spec.raw_path.rstrip('/')}/loaddate={loaddate}"
     if "G" in stages:
         log(ST_GENERATE)
 
+    raw_schema = None
     if "E" in stages:
         log(ST_EXTRACT)
-        if spec.source_sql:
-            # A4: the custom SQL replaces the generated extract; the window is
-            # bound as parameters <<FROM_DT>> / <<END_DT>> (dates)
-            extracted = scan_sql(spark, spec.source_sql, {"FROM_DT": from_d, "END_DT": end_d},
-                                 spec.source_views or None)
-        else:
-            # A relational source is read through JDBC (split-column
-            # parallel read); the delta predicate is pushed into its query
-            source = scan_jdbc(spark, **spec.jdbc) if spec.jdbc else spec.source
-            extracted = scan_delta(source, spec.delta_col, spec.operator, from_d,
-                                   end_d if spec.operator == "between" else None, col_type=spec.delta_type)
+        raw = raw_projection(_extract(spark, spec, from_d, end_d), cols)
+        raw_schema = raw.schema
         obs = Observation(f"extract_{jobpid}")
-        raw = raw_projection(extracted, cols).withColumn("loaddate", F.lit(loaddate))
-        write_partitioned(raw.observe(obs, F.count(F.lit(1)).alias("n")), spec.raw_path, ["loaddate"], truncate="P")
-        info["linecount"] = info["rowcount"] = int(obs.get["n"])
+        write_partitioned(raw.withColumn("loaddate", F.lit(loaddate)).observe(obs, F.count(F.lit(1)).alias("n")),
+                          spec.raw_path, ["loaddate"], truncate="P")
+        info["linecount"] = info["rowcount"] = int(_observed(obs).get("n", 0))
+        if not info["rowcount"]:
+            storage.delete(spark, raw_folder)      # a dynamic overwrite without rows leaves the old partition
+        info["raw_size"], info["raw_replica_size"] = path_bytes(spark, raw_folder, spec.replicas)
         log(ST_EXTRACTED)
 
+    def raw_window() -> DataFrame:
+        if storage.exists(spark, raw_folder):
+            reader = spark.read.schema(raw_schema) if raw_schema is not None else spark.read
+            return reader.parquet(raw_folder)
+        if raw_schema is None:
+            raise FileNotFoundError(f"{spec.feed}: nothing was extracted for {loaddate}")
+        return spark.createDataFrame([], raw_schema)
+
+    refined_schema = None
+    first_ptn = f"{ptn_src[0]}_ptn" if ptn_src else None
+    lo, hi = from_d.strftime("%Y%m%d"), end_d.strftime("%Y%m%d")
+    date_ptn = bool(ptn_src) and any(_is_date(str(r["RFND_COL_TYPE_INHIVE"])) for r in cols
+                                     if r["RFND_COL_INHIVE"].lower() == ptn_src[0])
+
+    def window_folders() -> list[str]:
+        return [f"{first_ptn}={v}" for v in storage.partition_values(spark, spec.refined_path, first_ptn) if lo <= v <= hi]
+
+    def refined_window() -> DataFrame:
+        reader = spark.read.schema(refined_schema) if refined_schema is not None else spark.read
+        table = reader.format(spec.refined_format).load(spec.refined_path)
+        return scan_refined(table.withColumn(first_ptn, F.col(first_ptn).cast("string")), first_ptn, from_d, end_d) \
+            if date_ptn else table
+
     if "L" in stages:
-        raw_part = spark.read.parquet(spec.raw_path).where(F.col("loaddate") == loaddate)
+        raw_part = raw_window()
         # Values that fail the cast become null; their number per column is
         # observed on the same write (no second scan)
         rejects = Observation(f"rejects_{jobpid}")
@@ -160,80 +289,66 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
             F.count_if(F.col(r["RAW_COL_INHIVE"].lower()).isNotNull()
                        & F.col(r["RAW_COL_INHIVE"].lower()).try_cast(r["RFND_COL_TYPE_INHIVE"]).isNull())
             .alias(r["RFND_COL_INHIVE"].lower()) for r in cols])
-        refined, ptn_list, _dq_col = add_partition_twins(project(checked, cols, "RAW_COL_INHIVE"), ptn_src)
-        info["refined_schema"] = refined.schema
-        write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src] or [], truncate=spec.truncate)
-        info["cast_rejects"] = {k: int(v) for k, v in rejects.get.items() if k != "_rows" and v}
+        refined, _ptn_list, _dq_col = add_partition_twins(project(checked, cols, "RAW_COL_INHIVE"), ptn_src)
+        info["refined_schema"] = refined_schema = refined.schema
+        write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src], truncate=mode, fmt=spec.refined_format)
+        info["cast_rejects"] = {k: int(v) for k, v in _observed(rejects).items() if k != "_rows" and v}
+        if mode == "P":
+            # partitions of the window that this load has no rows for: one small
+            # aggregate over the raw window against the folder names
+            twin = add_partition_twins(project(raw_part, cols, "RAW_COL_INHIVE"), ptn_src)[0].select(first_ptn).distinct()
+            loaded = {f"{first_ptn}={r[0]}" for r in twin.collect()}      # at most one row per day of the window
+            for folder in set(window_folders()) - loaded:
+                storage.delete(spark, f"{spec.refined_path.rstrip('/')}/{folder}")
         # Compact the raw partition unless raw data is not retained or the
         # source lands its own files — and only when it holds more files than
         # its size needs (ceil(bytes / raw_file_bytes)); the rebalanced raw write
-        # usually does not. The partition is rewritten in place, so the lineage
-        # is cut first (reliable checkpoint in the shared folder).
+        # usually does not
         info["compacted"] = False
         if str(spec.raw_retention) != "-1" and "SQOOP" not in spec.db_type.upper():
-            listed = (spark.read.format("binaryFile").load(spec.raw_path).drop("content")
-                      .where(F.col("loaddate").cast("string") == loaddate)
-                      .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first())
-            target = max(1, -(-int(listed["b"]) // spec.raw_file_bytes))
-            if listed["n"] > target:
-                frozen = raw_part.checkpoint(eager=True)
-                write_partitioned(frozen.coalesce(target), spec.raw_path, ["loaddate"], truncate="P",
-                                  compression="zstd")
+            sizes = storage.data_files(spark, raw_folder)
+            target = max(1, -(-sum(sizes) // spec.raw_file_bytes))
+            if len(sizes) > target:
+                _compact(spark, raw_folder, target)
                 info["compacted"] = True
         # Refined rows of the window, with the received-count fallback
-        ref_tbl = spark.read.schema(refined.schema).parquet(spec.refined_path)
-        if ptn_src:
-            first = f"{ptn_src[0]}_ptn"
-            ref_win = scan_refined(ref_tbl.withColumn(first, F.col(first).cast("string")), first, from_d, end_d)
-        else:
-            ref_win = ref_tbl
         counted = refined_count_with_fallback(
             spark.createDataFrame([(spec.feed, info["rowcount"])], "feed string, received_count long"),
-            ref_win.agg(F.count(F.lit(1)).alias("refined_count")).withColumn("feed", F.lit(spec.feed)), ["feed"])
+            refined_window().agg(F.count(F.lit(1)).alias("refined_count")).withColumn("feed", F.lit(spec.feed)), ["feed"])
         info["refined_count"] = int(counted.first()["final_count"])
-        raw_sz = path_bytes(spark, spec.raw_path, F.col("loaddate").cast("string") == loaddate,
-                            spec.replicas).first()
-        if ptn_src:
-            first_ptn = F.col(f"{ptn_src[0]}_ptn").cast("string")
-            ref_where = (first_ptn >= from_d.strftime("%Y%m%d")) & (first_ptn <= end_d.strftime("%Y%m%d"))
-        else:
-            ref_where = None
-        ref_sz = path_bytes(spark, spec.refined_path, ref_where, spec.replicas).first()
-        info.update(raw_size=raw_sz[0], raw_replica_size=raw_sz[1], refined_size=ref_sz[0],
-                    refined_replica_size=ref_sz[1])
-        purged_raw = purge_path_partitions(spark, spec.raw_path, "loaddate", run_d, spec.raw_retention)
+        info["raw_size"], info["raw_replica_size"] = path_bytes(spark, raw_folder, spec.replicas)
+        info["refined_size"], info["refined_replica_size"] = path_bytes(
+            spark, spec.refined_path, spec.replicas, window_folders() if date_ptn else None)
         purged_ref = []
-        if (spec.truncate or "").upper() != "P" and ptn_src:
-            purged_ref = purge_path_partitions(spark, spec.refined_path, f"{ptn_src[0]}_ptn", run_d,
-                                               spec.refined_retention)
+        if mode != "P" and date_ptn:
+            purged_ref = purge_path_partitions(spark, spec.refined_path, first_ptn, run_d, spec.refined_retention)
         rej = ", ".join(f"{k} {v}" for k, v in sorted(info["cast_rejects"].items()))
-        log(ST_LOADED, f"purged raw {len(purged_raw)}, refined {len(purged_ref)}"
-                       + (f"; cast rejects: {rej}" if rej else ""))
-
+        note = f", refined {len(purged_ref)}" + (f"; cast rejects: {rej}" if rej else "")
+    else:
+        note = ""
     if "Q" in stages:
-        # M5 after the load: null profile of the raw partition against the
-        # refined window (one aggregate per side, compared by column name)
+        # M5 after the load: null profile of the raw window under its refined names
+        # against the refined window (one aggregate per side, compared by name)
         from feedwright.plans.validate import validate_tables
-        raw_q = spark.read.parquet(spec.raw_path).where(F.col("loaddate") == loaddate).drop("loaddate")
-        ref_q = spark.read.schema(info["refined_schema"]).parquet(spec.refined_path) \
-            if "refined_schema" in info else spark.read.parquet(spec.refined_path)
-        if ptn_src:
-            first = f"{ptn_src[0]}_ptn"
-            ref_q = scan_refined(ref_q, first, from_d, end_d).drop(*[f"{c}_ptn" for c in ptn_src])
-        quality = validate_tables(raw_q, ref_q)
-        info["quality"] = quality
-        flagged = quality.where("null_defer OR full_null_right").count()
+        raw_q = raw_window().select([F.col(f"`{r['RAW_COL_INHIVE'].lower()}`").alias(r["RFND_COL_INHIVE"].lower()) for r in cols])
+        ref_q = refined_window().drop(*[f"{c}_ptn" for c in ptn_src])
+        found = validate_tables(raw_q, ref_q)
+        rows = found.collect()                    # one row per column; the raw window may be purged below
+        info["quality"] = spark.createDataFrame(rows, found.schema)
+        # a column whose share of nulls grew was nulled by the cast
+        flagged = info["quality"].where("null_defer OR full_null_right OR right_pct > left_pct").count()
         log("DATA QUALITY CHECKED", f"{flagged} column(s) flagged")
+    if "E" in stages or "L" in stages:            # after an extract-only run as well
+        purged_raw = purge_path_partitions(spark, spec.raw_path, "loaddate", run_d, spec.raw_retention)
+        if "L" in stages:
+            log(ST_LOADED, f"purged raw {len(purged_raw)}" + note)
 
     if spec.postprocess:
-        reader = spark.read.schema(info["refined_schema"]) if "refined_schema" in info else spark.read
-        published = apply_postprocessors(reader.parquet(spec.refined_path), spec.postprocess)
+        published = apply_postprocessors(refined_window(), spec.postprocess)
+        if spec.publish_path:
+            published.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+                f"{spec.publish_path.rstrip('/')}/window={lo}-{hi}")
+            published = spark.read.parquet(f"{spec.publish_path.rstrip('/')}/window={lo}-{hi}")
         info["postprocessed"] = published
     if stages not in ("G", "GF"):
         log(ST_DONE)
-
-    audit_df = spark.createDataFrame(audit, JOBSTAT_SCHEMA)
-    last = spark.createDataFrame(audit[-1:], JOBSTAT_SCHEMA)      # the run's final status row
-    state = upsert(jobstat, last) if jobstat is not None else last
-    return {"audit": audit_df, "jobstat": state, **info, "from_date": from_d, "end_date": end_d,
-            "loaddate": loaddate}

@@ -121,12 +121,13 @@ def orders_feed_meta() -> list[dict]:
     return rows
 
 
-def _ingest_orders(spark, sf_dir, postprocess=None):
+def _ingest_orders(spark, sf_dir, postprocess=None, publish=False):
     base = scratch_path(spark, "ingest-orders")
     spec = FeedSpec(feed="ORDERS", source=read_table(spark, sf_dir, "orders"), col_meta=orders_feed_meta(),
                     raw_path=f"{base}/raw/orders_raw", refined_path=f"{base}/refined/orders",
                     delta_col="o_orderdate", operator="between", truncate="P", raw_retention=400,
-                    refined_retention=0, postprocess=postprocess)
+                    refined_retention=0, postprocess=postprocess,
+                    publish_path=f"{base}/published" if publish else None)
     first = ingest(spark, spec, "19960301", "19960331", run_date="19960401", jobpid=1)
     again = ingest(spark, spec, "19960301", "19960331", run_date="19960401", jobpid=2,
                    jobstat=first["jobstat"])      # a rerun replaces the same partitions
@@ -153,18 +154,10 @@ POSTPROCESS = "lower:order_status;drop:order_status_ptn;rename:total_price=amoun
 SELECT order_date, total_price AS amount, lower(order_status) AS order_status, cust_key, order_key, order_date_ptn
 FROM ({_INGEST_DUCK})""")
 def postprocess(spark, sf_dir):
-    _spec, res = _ingest_orders(spark, sf_dir, POSTPROCESS)
+    _spec, res = _ingest_orders(spark, sf_dir, POSTPROCESS, publish=True)
     return res["postprocessed"]
 
 
-@register("ingest_audit")
-def ingest_audit(spark, sf_dir):
-    """L6/E10/E11 (rows only: run timestamps and file sizes vary): the audit
-    rows of one ingest run — status per step, counts, raw/refined bytes."""
-    _spec, res = _ingest_orders(spark, sf_dir)
-    return res["audit"]
-
-
 @register("dated_path_scan", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
 WHERE strftime(o_orderdate, '%Y-%m') = '1997-03'""")

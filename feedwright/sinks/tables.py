@@ -14,7 +14,12 @@ from feedwright.session import scratch_path
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], truncate: str = "P",
                       fmt: str = "parquet", compression: str | None = None) -> None:
     """``Y`` overwrites the table, ``P`` replaces only the partitions
-    present in ``df`` (dynamic overwrite), anything else appends."""
+    present in ``df`` (dynamic overwrite), anything else appends.
+
+    ``P`` without partition columns is refused: a dynamic overwrite of an
+    unpartitioned table would replace all of it."""
+    if (truncate or "").upper() == "P" and not partition_cols:
+        raise ValueError("truncate P replaces partitions: name the partition columns")
     mode = {"Y": "overwrite", "P": "overwrite"}.get((truncate or "").upper(), "append")
     if partition_cols:
         # one writer per table partition instead of every task writing a file
@@ -28,10 +33,14 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], trunc
     w.save(path)
 
 
-def write_metrics(df: DataFrame, path: str) -> None:
+def write_metrics(df: DataFrame, path: str, process_dt=None) -> None:
     """L3: idempotent daily metrics — the rows of each ``process_dt`` present in
-    ``df`` replace that day's partition, other days stay."""
+    ``df`` replace that day's partition, other days stay. With ``process_dt``
+    given, a rerun without rows for that day clears the day."""
+    from feedwright.sources import storage
     write_partitioned(df, path, ["process_dt"], truncate="P")
+    if process_dt is not None and df.where(F.col("process_dt") == F.lit(process_dt).cast("date")).limit(1).count() == 0:
+        storage.delete(df.sparkSession, f"{path.rstrip('/')}/process_dt={process_dt}")
 
 
 def parse_bucketing_clause(clause: str) -> tuple[list[str], int] | None:
@@ -51,6 +60,8 @@ def write_bucketed_table(spark: SparkSession, df: DataFrame, table: str, buckets
                          path: str | None = None) -> None:
     """L2 with the metadata's bucketing clause: a catalog table bucketed (and
     sorted) by the join key, so later joins on it skip the shuffle."""
+    # one task per bucket writes one file per bucket (and partition), not tasks x buckets files
+    df = df.repartition(buckets, *cols)
     w = df.write.format(fmt).mode("overwrite").bucketBy(buckets, *cols).sortBy(*cols)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -59,10 +70,41 @@ def write_bucketed_table(spark: SparkSession, df: DataFrame, table: str, buckets
     w.saveAsTable(table)
 
 
+class VersionedTable:
+    """L5 persistence: a small state table at a user-given path, one folder per version.
+
+    ``save`` writes a new version beside the one being read, and ``_SUCCESS`` (written by the
+    commit) makes it the current one; a failed write leaves the old version
+    current. Two writers of one version collide on its folder (the second one
+    fails and can retry on the new state). The last ``keep`` versions stay.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema, keep: int = 3):
+        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
+
+    def versions(self) -> list[int]:
+        from feedwright.sources import storage
+        found = [int(n[1:]) for n in storage.names(self.spark, self.path) if n[:1] == "v" and n[1:].isdigit()]
+        return sorted(v for v in found if storage.exists(self.spark, f"{self.path}/v{v}/_SUCCESS"))
+
+    def read(self) -> DataFrame:
+        done = self.versions()
+        if not done:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{done[-1]}")
+
+    def save(self, df: DataFrame) -> int:
+        from feedwright.sources import storage
+        done = self.versions()
+        new = (done[-1] if done else 0) + 1
+        df.write.mode("errorifexists").parquet(f"{self.path}/v{new}")
+        for v in done[:-(self.keep - 1)] if self.keep > 1 else done:
+            storage.delete(self.spark, f"{self.path}/v{v}")
+        return new
+
+
 def new_version(spark: SparkSession, df: DataFrame, name: str) -> str:
-    """L5 persistence: write the merged state as a new version folder below the
-    shared checkpoint root (never overwrite a path that is being read) and
-    return its path; readers switch to the new path."""
+    """A one-off version folder below the shared checkpoint root; see ``VersionedTable`` for durable state."""
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return path
@@ -85,9 +127,12 @@ def retention_candidates(partitions: DataFrame, col: str, run_date: _dt.date, re
     if retention_days is None or retention_days == 0:
         return partitions.select(col).limit(0)
     cutoff = F.date_sub(F.lit(run_date), F.lit(int(retention_days)))
-    return partitions.select(col).distinct().where(F.to_date(F.col(col).cast("string"), "yyyyMMdd") < cutoff) \
-        if dict(partitions.dtypes)[col] == "string" else \
-        partitions.select(col).distinct().where(F.col(col).cast("date") < cutoff)
+    c = F.col(col)
+    text = c.cast("string")
+    # a partition value that is no date is never a candidate
+    day = F.coalesce(F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"), text.try_cast("date")) \
+        if dict(partitions.dtypes)[col] not in ("date", "timestamp", "timestamp_ntz") else c.cast("date")
+    return partitions.select(col).distinct().where(day < cutoff)
 
 
 def purge_partitions(spark: SparkSession, table: str, col: str, candidates: DataFrame) -> int:
