@@ -19,6 +19,11 @@ def job_numbers(jobs: DataFrame) -> DataFrame:
     return jobs.select(job_number(F.col("jobname")).alias("job_num")).where(F.col("job_num").isNotNull()).distinct()
 
 
+def unnumbered_jobs(jobs: DataFrame) -> DataFrame:
+    """Job names that hold no number: they can't take part in the sequence check and are reported."""
+    return jobs.select("jobname").where(job_number(F.col("jobname")).isNull()).distinct()
+
+
 def missing_numbers(spark: SparkSession, numbers: DataFrame, col: str) -> DataFrame:
     """Numbers in [min, max] that do not occur.
 

@@ -3,32 +3,40 @@ CSV and count the written rows in the same job."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from feedwright.sinks.files import write_csv_counted
-from feedwright.sources.xml import key_rejects, read_xml_raw, xml_rows
+from feedwright.sources.files import NO_NULLS
+from feedwright.sources.xml import CORRUPT, read_xml_raw, xml_rows
 
 
 def xml_feed_to_csv(spark: SparkSession, xml_path: str, row_tag: str, tags: list[str], out_path: str,
                     key: str | None = None, max_records_per_file: int | None = None, feed: str = "FILE",
                     jobpid: int | None = None, filedate=None) -> dict:
-    """Returns counts, the output path and the audit rows (L6: started, then
-    completed with the written row count; R9 rejects in the message)."""
+    """Returns counts, the output path, the status and the audit rows (L6: started, then
+    completed with the written row count). Rows without the key (R9) and records
+    that aren't well-formed are counted in the same pass over the feed; the latter
+    make the status ``XML Parsing Completed With Errors``."""
     import datetime as _dt
     import time
 
     from feedwright.operators.jobstat import audit_record
     jobpid = jobpid if jobpid is not None else int(time.time() * 1000)
     started = _dt.datetime.now().replace(microsecond=0)
-    raw = read_xml_raw(spark, xml_path, row_tag, tags)
-    rows = xml_rows(raw, tags, key)
-    written = write_csv_counted(rows, out_path, max_records_per_file=max_records_per_file)
-    rejected = int(key_rejects(raw, key).first()["rejected"]) if key else 0
+    seen = Observation(f"xml_{jobpid}")
+    faulty = F.col(CORRUPT).isNotNull()
+    no_key = ~faulty & F.col(key).isNull() if key else F.lit(False)
+    raw = read_xml_raw(spark, xml_path, row_tag, tags).observe(
+        seen, F.count_if(faulty).alias("faults"), F.count_if(no_key).alias("rejected"))
+    written = write_csv_counted(xml_rows(raw, tags, key), out_path, max_records_per_file=max_records_per_file)
+    faults, rejected = int(seen.get["faults"]), int(seen.get["rejected"])
+    status = "XML Parsing Completed" if not faults else "XML Parsing Completed With Errors"
     audit = audit_record(spark, feed, jobpid, "XML Parsing Started", filedate=filedate, process_start=started,
                          process_end=started).unionByName(
-        audit_record(spark, feed, jobpid, "XML Parsing Completed", filedate=filedate, process_start=started,
-                     filename=out_path, rowcount=written, message=f"{rejected} row(s) without key"))
-    return {"rows_written": written, "rows_rejected": rejected, "status": "XML Parsing Completed",
+        audit_record(spark, feed, jobpid, status, filedate=filedate, process_start=started, filename=out_path,
+                     rowcount=written, message=f"{rejected} row(s) without key, {faults} faulty record(s)"))
+    return {"rows_written": written, "rows_rejected": rejected, "rows_faulty": faults, "status": status,
             "path": out_path, "audit": audit}
 
 
@@ -38,4 +46,4 @@ def read_feed_csv(spark: SparkSession, path: str, tags: list[str]) -> DataFrame:
     null and ``""`` stays an empty string."""
     schema = ", ".join(f"`{t}` string" for t in tags)
     return (spark.read.schema(schema).option("header", False).option("quote", '"').option("escape", '"')
-            .option("nullValue", "\u0000").option("multiLine", True).csv(path))
+            .option("nullValue", NO_NULLS).option("multiLine", True).csv(path))

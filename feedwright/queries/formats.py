@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from feedwright.operators.metadata import project
 from feedwright.operators.rules import job_numbers, missing_numbers, naming_check as _naming_check
-from feedwright.plans.job_defs import check_job_definitions
+from feedwright.operators.rules import unnumbered_jobs as _unnumbered_jobs
+from feedwright.plans.job_defs import parse_job_definitions
 from feedwright.plans.xml_feed import read_feed_csv, xml_feed_to_csv as _xml_feed_to_csv
 from feedwright.queries import register
 from feedwright.session import scratch_path
@@ -19,7 +20,7 @@ from feedwright.sinks.files import write_csv, write_lines, write_xml
 from feedwright.sources import derive
 from feedwright.sources.files import latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
 from feedwright.sources.tables import read_table
-from feedwright.sources.xml import read_xml_rows
+from feedwright.sources.xml import read_xml_raw, read_xml_rows, xml_faults, xml_rows
 from feedwright.streaming.delimiter_stream import start_delimiter_stream
 
 FILE_ROWS = 1000         # rows per landed CSV / line file (multi-line CSV: one task per file)
@@ -102,7 +103,8 @@ def xml_roundtrip(spark, sf_dir):
     return _typed_orders(read_xml_rows(spark, path, "row", ORDERS_TAGS))
 
 
-@register("xml_malformed_prefix", "SELECT * FROM orders WHERE o_orderkey % 89 <> 0")
+@register("xml_malformed_prefix", """
+SELECT *, (SELECT count(*) FROM orders WHERE o_orderkey % 89 < 2) AS faults FROM orders WHERE o_orderkey % 89 > 1""")
 def xml_malformed_prefix(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     el = lambda c, v: F.concat(F.lit(f"<{c}>"), v, F.lit(f"</{c}>"))
@@ -111,20 +113,21 @@ def xml_malformed_prefix(spark, sf_dir):
         el("o_orderstatus", F.col("o_orderstatus")), el("o_totalprice", F.col("o_totalprice").cast("string")),
         el("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")),
         el("o_orderpriority", F.col("o_orderpriority")))
-    # every 89th record is cut (an element opened and never closed). One XML
-    # document per block of DOC_ROWS order keys (bounded by construction: keys
-    # are unique), cut records last: the reader keeps the rows before a fault
-    # and loses the rest of that document, i.e. each file is a truncated feed.
-    bad = F.col("o_orderkey") % 89 == 0
-    line = F.concat(F.lit("<row>"), body, F.when(bad, F.lit("<o_note>")).otherwise(F.lit("")), F.lit("</row>"))
+    # every 89th record is cut (an element opened and never closed), and every 89th but one
+    # is never closed itself: faults stand between good rows throughout each document
+    cut, unclosed = F.col("o_orderkey") % 89 == 0, F.col("o_orderkey") % 89 == 1
+    line = F.concat(F.lit("<row>"), body, F.when(cut, F.lit("<o_note>")).otherwise(F.lit("")),
+                    F.when(unclosed, F.lit("")).otherwise(F.lit("</row>")))
     rows = orders.select(F.floor(F.col("o_orderkey") / DOC_ROWS).alias("doc"),
-                         F.struct(bad.alias("bad"), F.col("o_orderkey"), line.alias("line")).alias("r"))
+                         F.struct(F.col("o_orderkey"), line.alias("line")).alias("r"))
     docs = rows.groupBy("doc").agg(F.sort_array(F.collect_list("r")).alias("rs"))
     text = docs.select(F.concat(F.lit("<rows>\n"), F.array_join(F.transform("rs", lambda x: x["line"]), "\n"),
                                 F.lit("\n</rows>")).alias("value"))
     path = scratch_path(spark, "xml-malformed")
-    write_lines(text, path, max_records_per_file=1)
-    return _typed_orders(read_xml_rows(spark, path, "row", ORDERS_TAGS))
+    write_lines(text, path)
+    raw = read_xml_raw(spark, path, "row", ORDERS_TAGS)
+    rows = xml_rows(raw, ORDERS_TAGS)
+    return _typed_orders(rows).withColumn("faults", F.lit(xml_faults(raw).first()["faults"]).cast("long"))
 
 
 @register("xml_feed_to_csv", """
@@ -180,8 +183,7 @@ def job_definitions_check(spark, sf_dir):
     path = scratch_path(spark, "job-defs")
     write_xml(_jobs_frame(spark, sf_dir), path, "JOB", "SMART_FOLDER",
               max_records_per_file=XML_FILE_ROWS)
-    flags, _missing = check_job_definitions(spark, path)
-    return flags
+    return _naming_check(parse_job_definitions(spark, path))
 
 
 @register("sequence_gaps", """
@@ -192,3 +194,11 @@ WHERE g NOT IN (SELECT job_num FROM n)""")
 def sequence_gaps(spark, sf_dir):
     jobs = derive.job_conditions_from_part(read_table(spark, sf_dir, "part")).select("jobname")
     return missing_numbers(spark, job_numbers(jobs), "job_num")
+
+
+@register("unnumbered_jobs", """
+SELECT DISTINCT p_name AS jobname FROM part
+WHERE TRY_CAST(right(split_part(p_name, '-', 1), 3) AS INTEGER) IS NULL""")
+def unnumbered_jobs(spark, sf_dir):
+    """H2: names that hold no job number are reported, not dropped (part names stand in for job names)."""
+    return _unnumbered_jobs(read_table(spark, sf_dir, "part").select(F.col("p_name").alias("jobname")))

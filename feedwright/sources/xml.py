@@ -1,11 +1,18 @@
-"""XML feeds through Spark's ``xml`` data source.
+"""XML feeds.
 
-The reader splits the input by row tag across files, so a feed is parsed in
-parallel instead of as one in-memory tree.
+A feed is read as text with the closing row tag as the line separator, so a file is split
+at its records (one file is many tasks) and each record is parsed on its own
+with ``from_xml``. A fault costs its record only: every other row survives,
+and the lost ones are counted (``xml_faults``).
+
+Limits: the row tag is the outermost element read (a row inside a row makes the outer
+one a fault), the closing tag is written without blanks, and row tags in comments or CDATA sections count as tags.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +22,34 @@ CORRUPT = "_corrupt_record"
 
 def read_xml_raw(spark: SparkSession, path: str, row_tag: str, tags: list[str]) -> DataFrame:
     """Every wanted tag as ``array<string>`` (so repeats are kept in order) plus
-    the corrupt-record column; surrounding spaces are kept."""
+    the corrupt-record column, which holds the text of a record that isn't well-formed (the
+    tags of such a row are null); surrounding spaces are kept."""
     schema = T.StructType([T.StructField(t, T.ArrayType(T.StringType())) for t in tags]
                           + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreSurroundingSpaces", False)
-            .schema(schema).load(path))
+    tag = re.escape(row_tag)
+    opened, alone = rf"<{tag}(?=[\s>/])", rf"(?s)^<{tag}(\s[^>]*)?/>"
+    # one text per closing tag; what stands before the record's own opening tag is split off:
+    # a document's head, or records that were never closed
+    chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path).select(F.split("value", f"(?={opened})").alias("parts"))
+    last = F.size("parts") - 1
+    parts = chunks.select(F.posexplode("parts").alias("i", "part"), last.alias("last"))
+    is_row, is_empty = F.col("part").rlike(f"^{opened}"), F.col("part").rlike(alone)
+    # text without an opening tag is a head or a tail of markup; a value or an element in it belongs to a lost record
+    rest = F.regexp_replace("part", r"(?s)<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>", "")
+    stray = (F.col("i") == 0) & ~is_row & F.regexp_replace(rest, r"</?[^<>]*>", "").rlike(r"\S")
+    record = (F.when(is_empty, F.regexp_extract("part", alone, 0))
+              .when(is_row & (F.col("i") == F.col("last")), F.concat("part", F.lit(f"</{row_tag}>"))))
+    rows = parts.where(is_row | stray).select("part", record.alias("record"))
+    parsed = F.from_xml("record", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                                           "rowTag": row_tag, "ignoreSurroundingSpaces": "false"})
+    out = rows.select("part", "record", parsed.alias("r"))
+    bad = F.col("record").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    return out.select(*[F.when(~bad, F.col(f"r.`{t}`")).alias(t) for t in tags], F.when(bad, F.col("part")).alias(CORRUPT))
+
+
+def xml_faults(raw: DataFrame) -> DataFrame:
+    """Number of records that are lost because they aren't well-formed."""
+    return raw.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("faults"))
 
 
 def xml_rows(raw: DataFrame, tags: list[str], key: str | None = None) -> DataFrame:
