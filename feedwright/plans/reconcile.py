@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedwright.operators.dq import reconcile, run_check
+from feedwright.operators.dq import CHECKS, bound_text, jdbc_check, jobstat_check_stats, reconcile, require_single_row, run_check, to_stats
+from feedwright.sources.jdbc import scan_jdbc
+from feedwright.sources.scans import scan_sql
 
 
 def dq_reconcile(spark: SparkSession, source_check: dict, target_check: dict,
@@ -16,43 +21,63 @@ def dq_reconcile(spark: SparkSession, source_check: dict, target_check: dict,
 
 
 def reconcile_scripts(spark: SparkSession, plan: DataFrame, load_script, params: dict | None = None,
-                      views: dict | None = None, tolerance: float = 0.0, strict: bool = True) -> DataFrame:
+                      views: dict | None = None, tolerance: float = 0.0, strict: bool = True,
+                      jobstat: DataFrame | None = None, secrets: dict | None = None, target_type: str = "HIVE") -> DataFrame:
     """M4 with one script per sub-group, as the reference's DQ plans hold them.
 
     ``plan`` is the DQ plan of one group (B6: sub_group_nm, src_qry_scr,
-    tgt_qry_scr, db_type, db_server, …) — metadata, one row per sub-group, so it
-    is collected. ``load_script(name)`` returns the script text (or a path).
-    Each script's one-row result is tagged with its sub-group and unpivoted; all
-    sub-groups are unioned and reconciled in one job. With many sub-groups over
-    the same table, one grouped script per side (``dq_reconcile``) reads the
-    table once instead of once per sub-group.
-    """
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from feedwright.operators.dq import require_single_row, to_stats
-    from feedwright.sources.jdbc import JDBC_TYPES, scan_jdbc
-    from feedwright.sources.scans import scan_sql
-
-    def one(row, script_col):
-        text = load_script(row[script_col])
-        args = dict(params or {}, SUB_GROUP=row["sub_group_nm"])
-        if row["db_type"].upper() in JDBC_TYPES:
-            for k, v in args.items():
-                text = text.replace(f"<<{k}>>", str(v))
-            df = scan_jdbc(spark, row["db_type"], row["db_server"], query=text)
-        else:
-            df = scan_sql(spark, text, args, views)
-        df = df.withColumn("sub_group", F.lit(row["sub_group_nm"]))
-        if strict:
-            require_single_row(df)
-        return to_stats(df)
+    tgt_qry_scr, db_type, db_server, db_user, …) — metadata, one row per sub-group, so it
+    is collected. ``load_script(name)`` returns the script text (or a path). Source
+    scripts run on the row's source type through the check registry (a ``JOBSTAT`` row takes
+    the run-status table, its sub-group naming ``feed|date``), target scripts on the target.
 
+    Sub-groups that name the same script share it: a script is run once per side with
+    ``SUB_GROUP`` bound per sub-group where it uses it, and once for all of them where it
+    groups by a ``sub_group`` column itself. All results are unioned and reconciled in one job; the one-row rule
+    (R18) is checked on the unioned results of a side, in one job per side.
+    """
     rows = plan.collect()
+    empty = "sub_group string, stat string, src_value decimal(38,10), tgt_value decimal(38,10), diff decimal(38,10), dq_status string"
     if not rows:
-        return spark.createDataFrame([], "sub_group string, stat string, src_value double, tgt_value double, "
-                                         "diff double, dq_status string")
-    src = reduce(lambda a, b: a.unionByName(b), [one(r, "src_qry_scr") for r in rows])
-    tgt = reduce(lambda a, b: a.unionByName(b), [one(r, "tgt_qry_scr") for r in rows])
+        return spark.createDataFrame([], empty)
+
+    def wide(db_type, row, text, args):
+        if CHECKS.get(db_type) is jdbc_check:
+            user = row["db_user"] if "db_user" in row.asDict() else None
+            return scan_jdbc(spark, db_type, row["db_server"], query=bound_text(text, args), user=user,
+                             password=(secrets or {}).get(row["db_server"]))
+        return scan_sql(spark, text, args, views)
+
+    def side(script_col, type_of):
+        done, results = set(), []
+        for row in rows:
+            db_type = type_of(row).upper()
+            if db_type not in CHECKS:
+                raise ValueError(f"no DQ check for source type {db_type!r}")
+            if CHECKS[db_type] is jobstat_check_stats:
+                if jobstat is None:
+                    raise ValueError("a JOBSTAT check needs the run-status table")
+                stats = jobstat_check_stats(spark, jobstat).where(F.col("sub_group") == row["sub_group_nm"])
+                results.append((None, stats))
+                continue
+            text = load_script(row[script_col])
+            per_group = "<<SUB_GROUP>>" in text.replace(" ", "") or ":SUB_GROUP" in text
+            where = (row[script_col], db_type, row["db_server"])
+            if not per_group and where in done:
+                continue
+            done.add(where)
+            df = wide(db_type, row, text, dict(params or {}, **({"SUB_GROUP": row["sub_group_nm"]} if per_group else {})))
+            if "sub_group" not in df.columns:
+                df = df.withColumn("sub_group", F.lit(row["sub_group_nm"]))
+            df = df.withColumn("sub_group", F.col("sub_group").cast("string"))
+            results.append((df.select("sub_group"), to_stats(df)))
+        if strict:
+            groups = [g for g, _ in results if g is not None]
+            want = [r["sub_group_nm"] for r in rows if CHECKS[type_of(r).upper()] is not jobstat_check_stats]
+            if groups:
+                require_single_row(reduce(DataFrame.unionByName, groups), expected=sorted(set(want)))
+        return reduce(DataFrame.unionByName, [s for _, s in results])
+
+    src = side("src_qry_scr", lambda r: r["db_type"])
+    tgt = side("tgt_qry_scr", lambda r: target_type)
     return reconcile(src, tgt, tolerance)

@@ -59,34 +59,50 @@ def dq_not_empty_groups(spark, sf_dir):
 # identifier parameter (C11).
 DQ_STATS_SQL = """
 SELECT l_returnflag AS sub_group, count(*) AS row_count, sum(l_quantity) AS sum_qty,
-       sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS sum_price_cents
+       sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS sum_price_cents,
+       CAST(1152921504606846976 AS DECIMAL(38,0)) + count(*) AS large_sum, max(l_linestatus) AS last_status
 FROM IDENTIFIER(<<TABLE>>)
 GROUP BY l_returnflag"""
 
 _DQ_DUCK = """
 SELECT l_returnflag AS sub_group, count(*) AS row_count, sum(l_quantity) AS sum_qty,
-       sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS sum_price_cents
+       sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS sum_price_cents,
+       CAST(1152921504606846976 AS HUGEINT) + count(*) AS large_sum
 FROM ({src}) t GROUP BY l_returnflag"""
 
 
+_STATS = ("row_count", "sum_qty", "sum_price_cents", "large_sum")
+
+
 def _tall(q: str) -> str:
-    return (f"SELECT sub_group, stat, value FROM (SELECT sub_group, CAST(row_count AS DOUBLE) AS row_count, "
-            f"CAST(sum_qty AS DOUBLE) AS sum_qty, CAST(sum_price_cents AS DOUBLE) AS sum_price_cents FROM ({q})) "
-            f"UNPIVOT (value FOR stat IN (row_count, sum_qty, sum_price_cents))")
+    # exact: integers as they are, the quantity (a double) to ten places
+    return " UNION ALL ".join(f"SELECT sub_group, '{c}' AS stat, CAST({c} AS DECIMAL(38,10)) AS value FROM ({q})" for c in _STATS)
+
+
+def _last(src: str) -> str:
+    return f"SELECT l_returnflag AS sub_group, max(l_linestatus) AS text FROM ({src}) GROUP BY l_returnflag"
 
 
 @register("dq_reconcile", f"""
 WITH s AS ({_tall(_DQ_DUCK.format(src="SELECT * FROM lineitem"))}),
-     t AS ({_tall(_DQ_DUCK.format(src="SELECT * FROM lineitem WHERE l_linenumber <> 7"))})
+     t AS ({_tall(_DQ_DUCK.format(src="SELECT * FROM lineitem WHERE l_linenumber <> 7"))}),
+     sx AS ({_last("SELECT * FROM lineitem")}), tx AS ({_last("SELECT * FROM lineitem WHERE l_linenumber <> 7")})
 SELECT coalesce(s.sub_group, t.sub_group) AS sub_group, coalesce(s.stat, t.stat) AS stat,
-       s.value AS src_value, t.value AS tgt_value, t.value - s.value AS diff,
+       CAST(s.value AS DOUBLE) AS src_value, CAST(t.value AS DOUBLE) AS tgt_value, CAST(t.value - s.value AS DOUBLE) AS diff,
        CASE WHEN s.value IS NULL THEN 'MISSING_SOURCE' WHEN t.value IS NULL THEN 'MISSING_TARGET'
-            WHEN abs(t.value - s.value) <= 0.0 THEN 'MATCH' ELSE 'MISMATCH' END AS dq_status
-FROM s FULL OUTER JOIN t ON s.sub_group = t.sub_group AND s.stat = t.stat""")
+            WHEN t.value = s.value THEN 'MATCH' ELSE 'MISMATCH' END AS dq_status
+FROM s FULL OUTER JOIN t ON s.sub_group = t.sub_group AND s.stat = t.stat
+UNION ALL
+SELECT coalesce(sx.sub_group, tx.sub_group), 'last_status', NULL, NULL, NULL,
+       CASE WHEN sx.text IS NULL THEN 'MISSING_SOURCE' WHEN tx.text IS NULL THEN 'MISSING_TARGET'
+            WHEN sx.text = tx.text THEN 'MATCH' ELSE 'MISMATCH' END
+FROM sx FULL OUTER JOIN tx ON sx.sub_group = tx.sub_group""")
 def dq_reconcile(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     views = {"fw_dq_source": li, "fw_dq_target": li.where(F.col("l_linenumber") != 7)}
-    return _dq_reconcile(
+    found = _dq_reconcile(
         spark,
         {"db_type": "HIVE", "query": DQ_STATS_SQL, "params": {"TABLE": "fw_dq_source"}, "views": views},
         {"db_type": "HIVE", "query": DQ_STATS_SQL, "params": {"TABLE": "fw_dq_target"}, "views": views})
+    # compared exactly; shown as doubles
+    return found.select("sub_group", "stat", *[F.col(c).cast("double").alias(c) for c in ("src_value", "tgt_value", "diff")], "dq_status")
