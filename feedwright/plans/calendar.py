@@ -26,35 +26,37 @@ RUN = "RUN"
 
 
 def calendar_decision(calendar: DataFrame, holidays: DataFrame, run_date: _dt.date,
-                      feed_col: str = "SOURCETBLNM") -> DataFrame:
+                      feed_col: str = "SOURCETBLNM", schema_col: str = "SOURCESCHEMA") -> DataFrame:
     """M1/B3/D1 for every calendar row: the effective date is ``run_date - LAG_DAYS``;
     the weekday flag gives Y/N and a holiday overrides it both ways.
 
-    Output per feed: eff_date, day_of_eff, holiday_dt, run_switch and
+    Feeds are told apart by (schema, table): the same table name in two schemas is two feeds.
+    Output per feed: schema_name, feed, eff_date, day_of_eff, holiday_dt, run_switch and
     n_calendar_rows (a feed with 0 or >1 joined rows is unusable, R: M1 error).
-    ``holidays`` must already be a bounded or checked broadcast side.
     """
     eff = f"date_sub(DATE'{run_date.isoformat()}', LAG_DAYS)"
     weekday = "CASE date_format(eff_date, 'EEE') " + " ".join(
         f"WHEN '{d.capitalize()}' THEN RUN_ON_{d}" for d in WEEKDAYS) + " END"
-    cal = calendar.selectExpr(f"`{feed_col}` AS feed", f"{eff} AS eff_date", "RUN_ON_HOLIDAY",
-                              *[f"RUN_ON_{d}" for d in WEEKDAYS])
+    cal = calendar.selectExpr(f"`{schema_col}` AS schema_name", f"`{feed_col}` AS feed", f"{eff} AS eff_date",
+                              "RUN_ON_HOLIDAY", *[f"RUN_ON_{d}" for d in WEEKDAYS])
     j = cal.join(holidays.select("HOLIDAY_DT"), cal["eff_date"] == F.col("HOLIDAY_DT"), "left")
     switch = (f"coalesce(CASE WHEN HOLIDAY_DT IS NOT NULL THEN RUN_ON_HOLIDAY = 'Y' "
               f"ELSE ({weekday}) = 'Y' END, false)")
     # fixed-width aggregation buffers (date, boolean, count) keep this a hash
     # aggregate; the text columns are derived after it
-    per_feed = j.groupBy("feed").agg(
+    per_feed = j.groupBy("schema_name", "feed").agg(
         F.max("eff_date").alias("eff_date"), F.max("HOLIDAY_DT").alias("holiday_dt"),
         F.expr(f"max({switch})").alias("_switch"), F.count(F.lit(1)).alias("n_calendar_rows"))
     return per_feed.selectExpr(
-        "feed", "eff_date", "date_format(eff_date, 'EEE') AS day_of_eff", "holiday_dt",
+        "schema_name", "feed", "eff_date", "date_format(eff_date, 'EEE') AS day_of_eff", "holiday_dt",
         "CASE WHEN _switch THEN 'Y' ELSE 'N' END AS run_switch", "n_calendar_rows")
 
 
 def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame) -> DataFrame:
-    """M2: per request ``(feed, explicit_from, explicit_end, override)`` the load
-    window and the decision, tested in this order:
+    """M2: per request ``(schema_name, feed, explicit_from, explicit_end, override)`` the load
+    window and the decision. Requests and decisions meet on (schema, feed) where both name the
+    schema, else on the feed; run status is kept per feed, and per schema where it names one.
+    Tested in this order:
 
     0. end date without from date, or not exactly one calendar row -> refused
     1. calendar window of one day and switch N          -> NOT_SCHEDULED
@@ -68,18 +70,24 @@ def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame)
     """
     # one aggregate over the run-status table: its completed windows; the
     # high-water mark is the latest of them (feeds without one get null below)
+    named = "schema_name" in requests.columns
+    keys = ["schema_name", "feed"] if named and "schema_name" in decisions.columns else ["feed"]
+    state = ["schema_name", "feed"] if named and "schema_name" in jobstat.columns else ["feed"]
     windows = (jobstat.where(F.col("status") == COMPLETED)
-               .select("feed", F.col("filedate").alias("from_date"), F.col("file_end_dt").alias("end_date"))
+               .select(*state, F.col("filedate").alias("from_date"), F.col("file_end_dt").alias("end_date"))
                .distinct())
-    hwm = windows.groupBy("feed").agg(F.max("end_date").alias("hwm"))
+    hwm = windows.groupBy(*state).agg(F.max("end_date").alias("hwm"))
     done = windows.withColumn("completed", F.lit(True))
-    p = requests.join(decisions, "feed", "left").join(hwm, "feed", "left")
+    if not named and "schema_name" in decisions.columns:
+        decisions = decisions.drop("schema_name")
+    p = requests.join(decisions, keys, "left").join(hwm, state, "left")
+    out = ["schema_name"] if named else []
     p = p.selectExpr(
-        "feed", "explicit_from", "explicit_end", "override", "run_switch", "n_calendar_rows", "hwm",
+        *out, "feed", "explicit_from", "explicit_end", "override", "run_switch", "n_calendar_rows", "hwm",
         "CASE WHEN explicit_from IS NOT NULL THEN explicit_from ELSE coalesce(date_add(hwm, 1), eff_date) END "
         "AS from_date",
         "CASE WHEN explicit_from IS NOT NULL THEN coalesce(explicit_end, explicit_from) ELSE eff_date END AS end_date")
-    p = p.join(done, ["feed", "from_date", "end_date"], "left")
+    p = p.join(done, [*state, "from_date", "end_date"], "left")
     decision = f"""CASE
         WHEN explicit_end IS NOT NULL AND explicit_from IS NULL THEN '{END_WITHOUT_FROM}'
         WHEN explicit_from IS NULL AND coalesce(n_calendar_rows, 0) <> 1 THEN '{NO_CALENDAR}'
@@ -93,17 +101,20 @@ def plan_windows(requests: DataFrame, decisions: DataFrame, jobstat: DataFrame)
         WHEN '{ABORTED}' THEN concat('JOB ABORTED: FROM DATE ', {ymd('from_date')}, ' GREATER THAN END DATE ',
                                      {ymd('end_date')})
         WHEN '{GRACEFUL_EXIT}' THEN 'GRACEFUL EXIT PERFORMED'
-        WHEN '{NO_CALENDAR}' THEN 'No Calendar Metadata Available'
-        WHEN '{END_WITHOUT_FROM}' THEN 'End Date not accepted without from date'
+        WHEN '{NO_CALENDAR}' THEN 'give the feed exactly one calendar row'
+        WHEN '{END_WITHOUT_FROM}' THEN 'give a from date with the end date'
         ELSE concat('RUN ', {ymd('from_date')}, ' TO ', {ymd('end_date')}) END"""
-    return (p.selectExpr("feed", "from_date", "end_date", "run_switch", "hwm", f"{decision} AS decision")
+    return (p.selectExpr(*out, "feed", "from_date", "end_date", "run_switch", "hwm", f"{decision} AS decision")
             .selectExpr("*", f"{message} AS message"))
 
 
-def job_calendar_check(decisions: DataFrame, feed: str) -> tuple[str, _dt.date]:
+def job_calendar_check(decisions: DataFrame, feed: str, schema: str | None = None) -> tuple[str, _dt.date]:
     """M1 for one feed, as the reference's per-job call: ``(run_switch,
     effective date)``; no calendar row or more than one is an error."""
-    rows = decisions.where(F.col("feed") == feed).select("run_switch", "eff_date", "n_calendar_rows").limit(2).collect()
+    of = decisions.where(F.col("feed") == feed)
+    if schema is not None:
+        of = of.where(F.upper("schema_name") == schema.upper())
+    rows = of.select("run_switch", "eff_date", "n_calendar_rows").limit(2).collect()
     if len(rows) != 1 or rows[0]["n_calendar_rows"] != 1:
-        raise RuntimeError(f"No Calendar Metadata Available for {feed}")
+        raise RuntimeError(f"{feed} needs exactly one calendar row; add one or remove the others")
     return rows[0]["run_switch"], rows[0]["eff_date"]

@@ -63,12 +63,18 @@ def planning_jobstat(events: DataFrame, customer: DataFrame, run_date=PLAN_RUN_D
 
 
 def calendar_from_customers(customer: DataFrame) -> DataFrame:
-    """one calendar row per feed (customer)."""
-    flags = [f"CASE WHEN shiftright(c_custkey, {i}) % 2 = 1 THEN 'Y' ELSE 'N' END AS RUN_ON_{d}"
+    """the calendar rows of the feeds (customers). Every 11th table name occurs in a second
+    schema with other flags, every 13th feed has no row in the first one, every 17th has two."""
+    flags = [f"CASE WHEN shiftright(c_custkey + shift, {i}) % 2 = 1 THEN 'Y' ELSE 'N' END AS RUN_ON_{d}"
              for i, d in enumerate(WEEKDAYS)]
-    return customer.selectExpr(
-        "'CRM' AS SOURCESCHEMA", "c_name AS SOURCETBLNM", "CAST(c_custkey % 5 AS INT) AS LAG_DAYS",
-        "CASE WHEN c_custkey % 3 = 0 THEN 'Y' ELSE 'N' END AS RUN_ON_HOLIDAY", *flags)
+    entries = customer.selectExpr("c_custkey", "c_name", """explode(filter(array(
+        named_struct('s', 'CRM', 'shift', 0, 'ok', c_custkey % 13 <> 0),
+        named_struct('s', 'CRM', 'shift', 0, 'ok', c_custkey % 17 = 0),
+        named_struct('s', 'ERP', 'shift', 3, 'ok', c_custkey % 11 = 0)), x -> x.ok)) AS e""").selectExpr(
+        "c_custkey", "c_name", "e.s AS s", "e.shift AS shift")
+    return entries.selectExpr(
+        "s AS SOURCESCHEMA", "c_name AS SOURCETBLNM", "CAST((c_custkey + shift) % 5 AS INT) AS LAG_DAYS",
+        "CASE WHEN (c_custkey + shift) % 3 = 0 THEN 'Y' ELSE 'N' END AS RUN_ON_HOLIDAY", *flags)
 
 
 def holidays_from_orders(orders: DataFrame) -> DataFrame:
@@ -81,10 +87,13 @@ def holidays_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def plan_requests(customer: DataFrame) -> DataFrame:
-    """One planning request per feed; some ask for an explicit window."""
+    """One planning request per feed of the first schema, and of the second where the name occurs there;
+    some ask for an explicit window."""
     d = f"DATE'{EXPLICIT_DATE.isoformat()}'"
     return customer.selectExpr(
-        "c_name AS feed",
+        "c_custkey", "c_name", "explode(filter(array('CRM', CASE WHEN c_custkey % 11 = 0 THEN 'ERP' END), x -> x IS NOT NULL)) AS s",
+    ).selectExpr(
+        "s AS schema_name", "c_name AS feed",
         f"CASE WHEN c_custkey % 10 = 9 THEN {d} END AS explicit_from",
         f"CASE WHEN c_custkey % 10 = 9 THEN {d} END AS explicit_end",
         "c_custkey % 20 = 19 AS override")

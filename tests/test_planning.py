@@ -67,9 +67,9 @@ def test_plan_windows_every_decision(spark):
 def test_small_side_check(spark):
     df = spark.range(10)
     big = spark.range(100)
-    j = big.join(small_side(df, max_rows=20), "id")
+    j = big.join(small_side(df, max_bytes=400), "id")
     assert "Broadcast" in j._jdf.queryExecution().executedPlan().toString() or j.count() == 10
-    j2 = big.join(small_side(big, max_rows=20), "id")
+    j2 = big.join(small_side(big, max_bytes=400), "id")
     assert j2.count() == 100
 
 
@@ -81,5 +81,16 @@ def test_job_calendar_check_errors(spark):
                                 "feed string, eff_date date, run_switch string, n_calendar_rows long")
     assert job_calendar_check(dec, "A") == ("Y", WED)
     for feed in ("B", "missing"):
-        with pytest.raises(RuntimeError, match="No Calendar"):
+        with pytest.raises(RuntimeError, match="calendar row"):
             job_calendar_check(dec, feed)
+
+
+def test_same_table_name_in_two_schemas(spark):
+    rows = [("S1",) + cal_row("A", 0, "N", wed="Y")[1:], ("S2",) + cal_row("A", 0, "N")[1:]]
+    none = spark.createDataFrame([], "HOLIDAY_DT date, HOLIDAY_DESC string")
+    dec = calendar_decision(spark.createDataFrame(rows, CAL_SCHEMA), none, WED)
+    assert sorted((r.schema_name, r.run_switch, r.n_calendar_rows) for r in dec.collect()) == [("S1", "Y", 1), ("S2", "N", 1)]
+    req = spark.createDataFrame([(s, "A", None, None, False) for s in ("S1", "S2", "S3")],
+                                "schema_name string, feed string, explicit_from date, explicit_end date, override boolean")
+    got = {r.schema_name: r.decision for r in plan_windows(req, dec, _jobstat(spark, [])).collect()}
+    assert got == {"S1": "RUN", "S2": "NOT_SCHEDULED", "S3": "NO_CALENDAR"}
