@@ -26,7 +26,7 @@ def relations_with_parent(relations: DataFrame, namespaces: DataFrame, partition
                     "relname", "size_bytes", "reltuples")
 
 
-def table_sizes(rel_parent: DataFrame, schemas) -> DataFrame:
+def table_sizes(rel_parent: DataFrame, schemas, ordered: bool = True) -> DataFrame:
     """Size, partition count and row count per table of the listed
     schemas (case-insensitive; unpartitioned tables kept, R14), largest first
     (the sort runs on the per-table aggregate, one row per table)."""
@@ -34,8 +34,9 @@ def table_sizes(rel_parent: DataFrame, schemas) -> DataFrame:
     g = t.groupBy("schema_name", "table_name").agg(
         F.sum("size_bytes").alias("size_bytes"), F.count(F.lit(1)).alias("n_partitions"),
         F.sum("reltuples").alias("n_rows"))
-    return g.select("schema_name", "table_name", "size_bytes", size_pretty("size_bytes").alias("size_pretty"),
-                    "n_partitions", "n_rows").orderBy(F.desc("size_bytes"), "schema_name", "table_name")
+    out = g.select("schema_name", "table_name", "size_bytes", size_pretty("size_bytes").alias("size_pretty"),
+                   "n_partitions", "n_rows")
+    return out.orderBy(F.desc("size_bytes"), "schema_name", "table_name") if ordered else out
 
 
 def schema_share(relations: DataFrame, schemas) -> DataFrame:
@@ -67,34 +68,30 @@ def database_size(files: DataFrame) -> DataFrame:
                                                          F.count(F.lit(1)).alias("n_files"))
 
 
-def total_and_external(files: DataFrame, data_suffix: str = ".parquet") -> DataFrame:
-    """E9 (re-aimed): all bytes under a table path versus bytes outside its
-    data files (checksums, markers, metadata)."""
-    is_data = F.col("path").endswith(data_suffix)
-    return files.agg(F.sum("length").alias("total_bytes"),
-                     F.sum(F.when(is_data, F.col("length")).otherwise(F.lit(0))).alias("data_bytes"),
-                     F.sum(F.when(is_data, F.lit(0)).otherwise(F.col("length"))).alias("external_bytes"))
+def total_and_external(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """E9 (re-aimed): per table path all bytes (hidden files included), the bytes of
+    its data files and the bytes outside them (checksums, markers, metadata), largest first.
 
+    Spark's own listing hides ``_`` and ``.`` files, so the totals come from
+    the file system: one content summary per table."""
+    from feedwright.sources import storage
+    rows = []
+    for name, path in tables.items():
+        listed = file_listing(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long")).first()[0]
+        total = storage.total_bytes(spark, path)
+        rows.append((name, total, int(listed), total - int(listed)))
+    out = spark.createDataFrame(rows, "table_name string, total_bytes long, data_bytes long, external_bytes long")
+    return out.orderBy(F.desc("total_bytes"), "table_name")
 
-def path_bytes(spark: SparkSession, path: str, where=None, replicas: int = 3) -> DataFrame:
-    """Bytes of the data files below a table path, optionally restricted
-    to some partitions (partition columns are discovered from the folder names,
-    so the restriction prunes the listing), and bytes x replicas. Only the file
-    listing is used: no file is opened."""
-    files = spark.read.format("binaryFile").load(path).drop("content")
-    if where is not None:
-        files = files.where(where)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("size_bytes")).select(
-        "size_bytes", (F.col("size_bytes") * replicas).alias("replica_bytes"))
 
-
-def scanned_bytes(df: DataFrame, replicas: int = 3) -> DataFrame:
-    """Bytes of the files a DataFrame reads (per distinct file, from the
-    ``_metadata`` column) and bytes x replicas. This walks the rows of the scan;
-    for table folders prefer ``path_bytes``, which only lists files."""
-    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
-    return files.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("size_bytes")).select(
-        "size_bytes", (F.col("size_bytes") * replicas).alias("replica_bytes"))
+def path_bytes(spark: SparkSession, path: str, replicas: int = 3, partitions: list[str] | None = None) -> tuple[int, int]:
+    """Bytes below a table path, or below the named partition folders only (nothing
+    else is listed), and bytes x replicas."""
+    from feedwright.sources import storage
+    root = path.rstrip("/")
+    size = sum(storage.total_bytes(spark, f"{root}/{p}") for p in partitions) if partitions is not None \
+        else storage.total_bytes(spark, root)
+    return size, size * replicas
 
 
 def metric_rows(schema_sizes: DataFrame, tables: DataFrame, process_dt) -> DataFrame:
@@ -112,3 +109,21 @@ def metric_rows(schema_sizes: DataFrame, tables: DataFrame, process_dt) -> DataF
         F.col("size_pretty").alias("size1"), F.col("n_partitions").cast("string").alias("size2"),
         "size_bytes", F.lit(None).cast("double").alias("share_pct"), "n_partitions", "n_rows")
     return s.unionByName(t)
+
+
+def storage_rows(database: DataFrame, external: DataFrame, process_dt, name: str = "DATABASE") -> DataFrame:
+    """M6: the database size and the per-table size with its external part as metric rows."""
+    d = F.lit(process_dt).cast("date")
+    none = lambda t: F.lit(None).cast(t)
+    db = database.select(
+        F.lit("DATABASE_SIZE").alias("query_info"), d.alias("process_dt"), F.lit("DATABASE").alias("entity_type"),
+        F.lit(name).alias("container_name"), F.lit(name).alias("entity_name"),
+        size_pretty("size_bytes").alias("size1"), F.col("n_files").cast("string").alias("size2"),
+        "size_bytes", none("double").alias("share_pct"), none("long").alias("n_partitions"), none("long").alias("n_rows"))
+    ext = external.select(
+        F.lit("TABLE_TOTAL_AND_EXTERNAL").alias("query_info"), d.alias("process_dt"), F.lit("TABLE").alias("entity_type"),
+        F.lit(name).alias("container_name"), F.col("table_name").alias("entity_name"),
+        size_pretty("total_bytes").alias("size1"), size_pretty("external_bytes").alias("size2"),
+        F.col("total_bytes").alias("size_bytes"), none("double").alias("share_pct"), none("long").alias("n_partitions"),
+        none("long").alias("n_rows"))
+    return db.unionByName(ext)

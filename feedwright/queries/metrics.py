@@ -83,21 +83,39 @@ def metrics_rerun(spark, sf_dir):
 @register("file_sizes")
 def file_sizes(spark, sf_dir):
     """E8 (rows only: the oracle cannot see the file paths): bytes and files per
-    driver table, plus the database total over distinct files."""
-    files = m.file_listing(spark, sf_dir, "*.parquet")
-    name = F.regexp_extract(F.col("path"), r"([A-Za-z_]+)\.parquet$", 1)
-    tables = files.where(name.isin(*DRIVER_TABLES)).withColumn("table_name", name)
-    per_table = tables.groupBy("table_name").agg(F.sum("length").alias("size_bytes"),
-                                                 F.count(F.lit(1)).alias("n_files"))
-    total = m.database_size(tables).select(F.lit("DATABASE").alias("table_name"), "size_bytes", "n_files")
+    driver table — a file or a folder of part files — plus the database total over distinct files."""
+    root = sf_dir.rstrip("/")
+    files = None
+    for t in DRIVER_TABLES:
+        one = m.file_listing(spark, f"{root}/{t}.parquet").withColumn("table_name", F.lit(t))
+        files = one if files is None else files.unionByName(one)
+    per_table = files.groupBy("table_name").agg(F.sum("length").alias("size_bytes"),
+                                                F.count(F.lit(1)).alias("n_files"))
+    total = m.database_size(files).select(F.lit("DATABASE").alias("table_name"), "size_bytes", "n_files")
     return per_table.unionByName(total).withColumn("size_pretty", _size_pretty("size_bytes"))
 
 
 @register("total_external_size")
 def total_external_size(spark, sf_dir):
-    """E9 (rows only): a written copy of part, partitioned by brand — bytes in
-    data files versus bytes in markers and metadata."""
-    path = scratch_path(spark, "part-sizes")
-    read_table(spark, sf_dir, "part").write.partitionBy("p_brand").parquet(path)
-    sizes = m.total_and_external(m.file_listing(spark, path))
+    """E9 (rows only): written copies of part and supplier, partitioned — per table the
+    bytes in data files and the bytes in markers, checksums and metadata, largest first."""
+    tables = {"part": ("part", "p_brand"), "supplier": ("supplier", "s_nationkey")}
+    paths = {}
+    for name, (table, by) in tables.items():
+        paths[name] = scratch_path(spark, f"{name}-sizes")
+        read_table(spark, sf_dir, table).write.partitionBy(by).parquet(paths[name])
+    sizes = m.total_and_external(spark, paths)
     return sizes.select("*", _size_pretty("total_bytes").alias("size1"), _size_pretty("external_bytes").alias("size2"))
+
+
+@register("metrics_rerun_empty", _W + _METRIC_DAY_SQL.format(
+    d=METRIC_DAYS[1].isoformat(), pretty_s=pretty_sql("size_bytes"), pretty_t=pretty_sql("size_bytes")))
+def metrics_rerun_empty(spark, sf_dir):
+    """L3: a rerun of a day that now has no rows clears that day and leaves the others."""
+    c = _catalog(spark, sf_dir)
+    path = scratch_path(spark, "metrics-empty")
+    for d in METRIC_DAYS:
+        run_size_metrics(c["relations"], c["namespaces"], c["partitions"], derive.METRIC_SCHEMAS, d, path)
+    nothing = c["relations"].where("size_bytes < 0")
+    run_size_metrics(nothing, c["namespaces"], c["partitions"], derive.METRIC_SCHEMAS, METRIC_DAYS[0], path)
+    return spark.read.parquet(path).withColumn("process_dt", F.col("process_dt").cast("date"))
