@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "null_profile_lineitem", "validate_raw_refined", "delta_extract_range", "latest_linecount",
     "jobstat_upsert", "increment_plan", "csv_multiline", "xml_roundtrip",
-    "dq_reconcile", "calendar_decision", "table_sizes", "feed_jobstat_check",
+    "dq_reconcile", "calendar_decision", "table_sizes", "feed_jobstat_check", "ingest_refined",
 ]
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 def lower_keys_column(c: Column, dtype: T.DataType) -> Column:
     """Rebuild ``c`` with all struct field names and string map keys lower-cased."""
     if isinstance(dtype, T.StructType):
-        return F.struct(*[lower_keys_column(c.getField(f.name), f.dataType).alias(f.name.lower())
-                          for f in dtype.fields])
+        # a null record stays null (it doesn't become a record of nulls)
+        return F.when(c.isNotNull(), F.struct(*[lower_keys_column(c.getField(f.name), f.dataType).alias(f.name.lower())
+                                                for f in dtype.fields]))
     if isinstance(dtype, T.ArrayType):
         if _has_keys(dtype.elementType):
             return F.transform(c, lambda x: lower_keys_column(x, dtype.elementType))

@@ -57,7 +57,7 @@ def completed_windows(jobstat: DataFrame, requests: DataFrame,
                       from_col: str = "from_date", end_col: str = "end_date") -> DataFrame:
     """The requested windows that already have a completed row."""
     done = (jobstat.where(F.col("status") == COMPLETED)
-            .select("feed", F.col("filedate").alias(from_col), F.col("file_end_dt").alias(end_col)))
+            .select("feed", F.col("filedate").alias(from_col), F.col("file_end_dt").alias(end_col)).distinct())
     return requests.join(done, ["feed", from_col, end_col], "left_semi")
 
 

@@ -55,12 +55,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Taken from ``spark.checkpoint.dir``; only when the session names none (a local
-    test run) a fresh temporary folder is created and registered.
+    test run) a fresh temporary folder is created and registered; on a cluster
+    a missing setting is an error, as executors can't see a machine's own folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="feedwright-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

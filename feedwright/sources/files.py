@@ -13,37 +13,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedwright.functions.exprs import delimiter_repair, seam_repair
 
 
-def _first_n(cols: list[Column | str], n: int, names: list[str]) -> list[Column]:
-    out = []
-    for i in range(n):
-        if i < len(cols):
-            c = cols[i]
-            out.append((F.col(f"`{c}`") if isinstance(c, str) else c).alias(names[i]))
-        else:
-            out.append(F.lit(None).cast("string").alias(names[i] if i < len(names) else f"_c{i}"))
-    return out
+#: A value that no feed holds: with it as the null token, an empty quoted field stays empty.
+NO_NULLS = "\u0000"
 
 
 def read_multiline_csv(spark: SparkSession, path: str, n: int, sep: str = ",",
                        header: bool = True) -> DataFrame:
     """Quoted CSV with line breaks inside quotes; every value is a string,
-    header and rows are cut to exactly ``n`` columns (missing ones are null),
-    blank lines are dropped (R6, R7)."""
-    df = (spark.read.option("header", header).option("multiLine", True).option("sep", sep)
-          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    names = list(df.columns) + [f"_c{i}" for i in range(len(df.columns), n)]
-    repaired = [seam_repair(F.col(f"`{c}`")) for c in df.columns[:n]]
-    return df.select(*_first_n(repaired, n, names))
+    header and rows are cut to exactly ``n`` columns (missing ones are null, an empty quoted field is
+    ``""``), blank lines are dropped (R6, R7). Rows may be wider than the header: fields beyond it
+    are kept up to ``n`` as ``_c<i>``."""
+    reader = (spark.read.option("multiLine", True).option("sep", sep).option("quote", '"').option("escape", '"')
+              .option("mode", "PERMISSIVE").option("nullValue", NO_NULLS).option("emptyValue", ""))
+    names = reader.option("header", header).csv(path).columns if header else []
+    # the schema has n columns at least: a reader that takes the header's width drops what is beyond it
+    wide = max(n, len(names))
+    names = [*names, *(f"_c{i}" for i in range(len(names), wide))]
+    schema = T.StructType([T.StructField(f"_f{i}", T.StringType()) for i in range(wide)])
+    df = reader.option("header", header).option("enforceSchema", True).schema(schema).csv(path)
+    return df.select(*[seam_repair(F.col(f"_f{i}")).alias(names[i]) for i in range(n)])
 
 
 def read_first_n(spark: SparkSession, path: str, n: int, sep: str = ",") -> DataFrame:
     """Plain delimited lines, the first ``n`` fields as ``_c0 … _c{n-1}``;
-    the separator is literal and trailing empty fields are kept."""
-    lines = spark.read.option("lineSep", "\n").text(path).where(F.col("value") != "")
+    the separator is literal, trailing empty fields are kept and a line may end in CR LF."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.regexp_replace("value", "\r$", "").alias("value")).where(F.col("value") != "")
     parts = F.split(F.col("value"), _regex_literal(sep), -1)
     return lines.select(*[F.try_element_at(parts, F.lit(i + 1)).alias(f"_c{i}") for i in range(n)])
 

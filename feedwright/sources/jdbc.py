@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 JDBC_TYPES = {
     "ORACLE": ("jdbc:oracle:thin:@//", "oracle.jdbc.OracleDriver"),
     "ORACLE-SQOOP": ("jdbc:oracle:thin:@//", "oracle.jdbc.OracleDriver"),
+    "ORACLE-SQOOP-TNS": ("jdbc:oracle:thin:@", "oracle.jdbc.OracleDriver"),
     "SYBASE": ("jdbc:sybase:Tds:", "com.sybase.jdbc4.jdbc.SybDriver"),
     "SYBASE-SQOOP": ("jdbc:sybase:Tds:", "com.sybase.jdbc4.jdbc.SybDriver"),
     "SQLSERVER": ("jdbc:sqlserver://", "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
+    "SQLSERVER-SQOOP": ("jdbc:sqlserver://", "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
     "TERADATA": ("jdbc:teradata://", "com.teradata.jdbc.TeraDriver"),
     "GREENPLUM": ("jdbc:postgresql://", "org.postgresql.Driver"),
     "GPHDFS-PULL": ("jdbc:postgresql://", "org.postgresql.Driver"),

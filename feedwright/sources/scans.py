@@ -61,51 +61,143 @@ def scan_refined(df: DataFrame, part_col: str | None = None, from_date=None,
     return df.where(_date_pred(df, part_col, from_date, end))
 
 
-def scan_delta(df: DataFrame, delta_col: str | None, op: str = ">", from_val=None,
+def _column(df: DataFrame, name: str) -> str:
+    """The column's own spelling (metadata names come upper-cased)."""
+    same = [c for c in df.columns if c.lower() == name.lower()]
+    if name in df.columns:
+        return name
+    if len(same) != 1:
+        raise ValueError(f"no single column {name!r} in {df.columns}")
+    return same[0]
+
+
+#: Metadata date formats are upper-cased (B1): Spark's letters for their parts, longest first.
+_FORMAT_PARTS = (("YYYY", "yyyy"), ("HH24", "HH"), ("MI", "mm"), ("MM", "MM"), ("DD", "dd"), ("HH", "HH"), ("SS", "ss"), ("YY", "yy"))
+
+
+def spark_format(fmt: str) -> str:
+    """A metadata date format (``YYYYMMDD``, ``YYYY-MM-DD HH24:MI:SS``) in Spark's letters; Spark
+    formats (``yyyyMMdd``) stay."""
+    if fmt != fmt.upper():
+        return fmt
+    out, i = "", 0
+    while i < len(fmt):
+        for part, letters in _FORMAT_PARTS:
+            if fmt.startswith(part, i):
+                out, i = out + letters, i + len(part)
+                break
+        else:
+            out, i = out + fmt[i], i + 1
+    return out
+
+
+def _instant(value) -> tuple[_dt.datetime, bool]:
+    """A bound as a wall-clock time, and whether it names a whole day."""
+    if isinstance(value, _dt.datetime):
+        return value, False
+    if isinstance(value, _dt.date):
+        return _dt.datetime.combine(value, _dt.time()), True
+    s = str(value).strip()
+    if len(s) == 8 and s.isdigit() or len(s) == 10 and s[4] == "-" and s[7] == "-":
+        return _dt.datetime.combine(_as_date(s), _dt.time()), True
+    if s.isdigit() and len(s) == 14:
+        return _dt.datetime.strptime(s, "%Y%m%d%H%M%S"), False
+    return _dt.datetime.fromisoformat(s), False
+
+
+_PYTHON_PARTS = (("yyyy", "%Y"), ("MM", "%m"), ("dd", "%d"), ("HH", "%H"), ("mm", "%M"), ("ss", "%S"), ("yy", "%y"))
+
+
+def _as_text(at: _dt.datetime, fmt: str) -> str:
+    out = fmt
+    for letters, code in _PYTHON_PARTS:
+        out = out.replace(letters, code)
+    return at.strftime(out)
+
+
+def _delta_range(op: str, lo, hi) -> list[tuple[str, _dt.datetime]]:
+    """Comparisons of a point in time with the bounds; a day as a bound means all of it."""
+    at, day = _instant(lo)
+    after = at + _dt.timedelta(days=1) if day else None
+    if op == "between":
+        end, end_day = _instant(hi)
+        return [(">=", at), ("<", end + _dt.timedelta(days=1)) if end_day else ("<=", end)]
+    if not day:
+        return [(op, at)]
+    return {">": [(">=", after)], ">=": [(">=", at)], "<": [("<", at)], "<=": [("<", after)],
+            "=": [(">=", at), ("<", after)], "<>": [("<>", at)]}[op]
+
+
+def scan_delta(df: DataFrame, delta_col: str | None, op: str = "=", from_val=None,
                to_val=None, col_type: str = "DATE", col_fmt: str = "yyyyMMdd") -> DataFrame:
     """A3: delta extract. ``op`` is one of the six comparisons or ``between``
-    (inclusive range of from/to); no delta column means all rows."""
+    (inclusive range of from/to); no delta column means all rows.
+
+    The column stays bare and the bounds take its type, so the predicate is pushed
+    down: timestamps compare with the bound's time of day (a bound that is a day means the whole day),
+    text columns with the bound written in ``col_fmt`` (which must sort like the dates it
+    writes), numbers with its digits.
+    """
     if not delta_col:
         return df
+    name = _column(df, delta_col)
     kind = (col_type or "").upper()
-    dtype = df.schema[delta_col].dataType
-    if kind in ("DATE", "TIMESTAMP") and isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        lo_d = _as_date(from_val)
-        if op.strip().lower() == "between":
-            return df.where(_date_pred(df, delta_col, lo_d, to_val))
-        ts_type = "timestamp_ntz" if isinstance(dtype, T.TimestampNTZType) else (
-            "timestamp" if isinstance(dtype, T.TimestampType) else "date")
-        start = F.lit(lo_d) if ts_type == "date" else ts_literal(lo_d, ts_type)
-        if ts_type == "date" or op in (">=", "<"):
-            return df.where(compare(delta_col, op, start))
-        nxt = ts_literal(lo_d + _dt.timedelta(days=1), ts_type)
-        # a date compared with a timestamp column means the whole day
-        if op == ">":
-            return df.where(F.col(delta_col) >= nxt)
-        if op == "<=":
-            return df.where(F.col(delta_col) < nxt)
-        if op == "=":
-            return df.where((F.col(delta_col) >= start) & (F.col(delta_col) < nxt))
-        if op == "<>":
-            return df.where((F.col(delta_col) < start) | (F.col(delta_col) >= nxt))
-        return df.where(compare(delta_col, op, start))
-    lo = typed_literal(from_val, kind, col_fmt)
-    hi = typed_literal(to_val, kind, col_fmt) if to_val is not None else None
-    return df.where(compare(delta_col, op, lo, hi))
+    dtype = df.schema[name].dataType
+    op = op.strip().lower()
+    if op not in (">", ">=", "<", "<=", "=", "<>", "between"):
+        raise ValueError(f"operator {op!r} is not a comparison")
+    if kind not in ("DATE", "TIMESTAMP"):
+        lo = typed_literal(from_val, kind, col_fmt)
+        return df.where(compare(name, op, lo, typed_literal(to_val, kind, col_fmt) if to_val is not None else None))
+    c = F.col(f"`{name}`")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        ts = "timestamp_ntz" if isinstance(dtype, T.TimestampNTZType) else "timestamp"
+        bounds = _delta_range(op, from_val, to_val)
+        if bounds[0][0] == "<>" and _instant(from_val)[1]:
+            at = bounds[0][1]
+            return df.where((c < ts_literal(at, ts)) | (c >= ts_literal(at + _dt.timedelta(days=1), ts)))
+        pred = F.lit(True)
+        for o, at in bounds:
+            pred = pred & compare(c, o, ts_literal(at, ts))
+        return df.where(pred)
+    # one value per day (or per written instant): bounds of the column's type
+    if isinstance(dtype, T.DateType):
+        value = lambda v: F.lit(_instant(v)[0].date())
+    else:
+        fmt = spark_format(col_fmt)
+        if fmt.find("yy") > 0 and op not in ("=", "<>"):
+            raise ValueError(f"format {col_fmt!r} doesn't sort by date: only = and <> work on text")
+        value = lambda v: F.lit(_as_text(_instant(v)[0], fmt))
+        if not isinstance(dtype, T.StringType):
+            value = lambda v: F.lit(int(_as_text(_instant(v)[0], fmt)))
+    return df.where(compare(c, op, value(from_val), value(to_val) if to_val is not None else None))
+
+
+def read_sql_file(spark: SparkSession, path: str) -> str:
+    """SQL text of a file: a URI the cluster's file systems read, or a local path on the driver."""
+    if "://" in path:
+        return spark.read.text(path, wholetext=True).first()[0]
+    with open(path) as fh:
+        return fh.read()
 
 
 def read_sql_text(spark: SparkSession, text_or_path: str) -> str:
-    """SQL text given inline or as a file (a local path or a URI the cluster's
-    file systems read); kept as written (R30)."""
-    import os
+    """SQL text given inline (kept as written, R30) or as a file: a single token ending
+    in ``.sql`` is a path, anything else is SQL."""
     t = text_or_path.strip()
-    if "\n" not in t and len(t) < 4096:
-        if os.path.isfile(t):
-            with open(t) as fh:
-                return fh.read()
-        if "://" in t and t.lower().endswith(".sql"):
-            return spark.read.text(t, wholetext=True).first()[0]
-    return text_or_path
+    return read_sql_file(spark, t) if t.lower().endswith(".sql") and not re.search(r"\s", t) else text_or_path
+
+
+def split_statements(text: str) -> list[str]:
+    """Statements of a ``;`` list; semicolons in quotes and comments don't separate."""
+    parts, at = [], 0
+    token = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;", re.S)
+    for m in token.finditer(text):
+        if m.group() == ";":
+            parts.append(text[at:m.start()])
+            at = m.end()
+    parts.append(text[at:])
+    return [p.strip() for p in parts if p.strip()]
 
 
 def scan_sql(spark: SparkSession, text: str, params: dict | None = None,
@@ -121,7 +213,7 @@ def scan_sql(spark: SparkSession, text: str, params: dict | None = None,
     text = read_sql_text(spark, text)
     params = dict(params or {})
     text = re.sub(r"<<\s*(\w+)\s*>>", lambda m: ":" + m.group(1), text)
-    statements = [s.strip() for s in text.split(";") if s.strip()]
+    statements = split_statements(text)
     if not statements:
         raise ValueError("empty SQL text")
     result = None

@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from feedwright import queries as library
 from tools.check_oracle import digest
 from tests.conftest import SF_SMALL
 
-ROWS_ONLY = {"file_sizes", "total_external_size", "ingest_audit"}
+ROWS_ONLY = {"file_sizes", "total_external_size"}
 
 
 def test_entry_smoke(spark):
@@ -18,11 +19,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = library.queries(), library.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
     for name in q:
         assert "pipeline" not in name and not name.startswith("op")
+    assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(library.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
@@ -68,15 +70,16 @@ def test_total_external_size_brute_force(spark, monkeypatch):
     real = qm.scratch_path
 
     def remember(s, name):
-        seen["path"] = real(s, name)
-        return seen["path"]
+        seen[name] = real(s, name)
+        return seen[name]
     monkeypatch.setattr(qm, "scratch_path", remember)
-    r = entry.queries()["total_external_size"](spark, SF_SMALL).first()
+    rows = {r.table_name: r for r in entry.queries()["total_external_size"](spark, SF_SMALL).collect()}
+    r = rows["part"]
     data = other = 0
-    for dp, _dn, fn in os.walk(seen["path"]):
+    for dp, _dn, fn in os.walk(seen["part-sizes"]):
         for f in fn:
-            if f.startswith((".", "_")):
-                continue                      # hidden files are not part of a Spark table listing
+            if f.endswith(".crc"):
+                continue                      # the local file system hides its own checksum files
             size = os.path.getsize(os.path.join(dp, f))
             if f.endswith(".parquet"):
                 data += size
