@@ -21,6 +21,9 @@ crosses a document. Steps, each one Spark stage between shuffles:
    (left diverse) and which no deeper interval holds whole (right diverse) is a
    maximal repeat with all its occurrences. Repeats are maximal within their
    context; longer ones come as a chain of groups whose union is the whole repeat.
+   A gram with more than ``MAX_GROUP`` different contexts (the edge of a passage that a large share of all
+   documents hold) would make one task do all of its work: its contexts are cut into their 100-byte windows,
+   whose first places are a map-side combined minimum, joined back to the windows. The result is the same.
 4. *Removal.* Every occurrence but the first of each group is covered; the union of the covered
    intervals of a document is removed.
 
@@ -54,6 +57,8 @@ PAD = 192  # zeros between documents of a block: no context reaches the next one
 CHUNK = 1 << 18  # bytes hashed at once; longer documents are cut with PAD bytes of overlap
 FOLD = 1 << 20  # anchors folded at once in a map task
 MARGIN = 256
+#: Contexts of one gram that one task compares in memory (about 50 MB). Larger groups go by window hashes (see step 3).
+MAX_GROUP = 1 << 16
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                              0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -196,11 +201,13 @@ def _map_anchors(batches):
         yield from _fold(parts)
 
 
-_FOUND = pa.schema([("id", pa.int64()), ("off", pa.int64()), ("rep", pa.bool_()), ("key", pa.int64())])
+#: kind: COVERED, a context that an earlier place has; REP, the first of equal contexts; HOT, the same in a large group.
+COVERED, REP, HOT = 0, 1, 2
+_FOUND = pa.schema([("id", pa.int64()), ("off", pa.int64()), ("kind", pa.int32()), ("key", pa.int64())])
 
 
-def _equal_contexts(batches):
-    """Later ones of equal contexts (rep false), and the first of each where a gram has several contexts (rep true)."""
+def _equal_contexts(batches, max_group):
+    """Later ones of equal contexts, and the first of each where a gram has several contexts."""
     table = [b for b in batches if b.num_rows]
     if not table:
         return
@@ -215,18 +222,16 @@ def _equal_contexts(batches):
     first = new_key.copy()
     first[1:] |= ctx[1:] != ctx[:-1]
     group = np.cumsum(new_key) - 1
-    several = np.bincount(group, weights=first) > 1
-    rep = first & several[group]
+    contexts = np.bincount(group, weights=first)[group]
+    rep = first & (contexts > 1)
     late = ~first
     out_ids = np.concatenate([done_ids, ids[late], ids[rep]])
     out_off = np.concatenate([done_off, off[late], off[rep]])
     out_key = np.concatenate([np.zeros(len(done_ids) + late.sum(), np.int64), key[rep]])
-    is_rep = np.zeros(len(out_ids), bool)
-    is_rep[len(done_ids) + late.sum():] = True
+    kind = np.concatenate([np.full(len(done_ids) + late.sum(), COVERED), np.where(contexts[rep] > max_group, HOT, REP)]).astype(np.int32)
     for s in range(0, len(out_ids), 1 << 17):
         e = s + (1 << 17)
-        yield pa.record_batch([pa.array(out_ids[s:e]), pa.array(out_off[s:e]), pa.array(is_rep[s:e]), pa.array(out_key[s:e])],
-                              schema=_FOUND)
+        yield pa.record_batch([pa.array(c[s:e]) for c in (out_ids, out_off, kind, out_key)], schema=_FOUND)
 
 
 _CONTEXT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("off", pa.int64()), ("left", pa.binary()), ("right", pa.binary())])
@@ -395,35 +400,61 @@ def _groups(batches):
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {"int64": "long", "bool": "boolean", "binary": "binary", "string": "string"}
+    names = {"int64": "long", "int32": "int", "bool": "boolean", "binary": "binary", "string": "string"}
     return ", ".join(f"`{f.name}` {names[str(f.type)]}" for f in schema)
 
 
-def _stages(docs: DataFrame):
-    """(anchors with their verdict, contexts to compare) of unique documents (id, text)."""
+def _windows(batches):
+    """Every 100-byte window around an anchor of a large group: its hash and place."""
+    for batch in byte_blocks(batches, 1 << 20):
+        rows = ([], [], [], [])
+        for key, doc, off, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            context = left + right
+            for s in range(min(len(left) + 1, len(context) - MIN_LEN + 1)):
+                digest = hashlib.blake2b(context[s:s + MIN_LEN], digest_size=16).digest()
+                for c, v in zip(rows, (key, digest, doc, off - len(left) + s), strict=True):
+                    c.append(v)
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(rows, _WINDOW, strict=True)], schema=_WINDOW)
+
+
+_WINDOW = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("id", pa.int64()), ("start", pa.int64())])
+
+
+def _stages(docs: DataFrame, max_group: int | None = None):
+    """Anchors with their verdict, and the contexts to compare (usual and large groups) of unique documents (id, text)."""
+    max_group = MAX_GROUP if max_group is None else max_group
     raw = docs.select("id", F.col("text").cast("binary").alias("text"))
     anchors = raw.mapInArrow(_map_anchors, _ddl(_ANCHOR))
-    found = written(anchors.repartition("key").mapInArrow(_equal_contexts, _ddl(_FOUND)), "anchors")
-    wanted = found.filter("rep").groupBy("id").agg(F.collect_list(F.struct("off", "key")).alias("wanted"))
-    contexts = (raw.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_contexts, _ddl(_CONTEXT))
-                .repartition("key"))
-    return found, contexts
+    found = written(anchors.repartition("key").mapInArrow(lambda it: _equal_contexts(it, max_group), _ddl(_FOUND)), "anchors")
+
+    def contexts(kind):
+        wanted = found.filter(F.col("kind") == kind).groupBy("id").agg(F.collect_list(F.struct("off", "key")).alias("wanted"))
+        return raw.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_contexts, _ddl(_CONTEXT))
+
+    return found, contexts(REP).repartition("key"), contexts(HOT)
 
 
-def maximal_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def maximal_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_group: int | None = None) -> DataFrame:
     """Maximal repeat groups: ``(repeat, length, doc_id, start, first)``, one row per occurrence.
 
     Occurrences stand for contexts: where several places have equal contexts the first is listed
-    (:func:`repeated_spans` covers the others whole).
+    and a large group (over ``max_group`` contexts) is left to window hashes.
     """
-    _, contexts = _stages(one_row_per_id(df, id_col, text_col))
+    _, contexts, _ = _stages(one_row_per_id(df, id_col, text_col), max_group)
     return contexts.mapInArrow(_groups, _ddl(_REPEAT)).select("repeat", "length", public_id().alias("doc_id"), "start", "first")
 
 
 def _spans(docs: DataFrame) -> DataFrame:
-    found, contexts = _stages(docs)
-    late = found.filter("not rep").select("id", (F.col("off") - LEFT).alias("start"), (F.col("off") + RIGHT).alias("stop"))
-    return late.unionByName(contexts.mapInArrow(_covered, _ddl(_SPAN)))
+    found, contexts, hot = _stages(docs)
+    late = found.filter(F.col("kind") == COVERED).select("id", (F.col("off") - LEFT).alias("start"), (F.col("off") + RIGHT).alias("stop"))
+    spans = late.unionByName(contexts.mapInArrow(_covered, _ddl(_SPAN)))
+    if not found.filter(F.col("kind") == HOT).limit(1).count():
+        return spans
+    windows = written(hot.mapInArrow(_windows, _ddl(_WINDOW)), "windows")
+    first = (windows.groupBy("key", "digest").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n"))
+             .filter("n > 1").select("key", "digest", "first"))
+    again = windows.join(first, ["key", "digest"]).filter(F.struct("id", "start") != F.col("first"))
+    return spans.unionByName(again.select("id", "start", (F.col("start") + MIN_LEN).alias("stop")))
 
 
 def _merge(spans, n):

@@ -1,6 +1,5 @@
 """The pipeline's stages against brute force on a small corpus, and whole runs."""
 
-import hashlib
 import random
 
 import pytest

@@ -62,6 +62,15 @@ def test_removal_equals_brute_force(spark, seed):
     assert got == brute(docs)
 
 
+@pytest.mark.parametrize("max_group", [1, 3])
+def test_large_groups_by_windows(spark, monkeypatch, max_group):
+    monkeypatch.setattr(sd, "MAX_GROUP", max_group)
+    docs = cases(6)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in sd.removal_digest(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs)
+
+
 def test_long_documents_are_cut_with_overlap(spark, monkeypatch):
     r = random.Random(5)
     base = "".join(r.choice("abcdefgh \n") for _ in range(sd.CHUNK + 5000))
