@@ -21,8 +21,9 @@ repeated rows are encoded row by row; an empty table gives an empty result. Deco
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from feedwright.llm.common import byte_blocks, ship_package
 
 FILE = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of text encoded at once, and words that a worker keeps (memory bounds; results don't depend on them).
-BLOCK = 1 << 22
+BLOCK = 1 << 24
 KEEP = 250_000
 NONE = np.int64(1 << 40)  # rank of a pair that is no merge
 
@@ -56,7 +57,10 @@ class Vocabulary:
                     values.append(rank)
         order = np.argsort(np.array(keys, np.int64))
         self.pair_keys, self.pair_ranks = np.array(keys, np.int64)[order], np.array(values, np.int64)[order]
-        self.known: dict[str, tuple[int, ...]] = {}
+        # words that were encoded so far: their number, and per number where its ids start in one array
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__  # a word that is looked up gets the next number
+        self.ids, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of merging token a with token b (b below 0: no neighbour)."""
@@ -157,16 +161,25 @@ def replay(words: list[bytes], vocab: Vocabulary) -> list[tuple[int, ...]]:
     return out
 
 
-def encode_texts(texts: list[str], vocab: Vocabulary) -> list[list[int]]:
-    """The ids of each text; the texts are one corpus."""
-    split = [vocab.find(t) for t in texts]
+def encode_texts(texts: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts in order, and where each text's ids start (one place more at the end); the texts are one corpus."""
     known = vocab.known
-    new = list(set(chain.from_iterable(split)).difference(known))
-    if len(known) + len(new) > KEEP:
+    if len(known) > KEEP:
         known.clear()
-        new = list(set(chain.from_iterable(split)))
-    known.update(zip(new, replay([w.encode() for w in new], vocab), strict=True))
-    return [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
+        vocab.ids, vocab.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
+    old = len(known)
+    words = [np.fromiter(map(known.__getitem__, found), np.int64, len(found)) for found in map(vocab.find, texts)]
+    new = replay([w.encode() for w in islice(known, old, None)], vocab)
+    if new:
+        vocab.ids = np.concatenate([vocab.ids, np.fromiter(chain.from_iterable(new), np.int64)])
+        vocab.starts = np.concatenate([vocab.starts, vocab.starts[-1] + np.cumsum([len(i) for i in new])])
+    # the words' ids in text order
+    flat = np.concatenate([np.zeros(0, np.int64), *words])
+    first, count = vocab.starts[flat], vocab.starts[flat + 1] - vocab.starts[flat]
+    ends = np.cumsum(count)
+    ids = vocab.ids[np.arange(count.sum()) + np.repeat(first - (ends - count), count)]
+    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)]
+    return ids, bounds
 
 
 def decode_ids(ids: list[int], vocab: Vocabulary) -> bytes:
@@ -190,8 +203,9 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     def run(batches):
         vocab = _vocabulary(file, pattern)
         for batch in byte_blocks(batches, BLOCK):
-            ids = encode_texts(batch.column(1).to_pylist(), vocab)
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
+            ids, bounds = encode_texts(batch.column(1).to_pylist(), vocab)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.record_batch([batch.column(0), lists], schema=schema)
 
     return _input(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -227,10 +241,13 @@ def round_trip_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         vocab = _vocabulary(file, pattern)
         names = vocabularies.built(("names", file.id), lambda: {i: b"%d" % i for i in vocab.tokens})
         for batch in byte_blocks(batches, BLOCK):
-            ids = encode_texts(batch.column(1).to_pylist(), vocab)
-            yield pa.record_batch([
-                batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(b",".join(map(names.__getitem__, x))).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(decode_ids(x, vocab)).hexdigest() for x in ids], pa.string())], schema=schema)
+            ids, bounds = encode_texts(batch.column(1).to_pylist(), vocab)
+            names_sha, bytes_sha = [], []
+            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                one = ids[s:e].tolist()
+                names_sha.append(hashlib.sha256(b",".join(map(names.__getitem__, one))).hexdigest())
+                bytes_sha.append(hashlib.sha256(decode_ids(one, vocab)).hexdigest())
+            yield pa.record_batch([batch.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(names_sha, pa.string()),
+                                   pa.array(bytes_sha, pa.string())], schema=schema)
 
     return _input(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -51,7 +51,9 @@ def test_words_kept_by_a_worker_are_bounded(ranks, monkeypatch):
     vocab = bpe.Vocabulary(ranks, PATTERN)
     lib = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     for t in texts():
-        assert bpe.encode_texts([t or ""], vocab) == [lib.encode_ordinary(t or "")]
+        ids, bounds = bpe.encode_texts([t or "", "x y"], vocab)
+        assert ids.tolist() == lib.encode_ordinary(t or "") + lib.encode_ordinary("x y") and bounds.tolist()[0] == 0
+        assert bounds.tolist()[1] == len(lib.encode_ordinary(t or ""))
 
 
 def test_nulls_repeated_rows_and_empty_table(spark):
