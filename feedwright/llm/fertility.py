@@ -22,6 +22,9 @@ with one document has a band around it; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import chain, islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,7 @@ from feedwright.llm import vocabularies
 from feedwright.llm.common import byte_blocks, ship_package, written
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
-BLOCK, KEEP = 1 << 22, 150_000
+BLOCK, KEEP = 1 << 22, 400_000
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Bands: measure, reach (times the interquartile range), least half width, sides tested (-1 low, 1 high, 0 both).
@@ -53,32 +56,35 @@ class Measures:
         self.tokens = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=vocabularies.rank_file(ranks), special_tokens={})
         kinds = vocabularies.pieces(pieces)
         self.is_byte = np.array([kind == 6 for *_, kind in kinds])
-        self.known: dict[bytes, tuple[int, list[int], int]] = {}  # code points, pieces, byte-level tokens
+        self._forget()
+
+    def _forget(self):
+        # words seen so far get numbers; by number: code points, byte-level tokens, and where the pieces start in one array
+        self.known: defaultdict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.chars, self.n_tokens = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _learn(self, words: list[bytes]):
         texts = [w.decode("utf-8", "replace") for w in words]
-        for w, t, ids in zip(words, texts, self.pieces.encode(texts, num_threads=1), strict=True):
-            self.known[w] = (len(t), ids, len(self.tokens.encode_ordinary(" " + t)))
+        found = self.pieces.encode(texts, num_threads=1) if texts else []
+        self.chars = np.concatenate([self.chars, np.array([len(t) for t in texts], np.int64)])
+        self.n_tokens = np.concatenate([self.n_tokens, np.array([len(self.tokens.encode_ordinary(" " + t)) for t in texts], np.int64)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32)])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(i) for i in found], dtype=np.int64)])
 
     def block(self, texts: list[bytes]) -> dict[str, np.ndarray]:
         """All measures of each text."""
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
-        if len(self.known) + len(new) > KEEP:
-            self.known.clear()
-            new = {w for words in split for w in words}
-        self._learn(list(new))
-        number: dict[bytes, int] = {}
-        flat = [number.setdefault(w, len(number)) for words in split for w in words]
-        word = np.array(flat, np.int64)
+        if len(self.known) > KEEP:
+            self._forget()
+        old = len(self.known)
+        split = [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in map(bytes.split, texts)]
+        self._learn(list(islice(self.known, old, None)))
+        word = np.concatenate([np.zeros(0, np.int64), *split])
         n_words = np.array([len(s) for s in split], np.int64)
         doc = np.repeat(np.arange(len(texts)), n_words)
-        known = [self.known[w] for w in number]
-        chars = np.array([k[0] for k in known] or [0], np.int64)
-        n_pieces = np.array([len(k[1]) for k in known] or [0], np.int64)
-        n_tokens = np.array([k[2] for k in known] or [0], np.int64)
-        ids = np.array([i for k in known for i in k[1]], np.int64)
-        first = np.concatenate([[0], np.cumsum(n_pieces)])[:-1]
+        chars, n_tokens, ids, first = self.chars, self.n_tokens, self.ids, self.first
+        n_pieces = np.diff(first)
         total = lambda v: np.bincount(doc, weights=v, minlength=len(texts)).astype(np.int64)
         # the pieces of all words in text order
         per_word = n_pieces[word]
@@ -86,7 +92,7 @@ class Measures:
         place = np.arange(per_word.sum()) - np.repeat(begin - first[word], per_word)
         piece, owner = ids[place] if len(ids) else place, np.repeat(doc, per_word)
         pieces = total(per_word)
-        key, count = np.unique(owner << 20 | piece, return_counts=True)
+        key, count = np.unique(owner << 20 | piece.astype(np.int64), return_counts=True)
         p = count / np.maximum(pieces, 1)[key >> 20]
         entropy = np.bincount(key >> 20, weights=-p * np.log2(p), minlength=len(texts))
         top = np.zeros(len(texts))
@@ -118,9 +124,11 @@ def repeated_words(word: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(np.arange(len(word)) + 2 < ends[doc]) if len(word) else np.zeros(0, np.int64)
     covered = np.zeros(len(word) + 2, bool)
     if len(at):
-        if int(word.max()) >= 1 << 21:
-            raise ValueError("more than 2**21 words in a block")
-        key = word[at] << 42 | word[at + 1] << 21 | word[at + 2]
+        if int(word.max()) >= 1 << 21:  # numbers of pairs stay small, whatever the number of different words
+            pair = np.unique(word[at] << 32 | word[at + 1], return_inverse=True)[1].astype(np.int64)
+            key = pair << 32 | word[at + 2]
+        else:
+            key = word[at] << 42 | word[at + 1] << 21 | word[at + 2]
         order = np.lexsort((key, doc[at]))
         k, d = key[order], doc[at][order]
         same = (k[1:] == k[:-1]) & (d[1:] == d[:-1])
@@ -142,6 +150,9 @@ def main_script(text: str) -> str:
     return "script:" + SCRIPTS[int(counts.argmax())][1]
 
 
+#: Most languages whose bands are broadcast; with more the join is left to the planner (the result is the same).
+MAX_BANDS = 10_000
+
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_pieces")
 _RATIOS = ("chars_per_piece", "chars_per_token", "fallback_share", "entropy", "min_entropy")
 
@@ -184,6 +195,9 @@ def judge(measured: DataFrame, bands=BANDS, min_words: int = MIN_WORDS, max_repe
             ok &= F.col(c) >= q[1] - half
         if side >= 0:
             ok &= F.col(c) <= q[1] + half
+    limits = written(limits, "bands")
+    if limits.limit(MAX_BANDS + 1).count() <= MAX_BANDS:  # one row per language: a shuffle by language would gather a third of all rows
+        limits = F.broadcast(limits)
     return base.join(limits, "band_key", "left").withColumn("kept", ~F.col("base_failed") & F.coalesce(ok, F.lit(False)))
 
 
