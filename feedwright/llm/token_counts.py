@@ -20,7 +20,10 @@ an empty result; a word of any length is handled in time linear in its matches.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +55,13 @@ class Unigram:
         # line breaks that stand in no piece are boundaries too: shorter words, the same paths
         alone = "" if any("\n" in p for p, _ in normal) else "\n"
         self.words = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if alone else rf"{MARK}*[^{MARK}]+|{MARK}+").findall
-        self.known: dict[str, tuple[int, float]] = {}
+        self._forget()
+
+    def _forget(self):
+        # words seen so far get numbers; by number: pieces and score
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.counts, self.scores = np.zeros(0, np.int64), np.zeros(0)
 
     def word(self, word: str) -> tuple[int, float]:
         """(pieces, score) of the best path."""
@@ -75,21 +84,20 @@ class Unigram:
             best[last + 1], count[last + 1] = top, pieces
         return count[n], best[n]
 
-    def texts(self, texts: list[str]) -> list[tuple[int, float]]:
-        """(pieces, score) of each text."""
-        split = [self.words((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > KEEP:
-            known.clear()
-            new = {w for words in split for w in words}
-        for w in new:
-            known[w] = self.word(w)
-        out = []
-        for words in split:
-            found = [known[w] for w in words]
-            out.append((sum(c for c, _ in found), float(sum(s for _, s in found))))
-        return out
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces and score of each text."""
+        if len(self.known) > KEEP:
+            self._forget()
+        old = len(self.known)
+        split = [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                 for words in (self.words((MARK + t).replace(" ", MARK)) if t else [] for t in texts)]
+        new = [self.word(w) for w in islice(self.known, old, None)]
+        self.counts = np.concatenate([self.counts, np.array([c for c, _ in new], np.int64)])
+        self.scores = np.concatenate([self.scores, np.array([s for _, s in new])])
+        word = np.concatenate([np.zeros(0, np.int64), *split])
+        owner = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        total = lambda v: np.bincount(owner, weights=v[word], minlength=len(texts))
+        return total(self.counts).astype(np.int64), total(self.scores)
 
 
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -102,9 +110,8 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         model = vocabularies.built(("unigram", file.id), lambda: Unigram(vocabularies.pieces(file.value)))
         for batch in byte_blocks(batches, BLOCK):
-            found = model.texts(batch.column(1).to_pylist())
-            yield pa.record_batch([batch.column(0), pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.float64())],
-                                  schema=schema)
+            counts, scores = model.texts(batch.column(1).to_pylist())
+            yield pa.record_batch([batch.column(0), pa.array(counts), pa.array(scores)], schema=schema)
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, score double")
