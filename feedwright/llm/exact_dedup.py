@@ -20,12 +20,14 @@ ids as in :mod:`feedwright.llm.common`; an empty batch adds nothing and gives an
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.llm.common import one_row_per_id, public_id, written
+from feedwright.session import scratch_path
+from feedwright.sources import storage
 
 #: Characters that normalisation deletes: [\x20\x09-\x0D] (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -38,11 +40,20 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 class DigestIndex:
-    """A table ``(digest, keep_id, n_chars, batch)`` bucketed and sorted by digest."""
+    """A table ``(digest, keep_id, n_chars, batch)`` bucketed and sorted by digest.
 
-    def __init__(self, spark: SparkSession, table: str | None = None, buckets: int = 16):
+    ``path`` is where its files live: name one to keep the index (a later session opens it by the same path and
+    number of buckets); without one a new index is made below the shared checkpoint folder.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
         self.spark, self.buckets = spark, buckets
-        self.table = table or f"digest_index_{uuid.uuid4().hex}"
+        self.path = (path or scratch_path(spark, "digest-index")).rstrip("/")
+        self.table = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:16]
+        if not self.exists() and storage.exists(spark, self.path):
+            at = self.path.replace("'", "\\'")
+            spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, n_chars BIGINT, batch STRING) USING parquet "
+                      f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{at}'")
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
@@ -68,7 +79,7 @@ class DigestIndex:
             fresh = groups
         (fresh.select("digest", "keep_id", "n_chars", F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
+         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))
         stored = self.read().select("digest", F.col("keep_id").alias("old_id"), F.col("batch").alias("old_batch"))
         decided = (groups.select("digest", "group_size").hint("merge").join(stored.hint("merge"), "digest")
                    .select("digest", "group_size", F.col("old_id").alias("keep_id"), (F.col("old_batch") != batch).alias("known")))

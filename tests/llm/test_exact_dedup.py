@@ -38,6 +38,18 @@ def test_index_persists_over_batches(spark):
     assert {r.col_name: r.data_type for r in meta}["Num Buckets"] == "4"
 
 
+def test_index_is_opened_again_by_its_path(spark):
+    from feedwright.session import scratch_path
+    path = scratch_path(spark, "kept-index")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    index = xd.DigestIndex(spark, path, buckets=4)
+    xd.dedup(frame([(1, "a")]), index=index, batch="1").count()
+    spark.sql(f"DROP TABLE {index.table}")  # as in a session whose catalog doesn't know it
+    later = xd.DigestIndex(spark, path, buckets=4)
+    assert [(r.keep_id, r.kept) for r in xd.dedup(frame([(2, "a ")]), index=later, batch="2").collect()] == [(1, False)]
+    assert later.read().count() == 1
+
+
 def test_index_side_is_read_without_exchange(spark):
     index = xd.DigestIndex(spark, buckets=4)
     xd.dedup(spark.createDataFrame([(i, str(i)) for i in range(50)], "doc_id long, text string"), index=index, batch="1").count()
