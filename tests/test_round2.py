@@ -292,3 +292,14 @@ def test_a_cluster_without_a_shared_folder_is_refused():
                            sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(fake)
+
+
+def test_catalog_partitions_are_dropped(spark):
+    from feedwright.sinks.tables import purge_partitions
+    name, path = "purge_round2", scratch_path(spark, "purge-table")
+    spark.createDataFrame([(1, "20240101"), (2, "20240220"), (3, "east")], "id int, p string").write.partitionBy("p").option(
+        "path", path).saveAsTable(name)
+    parts = spark.table(name).select("p").distinct()
+    assert purge_partitions(spark, name, "p", retention_candidates(parts, "p", dt.date(2024, 3, 1), 30)) == 1
+    assert sorted(r.id for r in spark.table(name).collect()) == [2, 3]
+    spark.sql(f"DROP TABLE {name}")
