@@ -11,8 +11,10 @@
 4. *Join by rank.* A piece's rank among the pieces of its length (by id and start) picks its slot:
    slots of a length are consecutive rank intervals, each belonging to one place in one pattern.
 
-The ids are those of the ``tokenizers`` file, computed by the same merges through tiktoken, which is three times
-as fast (tests compare the ids); ``library="tokenizers"`` takes the other one.
+The ids are those of the ``tokenizers`` file with ``add_special_tokens=False``: added tokens in a text (``<|endoftext|>``)
+have their own ids, as in the library. They are computed by the same merges through tiktoken, which is three times
+as fast (tests compare the ids); ``library="tokenizers"`` takes the other one, and so does a file whose added tokens
+tiktoken can't split in the same way.
 
 Cases: null and empty texts give one piece of length 1 (the end id); texts of any length are cut; null and repeated
 ids as in :mod:`feedwright.llm.common`; equal lengths are told apart by id and start; an empty table gives an empty result.
@@ -42,17 +44,17 @@ _PIECE = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int
 
 def encoder(data: bytes, library: str):
     """A function from a list of texts to one array of ids per text."""
-    if library == "tokenizers":
+    added = None if library == "tokenizers" else vocabularies.added_tokens(data)
+    if added is None:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(data.decode())
-        tok.encode_special_tokens = True
         return lambda texts: [np.array(e.ids, np.uint32) for e in tok.encode_batch(texts, add_special_tokens=False)]
     import tiktoken
 
     enc = tiktoken.Encoding("byte_level", pat_str=vocabularies.default_pattern(),
-                            mergeable_ranks=vocabularies.byte_level_json(data), special_tokens={})
-    return lambda texts: [enc.encode_to_numpy(t, disallowed_special=()) for t in texts]
+                            mergeable_ranks=vocabularies.byte_level_json(data), special_tokens=added)
+    return lambda texts: [enc.encode_to_numpy(t, allowed_special="all") for t in texts]
 
 
 def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, size: int = SIZE,

@@ -81,6 +81,21 @@ def byte_level_json(data: bytes) -> dict[bytes, int]:
     return {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if token not in added}
 
 
+def added_tokens(data: bytes) -> dict[str, int] | None:
+    """Added tokens of a ``tokenizers`` file, content to id, if texts are simply split at them; else None.
+
+    Not so are tokens that take blanks or word edges into account, go through a normalizer, or start like another one."""
+    file = json.loads(data)
+    tokens = file.get("added_tokens") or ()
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")) or (
+            file.get("normalizer") and any(t.get("normalized") for t in tokens)):
+        return None
+    added = {t["content"]: t["id"] for t in tokens}
+    if any(a != b and b.startswith(a) for a in added for b in added):
+        return None
+    return added
+
+
 def fields(data: bytes):
     """Fields of a protocol-buffer message: (number, value)."""
     import struct

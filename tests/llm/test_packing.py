@@ -28,6 +28,29 @@ def test_both_libraries_give_the_same_ids(file):
         assert a.tolist() == b.tolist()
 
 
+def test_added_tokens_in_texts_have_the_ids_of_the_library(spark, file):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(voc.default_path(packing.FILE))
+    t = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext", "é  <|endoftext|>  's"]
+    want = [e.ids for e in tok.encode_batch(t, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    for library in ("tiktoken", "tokenizers"):
+        assert [a.tolist() for a in packing.encoder(file, library)(t)] == want
+    got = packing.pack(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")).collect()
+    assert {(p.doc_id, p.ids_crc32, p.doc_tokens) for p in got} == {
+        (i, zlib.crc32(np.array([*ids, 1], "<u4").tobytes()), len(ids) + 1) for i, ids in enumerate(want)}
+
+
+def test_added_tokens_that_are_no_plain_splits_go_to_the_library(file):
+    import json
+    data = json.loads(file)
+    assert voc.added_tokens(file) == {"<|endoftext|>": 50256}
+    data["added_tokens"][0]["lstrip"] = True
+    other = json.dumps(data).encode()
+    assert voc.added_tokens(other) is None
+    assert packing.encoder(other, "tiktoken")(["a <|endoftext|> b"])[0].tolist() == [64, 50256, 275]
+
+
 def test_pieces_and_sequences(spark, file):
     rows = list(enumerate(texts()))
     df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, length long").repartition(4)
