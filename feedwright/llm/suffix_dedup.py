@@ -24,6 +24,8 @@ crosses a document. Steps, each one Spark stage between shuffles:
    A gram with more than ``MAX_GROUP`` different contexts (the edge of a passage that a large share of all
    documents hold) would make one task do all of its work: its contexts are cut into their 100-byte windows,
    whose first places are a map-side combined minimum, joined back to the windows. The result is the same.
+   :func:`maximal_repeats` lists groups with all occurrences: it keeps the context hash of every place and joins the places
+   of equal contexts back to the groups.
 4. *Removal.* Every occurrence but the first of each group is covered; the union of the covered
    intervals of a document is removed.
 
@@ -201,6 +203,14 @@ def _map_anchors(batches):
         yield from _fold(parts)
 
 
+def _map_places(batches):
+    """All anchors of a task, none folded."""
+    for batch in byte_blocks(batches):
+        offsets, data = _binary(batch.column(1))
+        for gram, ctx, ids, off in _block_anchors(batch.column(0).to_pylist(), offsets, data):
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (gram.view(np.int64), ctx.view(np.int64), ids, off)], schema=_ANCHOR)
+
+
 #: kind: COVERED, a context that an earlier place has; REP, the first of equal contexts; HOT, the same in a large group.
 COVERED, REP, HOT = 0, 1, 2
 _FOUND = pa.schema([("id", pa.int64()), ("off", pa.int64()), ("kind", pa.int32()), ("key", pa.int64())])
@@ -382,21 +392,53 @@ def _covered(batches):
         yield pa.record_batch([pa.array(ids[r]), pa.array(off[r] - reach[0, r]), pa.array(off[r] + reach[1, r])], schema=_SPAN)
 
 
-_REPEAT = pa.schema([("repeat", pa.string()), ("length", pa.int64()), ("id", pa.int64()), ("start", pa.int64()),
-                     ("first", pa.bool_())])
+_MEMBER = pa.schema([("key", pa.int64()), ("ctx", pa.int64()), ("left", pa.int64()), ("length", pa.int64()),
+                     ("first_id", pa.int64()), ("first_start", pa.int64())])
+
+
+def _anchored(strings: list[bytes], lefts) -> np.ndarray:
+    """Whether the place ``left`` of each string is an anchor by a window inside the string: then every occurrence has that anchor."""
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in strings], dtype=np.int64)])
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    wide, found = int(offsets[-1]) + 1, []
+    for _, _, ids, off in _block_anchors(range(len(strings)), offsets, data):
+        found.append(ids * wide + off)
+    at = np.arange(len(strings)) * wide + np.asarray(lefts, np.int64)
+    return np.isin(at, np.concatenate(found)) if found else np.zeros(len(strings), bool)
 
 
 def _groups(batches):
-    """All occurrences of every maximal repeat, one row each."""
-    for kind, before, length, a, b, ids, off in _bucket_repeats(batches):
+    """The contexts in each repeat of a bucket's grams, one row each."""
+    table = [b for b in batches if b.num_rows]
+    if not table:
+        return
+    ctx = np.concatenate([b.column(5).to_numpy() for b in table])
+    t = pa.Table.from_batches(table)
+    key = t.column(0).to_numpy()
+    lefts, rights = t.column(3).combine_chunks(), t.column(4).combine_chunks()
+
+    def rows(found):
+        strings = [lefts[int(m[0])].as_py()[-left:] * (left > 0) + rights[int(m[0])].as_py()[:right] for left, right, m in found]
         out = []
-        found = zip(before.tolist(), length.tolist(), np.stack([a, b], axis=1), strict=True) if kind == "pairs" else [(before, length, a)]
-        for left, right, rows in found:
-            rows = rows[np.lexsort((off[rows], ids[rows]))]
-            name = hashlib.sha256(f"{ids[rows[0]]}:{off[rows[0]] - left}:{left + right}:{left}".encode()).hexdigest()[:16]
-            out += [(name, int(left + right), int(ids[r]), int(off[r] - left), i == 0) for i, r in enumerate(rows.tolist())]
+        for (left, right, m), good in zip(found, _anchored(strings, [f[0] for f in found]), strict=True):
+            if good:
+                f = m[np.lexsort((off[m], ids[m]))[0]]
+                n = len(m)
+                out.append((key[m], ctx[m], np.full(n, left), np.full(n, left + right), np.full(n, ids[f]), np.full(n, off[f] - left)))
         if out:
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _REPEAT, strict=True)], schema=_REPEAT)
+            yield pa.record_batch([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], schema=_MEMBER)
+
+    held, size = [], 0
+    for kind, before, length, a, b, ids, off in _bucket_repeats(table):
+        new = zip(before.tolist(), length.tolist(), np.stack([a, b], axis=1), strict=True) if kind == "pairs" else [(before, length, a)]
+        for one in new:
+            held.append((int(one[0]), int(one[1]), one[2]))
+            size += len(one[2])
+            if size >= 1 << 15:
+                yield from rows(held)
+                held, size = [], 0
+    if held:
+        yield from rows(held)
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -434,14 +476,88 @@ def _stages(docs: DataFrame, max_group: int | None = None):
     return found, contexts(REP).repartition("key"), contexts(HOT)
 
 
+_HOT_GROUP = ["key", "head", "tail"]
+
+
+def _hot_members(contexts: DataFrame) -> DataFrame:
+    """What :func:`_groups` finds, for grams with any number of contexts: its two trees as counts of equal prefixes.
+
+    A prefix of the bytes from the anchor on branches if its contexts go on in different ways (an end is a way of its own);
+    inside it, the same is asked of the bytes before. A row per context and prefix, combined in the map tasks.
+    """
+    byte = lambda c, at: F.coalesce(F.conv(F.hex(F.substring(c, at, F.lit(1))), 16, 10).cast("int"), F.lit(-1))
+    rows = contexts.select("key", "ctx", "id", "off", "right", "n_left", "n_right", F.reverse(F.hex("left")).alias("back"))
+    # the bytes before, last first: their hex digits reversed, two for a byte
+    branches = lambda c: (F.min(c) < F.max(c)) | (F.min(c) == -1)
+    way = lambda c, at: F.coalesce(F.nullif(F.substring(c, at, F.lit(2)), F.lit("")), F.lit("-"))
+    heads = (rows.select("key", "right", "n_right", F.explode(F.sequence(F.lit(GRAM), "n_right")).alias("depth"))
+             .select("key", F.substring("right", F.lit(1), F.col("depth")).alias("head"), byte("right", F.col("depth") + 1).alias("next"))
+             .groupBy("key", "head").agg(F.count("*").alias("n"), branches("next").alias("ok")).filter("n > 1 and ok").select("key", "head"))
+    of = (rows.withColumn("depth", F.explode(F.sequence(F.lit(GRAM), "n_right")))
+          .withColumn("head", F.substring("right", F.lit(1), F.col("depth"))).join(heads, ["key", "head"])
+          .withColumn("least", F.greatest(F.lit(0), MIN_LEN - F.col("depth"))).filter("least <= n_left"))
+    tails = (of.select("key", "ctx", "id", "off", "head", "depth", byte("right", F.col("depth") + 1).alias("next"), "back",
+                       F.explode(F.sequence("least", "n_left")).alias("before"))
+             .select("key", "ctx", "id", "off", "head", "depth", "next", "before", F.substring("back", F.lit(1), 2 * F.col("before")).alias("tail"),
+                     way("back", 2 * F.col("before") + 1).alias("way")))
+    tails = written(tails, "hot-tails")
+    groups = (tails.groupBy(*_HOT_GROUP).agg(F.count("*").alias("n"), branches("next").alias("ok"), F.min("way").alias("low"), F.max("way").alias("high"),
+                                             F.min(F.struct("id", "off")).alias("first"), F.first("before").alias("before"))
+              .filter("n > 1 and ok and (low < high or low = '-')")
+              .select(*_HOT_GROUP, "first", F.concat(F.unhex(F.reverse("tail")), "head").alias("string"), F.col("before").cast("long").alias("before")))
+
+    def own(batches):
+        for batch in byte_blocks(batches, 1 << 20):
+            at = batch.schema.get_field_index("string")
+            good = _anchored(batch.column(at).to_pylist(), batch.column(at + 1).to_pylist())
+            yield batch.filter(pa.array(good))
+
+    groups = groups.mapInArrow(own, groups.schema)
+    return tails.select("key", "ctx", "head", "tail").join(groups, _HOT_GROUP).select(
+        "key", "ctx", F.col("before").alias("left"), F.length("string").cast("long").alias("length"), F.col("first.id").alias("first_id"),
+        (F.col("first.off") - F.col("before")).alias("first_start"))
+
+
 def maximal_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_group: int | None = None) -> DataFrame:
-    """Maximal repeat groups: ``(repeat, length, doc_id, start, first)``, one row per occurrence.
+    """Maximal repeat groups: ``(repeat, length, doc_id, start, first)``, one row per occurrence, all occurrences listed.
 
-    Occurrences stand for contexts: where several places have equal contexts the first is listed
-    and a large group (over ``max_group`` contexts) is left to window hashes.
+    Groups are found on one place per different context of a gram; equal contexts are a repeat by themselves, and the places of
+    a context are joined back to the groups it is in. Of a group that several anchors find one is kept. Grams with over
+    ``max_group`` contexts take another path to the same groups.
     """
-    _, contexts, _ = _stages(one_row_per_id(df, id_col, text_col), max_group)
-    return contexts.mapInArrow(_groups, _ddl(_REPEAT)).select("repeat", "length", public_id().alias("doc_id"), "start", "first")
+    max_group = MAX_GROUP if max_group is None else max_group
+    docs = one_row_per_id(df, id_col, text_col)
+    raw = docs.select("id", F.col("text").cast("binary").alias("text"))
+    places = written(raw.mapInArrow(_map_places, _ddl(_ANCHOR)), "places")
+    # different contexts with their first places; a gram's number of them
+    classes = written(places.groupBy("key", "ctx").agg(F.min(F.struct("id", "off")).alias("p"), F.count("*").alias("n"))
+                      .select("key", "ctx", "p.id", "p.off", "n"), "contexts")
+    grams = classes.groupBy("key").agg(F.count("*").alias("contexts"), F.sum("n").alias("places")).filter("places > 1").select("key", "contexts")
+    reps = classes.join(grams, "key").select("key", "ctx", "id", "off", "n", "contexts")
+    wanted = reps.groupBy("id").agg(F.collect_list(F.struct("off", "key")).alias("wanted"))
+    around = raw.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_contexts, _ddl(_CONTEXT))
+    # an anchor is one place of one document
+    found = written(around.join(reps.select("id", "off", "ctx", "n", "contexts"), ["id", "off"])
+                    .select("key", "id", "off", "left", "right", "ctx", "n", "contexts", F.length("left").alias("n_left"), F.length("right").alias("n_right")),
+                    "around")
+    several = found.filter((F.col("contexts") > 1) & (F.col("contexts") <= max_group)).select("key", "id", "off", "left", "right", "ctx")
+    members = several.repartition("key").mapInArrow(_groups, _ddl(_MEMBER))
+    hot = found.filter(F.col("contexts") > max_group)
+    if hot.limit(1).count():
+        members = members.unionByName(_hot_members(hot))
+    members = written(members, "members")
+    # the whole of equal contexts, unless (at an end of a document) a longer context holds it: then a group above has both
+    alike = found.filter("n > 1").select(
+        "key", "ctx", F.col("n_left").cast("long").alias("left"), (F.col("n_left") + F.col("n_right")).cast("long").alias("length"),
+        F.col("id").alias("first_id"), (F.col("off") - F.col("n_left")).alias("first_start"))
+    members = members.unionByName(alike.join(members, ["key", "ctx", "left", "length"], "left_anti").select(*members.columns))
+    name = ["first_id", "first_start", "length"]
+    one = members.groupBy(*name).agg(F.min(F.struct("key", "left")).alias("of")).select(*name, "of.key", "of.left")
+    members = members.join(one, [*name, "key", "left"])
+    start = F.col("off") - F.col("left")
+    return places.join(members, ["key", "ctx"]).select(
+        F.substring(F.sha2(F.concat_ws(":", *name), 256), 1, 16).alias("repeat"), "length", public_id().alias("doc_id"), start.alias("start"),
+        ((F.col("id") == F.col("first_id")) & (start == F.col("first_start"))).alias("first"))
 
 
 def _spans(docs: DataFrame) -> DataFrame:

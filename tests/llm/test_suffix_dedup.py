@@ -103,6 +103,49 @@ def test_groups_are_maximal_repeats(spark):
         assert [f for *_, f in sorted(occ)] == [True] + [False] * (len(occ) - 1)
 
 
+def _listed(spark, docs, **options):
+    groups = {}
+    for r in sd.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), **options).collect():
+        groups.setdefault(r.repeat, []).append((r.doc_id, r.start, r.length, r.first))
+    return {name: sorted(occ) for name, occ in groups.items()}
+
+
+@pytest.mark.parametrize("max_group", [None, 1])
+def test_groups_list_every_occurrence(spark, max_group):
+    r = random.Random(12)
+    prose = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    copy, passage = prose(400), prose(350)
+    docs = cases(4)[:30] + cases(4)[-8:] + [(1000 + i, copy) for i in range(5)] + [(2000, prose(1000)), (2002, "x" * 350 + "é")]
+    docs += [(3000 + i, prose(150 + i) + passage + prose(90)) for i in range(4)]
+    text = {d: (t or "").encode() for d, t in docs}
+    windows = {}
+    for d, b in text.items():
+        for i in range(len(b) - 99):
+            windows.setdefault(b[i:i + 100], set()).add((d, i))
+    groups = _listed(spark, docs, max_group=max_group)
+    seen = {}  # window: the largest set of places that one group lists for it
+    strings = set()
+    for occ in groups.values():
+        (n,) = {n for _, _, n, _ in occ}
+        (string,) = {text[d][s:s + n] for d, s, _, _ in occ}
+        places = {(d, s) for d, s, _, _ in occ}
+        assert len(string) == n >= 100 and len(places) == len(occ) >= 2 and string not in strings
+        strings.add(string)
+        # whole: all places of its string in all documents
+        assert places == {(d, i) for d, i in windows[string[:100]] if text[d][i:i + n] == string}
+        assert [f for *_, f in occ] == [True] + [False] * (len(occ) - 1)
+        for k in range(n - 99):
+            seen.setdefault(string[k:k + 100], set()).add(len(occ))
+    # every repeated window is in a group with exactly its places
+    for w, places in windows.items():
+        assert (len(places) in seen.get(w, ())) == (len(places) > 1)
+
+
+def test_groups_of_large_grams_are_the_same(spark):
+    docs = cases(2)
+    assert _listed(spark, docs, max_group=1) == _listed(spark, docs, max_group=3) == _listed(spark, docs)
+
+
 def test_prefix_intervals_against_definition():
     r = random.Random(0)
     for _ in range(200):
