@@ -5,8 +5,9 @@ the input, so further columns may have any name. Conventions used everywhere
 unless an operator says otherwise:
 
 * a null text counts as the empty text;
-* a null id is a document of its own; it comes before every other id;
-* rows that repeat an id are one document, judged by its longest text (ties: the
+* each row with a null id is a document of its own; it comes before every other id: :func:`own_ids` gives these rows free
+  ids below the others, which become null again in the result;
+* rows that repeat an id (not null) are one document, judged by its longest text (ties: the
   greatest text), and give one result row. :func:`one_row_per_id` looks for
   repeated ids first, so a table with unique ids pays only for counting ids.
 """
@@ -50,10 +51,45 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def public_id(col="id"):
-    """The id as the caller knows it: null again where it was null."""
+def own_ids(df: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, int | None]:
+    """``df`` with an id of its own for each row that has none, and the least id that isn't such a one (None: no row lacks an id).
+
+    The new ids (long) are the ones just below the least id; the rows are written, so they keep them.
+    """
+    ids = F.col(f"`{id_col}`").cast("long")
+    seen = df.agg(F.count_if(ids.isNull()).alias("n"), F.min(ids).alias("low")).first()
+    if not seen["n"]:
+        return df, None
+    low = 0 if seen["low"] is None else seen["low"]
+    if low - seen["n"] < NULL_ID:
+        raise ValueError("no ids are left below the least one for the rows without an id")
+    named = [f"c{i}" for i in range(len(df.columns))]  # any names of columns
+    rows = df.toDF(*named)
+    id_name = named[df.columns.index(id_col)]
+    lost = written(rows.filter(F.col(id_name).cast("long").isNull()).withColumns(
+        {"part": F.spark_partition_id(), "nr": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "null-ids")
+    at, before = [], low
+    for r in lost.groupBy("part").agg(F.count("*").alias("n")).collect():  # one row per partition
+        before -= r["n"]
+        at.append((r["part"], before))
+    lost = lost.join(F.broadcast(df.sparkSession.createDataFrame(at, "part int, base long")), "part")
+    lost = lost.withColumn(id_name, F.col("base") + F.col("nr")).select(*named)
+    known = rows.filter(F.col(id_name).cast("long").isNotNull()).withColumn(id_name, F.col(id_name).cast("long"))
+    return known.unionByName(lost).toDF(*df.columns), low
+
+
+def null_again(df: DataFrame, low: int | None, like: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``df`` with the ids of :func:`own_ids` taken back, the id column in the type of ``like``."""
+    if low is None:
+        return df
+    ids = public_id(f"`{id_col}`", low).cast(like.schema[id_col].dataType)
+    return df.select(*(ids.alias(c) if c == id_col else F.col(f"`{c}`") for c in df.columns))
+
+
+def public_id(col="id", low: int | None = None):
+    """The id as the caller knows it: null again where it was null (``low`` as :func:`own_ids` gives it)."""
     c = F.col(col)
-    return F.when(c != NULL_ID, c)
+    return c if low is None else F.when(c >= low, c)
 
 
 def one_row_per_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import one_row_per_id, public_id, written
+from feedwright.llm.common import NULL_ID, one_row_per_id, own_ids, public_id, written
 from feedwright.session import scratch_path
 from feedwright.sources import storage
 
@@ -63,11 +63,17 @@ class DigestIndex:
 
     def add(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: str = "0") -> DataFrame:
         """Dedup ``df`` against the index and itself, append what is new, and return one row per document:
-        ``id, digest, keep_id, group_size (rows of this batch with the text), known (stored by an earlier batch)``.
+        ``id, digest, keep_id, group_size (rows of this batch with the text), known (stored by an earlier batch)``, without
+        null ids here; the index stores null for a row without an id.
 
         Each batch needs a name of its own: a batch that is run again after a failure between the append and the
         use of the result finds its own rows and gives the same decisions.
         """
+        df, low = own_ids(df, id_col)
+        return self._add(df, low, id_col, text_col, batch)
+
+    def _add(self, df: DataFrame, low: int | None, id_col: str, text_col: str, batch: str) -> DataFrame:
+        """:meth:`add` of rows that :func:`own_ids` gave an id."""
         rows = written(digests(one_row_per_id(df, id_col, text_col)), "digests")
         # -1 - id: descending ids without overflow, also for the stand-in of a null id
         best = F.expr("max_by(id, struct(n_chars, (-1 - id)))").alias("keep_id")
@@ -77,21 +83,27 @@ class DigestIndex:
             fresh = groups.hint("merge").join(known.hint("merge"), "digest", "left_anti")
         else:
             fresh = groups
-        (fresh.select("digest", "keep_id", "n_chars", F.lit(batch).alias("batch"))
+        (fresh.select("digest", public_id("keep_id", low).alias("keep_id"), "n_chars", F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest").write.mode("append").format("parquet")
          .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))
-        stored = self.read().select("digest", F.col("keep_id").alias("old_id"), F.col("batch").alias("old_batch"))
-        decided = (groups.select("digest", "group_size").hint("merge").join(stored.hint("merge"), "digest")
-                   .select("digest", "group_size", F.col("old_id").alias("keep_id"), (F.col("old_batch") != batch).alias("known")))
+        # the stand-in of null is from indexes that stored it
+        stored = self.read().select("digest", F.when(F.col("keep_id") != NULL_ID, F.col("keep_id")).alias("old_id"), F.col("batch").alias("old_batch"))
+        known = F.col("old_batch") != batch
+        decided = (groups.select("digest", "group_size", "keep_id").hint("merge").join(stored.hint("merge"), "digest")
+                   .select("digest", "group_size", F.when(known, F.col("old_id")).otherwise(F.coalesce("old_id", "keep_id")).alias("keep_id"),
+                           known.alias("known")))
         return rows.select("id", "digest").join(decided, "digest", "left").select("id", "digest", "keep_id", "group_size", "known")
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: DigestIndex | None = None,
           batch: str = "0") -> DataFrame:
     """Per document: doc_id, keep_id, group_size, kept, text_sha256; ``index`` (default: a new one) gets the new digests."""
-    found = (index or DigestIndex(df.sparkSession)).add(df, id_col, text_col, batch)
-    return found.select(public_id().alias("doc_id"), public_id("keep_id").alias("keep_id"), "group_size",
-                        ((F.col("id") == F.col("keep_id")) & ~F.col("known")).alias("kept"),
+    df, low = own_ids(df, id_col)
+    found = (index or DigestIndex(df.sparkSession))._add(df, low, id_col, text_col, batch)
+    # an earlier batch's ids are as the caller knows them
+    keep = F.when(F.col("known"), F.col("keep_id")).otherwise(public_id("keep_id", low))
+    kept = F.coalesce((F.col("id") == F.col("keep_id")) & ~F.col("known"), F.lit(False))
+    return found.select(public_id(low=low).alias("doc_id"), keep.alias("keep_id"), "group_size", kept.alias("kept"),
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 

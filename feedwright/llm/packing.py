@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedwright.llm import vocabularies
-from feedwright.llm.common import byte_blocks, one_row_per_id, public_id, written
+from feedwright.llm.common import byte_blocks, one_row_per_id, own_ids, public_id, written
 
 FILE = "byte_bpe_50k.json"
 SIZE = 2048
@@ -165,5 +165,6 @@ def assign(pieces: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, size: int = SIZE,
          end_id: int = END, library: str = "tiktoken") -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    df, low = own_ids(df, id_col)
     pieces = written(token_pieces(df, id_col, text_col, path, size, end_id, library), "pieces")
-    return assign(pieces, size).select(public_id().alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return assign(pieces, size).select(public_id(low=low).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import byte_blocks, components, one_row_per_id, public_id, written
+from feedwright.llm.common import byte_blocks, components, one_row_per_id, own_ids, public_id, written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -103,11 +103,12 @@ def links(fps: DataFrame, distance: int = DISTANCE, segments=SEGMENTS) -> DataFr
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                     distance: int = DISTANCE, segments=SEGMENTS) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links)."""
+    df, low = own_ids(df, id_col)
     docs = written(fingerprints(df, id_col, text_col, width), "fingerprints")
     distinct = docs.groupBy("fp").agg(F.min("id").alias("first"))
     roots = components(links(distinct.select("fp"), distance, segments)).withColumnRenamed("node", "fp")
     member = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = member.groupBy("root").agg(F.min("first").alias("component"))
     of = member.join(smallest, "root").select("fp", "component")
-    return docs.join(of, "fp", "left").select(public_id().alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                              public_id("component").alias("component_id"))
+    return docs.join(of, "fp", "left").select(public_id(low=low).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                                              public_id("component", low).alias("component_id"))

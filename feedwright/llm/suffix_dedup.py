@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedwright.llm.common import NULL_ID, byte_blocks, one_row_per_id, public_id, written
+from feedwright.llm.common import byte_blocks, null_again, one_row_per_id, own_ids, public_id, written
 
 MIN_LEN = 100
 GRAM = 24
@@ -526,6 +526,7 @@ def maximal_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``max_group`` contexts take another path to the same groups.
     """
     max_group = MAX_GROUP if max_group is None else max_group
+    df, low = own_ids(df, id_col)
     docs = one_row_per_id(df, id_col, text_col)
     raw = docs.select("id", F.col("text").cast("binary").alias("text"))
     places = written(raw.mapInArrow(_map_places, _ddl(_ANCHOR)), "places")
@@ -556,7 +557,7 @@ def maximal_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = members.join(one, [*name, "key", "left"])
     start = F.col("off") - F.col("left")
     return places.join(members, ["key", "ctx"]).select(
-        F.substring(F.sha2(F.concat_ws(":", *name), 256), 1, 16).alias("repeat"), "length", public_id().alias("doc_id"), start.alias("start"),
+        F.substring(F.sha2(F.concat_ws(":", *name), 256), 1, 16).alias("repeat"), "length", public_id(low=low).alias("doc_id"), start.alias("start"),
         ((F.col("id") == F.col("first_id")) & (start == F.col("first_start"))).alias("first"))
 
 
@@ -603,11 +604,12 @@ def _cut(batches):
 
 def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_bytes, spans array<struct<start, stop>> (removed runs), kept binary (remaining bytes)``."""
+    df, low = own_ids(df, id_col)
     docs = one_row_per_id(df, id_col, text_col)
     spans = _spans(docs).groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     joined = docs.select("id", F.col("text").cast("binary").alias("text")).join(spans, "id", "left").select("id", "text", "spans")
     cut = joined.mapInArrow(_cut, "id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
-    return cut.select(public_id().alias("doc_id"), "n_bytes", "spans", "kept")
+    return cut.select(public_id(low=low).alias("doc_id"), "n_bytes", "spans", "kept")
 
 
 def removal_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -629,11 +631,13 @@ def _char_runs(text: bytes, runs):
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` (unique ids, any further columns) with the repeated characters cut out of the texts.
+    """``df`` (unique or null ids, any further columns) with the repeated characters cut out of the texts.
 
     A character goes if all its bytes are covered; a null text stays null, a text that is covered whole becomes empty.
     """
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id")
+    given = df
+    df, low = own_ids(df, id_col)
+    key = F.col(f"`{id_col}`").cast("long").alias("id")
     spans = _spans(one_row_per_id(df, id_col, text_col)).groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     rest = [c for c in df.columns if c != text_col]
     rows = df.select(key, F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("rest"))
@@ -655,4 +659,5 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.record_batch([pa.array(texts, pa.binary()).cast(schema.field(0).type), batch.column(2).cast(schema.field(1).type)], schema=schema)
 
     done = rows.mapInArrow(cut, out)
-    return done.select(*(F.col("text").cast("string").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns))
+    out = done.select(*(F.col("text").cast("string").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in df.columns))
+    return null_again(out, low, given, id_col)

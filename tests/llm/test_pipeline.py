@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
-from feedwright.llm import packing
+from feedwright.llm import exact_dedup, packing, simhash_mih, suffix_dedup
 from feedwright.llm import vocabularies as voc
 from test_exact_dedup import brute as brute_exact
 from test_simhash_mih import brute_components, brute_fingerprint
@@ -123,3 +123,29 @@ def test_repeated_ids_extra_columns_and_empty_table(spark, sf_dir):
     empty = docs.limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark, sf_dir):
+    r = random.Random(3)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    a, b, c = prose(90), prose(70), prose(80)
+    rows = [(None, a, "en", "x", 1), (None, b, "en", "y", 2), (None, a + " ", "en", "z", 3), (-2**62, c, "en", "w", 4)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    ids = lambda rows, *names: sorted((tuple(x[n] for n in names) for x in rows), key=str)
+    kept = cp.exact(spark, docs, sf_dir)
+    assert kept.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    assert ids(kept.collect(), "doc_id", "source") == ids([dict(doc_id=-2**62, source="w"), dict(doc_id=None, source="y"), dict(doc_id=None, source="z")], "doc_id", "source")
+    kept = cp.near(spark, kept, sf_dir)
+    kept = cp.passages(spark, kept, sf_dir)
+    assert sorted(x.text for x in kept.collect()) == sorted([a + " ", b, c])
+    packed = cp.sequences(spark, kept, sf_dir).collect()
+    assert sorted(str(p.doc_id) for p in packed) == [str(-2**62), "None", "None"]
+
+    exact = exact_dedup.dedup(docs).collect()
+    assert ids(exact, "doc_id", "keep_id", "group_size", "kept") == sorted(
+        [(-2**62, -2**62, 1, True), (None, None, 1, True), (None, None, 2, True), (None, None, 2, False)], key=str)
+    assert [x.doc_id for x in simhash_mih.near_duplicates(docs).collect()].count(None) == 3
+    cut = suffix_dedup.removal_digest(docs).collect()
+    assert [x.doc_id for x in cut].count(None) == 3 and sum(x.n_removed > 0 for x in cut) == 1
+    assert [x.doc_id for x in suffix_dedup.without_repeats(docs).collect()].count(None) == 3
+    assert exact_dedup.dedup(docs.filter("doc_id is null")).filter("kept").count() == 2
