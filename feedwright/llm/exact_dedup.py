@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from feedwright.llm.common import NULL_ID, one_row_per_id, own_ids, public_id, written
 from feedwright.session import scratch_path
-from feedwright.sources import storage
 
 #: Characters that normalisation deletes: [\x20\x09-\x0D] (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -43,14 +42,15 @@ class DigestIndex:
     """A table ``(digest, keep_id, n_chars, batch)`` bucketed and sorted by digest.
 
     ``path`` is where its files live: name one to keep the index (a later session opens it by the same path and
-    number of buckets); without one a new index is made below the shared checkpoint folder.
+    number of buckets); without one a new index is made below the shared checkpoint folder. A new index is an empty table, so
+    its first batch takes the anti join too.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
         self.spark, self.buckets = spark, buckets
         self.path = (path or scratch_path(spark, "digest-index")).rstrip("/")
         self.table = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:16]
-        if not self.exists() and storage.exists(spark, self.path):
+        if not self.exists():
             at = self.path.replace("'", "\\'")
             spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, n_chars BIGINT, batch STRING) USING parquet "
                       f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{at}'")
@@ -61,6 +61,10 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
+    def fresh(self, groups: DataFrame) -> DataFrame:
+        """The rows of ``groups`` whose digest isn't stored: a sort-merge anti join, the index read by its buckets."""
+        return groups.hint("merge").join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+
     def add(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: str = "0") -> DataFrame:
         """Dedup ``df`` against the index and itself, append what is new, and return one row per document:
         ``id, digest, keep_id, group_size (rows of this batch with the text), known (stored by an earlier batch)``, without
@@ -78,11 +82,7 @@ class DigestIndex:
         # -1 - id: descending ids without overflow, also for the stand-in of a null id
         best = F.expr("max_by(id, struct(n_chars, (-1 - id)))").alias("keep_id")
         groups = rows.groupBy("digest").agg(best, F.max("n_chars").alias("n_chars"), F.count("*").alias("group_size"))
-        if self.exists():
-            known = self.read().select("digest", F.col("keep_id").alias("old_id"), F.col("batch").alias("old_batch"))
-            fresh = groups.hint("merge").join(known.hint("merge"), "digest", "left_anti")
-        else:
-            fresh = groups
+        fresh = self.fresh(groups)
         (fresh.select("digest", public_id("keep_id", low).alias("keep_id"), "n_chars", F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest").write.mode("append").format("parquet")
          .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))

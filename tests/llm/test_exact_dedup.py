@@ -64,6 +64,23 @@ def test_index_side_is_read_without_exchange(spark):
     assert "Bucketed: true" in scan and scan.count("Exchange") == 1
 
 
+def test_first_batch_takes_the_anti_join(spark, monkeypatch):
+    index = xd.DigestIndex(spark, buckets=4)
+    assert index.exists() and index.read().count() == 0
+    plans, fresh = [], xd.DigestIndex.fresh
+
+    def spy(self, groups):
+        out = fresh(self, groups)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(xd.DigestIndex, "fresh", spy)
+    df = spark.createDataFrame([(1, "a"), (2, "a ")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.kept) for r in xd.dedup(df, index=index).collect()) == [(1, False), (2, True)]
+    assert len(plans) == 1 and "LeftAnti" in plans[0] and "SortMergeJoin" in plans[0] and "Bucketed: true" in plans[0]
+    assert index.read().count() == 1
+
+
 def test_nulls_repeated_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a"), (1, "a"), (1, "a  "), (1, "a  ")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in xd.dedup(df).collect()), key=str)
