@@ -9,12 +9,15 @@ from feedwright.llm import (
     exact_dedup,
     fertility,
     packing,
+    periodic_runs,
     quality_cotrain,
+    sharding,
     simhash_mih,
     suffix_dedup,
     token_counts,
     toxicity,
     url_lists,
+    whitening,
 )
 from feedwright.llm.common import documents
 
@@ -63,8 +66,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_replay.round_trip_digest(documents(spark, sf_dir))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_digest(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_quality_cotraining, op4_packing, op5_url_lists, op6_toxicity, op7_simhash,
-    op8_token_counts, op9_quality_rules, op10_byte_bpe)}
+    op8_token_counts, op9_quality_rules, op10_byte_bpe, op11_sharding, op12_periodic_runs, op13_whitening)}
 
 ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op5_url_lists": url_lists.SQL}
