@@ -27,6 +27,10 @@ JOBSTAT_SCHEMA = T.StructType([
     T.StructField("refined_count", T.LongType()),
 ])
 
+#: Run status as ``ingest`` keeps it: with the source schema, and the stages of the run.
+STATUS_SCHEMA = T.StructType([*JOBSTAT_SCHEMA.fields, T.StructField("schema_name", T.StringType()),
+                              T.StructField("stages", T.StringType())])
+
 
 def window_rows(jobstat: DataFrame, windows: DataFrame) -> DataFrame:
     """Run-status rows of the requested (feed, filedate, file_end_dt) windows."""

@@ -5,13 +5,15 @@ One lazy plan per step; the writes are the only actions besides the refined
 count. Counts of written rows come from ``Observation``s on the writes (no
 re-scan; an empty window drops the observation and counts as no rows). Every
 step appends an audit row (L6), saved at once when the feed names a status path,
-so a failed run leaves its steps and a FAILED row. The run-status table is updated by
-one upsert at the end (L5) and saved as a new version; a run of a window that
-is already complete ends before it extracts anything (D8/M2).
+so a failed run leaves its steps and a FAILED row. The run's last row is appended to the run status
+at the end (L5; both are append-only logs, see ``sinks.event_log``); a run of a window that a run with stage L
+already completed ends before it extracts anything (D8/M2). Run status is kept per (schema, feed).
 
 What a load replaces: with truncate ``Y`` the table; with ``P``, or by default
-where the first partition column is the delta column, the partitions of the loaded
-window; otherwise it appends. ``P`` is refused where partitions don't imply the window, as it
+where the first partition column is the delta column, the partitions it has rows for, and in a closed window (``between``, ``=``) the
+window's other partitions too (days that have no rows any more); otherwise it appends a load unit
+(``sinks.units``), which a repeated load of the same window replaces. So a run that fails after its
+write can be repeated in every mode. ``P`` is refused where partitions don't imply the window, as it
 would replace rows of other windows.
 """
 
@@ -25,11 +27,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.operators.counts import refined_count_with_fallback
-from feedwright.operators.jobstat import COMPLETED, JOBSTAT_SCHEMA, upsert
+from feedwright.operators.jobstat import COMPLETED, EXTRACT_COMPLETED, JOBSTAT_SCHEMA, STATUS_SCHEMA, upsert
 from feedwright.operators.metadata import add_partition_twins, project, projection_spec, raw_projection
 from feedwright.operators.metrics import path_bytes
 from feedwright.operators.postprocess import apply_postprocessors
-from feedwright.sinks.tables import VersionedTable, retention_candidates, write_partitioned
+from feedwright.sinks.event_log import EventLog
+from feedwright.sinks.tables import retention_candidates, write_partitioned
+from feedwright.sinks.units import UnitTable, unit_key
 from feedwright.sources import storage
 from feedwright.sources.jdbc import scan_jdbc
 from feedwright.sources.scans import _as_date, scan_delta, scan_refined, scan_sql
@@ -89,31 +93,40 @@ class FeedSpec:
     file: dict | None = None               # file source: sources.feeds.open_file arguments (A5, A8, A9, A10, A12)
     refined_format: str = "parquet"
     status_path: str | None = None         # run status and audit are kept here
+    schema: str = ""                       # the source schema: run status is kept per (schema, feed)
     extra: dict = field(default_factory=dict)
 
 
-def status_table(spark: SparkSession, status_path: str) -> VersionedTable:
-    """The durable run-status table of a status path."""
-    return VersionedTable(spark, f"{status_path.rstrip('/')}/jobstat", JOBSTAT_SCHEMA)
+def status_table(spark: SparkSession, status_path: str) -> EventLog:
+    """The durable run status below a status path: the last row of every run."""
+    return EventLog(spark, f"{status_path.rstrip('/')}/jobstat", STATUS_SCHEMA, ("schema_name", "feed"),
+                    ("schema_name", "feed", "jobpid"))
+
+
+def audit_log(spark: SparkSession, status_path: str) -> EventLog:
+    """All audit events below a status path."""
+    return EventLog(spark, f"{status_path.rstrip('/')}/audit", STATUS_SCHEMA, ("schema_name", "feed"))
 
 
 def audit_table(spark: SparkSession, status_path: str) -> DataFrame:
     """All audit rows saved below a status path."""
-    path = f"{status_path.rstrip('/')}/audit"
-    return spark.read.schema(JOBSTAT_SCHEMA).parquet(path) if storage.exists(spark, path) else \
-        spark.createDataFrame([], JOBSTAT_SCHEMA)
+    return audit_log(spark, status_path).read()
 
 
-def purge_path_partitions(spark: SparkSession, table_path: str, col: str, run_date, retention) -> list[str]:
-    """L8 on a path table: drop partitions older than ``run_date - retention``.
+def purge_path_partitions(spark: SparkSession, table_path: str, col: str, run_date, retention,
+                          units: UnitTable | None = None) -> list[str]:
+    """L8 on a path table: drop partitions older than ``run_date - retention`` (in every load unit, if it has units).
     Candidates come from the folder names of the first level; values that are no date stay."""
     if retention in (None, 0, ""):
         return []
-    values = storage.partition_values(spark, table_path, col)
+    values = units.partition_values(col) if units else storage.partition_values(spark, table_path, col)
     parts = spark.createDataFrame([(v,) for v in values], f"`{col}` string")
     old = [r[0] for r in retention_candidates(parts, col, _as_date(run_date), int(retention)).collect()]
-    for v in old:
-        storage.delete(spark, f"{table_path.rstrip('/')}/{col}={v}")
+    if units:
+        units.drop_partitions(col, old)
+    else:
+        for v in old:
+            storage.delete(spark, f"{table_path.rstrip('/')}/{col}={v}")
     return sorted(old)
 
 
@@ -181,13 +194,14 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
     end_d = _as_date(end_date) if end_date else from_d          # R28
     run_d = _as_date(run_date) if run_date else from_d
     table = status_table(spark, spec.status_path) if spec.status_path else None
-    if table is not None and jobstat is None:
-        jobstat = table.read()
     if table is not None and not override and "L" in stages:
-        done = jobstat.where((F.col("feed") == spec.feed) & (F.col("status") == COMPLETED)
-                             & (F.col("filedate") == F.lit(from_d)) & (F.col("file_end_dt") == F.lit(end_d)))
+        # runs that loaded complete a window; an extract alone doesn't (rows without stages are from elsewhere)
+        state = table.read({"schema_name": spec.schema, "feed": spec.feed})
+        done = state.where((F.col("status") == COMPLETED) & (F.col("stages").isNull() | F.col("stages").contains("L"))
+                           & (F.col("filedate") == F.lit(from_d)) & (F.col("file_end_dt") == F.lit(end_d)))
         if done.limit(1).count():
-            return {"decision": "GRACEFUL_EXIT", "jobstat": jobstat, "from_date": from_d, "end_date": end_d}
+            return {"decision": "GRACEFUL_EXIT", "jobstat": table.read() if jobstat is None else jobstat, "from_date": from_d,
+                    "end_date": end_d}
     jobpid = jobpid if jobpid is not None else int(time.time() * 1000)
     audit: list[tuple] = []
     info = {"decision": "RUN", "raw_size": 0, "raw_replica_size": 0, "refined_size": 0, "refined_replica_size": 0,
@@ -199,25 +213,34 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
         audit.append((spec.feed, jobpid, f"{spec.feed.lower()}_{loaddate}", started,
                       _dt.datetime.now().replace(microsecond=0), info["linecount"], info["rowcount"], from_d, status,
                       message, info["raw_size"], info["raw_replica_size"], info["refined_size"],
-                      info["refined_replica_size"], info["partition_col"], end_d, info["refined_count"]))
+                      info["refined_replica_size"], info["partition_col"], end_d, info["refined_count"], spec.schema, stages))
         if spec.status_path:
-            spark.createDataFrame(audit[-1:], JOBSTAT_SCHEMA).coalesce(1).write.mode("append").parquet(
-                f"{spec.status_path.rstrip('/')}/audit")
+            audit_log(spark, spec.status_path).append(spark.createDataFrame(audit[-1:], STATUS_SCHEMA))
 
     try:
         _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid, info, log)
     except Exception as e:
         log(ST_FAILED, f"{type(e).__name__}: {str(e)[:500]}")
         raise
-    last = spark.createDataFrame(audit[-1:], JOBSTAT_SCHEMA)      # the run's final status row
-    state = upsert(jobstat, last) if jobstat is not None else last
+    last = spark.createDataFrame(audit[-1:], STATUS_SCHEMA)      # the run's final status row
     if table is not None:
-        table.save(state)
+        table.append(last)
+    if jobstat is None and table is not None:
         state = table.read()
-    return {"audit": spark.createDataFrame(audit, JOBSTAT_SCHEMA), "jobstat": state, **info, "from_date": from_d,
+    else:
+        row = last.select(*(jobstat.columns if jobstat is not None else JOBSTAT_SCHEMA.names))
+        state = upsert(jobstat, row) if jobstat is not None else row
+    return {"audit": spark.createDataFrame(audit, STATUS_SCHEMA), "jobstat": state, **info, "from_date": from_d,
             "end_date": end_d, "loaddate": loaddate}
 
 
+def read_refined(spark: SparkSession, spec: FeedSpec, schema) -> DataFrame:
+    """The refined table of a feed; of an append table the published units only."""
+    if truncate_mode(spec, projection_spec(spec.col_meta)) == "N":
+        return UnitTable(spark, spec.refined_path, spec.refined_format).read(schema)
+    return spark.read.schema(schema).format(spec.refined_format).load(spec.refined_path)
+
+
 def _extract(spark: SparkSession, spec: FeedSpec, from_d, end_d) -> DataFrame:
     if spec.source_sql:
         # A4: the custom SQL replaces the generated extract; the window is
@@ -268,17 +291,40 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
     refined_schema = None
     first_ptn = f"{ptn_src[0]}_ptn" if ptn_src else None
     lo, hi = from_d.strftime("%Y%m%d"), end_d.strftime("%Y%m%d")
+    closed = bool(spec.source_sql) or spec.operator.strip().lower() in ("between", "=")
+    units = UnitTable(spark, spec.refined_path, spec.refined_format) if mode == "N" else None
+    unit = unit_key("between" if spec.source_sql else spec.operator, from_d, end_d) if units else None
+    loaded: list[str] | None = None        # with P: the partitions that this load has rows for
     date_ptn = bool(ptn_src) and any(_is_date(str(r["RFND_COL_TYPE_INHIVE"])) for r in cols
                                      if r["RFND_COL_INHIVE"].lower() == ptn_src[0])
 
     def window_folders() -> list[str]:
+        """Folders of the refined rows of this window: its unit, its partitions, or the whole table."""
+        if units:
+            folder = units.folders().get(unit)
+            return [folder] if folder else []
+        if not date_ptn:
+            return storage.names(spark, spec.refined_path)
+        if not closed and loaded is not None:
+            return loaded
         return [f"{first_ptn}={v}" for v in storage.partition_values(spark, spec.refined_path, first_ptn) if lo <= v <= hi]
 
     def refined_window() -> DataFrame:
+        if units:
+            schema = refined_schema
+            if schema is None:             # no load in this run: the schema is the unit's own
+                schema = spark.read.format(spec.refined_format).load(
+                    [f"{spec.refined_path.rstrip('/')}/{f}" for f in window_folders()]).schema if window_folders() else raw_window().schema
+            return units.read(schema, [unit])
         reader = spark.read.schema(refined_schema) if refined_schema is not None else spark.read
         table = reader.format(spec.refined_format).load(spec.refined_path)
-        return scan_refined(table.withColumn(first_ptn, F.col(first_ptn).cast("string")), first_ptn, from_d, end_d) \
-            if date_ptn else table
+        if not date_ptn:
+            return table
+        table = table.withColumn(first_ptn, F.col(first_ptn).cast("string"))
+        if not closed and loaded is not None:
+            days = [v.partition("=")[2] for v in loaded]
+            return table.where(F.col(first_ptn).isin(days)) if days else table.limit(0)
+        return scan_refined(table, first_ptn, from_d, end_d)
 
     if "L" in stages:
         raw_part = raw_window()
@@ -291,15 +337,22 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
             .alias(r["RFND_COL_INHIVE"].lower()) for r in cols])
         refined, _ptn_list, _dq_col = add_partition_twins(project(checked, cols, "RAW_COL_INHIVE"), ptn_src)
         info["refined_schema"] = refined_schema = refined.schema
-        write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src], truncate=mode, fmt=spec.refined_format)
+        if spec.postprocess:
+            apply_postprocessors(refined, spec.postprocess)      # switches that can't work are refused before the load
+        if units:
+            info["unit"] = unit
+            units.load(refined, unit, [f"{c}_ptn" for c in ptn_src])
+        else:
+            write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src], truncate=mode, fmt=spec.refined_format)
         info["cast_rejects"] = {k: int(v) for k, v in _observed(rejects).items() if k != "_rows" and v}
         if mode == "P":
-            # partitions of the window that this load has no rows for: one small
-            # aggregate over the raw window against the folder names
+            # partitions that this load has rows for: one small aggregate over the raw window
             twin = add_partition_twins(project(raw_part, cols, "RAW_COL_INHIVE"), ptn_src)[0].select(first_ptn).distinct()
-            loaded = {f"{first_ptn}={r[0]}" for r in twin.collect()}      # at most one row per day of the window
-            for folder in set(window_folders()) - loaded:
-                storage.delete(spark, f"{spec.refined_path.rstrip('/')}/{folder}")
+            loaded = [f"{first_ptn}={r[0]}" for r in twin.collect() if r[0] is not None]      # at most one row per day of the window
+            if closed:
+                # only a closed window says which days it replaces; an open one leaves the days that it has no rows for
+                for folder in set(window_folders()) - set(loaded):
+                    storage.delete(spark, f"{spec.refined_path.rstrip('/')}/{folder}")
         # Compact the raw partition unless raw data is not retained or the
         # source lands its own files — and only when it holds more files than
         # its size needs (ceil(bytes / raw_file_bytes)); the rebalanced raw write
@@ -318,10 +371,10 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
         info["refined_count"] = int(counted.first()["final_count"])
         info["raw_size"], info["raw_replica_size"] = path_bytes(spark, raw_folder, spec.replicas)
         info["refined_size"], info["refined_replica_size"] = path_bytes(
-            spark, spec.refined_path, spec.replicas, window_folders() if date_ptn else None)
+            spark, spec.refined_path, spec.replicas, window_folders() if date_ptn or units else None)
         purged_ref = []
         if mode != "P" and date_ptn:
-            purged_ref = purge_path_partitions(spark, spec.refined_path, first_ptn, run_d, spec.refined_retention)
+            purged_ref = purge_path_partitions(spark, spec.refined_path, first_ptn, run_d, spec.refined_retention, units)
         rej = ", ".join(f"{k} {v}" for k, v in sorted(info["cast_rejects"].items()))
         note = f", refined {len(purged_ref)}" + (f"; cast rejects: {rej}" if rej else "")
     else:
@@ -350,5 +403,7 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
                 f"{spec.publish_path.rstrip('/')}/window={lo}-{hi}")
             published = spark.read.parquet(f"{spec.publish_path.rstrip('/')}/window={lo}-{hi}")
         info["postprocessed"] = published
-    if stages not in ("G", "GF"):
+    if "L" in stages:
         log(ST_DONE)
+    elif "E" in stages:
+        log(EXTRACT_COMPLETED)             # the extract's line count can be looked up, its window isn't loaded

@@ -29,7 +29,7 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     from feedwright.queries import (  # noqa: F401
-        dq, extracts, formats, jobstat, loads, metrics, misc, planning, profiles,
+        dq, extracts, formats, jobstat, loads, metrics, misc, planning, profiles, reruns,
     )
 
 

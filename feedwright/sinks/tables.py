@@ -75,8 +75,9 @@ class VersionedTable:
 
     ``save`` writes a new version beside the one being read, and ``_SUCCESS`` (written by the
     commit) makes it the current one; a failed write leaves the old version
-    current. Two writers of one version collide on its folder (the second one
-    fails and can retry on the new state). The last ``keep`` versions stay.
+    current, and the next save takes the number after it. Numbers are claimed by exclusive creation, so no two
+    writers fill one folder; as each writes a whole state, the later one wins (``EventLog`` keeps the rows of both).
+    The last ``keep`` versions stay.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema, keep: int = 3):
@@ -96,7 +97,10 @@ class VersionedTable:
     def save(self, df: DataFrame) -> int:
         from feedwright.sources import storage
         done = self.versions()
-        new = (done[-1] if done else 0) + 1
+        # folders of failed writes count too: their number isn't given again
+        new = max([int(n[1:]) for n in storage.names(self.spark, self.path) if n[:1] == "v" and n[1:].isdigit()], default=0) + 1
+        while not storage.create_new(self.spark, f"{self.path}/_claims/v{new}", ""):
+            new += 1
         df.write.mode("errorifexists").parquet(f"{self.path}/v{new}")
         for v in done[:-(self.keep - 1)] if self.keep > 1 else done:
             storage.delete(self.spark, f"{self.path}/v{v}")

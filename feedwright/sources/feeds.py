@@ -56,7 +56,7 @@ def feed_spec(table: dict, columns: list[dict], base: str = "", source: DataFram
     under = lambda k, tail: "/".join([base.rstrip("/"), text(k).strip("/"), tail]).replace("//", "/") if not base.startswith(
         ("hdfs:", "s3", "file:")) else "/".join([base.rstrip("/"), text(k).strip("/"), tail])
     spec = FeedSpec(
-        feed=text("SOURCETBLNM"), source=source, col_meta=columns,
+        feed=text("SOURCETBLNM"), schema=text("SOURCESCHEMA"), source=source, col_meta=columns,
         raw_path=under("HIVE_RAW_DIR", f"{name}_raw"), refined_path=under("HIVE_REFINED_DIR", name),
         delta_col=text("DELTACOLUMN") or None, delta_type=text("DELTACOLUMNTYPE") or "DATE",
         delta_fmt=text("DELTACOLUMNFMT") or "yyyyMMdd", truncate=text("HIVE_TBL_TRUNCATE") or None,

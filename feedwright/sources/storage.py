@@ -64,3 +64,59 @@ def swap(spark: SparkSession, staged: str, target: str, keep: str) -> None:
         rename(spark, target, keep)
     rename(spark, staged, target)
     delete(spark, keep)
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file only if nobody has it yet (False: it exists). The claim is atomic on HDFS and on a local disk; a file
+    whose writer died between claim and content is empty."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    if fs.getUri().getScheme() == "file":
+        # the local Hadoop file system looks first and creates then; the JDK's call does both at once
+        from py4j.protocol import Py4JJavaError
+        fs.mkdirs(p.getParent())
+        files, local = jvm.java.nio.file.Files, jvm.java.io.File(p.toUri().getPath()).toPath()
+        try:
+            files.createFile(local, spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" in str(e.java_exception):
+                return False
+            raise
+        files.write(local, bytearray(text.encode()), spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 0))
+        return True
+    from py4j.protocol import Py4JJavaError
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file ("" if it is gone)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return ""
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was changed (0 if it is gone)."""
+    import time
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000 if fs.exists(p) else 0.0
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
