@@ -46,7 +46,7 @@ class EventLog:
         return sorted(int(n) for n in storage.names(self.spark, f"{self.path}/commits/{bucket}") if n.isdigit())
 
     def _commits(self, bucket: int) -> dict[int, dict]:
-        """Number to commit; a file without content (its writer died) is none."""
+        """Number to commit; a file without content is none."""
         out = {}
         for n in self._numbers(bucket):
             text = storage.read_small(self.spark, f"{self.path}/commits/{bucket}/{n:012d}")
@@ -157,12 +157,15 @@ class EventLog:
         self._clean(bucket, self._commits(bucket) if made else commits, void)
         return made
 
+    def _old(self, bucket: int, n: int) -> bool:
+        return storage.age_seconds(self.spark, f"{self.path}/commits/{bucket}/{n:012d}") >= self.grace
+
     def _clean(self, bucket: int, commits: dict[int, dict], void: list[int]) -> None:
         # the greatest number stays, so that no number is given twice
-        gone = [n for n in void if n in commits and n != max(commits)]
+        gone = [n for n in void if n in commits and n != max(commits) and self._old(bucket, n)]
         for n in set(commits) - set(void):
             covers = [m for m in commits[n]["covers"] if m in commits]
-            if covers and storage.age_seconds(self.spark, f"{self.path}/commits/{bucket}/{n:012d}") >= self.grace:
+            if covers and self._old(bucket, n):
                 gone += covers
         for n in dict.fromkeys(gone):
             storage.delete(self.spark, f"{self.path}/commits/{bucket}/{n:012d}")

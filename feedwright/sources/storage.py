@@ -67,35 +67,36 @@ def swap(spark: SparkSession, staged: str, target: str, keep: str) -> None:
 
 
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file only if nobody has it yet (False: it exists). The claim is atomic on HDFS and on a local disk; a file
-    whose writer died between claim and content is empty."""
-    jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, path)
-    if fs.getUri().getScheme() == "file":
-        # the local Hadoop file system looks first and creates then; the JDK's call does both at once
-        from py4j.protocol import Py4JJavaError
-        fs.mkdirs(p.getParent())
-        files, local = jvm.java.nio.file.Files, jvm.java.io.File(p.toUri().getPath()).toPath()
-        try:
-            files.createFile(local, spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
-        except Py4JJavaError as e:
-            if "FileAlreadyExistsException" in str(e.java_exception):
-                return False
-            raise
-        files.write(local, bytearray(text.encode()), spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 0))
-        return True
+    """Create a small file with its content at once, only if nobody has it yet (False: it exists).
+
+    The content is written beside it first; then a hard link (local disk) or a rename (HDFS: refused where the target
+    exists) claims the name."""
+    import uuid
+
     from py4j.protocol import Py4JJavaError
-    try:
-        out = fs.create(p, False)
-    except Py4JJavaError as e:
-        if fs.exists(p):
-            return False
-        raise e
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    fs, p = _fs(spark, path)
+    beside = _fs(spark, f"{path.rpartition('/')[0]}/_new-{uuid.uuid4().hex}")[1]
+    out = fs.create(beside, True)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    return True
+    if fs.getUri().getScheme() != "file":
+        done = not fs.exists(p) and fs.rename(beside, p)
+        if not done:
+            fs.delete(beside, False)
+        return bool(done)
+    local = lambda x: jvm.java.nio.file.Paths.get(x.toUri().getPath(), gateway.new_array(jvm.java.lang.String, 0))
+    try:
+        jvm.java.nio.file.Files.createLink(local(p), local(beside))
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    finally:
+        fs.delete(beside, False)
 
 
 def read_small(spark: SparkSession, path: str) -> str:
