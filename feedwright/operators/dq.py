@@ -14,18 +14,19 @@ from pyspark.sql import functions as F
 
 from feedwright.operators.jobstat import latest_linecount
 from feedwright.sources.jdbc import JDBC_TYPES, scan_jdbc
-from feedwright.sources.scans import scan_sql
+from feedwright.sources.scans import marker_text, replace_markers, scan_sql
 
 CheckFn = Callable[..., DataFrame]
 
 
-#: Statistics are compared exactly: 28 digits before the point, 10 after it (doubles are rounded to that).
+#: Statistics are compared exactly: 28 digits before the point, 10 after it (doubles are rounded to that); greater numbers, NaN and
+#: infinities are compared as text.
 VALUE = "decimal(38,10)"
 
 
 def to_stats(df: DataFrame, key: str = "sub_group") -> DataFrame:
     """Unpivot a wide check result into ``(sub_group, stat, value, text)``: numbers as exact
-    decimals in ``value``, anything else as ``text``."""
+    decimals in ``value``, anything else (and numbers that no such decimal holds) as ``text``."""
     numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
     types = dict(df.dtypes)
     rows = []
@@ -34,8 +35,8 @@ def to_stats(df: DataFrame, key: str = "sub_group") -> DataFrame:
             continue
         is_number = types[c] in numeric or types[c].startswith("decimal")
         col = F.col(f"`{c}`")
-        rows.append(F.struct(F.lit(c).alias("stat"), (col if is_number else F.lit(None)).cast(VALUE).alias("value"),
-                             (F.lit(None) if is_number else col).cast("string").alias("text")))
+        value = col.try_cast(VALUE) if is_number else F.lit(None).cast(VALUE)
+        rows.append(F.struct(F.lit(c).alias("stat"), value.alias("value"), F.when(value.isNull(), col.cast("string")).alias("text")))
     if not rows:
         raise ValueError("a check needs at least one statistic")
     return df.select(F.col(key).cast("string").alias("sub_group"), F.explode(F.array(*rows)).alias("s")).select(
@@ -50,14 +51,11 @@ def sql_check(spark: SparkSession, query: str, params: dict | None = None,
 
 def bound_text(query: str, params: dict | None) -> str:
     """A source query with its ``<<KEY>>`` markers as literals, quoted by type: the source
-    database parses the text, so nothing is spliced in as it comes. Identifiers go in as
-    ``Identifier("NAME")`` and must be plain names."""
-    text = query
-    for k, v in (params or {}).items():
-        marker = f"<<{k}>>"
-        if marker in text:
-            text = text.replace(marker, _source_literal(v))
-    return text
+    database parses the text, so nothing is spliced in as it comes. Inside quotes the value's text stands for the marker, its quotes
+    doubled. Identifiers go in as ``Identifier("NAME")`` and must be plain names."""
+    params = dict(params or {})
+    return replace_markers(query, params, lambda key: _source_literal(params[key]) if key in params else f"<<{key}>>",
+                           lambda key, quote: marker_text(key, params[key]).replace(quote, quote * 2))
 
 
 class Identifier(str):

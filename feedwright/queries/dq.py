@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedwright.functions.exprs import not_blank
 from feedwright.operators.metadata import dq_plan as _dq_plan
 from feedwright.plans.reconcile import dq_reconcile as _dq_reconcile
+from feedwright.plans.reconcile import reconcile_scripts
 from feedwright.queries import register
 from feedwright.sources import derive
 from feedwright.sources.tables import read_table
@@ -106,3 +107,31 @@ def dq_reconcile(spark, sf_dir):
         {"db_type": "HIVE", "query": DQ_STATS_SQL, "params": {"TABLE": "fw_dq_target"}, "views": views})
     # compared exactly; shown as doubles
     return found.select("sub_group", "stat", *[F.col(c).cast("double").alias(c) for c in ("src_value", "tgt_value", "diff")], "dq_status")
+
+
+_SG_DUCK = """SELECT 'SG_' || CAST(l_suppkey % 50 AS VARCHAR) AS g, count(*) AS row_count, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents
+FROM lineitem {0} GROUP BY ALL"""
+
+SUB_GROUP_SQL = """
+SELECT count(*) AS row_count, coalesce(sum(CAST(round(l_extendedprice * 100) AS BIGINT)), 0) AS cents
+FROM IDENTIFIER(<<TABLE>>) WHERE concat('SG_', l_suppkey % 50) = '<<SUB_GROUP>>'"""
+
+
+@register("dq_subgroups", f"""
+WITH p AS (SELECT DISTINCT 'SG_' || CAST(s_suppkey % 50 AS VARCHAR) AS sub_group FROM supplier),
+s AS ({_SG_DUCK.format("")}), t AS ({_SG_DUCK.format("WHERE l_linenumber <> 7 OR l_suppkey % 3 = 0")}),
+j AS (SELECT sub_group, coalesce(s.row_count, 0) AS sn, coalesce(t.row_count, 0) AS tn, coalesce(s.cents, 0) AS sc, coalesce(t.cents, 0) AS tc
+      FROM p LEFT JOIN s ON s.g = sub_group LEFT JOIN t ON t.g = sub_group)
+SELECT sub_group, 'row_count' AS stat, CAST(sn AS DOUBLE) AS src_value, CAST(tn AS DOUBLE) AS tgt_value, CAST(tn - sn AS DOUBLE) AS diff,
+       CASE WHEN sn = tn THEN 'MATCH' ELSE 'MISMATCH' END AS dq_status FROM j
+UNION ALL SELECT sub_group, 'cents', sc, tc, tc - sc, CASE WHEN sc = tc THEN 'MATCH' ELSE 'MISMATCH' END FROM j""")
+def dq_subgroups(spark, sf_dir):
+    """M4 with a script per sub-group (as many as suppliers give, 50 at most): each side is one scan."""
+    li = read_table(spark, sf_dir, "lineitem")
+    plan = read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("SG_"), (F.col("s_suppkey") % 50).cast("string")).alias("sub_group_nm")).distinct().select(
+        "sub_group_nm", F.lit("src.sql").alias("src_qry_scr"), F.lit("tgt.sql").alias("tgt_qry_scr"), F.lit("HIVE").alias("db_type"),
+        F.lit("srv").alias("db_server"), F.lit("u").alias("db_user"))
+    scripts = {"src.sql": SUB_GROUP_SQL.replace("<<TABLE>>", "'fw_sg_source'"), "tgt.sql": SUB_GROUP_SQL.replace("<<TABLE>>", "'fw_sg_target'")}
+    found = reconcile_scripts(spark, plan, scripts.get, views={
+        "fw_sg_source": li, "fw_sg_target": li.where("l_linenumber <> 7 OR l_suppkey % 3 = 0")})
+    return found.select("sub_group", "stat", *[F.col(c).cast("double").alias(c) for c in ("src_value", "tgt_value", "diff")], "dq_status")

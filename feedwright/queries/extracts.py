@@ -3,12 +3,15 @@ twins, custom SQL, first-n columns and the refined-count fallback."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from feedwright.operators import metadata as md
 from feedwright.operators.counts import refined_count_with_fallback, window_counts
 from feedwright.queries import register
-from feedwright.sources import derive
+from feedwright.session import scratch_path
+from feedwright.sources import derive, storage
 from feedwright.sources.scans import scan_delta, scan_raw, scan_refined, scan_sql
 from feedwright.sources.tables import read_table
 
@@ -128,3 +131,22 @@ def custom_sql_extract(spark, sf_dir):
 @register("first_n_columns", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem")
 def first_n_columns(spark, sf_dir):
     return md.first_columns(read_table(spark, sf_dir, "lineitem"), 4)
+
+
+# Markers bare, in quotes, inside a longer text, in a typed literal and in a quoted name.
+MARKERS_SQL = """
+SELECT o_orderkey, '<<TAG>>' AS tag, 'x_<<TAG>>_<<FROM_DT>>' AS label, <<TAG>> AS bare, <<N>> AS n -- '<<TAG>>' stays here
+FROM `<<VIEW>>` WHERE o_orderdate >= DATE '<<FROM_DT>>' AND o_orderdate < <<END_DT>> AND '<<N>>' = '5' AND '<<OTHER>>' <> ''"""
+
+
+@register("custom_sql_markers", " UNION ALL ".join(f"""
+SELECT o_orderkey, 'it''s \\ "q"' AS tag, 'x_it''s \\ "q"_1996-03-01' AS label, 'it''s \\ "q"' AS bare, 5 AS n, '{way}' AS way FROM orders
+WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-04-01'""" for way in ("inline", "file")))
+def custom_sql_markers(spark, sf_dir):
+    """A4/C11: ``<<KEY>>`` markers in every place a script can hold them, from a text and from a file."""
+    path = scratch_path(spark, "marker-scripts") + "/script.sql"
+    storage.create_new(spark, path, MARKERS_SQL)
+    params = {"TAG": "it's \\ \"q\"", "N": 5, "VIEW": "fw_marker_orders", "FROM_DT": dt.date(1996, 3, 1), "END_DT": dt.date(1996, 4, 1)}
+    views = {"fw_marker_orders": read_table(spark, sf_dir, "orders")}
+    return (scan_sql(spark, MARKERS_SQL, params, views).withColumn("way", F.lit("inline"))
+            .unionByName(scan_sql(spark, path, params, views).withColumn("way", F.lit("file"))))

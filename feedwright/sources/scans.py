@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,11 +175,16 @@ def scan_delta(df: DataFrame, delta_col: str | None, op: str = "=", from_val=Non
 
 
 def read_sql_file(spark: SparkSession, path: str) -> str:
-    """SQL text of a file: a URI the cluster's file systems read, or a local path on the driver."""
-    if "://" in path:
-        return spark.read.text(path, wholetext=True).first()[0]
-    with open(path) as fh:
-        return fh.read()
+    """SQL text of a file: a local path on the driver, or one that the cluster's file systems read."""
+    import os
+
+    from feedwright.sources import storage
+    if "://" not in path and os.path.isfile(path):
+        with open(path) as fh:
+            return fh.read()
+    if not storage.exists(spark, path):
+        raise FileNotFoundError(path)
+    return storage.read_small(spark, path)
 
 
 def read_sql_text(spark: SparkSession, text_or_path: str) -> str:
@@ -188,11 +194,16 @@ def read_sql_text(spark: SparkSession, text_or_path: str) -> str:
     return read_sql_file(spark, t) if t.lower().endswith(".sql") and not re.search(r"\s", t) else text_or_path
 
 
+#: Quoted texts, quoted names, comments and the semicolons between statements.
+_TOKEN = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;", re.S)
+
+_MARKER = re.compile(r"<<\s*(\w+)\s*>>")
+
+
 def split_statements(text: str) -> list[str]:
     """Statements of a ``;`` list; semicolons in quotes and comments don't separate."""
     parts, at = [], 0
-    token = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;", re.S)
-    for m in token.finditer(text):
+    for m in _TOKEN.finditer(text):
         if m.group() == ";":
             parts.append(text[at:m.start()])
             at = m.end()
@@ -200,29 +211,113 @@ def split_statements(text: str) -> list[str]:
     return [p.strip() for p in parts if p.strip()]
 
 
+def _parts(text: str):
+    """``(kind, part)`` of an SQL text: plain, quoted (with its quote character) or comment."""
+    at = 0
+    for m in _TOKEN.finditer(text):
+        if m.start() > at:
+            yield "", text[at:m.start()]
+        first = m.group()[0]
+        yield (first if first in "'\"`" else "" if first == ";" else "#"), m.group()
+        at = m.end()
+    if at < len(text):
+        yield "", text[at:]
+
+
+def marker_text(key: str, value) -> str:
+    """A parameter's text inside quotes."""
+    if value is None or isinstance(value, bool):
+        raise ValueError(f"<<{key}>> in quotes needs a text, number or date, not {value!r}")
+    return f"{value:%Y-%m-%d %H:%M:%S}" if isinstance(value, _dt.datetime) else str(value)
+
+
+def replace_markers(text: str, params: dict, plain, quoted) -> str:
+    """``text`` with its ``<<KEY>>`` markers replaced: ``plain(key)`` outside quotes, ``quoted(key, quote)`` inside (of keys that
+    have a value; others are text there). Comments stay as they are."""
+    out = []
+    for kind, part in _parts(text):
+        if not kind:
+            part = _MARKER.sub(lambda m: plain(m.group(1)), part)
+        elif kind != "#":
+            part = _MARKER.sub(lambda m, q=kind: quoted(m.group(1), q) if m.group(1) in params else m.group(), part)
+        out.append(part)
+    return "".join(out)
+
+
+def bind_markers(text: str, params: dict) -> str:
+    """Spark SQL text: a bare ``<<KEY>>`` becomes the named parameter ``:KEY``; in a quoted text (``'<<KEY>>'``,
+    ``'x_<<KEY>>'``, ``DATE '<<KEY>>'``) or name the value's own text stands for it, escaped, so that it can't end the quotes."""
+    def quoted(key, quote):
+        value = marker_text(key, params[key])
+        if quote == "`":
+            return value.replace("`", "``")
+        return value.replace("\\", "\\\\").replace(quote, "\\" + quote)
+
+    return replace_markers(text, params, lambda key: f":{key}", quoted)
+
+
 def scan_sql(spark: SparkSession, text: str, params: dict | None = None,
              views: dict[str, DataFrame] | None = None) -> DataFrame:
     """A4/C11: custom extract SQL with ``<<KEY>>`` or ``:key`` parameters.
 
-    ``<<KEY>>`` markers are rewritten to named parameter markers; values are
-    always bound, never spliced into the text. A ``;`` list runs in order and
+    Bare ``<<KEY>>`` markers are rewritten to named parameter markers, whose values are
+    bound; inside quotes the value's escaped text is filled in (``bind_markers``). A ``;`` list runs in order and
     the last statement's result is returned (B8).
     """
     for name, view in (views or {}).items():
         view.createOrReplaceTempView(name)
-    text = read_sql_text(spark, text)
     params = dict(params or {})
-    text = re.sub(r"<<\s*(\w+)\s*>>", lambda m: ":" + m.group(1), text)
+    text = bind_markers(read_sql_text(spark, text), params)
     statements = split_statements(text)
     if not statements:
         raise ValueError("empty SQL text")
     result = None
     for stmt in statements:
-        used = {k: v for k, v in params.items() if re.search(r":" + re.escape(k) + r"\b", stmt)}
+        plain = "".join(part for kind, part in _parts(stmt) if not kind)
+        used = {k: v for k, v in params.items() if re.search(r":" + re.escape(k) + r"\b", plain)}
         result = spark.sql(stmt, args=used or None)
     return result
 
 
+def scan_sql_per_row(spark: SparkSession, text: str, keys: DataFrame, key: str, params: dict | None = None,
+                     views: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """One statement for every row of ``keys`` at once: its ``<<key>>`` markers are the row's column ``key``, and the result has
+    the statement's columns and ``key``. Catalyst turns the lateral join into one scan that is aggregated per key.
+
+    None where the statement can't run this way (a list of statements, or the key outside a condition): run it per row then."""
+    from pyspark.errors import AnalysisException, ParseException
+    params = dict(params or {})
+    text = read_sql_text(spark, text)
+    if len(split_statements(text)) != 1:
+        return None
+    column = "fw_keys.fw_key"
+    text = split_statements(text)[0]
+    found = []
+    for kind, part in _parts(text):
+        if kind == "'" and any(m.group(1) == key for m in _MARKER.finditer(part)):
+            inner = re.split(rf"<<\s*{key}\s*>>", part[1:-1])
+            part = "(" + f" || {column} || ".join(f"'{x}'" for x in inner) + ")" if any(inner) else column
+        elif not kind:
+            part = re.sub(rf"<<\s*{key}\s*>>|:{key}\b", column, part)
+        found.append(part)
+    for name, view in (views or {}).items():
+        view.createOrReplaceTempView(name)
+    name = f"fw_keys_{uuid.uuid4().hex}"
+    keys.select(F.col(key).cast("string").alias("fw_key")).distinct().createOrReplaceTempView(name)
+    statement = bind_markers("".join(found), params)
+    plain = "".join(part for kind, part in _parts(statement) if not kind)
+    used = {k: v for k, v in params.items() if re.search(r":" + re.escape(k) + r"\b", plain)}
+    try:
+        out = spark.sql(f"SELECT {column} AS fw_key, fw_rows.* FROM {name} AS fw_keys, LATERAL ({statement}) AS fw_rows", args=used or None)
+        # the analyser looks at the whole plan here; what it can't decorrelate is refused now
+        out._jdf.queryExecution().optimizedPlan()
+        return out
+    except (AnalysisException, ParseException):
+        return None
+    finally:
+        spark.catalog.dropTempView(name)
+
+
 def dated_path(template: str, date) -> str:
     """A5: replace the one ``<<strftime-pattern>>`` token by the formatted date."""
     m = re.search(r"<<(.+?)>>", template)
