@@ -15,7 +15,7 @@ from feedwright.operators.rules import unnumbered_jobs as _unnumbered_jobs
 from feedwright.plans.job_defs import parse_job_definitions
 from feedwright.plans.xml_feed import read_feed_csv, xml_feed_to_csv as _xml_feed_to_csv
 from feedwright.queries import register
-from feedwright.session import scratch_path
+from feedwright.session import scratch_path, with_fixed_splits
 from feedwright.sinks.files import write_csv, write_lines, write_xml
 from feedwright.sources import derive
 from feedwright.sources.files import latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
@@ -25,6 +25,7 @@ from feedwright.streaming.delimiter_stream import start_delimiter_stream
 
 FILE_ROWS = 1000         # rows per landed CSV / line file (multi-line CSV: one task per file)
 XML_FILE_ROWS = 20000    # rows per landed XML file
+SPLIT_BYTES = 1 << 16    # a split of the single-file feeds, so that they are many tasks at any scale
 DOC_ROWS = 2000          # rows per XML document in the malformed feed
 
 ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -51,6 +52,23 @@ def csv_multiline(spark, sf_dir):
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
 
 
+@register("csv_split", """
+SELECT doc_id, substr(r, 2, length(r) - 2) AS text, lang, source FROM (
+  SELECT doc_id, lang, source,
+         list_reduce(string_split('"' || text || '"', chr(10)),
+                     lambda a, b: a || CASE WHEN length(a) > 0 AND length(b) > 0 AND right(a, 1) <> ' '
+                                                 AND left(b, 1) <> ' ' THEN ' ' ELSE '' END || b) AS r
+  FROM documents)""")
+def csv_split(spark, sf_dir):
+    """A8 on one file: all documents land in a single quoted CSV file, which many tasks read (splits of 64 kB here)."""
+    path = scratch_path(spark, "csv-split")
+    write_csv(read_table(spark, sf_dir, "documents").coalesce(1), path, header=True)
+    fine = with_fixed_splits(spark)
+    fine.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    df = read_multiline_csv(fine, path, 4)
+    return spark.createDataFrame([], df.schema).union(df).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
+
+
 @register("csv_first_n", "SELECT p_partkey, p_name, p_brand FROM part")
 def csv_first_n(spark, sf_dir):
     part = read_table(spark, sf_dir, "part")

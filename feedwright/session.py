@@ -51,6 +51,20 @@ def apply_defaults(spark: SparkSession) -> None:
         spark.conf.set(k, DEFAULT_CONF[k])
 
 
+def with_fixed_splits(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` in which a file is always split at the same places.
+
+    Spark sizes its splits by the cores it has at that moment and by all files of the scan; a reader that scans a file twice needs
+    the same splits both times: multiples of ``spark.sql.files.maxPartitionBytes``. Settings changed later in ``spark``
+    don't reach this session."""
+    other = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            other.conf.set(k, v)
+    other.conf.set("spark.sql.files.minPartitionNum", "1")
+    return other
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
