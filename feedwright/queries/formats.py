@@ -15,7 +15,7 @@ from feedwright.operators.rules import unnumbered_jobs as _unnumbered_jobs
 from feedwright.plans.job_defs import parse_job_definitions
 from feedwright.plans.xml_feed import read_feed_csv, xml_feed_to_csv as _xml_feed_to_csv
 from feedwright.queries import register
-from feedwright.session import scratch_path, with_fixed_splits
+from feedwright.session import in_session, scratch_path, with_fixed_splits
 from feedwright.sinks.files import write_csv, write_lines, write_xml
 from feedwright.sources import derive
 from feedwright.sources.files import latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
@@ -66,7 +66,7 @@ def csv_split(spark, sf_dir):
     fine = with_fixed_splits(spark)
     fine.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
     df = read_multiline_csv(fine, path, 4)
-    return spark.createDataFrame([], df.schema).union(df).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
+    return in_session(spark, df).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
 
 
 @register("csv_first_n", "SELECT p_partkey, p_name, p_brand FROM part")
@@ -121,6 +121,27 @@ def xml_roundtrip(spark, sf_dir):
     return _typed_orders(read_xml_rows(spark, path, "row", ORDERS_TAGS))
 
 
+@register("xml_split", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus || ' > </row>' END AS note, 'outer' AS part FROM orders UNION ALL
+SELECT o_orderkey, -1, o_orderpriority, 'inner' FROM orders WHERE o_orderkey % 3 = 0""")
+def xml_split(spark, sf_dir):
+    """A10/A11 on one file without line breaks, read by many tasks (splits of 64 kB): rows in comments and CDATA sections that are no rows,
+    closing tags with blanks, ``>`` in attributes, rows inside rows."""
+    k = F.col("o_orderkey")
+    inner = F.when(k % 3 == 0, F.concat(F.lit("<row><k>"), k.cast("string"), F.lit("</k><note>"), F.col("o_orderpriority"), F.lit("</note></row >")))
+    text = F.concat(F.lit("<row id='x>y'><!-- <row><k>0</k></row> --><k>"), k.cast("string"), F.lit("</k>"), F.coalesce(inner, F.lit("")),
+                    F.lit("<c>"), F.col("o_custkey").cast("string"), F.lit("</c>"),
+                    F.when(k % 5 == 0, F.lit("<note/>")).otherwise(F.concat(F.lit("<note><![CDATA["), F.col("o_orderstatus"), F.lit(" > </row>]]></note>"))),
+                    F.when(k % 2 == 0, F.lit("</row >")).otherwise(F.lit("</row>")))
+    path = scratch_path(spark, "xml-split")
+    (read_table(spark, sf_dir, "orders").select(text.alias("value")).coalesce(1).write.option("lineSep", " ").text(path))
+    fine = with_fixed_splits(spark)
+    fine.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    rows = read_xml_rows(fine, path, "row", ["k", "c", "note"], key="k")
+    return in_session(spark, rows).select(F.col("k").cast("long").alias("o_orderkey"), F.when(F.col("c") == "", F.lit(-1)).otherwise(F.col("c").try_cast("long")).alias("o_custkey"),
+                       "note", F.when(F.col("c") == "", F.lit("inner")).otherwise(F.lit("outer")).alias("part"))
+
+
 @register("xml_malformed_prefix", """
 SELECT *, (SELECT count(*) FROM orders WHERE o_orderkey % 89 < 2) AS faults FROM orders WHERE o_orderkey % 89 > 1""")
 def xml_malformed_prefix(spark, sf_dir):

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings a deployment is expected to override (sizes are per-cluster).
 DEFAULT_CONF = {
@@ -65,6 +66,34 @@ def with_fixed_splits(spark: SparkSession) -> SparkSession:
     return other
 
 
+def in_session(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` of another session as a frame of ``spark`` (its views and settings apply to what is built on it)."""
+    # the optimiser drops the empty side
+    none = spark.range(1).limit(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return none.union(df)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a cluster (once per application)."""
+    import zipfile
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="feedwright-py-"), "feedwright.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 

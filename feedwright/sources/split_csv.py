@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedwright.session import with_fixed_splits
+from feedwright.session import in_session, ship_package, with_fixed_splits
 
 #: Kinds of pieces: a record, or the part of one that crosses a border; the same of the file's first record.
 WHOLE, HEAD, MIDDLE, TAIL, FIRST_HEAD = range(5)
@@ -137,6 +137,7 @@ def _mapper(inside: dict, quote: str, header: bool, pieces: bool):
 
 def split_records(spark: SparkSession, path: str, header: bool, quote: str = '"') -> DataFrame:
     """``record``: the logical records of the files as text (line breaks inside quotes kept), without headers and blank lines."""
+    ship_package(spark)
     fixed = with_fixed_splits(spark)
     lines = _lines(fixed, path)
     starts = split_starts(lines, quote)
@@ -164,7 +165,7 @@ def split_records(spark: SparkSession, path: str, header: bool, quote: str = '"'
             joined = joined.where(F.col("p")[0]["kind"] != FIRST_HEAD)
         records = records.unionByName(joined.select(F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record")))
     records = records.select(F.regexp_replace("record", r"\r$", "").alias("record")).where("record <> ''")
-    return spark.createDataFrame([], records.schema).union(records)      # a frame of the caller's session
+    return in_session(spark, records)
 
 
 def csv_fields(records: DataFrame, n: int, sep: str, null_value: str) -> DataFrame:

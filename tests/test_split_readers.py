@@ -81,3 +81,89 @@ def test_empty_files(spark, tmp_path):
     write(f"{tmp_path}/e/a.csv", "")
     write(f"{tmp_path}/e/b.csv", "id,v\n")
     assert split_records(spark, f"{tmp_path}/e", True).count() == 0
+
+
+def document(seed, n):
+    """A well-formed document with everything that a lexer can stumble over."""
+    r = random.Random(seed)
+    noise = ["<!-- <row><k>no</k></row> -->", "<!-- </row> > -->", "<?pi <row> ?>", "\n", "<other a='<row>'.>"[:0], "<x><![CDATA[</row><row>]]></x>"]
+
+    def row(depth=0):
+        attrs = r.choice(["", ' a="x>y"', " b='</x>\" >'"[:0] or " b='q\">'", ' a="1" b="2>"'])
+        if r.random() < 0.1:
+            return f"<row{attrs}/>"
+        body = []
+        for t in r.sample(["k", "v", "w"], r.randrange(4)):
+            text = r.choice(["", "t", "a &lt; b", "é > x", "<![CDATA[<row></row>]]>", "<!-- </row> -->y", "long " * r.randrange(30)])
+            body.append(f"<{t}>{text}</{t}>")
+        if depth < 3 and r.random() < 0.2:
+            body.insert(r.randrange(len(body) + 1), row(depth + 1))
+        return f"<row{attrs}>" + r.choice(["", "\n", " "]).join(body) + r.choice(["</row>", "</row >", "</row\n>"])
+
+    return '<?xml version="1.0"?>\n<!DOCTYPE R [<!ENTITY z "<row>">]>\n<R>' + "".join(row() + r.choice(noise) for _ in range(n)) + "</R>"
+
+
+def model(text):
+    """The rows of an XML tree: first direct child of each name."""
+    from xml.etree import ElementTree
+    out = []
+    for e in ElementTree.fromstring(text).iter("row"):
+        out.append(tuple((c.text or "") if (c := e.find(t)) is not None else "" for t in ("k", "v", "w")))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [40, 150, 1000, 10**6])
+def test_xml_rows_of_split_files(spark, tmp_path, size):
+    from feedwright.sources.xml import read_xml_raw, read_xml_rows, xml_faults
+    want = []
+    for f in range(3):
+        text = document(f, 60)
+        want += model(text)
+        write(f"{tmp_path}/x/{f}.xml", text)
+    s = small_splits(spark, size)
+    got = sorted(tuple(r) for r in read_xml_rows(s, f"{tmp_path}/x", "row", ["k", "v", "w"]).collect())
+    assert got == sorted(want)
+    assert xml_faults(read_xml_raw(s, f"{tmp_path}/x", "row", ["k", "v", "w"])).first()[0] == 0
+
+
+def whole_text(text, size):
+    """The lexer over parts that begin at a ``</row``."""
+    from feedwright.sources import split_xml as sx
+    split = sx._Split(sx.RowLexer("row"), 1, 0, (sx.TEXT, 0, [], {}), False)
+    parts, at = [], 0
+    while at < len(text):
+        end = text.find("</row", at + size)
+        end = len(text) if end < 0 else end
+        parts.append(text[at:end])
+        at = end
+    for p in parts:
+        split.feed(p)
+    split.finish()
+    return [(x[4], x[5]) for x in split.out]
+
+
+def test_parts_dont_change_what_the_lexer_finds():
+    for seed in range(30):
+        text = document(seed, 20)
+        assert whole_text(text, 1) == whole_text(text, 37) == whole_text(text, 10**6)
+
+
+def test_leading_elements_of_broken_records(spark, tmp_path):
+    from feedwright.sources.xml import read_xml_raw, read_xml_rows, xml_faults
+    write(f"{tmp_path}/b/a.xml", "<R><row><k>1</k><v>x</v></row><row a='1'><k>2</k><v>cut<w>z</w></row><row><v>3</v><k/><w></row></R>")
+    write(f"{tmp_path}/b/b.xml", "<R><row><k>4</k><w>y</w><row><k>5</k></row>")
+    rows = lambda **k: sorted(tuple(r) for r in read_xml_rows(spark, f"{tmp_path}/b", "row", ["k", "v", "w"], **k).collect())
+    assert rows() == [("1", "x", ""), ("5", "", "")]
+    assert rows(salvage=True) == [("", "3", ""), ("1", "x", ""), ("2", "", ""), ("4", "", "y"), ("5", "", "")]
+    assert rows(salvage=True, key="k") == rows(salvage=True)
+    assert xml_faults(read_xml_raw(spark, f"{tmp_path}/b", "row", ["k", "v", "w"], salvage=True)).first()[0] == 3
+
+
+def test_a_record_over_many_splits_between_faults(spark, tmp_path):
+    from feedwright.sources.xml import read_xml_raw, read_xml_rows, xml_faults
+    long = "<k>" + "x > " * 300 + "</k>"
+    write(f"{tmp_path}/m/a.xml", f"<R></row><row><row>{long}</row><row>{long}<v>1</v></row><!-- " + "<row>" * 50 + f"--><row><v>2</v></row>{long}</R>")
+    s = small_splits(spark, 64)
+    got = sorted((len(r.k), r.v) for r in read_xml_rows(s, f"{tmp_path}/m", "row", ["k", "v"]).collect())
+    assert got == [(0, "2"), (1200, ""), (1200, "1")]
+    assert xml_faults(read_xml_raw(s, f"{tmp_path}/m", "row", ["k", "v"])).first()[0] == 2
