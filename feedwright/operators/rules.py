@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedwright.functions.exprs import job_number, naming_flags
+from feedwright.session import scratch_path, ship_package
 
 
 def naming_check(jobs: DataFrame) -> DataFrame:
@@ -37,3 +40,38 @@ def missing_numbers(spark: SparkSession, numbers: DataFrame, col: str) -> DataFr
         return spark.range(0).select(F.col("id").alias(col))
     full = spark.range(bounds["lo"], bounds["hi"] + 1).select(F.col("id").alias("n"))
     return full.join(present, "n", "left_anti").select(F.col("n").alias(col))
+
+
+def missing_ranges(spark: SparkSession, numbers: DataFrame, col: str) -> DataFrame:
+    """D6/H3 as intervals ``(first, last)`` of the numbers in [min, max] that don't occur: as many rows as gaps, however wide they are.
+
+    The distinct numbers are range-partitioned and sorted; each task takes the differences of neighbours and gives its own first and
+    last number, which are one row a task: the gaps between tasks come from those.
+    """
+    ship_package(spark)
+    present = numbers.select(F.col(f"`{col}`").cast("long").alias("n")).where(F.col("n").isNotNull()).distinct()
+    path = scratch_path(spark, "number-gaps")
+    # written, so that the gaps and the borders are of the same ranges
+    (present.repartitionByRange("n").sortWithinPartitions("n").mapInArrow(_neighbours, "first long, last long, border boolean").write.parquet(path))
+    found = spark.read.schema("first long, last long, border boolean").parquet(path)
+    # a row per range: a global window over them is small
+    after = F.lead("first").over(Window.orderBy("first"))
+    between = (found.where("border").select("last", after.alias("after")).where("after IS NOT NULL").where("after - 1 <> last")
+               .selectExpr("last + 1 AS first", "after - 1 AS last"))
+    return found.where("NOT border").select("first", "last").union(between)
+
+
+def _neighbours(batches):
+    low = high = None
+    for batch in batches:
+        n = batch.column(0).to_numpy()
+        if not len(n):
+            continue
+        low = int(n[0]) if low is None else low
+        before = np.concatenate([[n[0] if high is None else high], n[:-1]])
+        # differences of 64-bit numbers may exceed 64 bits: compare with the next number instead
+        at = np.flatnonzero((n != before) & (before + 1 != n))
+        high = int(n[-1])
+        yield pa.record_batch({"first": pa.array(before[at] + 1), "last": pa.array(n[at] - 1), "border": pa.array(np.zeros(len(at), bool))})
+    if low is not None:
+        yield pa.record_batch({"first": pa.array([low]), "last": pa.array([high]), "border": pa.array([True])})

@@ -31,9 +31,13 @@ from feedwright.operators.jobstat import COMPLETED, EXTRACT_COMPLETED, JOBSTAT_S
 from feedwright.operators.metadata import add_partition_twins, project, projection_spec, raw_projection
 from feedwright.operators.metrics import path_bytes
 from feedwright.operators.postprocess import apply_postprocessors
+from feedwright.operators.stored_profile import profile_store
+from feedwright.operators.stored_profile import record as record_profile
+from feedwright.sinks.compaction import compact_folder, finish
 from feedwright.sinks.event_log import EventLog
-from feedwright.sinks.tables import retention_candidates, write_partitioned
-from feedwright.sinks.units import UnitTable, unit_key
+from feedwright.sinks.bucketed import BucketedTable
+from feedwright.sinks.tables import parse_bucketing_clause, retention_candidates, write_partitioned
+from feedwright.sinks.units import UNIT, UnitTable, unit_key
 from feedwright.sources import storage
 from feedwright.sources.jdbc import scan_jdbc
 from feedwright.sources.scans import _as_date, scan_delta, scan_refined, scan_sql
@@ -93,6 +97,9 @@ class FeedSpec:
     file: dict | None = None               # file source: sources.feeds.open_file arguments (A5, A8, A9, A10, A12)
     refined_format: str = "parquet"
     status_path: str | None = None         # run status and audit are kept here
+    bucketing: str = ""                    # CLUSTERED BY (refined columns) INTO n BUCKETS: the refined table is a bucketed one
+    table: str = ""                        # its name in the catalog
+    profile_path: str | None = None        # null counts per partition are kept here (operators.stored_profile)
     schema: str = ""                       # the source schema: run status is kept per (schema, feed)
     extra: dict = field(default_factory=dict)
 
@@ -172,15 +179,6 @@ def truncate_mode(spec: FeedSpec, cols: list[dict]) -> str:
     return "P" if mode == "P" or (not mode and partitions_imply_window(spec, cols)) else "N"
 
 
-def _compact(spark: SparkSession, folder: str, target: int) -> None:
-    """Rewrite one partition folder into ``target`` files beside it and swap the folders."""
-    parent, _, name = folder.rstrip("/").rpartition("/")
-    mark = f"{name.replace('=', '-')}-{int(time.time() * 1000)}"
-    staged = f"{parent}/_compact-{mark}"
-    spark.read.parquet(folder).repartition(target).write.option("compression", "zstd").parquet(staged)
-    storage.swap(spark, staged, folder, f"{parent}/_before-{mark}")
-
-
 def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_date=None, stages: str = "GEL",
            jobpid: int | None = None, jobstat: DataFrame | None = None, override: bool = False) -> dict:
     """One window of one feed. With a status path (or a ``jobstat`` frame and no ``override``) a
@@ -234,8 +232,19 @@ def ingest(spark: SparkSession, spec: FeedSpec, from_date, end_date=None, run_da
             "end_date": end_d, "loaddate": loaddate}
 
 
+def bucketed_table(spark: SparkSession, spec: FeedSpec, schema, mode: str, partition_cols: list[str]) -> BucketedTable:
+    """The refined table of a feed with a bucketing clause."""
+    cols, n = parse_bucketing_clause(spec.bucketing)
+    name = spec.table or "_".join(x for x in (spec.schema, spec.feed) if x).lower()
+    return BucketedTable(spark, name, spec.refined_path, schema, n, cols, [*([UNIT] if mode == "N" else []), *partition_cols], spec.refined_format)
+
+
 def read_refined(spark: SparkSession, spec: FeedSpec, schema) -> DataFrame:
     """The refined table of a feed; of an append table the published units only."""
+    if spec.bucketing:
+        cols = projection_spec(spec.col_meta)
+        ptn = [f"{r['RFND_COL_INHIVE'].lower()}_ptn" for r in cols if str(r.get("IS_PARTITIONED", "N")).upper() == "Y"]
+        return bucketed_table(spark, spec, schema, truncate_mode(spec, cols), ptn).read().drop(UNIT)
     if truncate_mode(spec, projection_spec(spec.col_meta)) == "N":
         return UnitTable(spark, spec.refined_path, spec.refined_format).read(schema)
     return spark.read.schema(schema).format(spec.refined_format).load(spec.refined_path)
@@ -259,6 +268,10 @@ def _extract(spark: SparkSession, spec: FeedSpec, from_d, end_d) -> DataFrame:
                       col_type=spec.delta_type, col_fmt=spec.delta_fmt)
 
 
+def _has_rows(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0
+
+
 def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid, info, log) -> None:
     ptn_src = [r["RFND_COL_INHIVE"].lower() for r in cols if str(r.get("IS_PARTITIONED", "N")).upper() == "Y"]
     info["partition_col"] = ",".join(f"{c}_ptn" for c in ptn_src)            # R13
@@ -282,6 +295,7 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
 
     def raw_window() -> DataFrame:
         if storage.exists(spark, raw_folder):
+            finish(spark, raw_folder)      # of a compaction that broke off
             reader = spark.read.schema(raw_schema) if raw_schema is not None else spark.read
             return reader.parquet(raw_folder)
         if raw_schema is None:
@@ -292,8 +306,9 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
     first_ptn = f"{ptn_src[0]}_ptn" if ptn_src else None
     lo, hi = from_d.strftime("%Y%m%d"), end_d.strftime("%Y%m%d")
     closed = bool(spec.source_sql) or spec.operator.strip().lower() in ("between", "=")
-    units = UnitTable(spark, spec.refined_path, spec.refined_format) if mode == "N" else None
-    unit = unit_key("between" if spec.source_sql else spec.operator, from_d, end_d) if units else None
+    bucketed: BucketedTable | None = None
+    units = UnitTable(spark, spec.refined_path, spec.refined_format) if mode == "N" and not spec.bucketing else None
+    unit = unit_key("between" if spec.source_sql else spec.operator, from_d, end_d) if mode == "N" else None
     loaded: list[str] | None = None        # with P: the partitions that this load has rows for
     date_ptn = bool(ptn_src) and any(_is_date(str(r["RFND_COL_TYPE_INHIVE"])) for r in cols
                                      if r["RFND_COL_INHIVE"].lower() == ptn_src[0])
@@ -303,6 +318,8 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
         if units:
             folder = units.folders().get(unit)
             return [folder] if folder else []
+        if unit:
+            return [f"{UNIT}={unit}"]
         if not date_ptn:
             return storage.names(spark, spec.refined_path)
         if not closed and loaded is not None:
@@ -316,8 +333,14 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
                 schema = spark.read.format(spec.refined_format).load(
                     [f"{spec.refined_path.rstrip('/')}/{f}" for f in window_folders()]).schema if window_folders() else raw_window().schema
             return units.read(schema, [unit])
-        reader = spark.read.schema(refined_schema) if refined_schema is not None else spark.read
-        table = reader.format(spec.refined_format).load(spec.refined_path)
+        if spec.bucketing:
+            table = (bucketed or bucketed_table(spark, spec, spark.read.format(spec.refined_format).load(spec.refined_path).drop(UNIT).schema, mode,
+                                                [f"{c}_ptn" for c in ptn_src])).read()
+            if unit:
+                return table.where(F.col(UNIT) == unit).drop(UNIT)
+        else:
+            reader = spark.read.schema(refined_schema) if refined_schema is not None else spark.read
+            table = reader.format(spec.refined_format).load(spec.refined_path)
         if not date_ptn:
             return table
         table = table.withColumn(first_ptn, F.col(first_ptn).cast("string"))
@@ -339,36 +362,46 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
         info["refined_schema"] = refined_schema = refined.schema
         if spec.postprocess:
             apply_postprocessors(refined, spec.postprocess)      # switches that can't work are refused before the load
-        if units:
+        if unit:
             info["unit"] = unit
+        if spec.bucketing:
+            bucketed = bucketed_table(spark, spec, refined.schema, mode, [f"{c}_ptn" for c in ptn_src])
+            bucketed.load(refined, unit, replace_all=mode == "Y")
+        elif units:
             units.load(refined, unit, [f"{c}_ptn" for c in ptn_src])
         else:
             write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src], truncate=mode, fmt=spec.refined_format)
         info["cast_rejects"] = {k: int(v) for k, v in _observed(rejects).items() if k != "_rows" and v}
+        emptied: list[str] = []
         if mode == "P":
             # partitions that this load has rows for: one small aggregate over the raw window
             twin = add_partition_twins(project(raw_part, cols, "RAW_COL_INHIVE"), ptn_src)[0].select(first_ptn).distinct()
             loaded = [f"{first_ptn}={r[0]}" for r in twin.collect() if r[0] is not None]      # at most one row per day of the window
             if closed:
                 # only a closed window says which days it replaces; an open one leaves the days that it has no rows for
-                for folder in set(window_folders()) - set(loaded):
-                    storage.delete(spark, f"{spec.refined_path.rstrip('/')}/{folder}")
+                emptied = [f.partition("=")[2] for f in sorted(set(window_folders()) - set(loaded))]
+                if bucketed:
+                    bucketed.drop(first_ptn, emptied)
+                for v in emptied:
+                    storage.delete(spark, f"{spec.refined_path.rstrip('/')}/{first_ptn}={v}")
         # Compact the raw partition unless raw data is not retained or the
-        # source lands its own files — and only when it holds more files than
-        # its size needs (ceil(bytes / raw_file_bytes)); the rebalanced raw write
-        # usually does not
+        # source lands its own files; only small files that fit together are rewritten
         info["compacted"] = False
         if str(spec.raw_retention) != "-1" and "SQOOP" not in spec.db_type.upper():
-            sizes = storage.data_files(spark, raw_folder)
-            target = max(1, -(-sum(sizes) // spec.raw_file_bytes))
-            if len(sizes) > target:
-                _compact(spark, raw_folder, target)
-                info["compacted"] = True
+            info["compacted"] = compact_folder(spark, raw_folder, spec.raw_file_bytes) > 0
         # Refined rows of the window, with the received-count fallback
         counted = refined_count_with_fallback(
             spark.createDataFrame([(spec.feed, info["rowcount"])], "feed string, received_count long"),
             refined_window().agg(F.count(F.lit(1)).alias("refined_count")).withColumn("feed", F.lit(spec.feed)), ["feed"])
         info["refined_count"] = int(counted.first()["final_count"])
+        if spec.profile_path:
+            store = profile_store(spark, spec.profile_path)
+            window = refined_window()
+            key = first_ptn if mode == "P" else F.lit(unit or "all")
+            known = [] if mode != "N" else [r[0] for r in store.read({"table": spec.refined_path}).select("partition").distinct().collect() if r[0] == unit]
+            # a unit or table without rows has no partition to count: zeros stand for it
+            gone = emptied or ([unit or "all"] if mode != "P" and not _has_rows(window) and (known or mode == "Y") else [])
+            record_profile(store, window, spec.refined_path, key, gone)
         info["raw_size"], info["raw_replica_size"] = path_bytes(spark, raw_folder, spec.replicas)
         info["refined_size"], info["refined_replica_size"] = path_bytes(
             spark, spec.refined_path, spec.replicas, window_folders() if date_ptn or units else None)

@@ -10,18 +10,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedwright.operators.metadata import project
-from feedwright.operators.rules import job_numbers, missing_numbers, naming_check as _naming_check
+from feedwright.operators.rules import job_numbers, missing_numbers, missing_ranges, naming_check as _naming_check
 from feedwright.operators.rules import unnumbered_jobs as _unnumbered_jobs
 from feedwright.plans.job_defs import parse_job_definitions
 from feedwright.plans.xml_feed import read_feed_csv, xml_feed_to_csv as _xml_feed_to_csv
 from feedwright.queries import register
 from feedwright.session import in_session, scratch_path, with_fixed_splits
 from feedwright.sinks.files import write_csv, write_lines, write_xml
-from feedwright.sources import derive
+from feedwright.sinks.units import UnitTable
+from feedwright.sources import derive, storage
 from feedwright.sources.files import latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
 from feedwright.sources.tables import read_table
 from feedwright.sources.xml import read_xml_raw, read_xml_rows, xml_faults, xml_rows
-from feedwright.streaming.delimiter_stream import start_delimiter_stream
+from feedwright.streaming.delimiter_stream import ledger, start_delimiter_stream, start_ledger_stream
 
 FILE_ROWS = 1000         # rows per landed CSV / line file (multi-line CSV: one task per file)
 XML_FILE_ROWS = 20000    # rows per landed XML file
@@ -114,6 +115,34 @@ def stream_delimiter(spark, sf_dir):
     return spark.read.parquet(out_dir)
 
 
+@register("stream_ledger", f"""
+WITH v AS ({_REPAIR_DUCK}) SELECT value, (SELECT count(*) FROM part) AS ledger_rows FROM v""")
+def stream_ledger(spark, sf_dir):
+    """S1 with L3/L6: the stream into a table by batches with a ledger. Its last batch runs twice (the run dies between the batch's
+    writes and its commit), yet each line and each ledger row is there once."""
+    in_dir, table, log, checkpoint = (scratch_path(spark, f"ledger-{n}") for n in ("in", "table", "log", "checkpoint"))
+    lines = _foreign_lines(read_table(spark, sf_dir, "part"))
+    write_lines(lines.repartition(5), in_dir)
+
+    def run():
+        q = start_ledger_stream(spark, in_dir, table, log, checkpoint, max_files_per_trigger=2)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    run()
+    commits = [n for n in storage.names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    storage.delete(spark, f"{checkpoint}/commits/{max(commits, key=int)}")
+    before = UnitTable(spark, table).folders()
+    run()
+    after = UnitTable(spark, table).folders()
+    if len(commits) < 2 or set(before) != set(after) or before == after:
+        raise RuntimeError("the last batch wasn't run again")
+    rows = UnitTable(spark, table).read("value string")
+    counted = ledger(spark, log).read().agg(F.sum("rows").alias("ledger_rows"))
+    return rows.crossJoin(F.broadcast(counted))       # one row
+
+
 @register("xml_roundtrip", "SELECT * FROM orders")
 def xml_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "xml-orders")
@@ -235,6 +264,16 @@ def sequence_gaps(spark, sf_dir):
     return missing_numbers(spark, job_numbers(jobs), "job_num")
 
 
+@register("sequence_gap_ranges", """
+WITH n AS (SELECT DISTINCT CAST(o_orderkey AS BIGINT) * o_orderkey * 1000 + o_custkey % 3 AS v FROM orders),
+w AS (SELECT v, lead(v) OVER (ORDER BY v) AS nxt FROM n)
+SELECT v + 1 AS first, nxt - 1 AS last FROM w WHERE nxt > v + 1""")
+def sequence_gap_ranges(spark, sf_dir):
+    """D6/H3 on sparse numbers (up to 10^11 apart at sf0.1): the gaps as intervals."""
+    numbers = read_table(spark, sf_dir, "orders").selectExpr("o_orderkey * o_orderkey * 1000 + o_custkey % 3 AS v")
+    return missing_ranges(spark, numbers, "v")
+
+
 @register("unnumbered_jobs", """
 SELECT DISTINCT p_name AS jobname FROM part
 WHERE TRY_CAST(right(split_part(p_name, '-', 1), 3) AS INTEGER) IS NULL""")

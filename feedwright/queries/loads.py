@@ -13,6 +13,7 @@ from feedwright.operators import metadata as md
 from feedwright.plans.ingest import FeedSpec, audit_table, ingest, purge_path_partitions
 from feedwright.queries import register
 from feedwright.session import scratch_path
+from feedwright.sinks.compaction import compact_folder
 from feedwright.sinks.files import write_csv
 from feedwright.sources import derive, storage
 from feedwright.sources.feeds import feed_spec
@@ -203,3 +204,20 @@ def ingest_quality(spark, sf_dir):
     q = ingest(spark, spec, *MARCH, stages="GELQ", jobpid=1)["quality"]
     return q.where(F.col("column_name").isin("total_price", "order_status")).select(
         "column_name", (F.col("right_pct") > F.col("left_pct")).alias("nulled"))
+
+
+@register("compaction_mixed", """
+SELECT o_orderkey, true AS large_untouched, true AS fewer FROM orders""")
+def compaction_mixed(spark, sf_dir):
+    """L7 on a folder of three large and many small files: the large ones stay as they are, the small ones become a few."""
+    folder = scratch_path(spark, "compaction-mixed")
+    orders = read_table(spark, sf_dir, "orders")
+    orders.where("o_orderkey % 4 > 0").repartition(3).write.parquet(folder)
+    large = storage.file_sizes(spark, folder)
+    orders.where("o_orderkey % 4 = 0").repartition(24).write.mode("append").parquet(folder)
+    before = storage.file_sizes(spark, folder)
+    replaced = compact_folder(spark, folder, max(large.values()))
+    after = storage.file_sizes(spark, folder)
+    kept = all(after.get(n) == size for n, size in large.items())
+    return spark.read.schema(orders.schema).parquet(folder).select(
+        "o_orderkey", F.lit(kept and replaced == len(before) - len(large)).alias("large_untouched"), F.lit(len(after) <= 6 < len(before)).alias("fewer"))

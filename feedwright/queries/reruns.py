@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.operators.jobstat import STATUS_SCHEMA
+from feedwright.operators.profile import compare_profiles, null_profile
+from feedwright.operators.stored_profile import merged_profile, profile_store
 from feedwright.plans.ingest import FeedSpec, ingest, read_refined, status_table
 from feedwright.plans.run_feeds import run_feeds
 from feedwright.queries import register
 from feedwright.queries.duck import JOBSTAT
-from feedwright.queries.loads import MARCH, _meta, _spec
+from feedwright.queries.loads import APRIL, MARCH, _meta, _spec
 from feedwright.session import scratch_path
 from feedwright.sinks.event_log import EventLog
+from feedwright.sinks.files import write_csv
 from feedwright.sources import derive, storage
+from feedwright.sources.feeds import feed_spec, planned_feeds
 from feedwright.sources.tables import read_table
 
 #: The comparisons of a delta load.
@@ -130,3 +134,110 @@ def ingest_stages(spark, sf_dir):
         raise RuntimeError(f"runs {exits} exited")
     log = status_table(spark, status).read().where(F.col("filedate") == F.lit(dt.date(1996, 3, 1)))
     return log.select("schema_name", "feed", F.col("jobpid").cast("int").alias("step"), "status", "stages", "rowcount", "refined_count")
+
+
+@register("ingest_bucketed", """
+SELECT o_orderkey AS order_key, o_totalprice AS src_price, CASE WHEN o_orderkey % 50 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS tgt_price,
+       CASE WHEN o_orderkey % 50 = 0 THEN 'MISMATCH' ELSE 'MATCH' END AS dq_status FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-04-30'""")
+def ingest_bucketed(spark, sf_dir):
+    """L2 with a bucketing clause: a feed and its target, each loaded in two windows (the first one twice) into bucketed tables, joined on the
+    bucket column without an exchange; one file per bucket and load."""
+    tables = []
+    for name in ("BUCKETED_SRC", "BUCKETED_TGT"):
+        spec = _spec(spark, sf_dir, name, bucketing="CLUSTERED BY (ORDER_KEY) SORTED BY (ORDER_KEY) INTO 4 BUCKETS")
+        spec.table = f"fw_{name.lower()}_{spec.refined_path.rpartition('load-')[2].replace('/', '_').replace('-', '_').lower()}"
+        if name.endswith("TGT"):
+            spec.source = spec.source.withColumn("o_totalprice", F.expr("CASE WHEN o_orderkey % 50 = 0 THEN o_totalprice + 1 ELSE o_totalprice END"))
+        for i, window in enumerate((MARCH, APRIL, MARCH)):
+            res = ingest(spark, spec, *window, jobpid=i)
+        files = [len(storage.file_sizes(spark, f"{spec.refined_path}/{f}")) for f in storage.names(spark, spec.refined_path) if "=" in f]
+        if len(files) != 2 or max(files) > 4:
+            raise RuntimeError(f"{name}: {files} files in its loads")
+        tables.append(read_refined(spark, spec, res["refined_schema"]).select("order_key", F.col("total_price").alias(f"{name[-3:].lower()}_price")))
+    # merge: a broadcast of a small side would hide what the buckets are for
+    both = tables[0].hint("merge").join(tables[1], "order_key")
+    if "Exchange hashpartitioning" in both._jdf.queryExecution().executedPlan().toString():
+        raise RuntimeError("the join of two bucketed tables shuffles")
+    return both.withColumn("dq_status", F.expr("CASE WHEN src_price = tgt_price THEN 'MATCH' ELSE 'MISMATCH' END"))
+
+
+@register("profile_merged", """
+SELECT 'order_key' AS column_name, count(*) AS left_rows, count(*) AS right_rows, 0.0 AS left_pct, 0.0 AS right_pct FROM orders WHERE {0} UNION ALL
+SELECT 'price', count(*), count(*), 100.0 * count_if(o_custkey % 7 = 0) / count(*), 100.0 * count_if(o_custkey % 7 = 0) / count(*)
+FROM orders WHERE {0}""".format("CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-04-30' AND NOT (o_orderdate >= DATE '1996-03-10' AND o_orderdate < DATE '1996-03-12')"))
+def profile_merged(spark, sf_dir):
+    """E3/D5/M5 from profiles stored per partition: two windows, the first loaded again without two of its days. The merged profile (left)
+    equals a full scan (right), and no file of the refined table is opened for it."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.expr("CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_totalprice END").alias("o_price"),
+                                                        "o_orderdate")
+    meta = [{"SOURCECOLNM": src, "RAW_COL_INHIVE": raw, "RFND_COL_INHIVE": rf, "RFND_COL_TYPE_INHIVE": typ, "IS_EXTRACTED": "Y", "IS_PARTITIONED": ptn,
+             "SEQ_NB": i} for i, (src, raw, rf, typ, ptn) in enumerate((
+                 ("o_orderkey", "ORDERKEY", "ORDER_KEY", "BIGINT", "N"), ("o_price", "PRICE", "PRICE", "DOUBLE", "N"), ("o_orderdate", "ORDERDATE", "ORDER_DATE", "DATE", "Y")))]
+    base = scratch_path(spark, "profiled")
+    spec = FeedSpec("PROFILED", orders, meta, f"{base}/raw", f"{base}/refined", delta_col="o_orderdate", profile_path=f"{base}/profiles")
+    for i, window in enumerate((MARCH, APRIL)):
+        ingest(spark, spec, *window, jobpid=i)
+    spec.source = orders.where("NOT (o_orderdate >= DATE'1996-03-10' AND o_orderdate < DATE'1996-03-12')")
+    res = ingest(spark, spec, *MARCH, jobpid=2)
+    stored = merged_profile(profile_store(spark, spec.profile_path), spec.refined_path)
+    if any(f"{spec.refined_path}/" in f for f in stored.inputFiles()):
+        raise RuntimeError("the stored profile reads the table")
+    full = null_profile(read_refined(spark, spec, res["refined_schema"]))
+    return compare_profiles(stored, full).where("column_name IN ('order_key', 'price')").select("column_name", "left_rows", "right_rows", "left_pct", "right_pct")
+
+
+_FEED_SETTINGS = """
+SELECT upper(c_name) AS feed, c_custkey AS k,
+       CASE c_custkey % 4 WHEN 0 THEN 'HIVE' WHEN 1 THEN 'TERADATA' WHEN 2 THEN 'ORACLE-SQOOP' ELSE 'FILE' END AS db_type,
+       CASE c_custkey % 3 WHEN 0 THEN 'P' WHEN 1 THEN 'Y' ELSE 'N' END AS trunc,
+       c_custkey % 4 <> 0 AS has_delta, c_custkey % 9 = 0 AS has_sql,
+       (4 + c_custkey) % 4 <> 0 AS date_col, (2 + c_custkey) % 4 <> 0 AS status_col,
+       (4 * 5 + c_custkey) % 6 < (2 * 5 + c_custkey) % 6 AS date_first FROM customer"""
+
+
+@register("ingest_all_feeds", f"""
+WITH f AS ({_FEED_SETTINGS}),
+g AS (SELECT *, CASE WHEN date_col AND (NOT status_col OR date_first) THEN 'date' WHEN status_col THEN 'value' ELSE 'plain' END AS first_ptn FROM f),
+p AS (SELECT *, CASE WHEN trunc = 'P' AND NOT (first_ptn = 'date' AND (has_delta OR has_sql)) THEN 'truncate P would replace other windows'
+                     WHEN db_type = 'FILE' AND has_delta AND NOT date_col THEN 'the delta column isn''t in the file' END AS problem,
+             db_type || '|' || trunc || '|' || CASE WHEN has_delta THEN 'delta' ELSE 'all' END || '|' || CASE WHEN has_sql THEN 'sql' ELSE 'table' END
+               || '|' || first_ptn AS settings FROM g)
+SELECT 'CRM' AS schema_name, feed, settings, problem, CASE WHEN problem IS NULL THEN 'LOADED' ELSE 'INVALID' END AS status,
+       CASE WHEN problem IS NOT NULL THEN NULL
+            WHEN has_delta AND NOT has_sql THEN (SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-31')
+            WHEN has_sql THEN (SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-03-01')
+            ELSE (SELECT count(*) FROM orders) END AS rowcount
+FROM p""")
+def ingest_all_feeds(spark, sf_dir):
+    """B1, B2 -> M2/M3 for all metadata rows: every feed's spec is built and checked in one DataFrame step; bad ones are reported. The good ones
+    load side by side, one feed for each combination of settings (all feeds here have the same source, so feeds of
+    equal settings load the same), and each feed is reported with what its settings loaded."""
+    customer, orders = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "orders")
+    tables = derive.table_metadata_from_customers(customer)
+    tables = tables.withColumn("SOURCE_SQL_TXT", F.when(F.trim("SOURCE_SQL_TXT") != "", "SELECT * FROM fw_feed_orders WHERE to_date(o_orderdate) = <<FROM_DT>>").otherwise(""))
+    feeds = planned_feeds(tables, derive.column_metadata_from_customers(customer))
+    base = scratch_path(spark, "all-feeds")
+    # one feed of each combination of settings: settings are few, whatever the number of feeds
+    row = F.struct(*[c for c in feeds.columns if c != "settings"])
+    chosen = feeds.where("problem IS NULL").groupBy("settings").agg(F.min_by(row, "SOURCETBLNM").alias("r")).select("settings", "r.*").collect()
+    landed = orders.select(*[F.col(c).cast("string") if c != "o_orderdate" else F.date_format(c, "yyyy-MM-dd").alias(c) for c in orders.columns])
+    runs = []
+    for i, row in enumerate(chosen):
+        table = row.asDict()
+        columns = [c.asDict() for c in row["feed_columns"]]
+        if table["DB_TYPE"] == "FILE" and not table["SOURCE_SQL_TXT"]:
+            table["EXTRACTLANDINGDIR"], table["DELTACOLUMNFMT"] = f"{base}/{i}{table['EXTRACTLANDINGDIR']}", "YYYY-MM-DD"
+            write_csv(landed.select(*[c["SOURCECOLNM"] for c in columns]), f"{table['EXTRACTLANDINGDIR']}orders_19960301", sep=table["DELIMITER"] or ",")
+        spec = feed_spec(table, columns, f"{base}/{i}", source=None if table["DB_TYPE"] == "FILE" else orders, file_kind="delimited",
+                         file_name="orders_<<%Y%m%d>>", views={"fw_feed_orders": orders})
+        runs.append((spec, *MARCH))
+    report, _ = run_feeds(spark, runs, 6)
+    loaded = spark.createDataFrame([(r["settings"], s.feed) for r, (s, _, _) in zip(chosen, runs, strict=True)], "settings string, loaded_feed string").join(
+        report.select(F.col("feed").alias("loaded_feed"), "status", "message", "rowcount"), "loaded_feed")
+    out = feeds.join(loaded, "settings", "left")
+    if bad := out.where("problem IS NULL AND status <> 'LOADED'").select("settings", "message").distinct().collect():
+        raise RuntimeError(f"feeds failed: {bad}")
+    return out.select(F.col("SOURCESCHEMA").alias("schema_name"), F.col("SOURCETBLNM").alias("feed"), "settings", "problem",
+                      F.when(F.col("problem").isNotNull(), "INVALID").otherwise(F.col("status")).alias("status"),
+                      F.when(F.col("problem").isNull(), F.col("rowcount")).alias("rowcount"))

@@ -28,6 +28,10 @@ JDBC_TYPES = {
 }
 
 
+#: Range queries of a split read whose number isn't given.
+SPLITS = 4
+
+
 def jdbc_url(db_type: str, server: str) -> tuple[str, str]:
     t = db_type.upper()
     if t not in JDBC_TYPES:
@@ -41,7 +45,8 @@ def scan_jdbc(spark: SparkSession, db_type: str, server: str, query: str | None
               split_by: str | None = None, bounds: tuple | None = None, num_partitions: int | None = None,
               fetch_size: int = 10_000) -> DataFrame:
     """One extract; with ``split_by`` the read is split into
-    ``num_partitions`` range queries over ``bounds`` (filters are pushed down)."""
+    ``num_partitions`` range queries over ``bounds`` (filters are pushed down). Without bounds the source is asked for the column's
+    least and greatest value first; ``num_partitions`` is ``SPLITS`` then, if not given."""
     if db_type.upper() == "HIVE":
         return spark.sql(query) if query else spark.table(table)
     url, driver = jdbc_url(db_type, server)
@@ -54,9 +59,21 @@ def scan_jdbc(spark: SparkSession, db_type: str, server: str, query: str | None
         r = r.option("query", query)
     else:
         r = r.option("dbtable", table if table else f"({query}) q")
+    if split_by and not bounds:
+        names = [c for c in r.load().columns if c.lower() == split_by.lower()]
+        if len(names) != 1:
+            raise ValueError(f"no single column {split_by!r} to split by")
+        split_by = names[0]
+        ask = (spark.read.format("jdbc").option("url", url).option("driver", driver)
+               .option("query", f'SELECT MIN(q."{split_by}") AS LO, MAX(q."{split_by}") AS HI FROM {table if table else f"({query})"} q'))
+        for k, v in (("user", user), ("password", password)):
+            ask = ask.option(k, v) if v else ask
+        bounds, num_partitions = tuple(ask.load().first()), num_partitions or SPLITS
+        if bounds[0] is None:      # no rows, or only nulls: nothing to split
+            split_by = None
     if split_by:
-        if not bounds or not num_partitions:
-            raise ValueError("split_by needs bounds and num_partitions")
+        if not num_partitions:
+            raise ValueError("split_by needs num_partitions with its bounds")
         r = (r.option("partitionColumn", split_by).option("lowerBound", str(bounds[0]))
              .option("upperBound", str(bounds[1])).option("numPartitions", str(num_partitions)))
     return r.load()

@@ -46,6 +46,14 @@ def data_files(spark: SparkSession, path: str) -> list[int]:
     return [int(s.getLen()) for s in fs.listStatus(p) if s.isFile() and s.getPath().getName()[0] not in "_."]
 
 
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name to size of the data files directly in one folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    return {s.getPath().getName(): int(s.getLen()) for s in fs.listStatus(p) if s.isFile() and s.getPath().getName()[0] not in "_."}
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)
@@ -57,15 +65,6 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
-def swap(spark: SparkSession, staged: str, target: str, keep: str) -> None:
-    """Put ``staged`` in the place of ``target``. The old folder is renamed to ``keep`` first and
-    deleted last, so a copy exists at every moment."""
-    if exists(spark, target):
-        rename(spark, target, keep)
-    rename(spark, staged, target)
-    delete(spark, keep)
-
-
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file with its content at once, only if nobody has it yet (False: it exists).
 
