@@ -14,8 +14,9 @@ Hot texts: the reduction combines in the map tasks first, and the join that hand
 decision back to every row has the large side on the left of a left join, which
 adaptive execution splits.
 
-Cases: a null text counts as empty; all empty texts are one group; null and repeated
-ids as in :mod:`feedwright.llm.common`; an empty batch adds nothing and gives an empty result.
+Cases: a null text counts as empty; all empty texts are one group; texts of any length are hashed where they are, in one task each;
+ties in length go to the smallest id; null and repeated
+ids as in :mod:`feedwright.llm.common`; only the two named columns are read, so others may have any name; an empty batch adds nothing and gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,10 +28,18 @@ from pyspark.sql import functions as F
 
 from feedwright.llm.common import NULL_ID, one_row_per_id, own_ids, public_id, written
 from feedwright.session import scratch_path
+from feedwright.sources import storage
 
 #: Characters that normalisation deletes: [\x20\x09-\x0D] (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
 
+#: Digests in a bucket (about 80 bytes each), the least number of buckets, and the file that keeps an index's number.
+BUCKET_ROWS, LEAST_BUCKETS, _BUCKETS = 1_000_000, 16, "_buckets"
+
+
+def _needed(rows: int) -> int:
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
 
 def digests(docs: DataFrame) -> DataFrame:
     """``(id, digest binary, n_chars)`` of unique documents (id, text)."""
@@ -41,19 +50,43 @@ def digests(docs: DataFrame) -> DataFrame:
 class DigestIndex:
     """A table ``(digest, keep_id, n_chars, batch)`` bucketed and sorted by digest.
 
-    ``path`` is where its files live: name one to keep the index (a later session opens it by the same path and
-    number of buckets); without one a new index is made below the shared checkpoint folder. A new index is an empty table, so
+    ``path`` is where its files live: name one to keep the index (a later session opens it by the same path);
+    without one a new index is made below the shared checkpoint folder. A new index is an empty table, so
     its first batch takes the anti join too.
+
+    The number of buckets is the number of tasks of its joins and stays with the index (a file beside the data keeps it). Where none is
+    given, the first batch sets it: as many as its rows need at ``BUCKET_ROWS`` each. ``rebuild`` makes an index of another number.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark = spark
         self.path = (path or scratch_path(spark, "digest-index")).rstrip("/")
         self.table = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:16]
+        kept = storage.read_small(spark, f"{self.path}/{_BUCKETS}")
+        self.buckets = int(kept) if kept else buckets
+        if self.buckets:
+            self._create()
+
+    def _create(self) -> None:
         if not self.exists():
             at = self.path.replace("'", "\\'")
-            spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, n_chars BIGINT, batch STRING) USING parquet "
-                      f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{at}'")
+            self.spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, n_chars BIGINT, batch STRING) USING parquet "
+                           f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{at}'")
+        storage.create_new(self.spark, f"{self.path}/{_BUCKETS}", str(self.buckets))
+
+    def rebuild(self, path: str | None = None, buckets: int | None = None) -> DigestIndex:
+        """An index with the same rows in another number of buckets (None: as many as they need), at another path."""
+        new = DigestIndex(self.spark, path, buckets or _needed(self.read().count()))
+        new._append(self.read())
+        return new
+
+    def _append(self, rows: DataFrame) -> None:
+        (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
+         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))
+
+    def forget(self) -> None:
+        """Take the table out of the catalog; its files stay, and ``path`` opens them again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
@@ -79,13 +112,14 @@ class DigestIndex:
     def _add(self, df: DataFrame, low: int | None, id_col: str, text_col: str, batch: str) -> DataFrame:
         """:meth:`add` of rows that :func:`own_ids` gave an id."""
         rows = written(digests(one_row_per_id(df, id_col, text_col)), "digests")
+        if not self.buckets:
+            self.buckets = _needed(rows.count())
+            self._create()
         # -1 - id: descending ids without overflow, also for the stand-in of a null id
         best = F.expr("max_by(id, struct(n_chars, (-1 - id)))").alias("keep_id")
         groups = rows.groupBy("digest").agg(best, F.max("n_chars").alias("n_chars"), F.count("*").alias("group_size"))
         fresh = self.fresh(groups)
-        (fresh.select("digest", public_id("keep_id", low).alias("keep_id"), "n_chars", F.lit(batch).alias("batch"))
-         .repartition(self.buckets, "digest").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))
+        self._append(fresh.select("digest", public_id("keep_id", low).alias("keep_id"), "n_chars", F.lit(batch).alias("batch")))
         # the stand-in of null is from indexes that stored it
         stored = self.read().select("digest", F.when(F.col("keep_id") != NULL_ID, F.col("keep_id")).alias("old_id"), F.col("batch").alias("old_batch"))
         known = F.col("old_batch") != batch
@@ -97,9 +131,13 @@ class DigestIndex:
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: DigestIndex | None = None,
           batch: str = "0") -> DataFrame:
-    """Per document: doc_id, keep_id, group_size, kept, text_sha256; ``index`` (default: a new one) gets the new digests."""
+    """Per document: doc_id, keep_id, group_size, kept, text_sha256; ``index`` (default: a new one, which leaves no table in the
+    catalog) gets the new digests."""
     df, low = own_ids(df, id_col)
-    found = (index or DigestIndex(df.sparkSession))._add(df, low, id_col, text_col, batch)
+    own = index or DigestIndex(df.sparkSession)
+    found = own._add(df, low, id_col, text_col, batch)
+    if index is None:
+        own.forget()
     # an earlier batch's ids are as the caller knows them
     keep = F.when(F.col("known"), F.col("keep_id")).otherwise(public_id("keep_id", low))
     kept = F.coalesce((F.col("id") == F.col("keep_id")) & ~F.col("known"), F.lit(False))

@@ -88,3 +88,32 @@ def test_nulls_repeated_ids_and_empty_table(spark):
     tie = spark.createDataFrame([(None, "a"), (1, "a")], "doc_id long, text string")
     assert sorted(((r.doc_id, r.keep_id, r.kept) for r in xd.dedup(tie).collect()), key=str) == [(1, None, False), (None, None, True)]
     assert xd.dedup(df.limit(0)).count() == 0
+
+
+def test_buckets_follow_the_first_batch_and_stay(spark, monkeypatch):
+    from feedwright.session import scratch_path
+    monkeypatch.setattr(xd, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(xd, "LEAST_BUCKETS", 2)
+    path = scratch_path(spark, "grown-index")
+    frame = lambda a, b: spark.createDataFrame([(i, str(i)) for i in range(a, b)], "doc_id long, text string")
+    index = xd.DigestIndex(spark, path)
+    xd.dedup(frame(0, 45), index=index, batch="1").count()
+    assert index.buckets == 5
+    index.forget()
+    again = xd.DigestIndex(spark, path)
+    assert again.buckets == 5 and xd.dedup(frame(40, 50), index=again, batch="2").where("kept").count() == 5
+    wider = again.rebuild(scratch_path(spark, "rebuilt"), 7)
+    assert wider.buckets == 7 and wider.read().count() == 50 and xd.dedup(frame(0, 60), index=wider, batch="3").where("kept").count() == 10
+
+
+def test_a_run_leaves_no_table(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    got = xd.dedup(spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string"))
+    assert {t.name for t in spark.catalog.listTables()} == before and got.where("kept").count() == 1
+
+
+def test_merged_texts_are_reported(spark):
+    import pytest
+    df = spark.createDataFrame([(5, "one"), (5, "another"), (5, "one"), (6, "x")], "doc_id long, text string")
+    with pytest.warns(UserWarning, match="1 texts share their id"):
+        assert xd.dedup(df).count() == 2
