@@ -4,11 +4,12 @@
    sequence length; the rest is one shorter piece. So a document is cut only
    where no single sequence could hold it.
 2. *Histogram.* Pieces are counted by length: at most ``size`` counts reach the driver,
-   whatever the number of documents (times a fixed number of salts, which split a length that many documents share).
+   whatever the number of documents.
 3. *Patterns.* Lengths are placed longest first, each on the open pack with the most room;
    packs with equal contents are one pattern with a count, and placing n pieces of a length moves
    counts, not pieces. A new pack is opened only where none has room.
-4. *Join by rank.* A piece's rank among the pieces of its length (by id and start) picks its slot:
+4. *Join by rank.* The pieces are range-partitioned and sorted by length, id and start and numbered by partition offset (one count a
+   partition on the driver), so a length that most pieces share is many partitions. A piece's rank among the pieces of its length picks its slot:
    slots of a length are consecutive rank intervals, each belonging to one place in one pattern.
 
 The ids are those of the ``tokenizers`` file with ``add_special_tokens=False``: added tokens in a text (``<|endoftext|>``)
@@ -17,7 +18,8 @@ as fast (tests compare the ids); ``library="tokenizers"`` takes the other one, a
 tiktoken can't split in the same way.
 
 Cases: null and empty texts give one piece of length 1 (the end id); texts of any length are cut; null and repeated
-ids as in :mod:`feedwright.llm.common`; equal lengths are told apart by id and start; an empty table gives an empty result.
+ids as in :mod:`feedwright.llm.common`; equal lengths are told apart by id and start; only the two named columns are read, so others may have any
+name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedwright.llm import vocabularies
@@ -37,7 +38,6 @@ from feedwright.llm.common import byte_blocks, one_row_per_id, own_ids, public_i
 FILE = "byte_bpe_50k.json"
 SIZE = 2048
 END = 1
-SALTS = 64
 
 _PIECE = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
@@ -132,34 +132,38 @@ def slots(patterns: list[tuple[int, list[int]]]):
     return np.array(out, np.int64).reshape(-1, 4)
 
 
-def assign(pieces: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
+def assign(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     """``pieces`` (id, start, length, ...) with sequence_id and offset."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("id", "start"), F.lit(salts)))
-    counts = salted.groupBy("length", "salt").count().collect()  # at most size * salts rows
-    histogram: dict[int, int] = {}
-    first = np.zeros((size + 1, salts), np.int64)
-    for r in sorted(counts, key=lambda r: (r["length"], r["salt"])):
-        first[r["length"], r["salt"]] = histogram.get(r["length"], 0)
-        histogram[r["length"]] = histogram.get(r["length"], 0) + r["count"]
-    table = slots(shortest_pack_first(histogram, size))
-    key = (table[:, 0] << 44) | table[:, 1]
-    shared = pieces.sparkSession.sparkContext.broadcast((first, key, table))
     names = ("id", "start", "length", "ids_crc32", "doc_tokens")
+    keys = ("length", "id", "start")
+    numbered = written(pieces.select(*names).repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns(
+        {"part": F.spark_partition_id().cast("long"), "nr": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "ranked-pieces")
+    histogram = {r["length"]: r["count"] for r in numbered.groupBy("length").count().collect()}  # at most size rows
+    table = slots(shortest_pack_first(histogram, size))
+    lengths = sorted(histogram)
+    before = np.zeros(size + 1, np.int64)  # pieces of smaller lengths
+    before[lengths] = np.cumsum([0, *(histogram[n] for n in lengths)])[:-1]
+    counts = {r["part"]: r["count"] for r in numbered.groupBy("part").count().collect()}  # a row per partition
+    base = np.zeros(max(counts, default=0) + 2, np.int64)
+    for part, n in counts.items():
+        base[part + 1] = n
+    base = np.cumsum(base)
+    # global ranks: a slot begins at its length's first piece and its rank within the length
+    key = before[table[:, 0]] + table[:, 1]
+    shared = pieces.sparkSession.sparkContext.broadcast((base, key, table))
     schema = pa.schema([*((n, pa.int64()) for n in names), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def place(batches):
-        first, key, table = shared.value
+        base, key, table = shared.value
         for b in batches:
             if not b.num_rows:
                 continue
-            length, salt, rank = (b.column(i).to_numpy() for i in (2, 5, 6))
-            rank = rank + first[length, salt]
-            at = np.searchsorted(key, (length << 44) | rank, "right") - 1
-            yield pa.record_batch([*b.columns[:5], pa.array(table[at, 2] + rank - table[at, 1]), pa.array(table[at, 3])], schema=schema)
-
-    ranked = salted.withColumn("rank", F.row_number().over(W.partitionBy("length", "salt").orderBy("id", "start")).cast("long") - 1)
-    return ranked.select(*names, F.col("salt").cast("long").alias("salt"), F.col("rank")).mapInArrow(
-        place, ", ".join(f"`{f.name}` long" for f in schema))
+            part, nr = (b.column(i).to_numpy() for i in (5, 6))
+            rank = base[part] + nr
+            at = np.searchsorted(key, rank, "right") - 1
+            yield pa.record_batch([*b.columns[:5], pa.array(table[at, 2] + rank - key[at]), pa.array(table[at, 3])], schema=schema)
+
+    return numbered.select(*names, "part", "nr").mapInArrow(place, ", ".join(f"`{f.name}` long" for f in schema))
 
 
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, size: int = SIZE,
