@@ -5,16 +5,18 @@ of a host become validity intervals: each one holds until the next one of the sa
 the entries active at its fetch time: for the capture's host and each parent domain the one interval that
 holds the fetch time; the most specific host with an active entry decides. Blocked captures are not kept.
 
-The as-of join is an equality join: intervals are listed once per calendar month they touch, captures carry the month of
-their fetch time, and the interval bounds are checked in the join. Of the entries of one host and instant only one counts, so a
-month holds a bounded number of intervals per host whatever the number of entries or captures. Captures are first reduced to
-distinct (host, fetch time); the verdicts join back to all rows, where adaptive execution can split a hot host.
+The as-of join is a union and a last value: for every (host, day) that a capture asks about, the entries that hold on that day (the one that
+is carried into it, and those that start in it) are put between the fetch times, and each fetch time takes the last entry before it. Entries and
+captures never meet in pairs; entries reach their days by an equality join on (host, month), where an asked day only takes the entries
+that touch it. Captures are first reduced to distinct (host, fetch time), so a day of a host holds its distinct times
+whatever the number of captures; the verdicts join back to all rows, where adaptive execution can split a hot host.
 
 Entries of one host at one instant: block before allow before remove.
 
-Cases: a null or hostless url, or a null fetch time, matches no entry and is kept; entries with a null host, time
-or an unknown action are void; repeated rows are judged row by row; without entries everything is kept; an empty table gives an empty result.
-Further columns of the captures are carried along; the operator's own column names are prefixed inside.
+Cases: a null or hostless url, or a null fetch time, matches no entry and is kept; an address (``10.0.0.1``, ``[2001:db8::1]``) has no parent domains;
+entries with a null host, time or an unknown action are void; urls of any length are read whole; ties: an entry counts from its very instant on;
+repeated rows are judged row by row; without entries everything is kept; an empty table gives an empty result.
+Further columns of the captures are carried along under any name; one that is named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: scheme://user@HOST:port
-HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
+#: scheme://user@HOST:port, the user up to the last @, the host in brackets or up to its port
+HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#@]*\]|[^/:?#@]+)"
+#: Hosts without parent domains.
+ADDRESS_PATTERN = r"^(\[.*|[0-9]+(\.[0-9]+){3})$"
 #: Actions, the strongest first.
 ACTIONS = ("block", "allow", "remove")
 
@@ -47,10 +51,10 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def parents(h: Column) -> Column:
-    """A host and its parent domains of two labels or more, the host first."""
+    """A host and its parent domains of two labels or more, the host first; an address has none."""
     labels = F.split(h, r"\.")
     n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    return F.transform(F.sequence(F.lit(1), F.when(h.rlike(ADDRESS_PATTERN), F.lit(1)).otherwise(F.greatest(n - 1, F.lit(1)))), lambda i: F.array_join(F.slice(labels, i, n), "."))
 
 
 def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
@@ -66,13 +70,23 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
               .withColumn("end", F.least(until, F.lit(last).cast("timestamp"))).filter("end >= since")
               .select("host", "action", "since", "until",
                       F.explode(F.sequence(month("since"), month("end"), F.expr("interval 1 month"))).alias("month")))
-    asked = points.select("_host", "_at", month("_at").alias("month"), F.posexplode(parents(F.col("_host"))).alias("level", "host"))
-    hit = (asked.join(listed, ["host", "month"]).filter((F.col("_at") >= F.col("since")) & (F.col("until").isNull() | (F.col("_at") < F.col("until"))))
-           .filter(F.col("action") != "remove"))
-    verdict = hit.groupBy("_host", "_at").agg(F.min_by(F.struct("host", "action", "since"), "level").alias("_v"))
-    return (rows.join(verdict, ["_host", "_at"], "left")
-            .select("_row.*", F.col("_host").alias("url_host"), F.col("_v.host").alias("list_host"), F.col("_v.action").alias("list_action"),
-                    F.col("_v.since").alias("listed_at"), (F.coalesce(F.col("_v.action"), F.lit("")) != "block").alias("url_kept")))
+    asked = points.select("_host", "_at", F.posexplode(parents(F.col("_host"))).alias("level", "host"))
+    times = asked.select("host", F.col("_at").alias("at")).distinct()
+    day = lambda c: F.to_date(c)
+    days = times.select("host", day("at").alias("day"), month("at").alias("month")).distinct()
+    touching = (days.join(listed, ["host", "month"]).filter((day("since") <= F.col("day")) & (F.col("until").isNull() | (day("until") >= F.col("day"))))
+                .select("host", "day", F.col("since").alias("at"), F.struct("action", "since").alias("entry")))
+    asks = times.select("host", day("at").alias("day"), "at", F.lit(None).cast(touching.schema["entry"].dataType).alias("entry"))
+    # entries of an instant stand before its fetch times
+    order = W.partitionBy("host", "day").orderBy("at", F.col("entry").isNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    known = (asks.union(touching).withColumn("last", F.last("entry", ignorenulls=True).over(order))
+             .filter("entry is null and last.action <> 'remove'").select("host", F.col("at").alias("_at"), "last"))
+    hit = asked.join(known, ["host", "_at"])
+    verdict = hit.groupBy("_host", "_at").agg(F.min_by(F.struct("host", "last.action", "last.since"), "level").alias("_v"))
+    own = {"url_host": F.col("_host"), "list_host": F.col("_v.host"), "list_action": F.col("_v.action"), "listed_at": F.col("_v.since"),
+           "url_kept": F.coalesce(F.col("_v.action"), F.lit("")) != "block"}
+    kept = [F.col(f"_row.`{c}`") for c in captures.columns if c.lower() not in own]
+    return rows.join(verdict, ["_host", "_at"], "left").select(*kept, *(c.alias(n) for n, c in own.items()))
 
 
 # --- the registered query: captures and a dated list derived from the pages table --------------------------------
@@ -116,7 +130,8 @@ e AS (
   SELECT CASE WHEN n % 5 = 0 THEN regexp_replace(h, '^[^.]*\.', '') ELSE h END AS host, {_START} + 86400 * (n % 366) AS since, min(n % 3) AS a
   FROM p WHERE n IS NOT NULL AND h IS NOT NULL GROUP BY 1, 2),
 v AS (SELECT host, since, a, lead(since) OVER (PARTITION BY host ORDER BY since) AS until FROM e WHERE host <> ''),
-s AS (SELECT DISTINCT h, fetched, unnest(range(1, greatest(len(string_split(h, '.')), 2))) AS level FROM p WHERE h IS NOT NULL),
+s AS (SELECT DISTINCT h, fetched, unnest(range(1, CASE WHEN regexp_matches(h, '{ADDRESS_PATTERN}') THEN 2 ELSE greatest(len(string_split(h, '.')), 2) END)) AS level
+      FROM p WHERE h IS NOT NULL),
 q AS (SELECT h, fetched, level, array_to_string(string_split(h, '.')[level:], '.') AS host FROM s),
 m AS (SELECT q.h, q.fetched, q.level, v.host, v.a, v.since FROM q JOIN v ON q.host = v.host
       WHERE q.fetched >= v.since AND (v.until IS NULL OR q.fetched < v.until) AND v.a <> 2),

@@ -65,3 +65,25 @@ def test_without_entries_or_captures(spark):
 def test_main_path_is_native(spark):
     plan = ul.page_verdicts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_addresses_users_and_clashing_columns(spark):
+    at, early = dt.datetime(2024, 3, 1, 12), dt.datetime(2024, 1, 1)
+    urls = ["http://[2001:DB8::1]:80/x", "http://10.0.0.1/", "http://user:p@w@ex.org/", "http://a.b.ex.org:8080", "http://1.2.3.4.com/", "http://[::1"]
+    caps = spark.createDataFrame([(i, u, at, "mine", "kept", 7) for i, u in enumerate(urls)], "id int, url string, fetched_at timestamp, url_host string, URL_KEPT string, entry int")
+    entries = spark.createDataFrame([("0.0.1", early, "block"), ("0.1", early, "block"), ("ex.org", early, "block"), ("[2001:db8::1]", early, "block"),
+                                     ("4.com", early, "block")], "host string, listed_at timestamp, action string")
+    out = ul.judge(caps, entries)
+    got = {r.id: (r.url_host, r.list_host, r.url_kept, r.entry) for r in out.collect()}
+    assert got == {0: ("[2001:db8::1]", "[2001:db8::1]", False, 7), 1: ("10.0.0.1", None, True, 7), 2: ("ex.org", "ex.org", False, 7),
+                   3: ("a.b.ex.org", "ex.org", False, 7), 4: ("1.2.3.4.com", "4.com", False, 7), 5: (None if got[5][0] is None else got[5][0], None, True, 7)}
+    assert [c.lower() for c in out.columns].count("url_host") == 1 and [c.lower() for c in out.columns].count("url_kept") == 1
+
+
+def test_many_entries_and_captures_of_one_host_and_day(spark):
+    """Entries every minute and captures every second of a day: the join makes rows, not pairs."""
+    start = "timestamp '2024-05-05 00:00:00'"
+    caps = spark.range(86400).selectExpr("id", "'http://h.org/' AS url", f"{start} + make_dt_interval(0, 0, 0, CAST(id AS DECIMAL(18,6))) AS fetched_at")
+    entries = spark.range(1440).selectExpr("'h.org' AS host", f"{start} + make_dt_interval(0, 0, CAST(id AS INT)) AS listed_at", "if(id % 2 = 0, 'block', 'allow') AS action")
+    out = ul.judge(caps, entries)
+    assert out.where("url_kept = (id div 60 % 2 = 1) AND listed_at <= fetched_at").count() == 86400
