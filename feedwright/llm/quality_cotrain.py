@@ -2,15 +2,19 @@
 
 Two views of a document: *content*, the hashed bag of its character n-grams and how its words repeat; and *page
 metadata*, its source, language, size and layout (lines, character classes). One logistic classifier per view is
-trained on labelled documents. In each round, each classifier scores a pool of unlabelled documents and hands the ones it is
-sure of, as pseudo-labels, to the other one's training set. In the end each view is calibrated on labelled documents
+trained on labelled documents. In each round, both classifiers score every unlabelled document; per view and class a threshold takes the surest
+share of them (from a histogram of all scores, never below a confidence), and the documents beyond it teach the other view as pseudo-labels.
+In the end each view is calibrated on labelled documents
 that no classifier was trained on, and the calibrated views are combined by a logistic fit on the same documents. All documents are then scored by broadcast weights of fixed size.
 
-Training takes at most ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled documents (smallest hashes of the ids: a fixed sample);
-their features, not their texts, reach the driver: ``2 ** BITS`` numbers each.
+A round is one pass over the documents that writes two numbers a row; the histogram is a fixed number of bins. What a fit takes is bounded:
+at most ``MAX_LABELLED`` labelled documents, and ``MAX_TAUGHT`` new pseudo-labelled ones a round, view and class, picked from all that are sure by the smallest hashes
+of their ids; their features, not their texts, reach the driver: ``2 ** BITS`` numbers each.
 
 Cases: null and empty texts have empty bags and get whatever the intercepts say; null sources and languages are a value of their own; without labels of both classes every
-score is 0.5 and every document is kept; null ids are never trained on; repeated rows are scored row by row; an empty table gives an empty result.
+score is 0.5 and every document is kept; null ids are never trained on; repeated rows are scored row by row (in training, an id is one of its rows); a text of any length is
+scored whole, in one task (some 20 bytes of memory per byte of it); documents at a threshold all count as sure, and equal hashes go by id; columns other than the four named
+ones may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedwright.llm import subword
-from feedwright.llm.common import byte_blocks, ship_package
+from feedwright.llm.common import byte_blocks, ship_package, written
 from feedwright.llm.toxicity import _logistic
 
 SIZES, BITS = (1, 2, 3), 11
 SLOTS = 64  # hashed sources, and as many hashed languages
-MAX_LABELLED, MAX_POOL = 4000, 4000
-ROUNDS, SURE, SHARE = 3, 0.95, 0.1  # rounds; confidence of a pseudo-label; the pool's share per class, round and view
+MAX_LABELLED, MAX_TAUGHT = 4000, 400
+ROUNDS, SURE, SHARE = 2, 0.95, 0.1  # rounds; confidence of a pseudo-label; the share of all unlabelled documents per class, round and view
+BINS, SPAN = 1200, 30.0  # histogram of logits from -SPAN to SPAN
 CALIBRATION = 4  # one labelled document in four calibrates
 THRESHOLD = 0.5
 STEPS, RATE, PULL = 200, 0.1, 3e-3
@@ -116,30 +121,59 @@ class View:
         return np.clip(x @ self.weights + self.bias, -30, 30)
 
 
-def cotrain(content: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROUNDS):
-    """Both views' classifiers and the combination. ``y``: 1, 0, or -1 for the pool; rows in a fixed order."""
+def bins(logits: np.ndarray) -> np.ndarray:
+    """The histogram bin of each logit."""
+    return np.clip(np.floor((logits + SPAN) * (BINS / (2 * SPAN))), 0, BINS - 1).astype(np.int64)
+
+
+def thresholds(counts: np.ndarray) -> tuple[int, int]:
+    """``(high, low)``: bins from ``high`` on are surely good, bins up to ``low`` surely bad: the surest ``SHARE`` of the counted documents each
+    (whole bins, the one that reaches the share included), of a confidence of ``SURE`` at least."""
+    want = SHARE * counts.sum()
+    edge = np.log(SURE / (1 - SURE))
+    down, up = np.cumsum(counts[::-1]), np.cumsum(counts)
+    high = max(BINS - 1 - int(np.searchsorted(down, want)), int(bins(np.array([edge]))[0]) + 1)
+    low = min(int(np.searchsorted(up, want)), int(bins(np.array([-edge]))[0]) - 1)
+    return high, low
+
+
+class Pool:
+    """Unlabelled documents in memory: ``(content, meta)`` features."""
+
+    def __init__(self, content: np.ndarray, meta: np.ndarray):
+        self.views = (content, meta)
+        self.taken = [np.zeros(len(content), bool), np.zeros(len(content), bool)]  # by the view that was taught
+
+    def sure(self, models, step: int):
+        """Per view: the features and labels of the documents that the other view is sure of now and that it wasn't taught yet."""
+        out = []
+        for k in (1, 0):  # view k teaches the other one
+            at = bins(models[k].logit(self.views[k]))
+            high, low = thresholds(np.bincount(at, minlength=BINS))
+            new = np.flatnonzero(((at >= high) | (at <= low)) & ~self.taken[1 - k])
+            self.taken[1 - k][new] = True
+            out.append((self.views[1 - k][new], (at[new] >= high).astype(np.int64)))
+        return out
+
+
+def cotrain(content: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, pool=None):
+    """Both views' classifiers and the combination. ``y``: 1, 0, or -1 for rows without a label, which are the pool where none is given;
+    rows in a fixed order. ``pool.sure(models, step)`` gives the pseudo-labelled rows of a round for each view."""
     known = np.flatnonzero(y >= 0)
     hold = known[::CALIBRATION]
     train = np.setdiff1d(known, hold)
     if len(set(y[train].tolist())) < 2 or len(set(y[hold].tolist())) < 2:
         return None
-    pool = np.flatnonzero(y < 0)
+    pool = pool or Pool(content[y < 0], meta[y < 0])
     views = (content, meta)
     stats = [(v.mean(axis=0), np.maximum(v.std(axis=0), FLOOR)) for v in views]
-    label = [y.copy(), y.copy()]  # what each view is trained on
-    sets = [train, train]
+    rows, label = [v[train] for v in views], [y[train], y[train]]  # what each view is trained on
     for step in range(rounds + 1):
-        models = [View(v[s], lab[s].astype(np.float64), *st) for v, s, lab, st in zip(views, sets, label, stats, strict=True)]
-        if step == rounds or not len(pool):
+        models = [View(x, t.astype(np.float64), *st) for x, t, st in zip(rows, label, stats, strict=True)]
+        if step == rounds:
             break
-        for k in (0, 1):  # view k teaches the other one
-            free = np.setdiff1d(pool, sets[1 - k])
-            p = 1 / (1 + np.exp(-models[k].logit(views[k][free])))
-            for value, sure in ((1, p), (0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[:max(1, int(SHARE * len(pool)))]
-                best = best[sure[best] >= SURE]
-                label[1 - k][free[best]] = value
-                sets[1 - k] = np.union1d(sets[1 - k], free[best])
+        for k, (x, t) in enumerate(pool.sure(models, step)):
+            rows[k], label[k] = np.concatenate([rows[k], x]), np.concatenate([label[k], t])
     calibrated = [_logistic(m.logit(v[hold])[:, None], y[hold].astype(np.float64)) for m, v in zip(models, views, strict=True)]
     both = np.column_stack([c[0] * m.logit(v[hold]) + c[1] for m, v, c in zip(models, views, calibrated, strict=True)])
     combine = _logistic(both, y[hold].astype(np.float64))
@@ -160,18 +194,10 @@ def _columns(docs: DataFrame):
             text("source").alias("source"), text("lang").alias("lang"))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL):
-    """The co-trained model, or None without labels of both classes."""
-    ship_package(docs.sparkSession)
-    order = lambda c: (F.xxhash64(c), F.col(c))
-    known = (labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").alias("known_id"))
-             .agg(F.max("quality").cast("int").alias("y")))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
-    marked = ids.join(known, F.col("doc_id") == F.col("known_id"), "left").select("doc_id", F.coalesce("y", F.lit(-1)).alias("y"))
-    picked = (marked.filter("y >= 0").orderBy(*order("doc_id")).limit(max_labelled)
-              .union(marked.filter("y < 0").orderBy(*order("doc_id")).limit(max_pool)))  # a bounded number of ids
-    sample = docs.select(*_columns(docs)).join(F.broadcast(picked.withColumnRenamed("doc_id", "picked_id")),
-                                               F.col("doc_id") == F.col("picked_id")).drop("picked_id")
+def _sample(docs: DataFrame, picked: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
+    """Id to (content, meta, y) of the bounded ``picked`` (doc_id, y); of repeated ids one row counts."""
+    found = docs.select(*_columns(docs)).join(F.broadcast(picked.withColumnRenamed("doc_id", "picked_id")),
+                                              F.col("doc_id") == F.col("picked_id")).drop("picked_id")
     schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("content", pa.binary()), ("meta", pa.binary())])
 
     def features(batches):
@@ -182,27 +208,85 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
             yield pa.record_batch([batch.column(0), batch.column(4), pa.array([c.tobytes() for c in content], pa.binary()),
                                    pa.array([m.tobytes() for m in meta], pa.binary())], schema=schema)
 
-    rows = {}
-    for r in sample.mapInArrow(features, "doc_id long, y int, content binary, meta binary").toLocalIterator():
-        key = (r["doc_id"], r["content"], r["meta"])
-        if r["doc_id"] not in rows or key < rows[r["doc_id"]][0]:  # repeated ids: one of them
-            rows[r["doc_id"]] = key, r["y"]
+    rows: dict = {}
+    for r in found.mapInArrow(features, "doc_id long, y int, content binary, meta binary").toLocalIterator():
+        if r["doc_id"] not in rows or (r["content"], r["meta"]) < rows[r["doc_id"]][:2]:
+            rows[r["doc_id"]] = r["content"], r["meta"], r["y"]
+    array = lambda b: np.frombuffer(b, "<f4").astype(np.float32)
+    # a fixed order that isn't the order of the ids
+    return {i: (array(rows[i][0]), array(rows[i][1]), rows[i][2]) for i in sorted(rows, key=lambda i: zlib.crc32(str(i).encode()) << 64 | i & (1 << 64) - 1)}
+
+
+class CorpusPool:
+    """The unlabelled documents of a table: every round scores them all where they are."""
+
+    def __init__(self, docs: DataFrame, known: DataFrame, max_taught: int):
+        self.docs, self.max_taught = docs, max_taught
+        ids = known.select(F.col("known_id").cast("long").alias("known_id"))
+        # the labelled ids are metadata of the corpus, not bounded: Spark picks the join
+        self.free = docs.where(F.col("doc_id").isNotNull()).join(ids, F.col("doc_id").cast("long") == F.col("known_id"), "left_anti")
+        self.taken = [set(), set()]
+
+    def sure(self, models, step: int):
+        spark = self.docs.sparkSession
+        shared = spark.sparkContext.broadcast(models)
+        schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("second", pa.int64())])
+
+        def run(batches):
+            for batch in byte_blocks(batches, 1 << 20):
+                first, second = _logits(shared.value, *(batch.column(i).to_pylist() for i in (1, 2, 3)))
+                yield pa.record_batch([batch.column(0), pa.array(bins(first)), pa.array(bins(second))], schema=schema)
+
+        at = written(self.free.select(*_columns(self.free)).mapInArrow(run, "doc_id long, first long, second long"), f"cotrain-round-{step}")
+        out = []
+        for k, column in ((1, "second"), (0, "first")):  # view k teaches the other one
+            counts = np.zeros(BINS, np.int64)
+            for r in at.groupBy(column).count().collect():  # at most BINS rows
+                counts[r[column]] = r["count"]
+            high, low = thresholds(counts)
+            gone = spark.createDataFrame([(i,) for i in self.taken[1 - k]], "doc_id long")  # at most rounds x 2 x max_taught
+            sure = at.where((F.col(column) >= high) | (F.col(column) <= low)).groupBy("doc_id").agg(F.min((F.col(column) >= high).cast("int")).alias("y"))
+            sure = sure.join(F.broadcast(gone), "doc_id", "left_anti")
+            picked = None
+            for value in (0, 1):
+                part = sure.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(self.max_taught)
+                picked = part if picked is None else picked.union(part)
+            rows = _sample(self.docs, picked)
+            self.taken[1 - k].update(rows)
+            width = models[1 - k].weights.shape[0]
+            x = np.stack([r[1 - k] for r in rows.values()]) if rows else np.zeros((0, width), np.float32)
+            out.append((x, np.array([r[2] for r in rows.values()], np.int64)))
+        return out
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_taught: int = MAX_TAUGHT):
+    """The co-trained model, or None without labels of both classes."""
+    ship_package(docs.sparkSession)
+    known = (labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").alias("known_id"))
+             .agg(F.max("quality").cast("int").alias("y")))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    marked = ids.join(known, F.col("doc_id") == F.col("known_id")).select("doc_id", "y")
+    rows = _sample(docs, marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))  # a bounded number of ids
     if not rows:
         return None
-    rows = [rows[i] for i in sorted(rows, key=lambda i: zlib.crc32(str(i).encode()) << 64 | i & (1 << 64) - 1)]
-    array = lambda k: np.stack([np.frombuffer(key[k], "<f4") for key, _ in rows]).astype(np.float32)
-    return cotrain(array(1), array(2), np.array([y for _, y in rows], np.int64))
+    content, meta, y = (np.stack([r[k] for r in rows.values()]) for k in range(3))
+    return cotrain(content, meta, y.astype(np.int64), pool=CorpusPool(docs, known, max_taught))
+
+
+def _logits(models, texts, sources, langs) -> tuple[np.ndarray, np.ndarray]:
+    """Both views' logits of each text."""
+    content, meta = models
+    bag, rest = content.weights[:1 << BITS], content.weights[1 << BITS:]
+    total, count = subword.bag_sums(texts, bag, SIZES, BITS)
+    first = np.clip(total / np.maximum(count, 1) + _words(texts) @ rest + content.bias, -30, 30)
+    return first, meta.logit(metadata_view(texts, sources, langs))
 
 
 def _scores(model, texts, sources, langs):
     """Content, metadata and combined score of each text."""
     if model is None:
         return [np.full(len(texts), 0.5)] * 3
-    (content, meta), *_ = model
-    bag, rest = content.weights[:1 << BITS], content.weights[1 << BITS:]
-    total, count = subword.bag_sums(texts, bag, SIZES, BITS)
-    first = np.clip(total / np.maximum(count, 1) + _words(texts) @ rest + content.bias, -30, 30)
-    return _combine(model, first, meta.logit(metadata_view(texts, sources, langs)))
+    return _combine(model, *_logits(model[0], texts, sources, langs))
 
 
 def score(docs: DataFrame, model) -> DataFrame:

@@ -64,3 +64,36 @@ def test_cases(spark, tables):
     assert {r.doc_id for r in kept if r.doc_id is not None} == set(range(1, 40, 2))
     assert {r.row for r in kept if r.doc_id is not None} == {"x"}
     assert q.classify(df.limit(0), labels).count() == 0 and q.accepted(df.limit(0), none).count() == 0
+
+
+def test_thresholds_take_the_surest_share():
+    r = np.random.default_rng(2)
+    logits = np.concatenate([r.normal(6, 2, 700), r.normal(-6, 2, 300), np.full(200, 25.0)])
+    at = q.bins(logits)
+    high, low = q.thresholds(np.bincount(at, minlength=q.BINS))
+    taken, edge = logits[at >= high], np.sort(logits)[::-1][int(q.SHARE * len(logits))]
+    assert len(taken) >= q.SHARE * len(logits) and taken.min() >= edge - 0.1 and taken.min() <= 25  # equal scores all count
+    assert (at <= low).sum() >= q.SHARE * len(logits) and logits[at <= low].max() < -2
+    # nobody is sure: nothing is taken
+    none = q.bins(np.zeros(50))
+    high, low = q.thresholds(np.bincount(none, minlength=q.BINS))
+    assert not ((none >= high) | (none <= low)).any()
+    assert not q.thresholds(np.zeros(q.BINS, np.int64))[0] < 0
+
+
+def test_every_unlabelled_document_is_in_the_pool(spark):
+    """Rounds over a table give the rows that rounds over the same features in memory give."""
+    r = np.random.default_rng(9)
+    words = ["good", "fine", "text", "here", "more"], ["###", "!!", "bad", "bad", "||"]
+    rows = [(i, " ".join(r.choice(words[i % 2], 30 + int(r.integers(0, 40)))), "en" if r.random() < 0.5 else "de", f"s{i % 2 if r.random() < 0.9 else 2}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    models, *_ = q.train(docs, labels, max_taught=10**6)
+    order = sorted(range(400), key=lambda i: __import__("zlib").crc32(str(i).encode()) << 64 | i)
+    texts, langs, sources = ([rows[i][k] for i in order] for k in (1, 2, 3))
+    content, meta = q.content_view([t.encode() for t in texts]).astype(np.float32), q.metadata_view([t.encode() for t in texts], sources, langs).astype(np.float32)
+    y = np.array([i % 2 if i < 120 else -1 for i in order])
+    known = y >= 0
+    want, *_ = q.cotrain(content[known], meta[known], y[known], pool=q.Pool(content[~known], meta[~known]))
+    for a, b in zip(models, want, strict=True):
+        assert np.allclose(a.weights, b.weights, rtol=1e-2, atol=1e-3)
