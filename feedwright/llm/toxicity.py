@@ -10,12 +10,14 @@ documents that the model itself calls harmless are relabelled, so long documents
 A document's evidence is its segment logits at a few places from the top and their mean; a logistic fit on training documents turns it into
 a probability, and ``predicted`` is 1 from ``THRESHOLD`` on.
 
-Training uses labelled rows only, at most ``MAX_DOCS`` documents (smallest hashes of the ids, a fixed sample) and ``MAX_BYTES`` of text,
+Training uses labelled rows only, at most ``MAX_DOCS`` documents (smallest hashes of the ids, a fixed sample) and ``MAX_BYTES`` of text: in
+the order of the hashes, a document of more than an eighth of that (1 MiB), or one that would pass the whole, is left out and the next one is looked at;
 and never rows whose ``crc32(doc_id as text) % 4`` is 2. Only the text is an input. The fitted model is a fixed number of
 weights, broadcast to the tasks; since the softmax is linear in the mean, each n-gram needs one weight.
 
 Cases: null and empty texts have no segment and get the score of a bag without n-grams; without labelled
-rows of both classes every score is the base rate (0.5 without any label); null ids are not held out and never trained on; repeated rows are scored row by row; an empty table gives
+rows of both classes every score is the base rate (0.5 without any label); null ids are not held out and never trained on; repeated rows are scored row by row; a text of any length is scored whole, in one task
+(some 20 bytes of memory per byte of it); equal scores are no ties, as nothing is ranked; only the named columns are read, so others may have any name; an empty table gives
 an empty result.
 """
 
@@ -185,17 +187,19 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_byte
     known = (labels.filter("doc_id is not null and toxic in (0, 1)").filter(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
-    picked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    # running size in hash order over at most max_docs rows: the driver gets at most max_bytes and one document
-    rows = (picked.groupBy("doc_id", "toxic").agg(F.max(F.col("text").cast("string")).alias("text"))
-            .filter(F.octet_length("text") <= max_bytes // 8))
-    texts, toxic, size = [], [], 0
-    for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
-        text = (r["text"] or "").encode()
-        size += len(text)
-        if size > max_bytes:
-            break
-        texts.append(text)
+    picked = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
+    sizes = picked.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # at most max_docs rows
+    taken, size = [], 0
+    for r in sizes:
+        n = r["size"] or 0
+        if n <= max_bytes // 8 and size + n <= max_bytes:  # one that doesn't fit is passed over, smaller ones follow
+            taken.append((r["doc_id"],))
+            size += n
+    ids = docs.sparkSession.createDataFrame(taken, known.select("doc_id").schema)
+    rows = picked.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+    texts, toxic = [], []
+    for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():  # max_bytes at most
+        texts.append((r["text"] or "").encode())
         toxic.append(r["toxic"])
     y = np.array(toxic, np.int64)
     if len(set(toxic)) < 2:

@@ -86,3 +86,15 @@ def test_cases(spark, tables):
     one = spark.createDataFrame([(i, 1) for i in range(9)] + [(None, 0), (3, None)], "doc_id long, toxic int")
     assert len({r.score for r in tx.toxicity(df, one).collect()}) == 1
     assert tx.toxicity(df.limit(0), labels).count() == 0
+
+
+def test_long_documents_dont_end_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tx, "_train", lambda texts, y: seen.append((len(texts), sum(map(len, texts)))) or (np.zeros(1 << tx.BITS, np.float32), 0.0, np.zeros(len(tx.RANKS) + 3)))
+    rows = [(i, ("x" * 900 if i % 10 == 0 else "yy"), i % 2) for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    tx.train(docs, labels, max_bytes=8000)
+    n, size = seen[0]
+    open_ids = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(400))
+    assert size <= 8000 and 220 < n <= open_ids and size > 7000
