@@ -15,13 +15,15 @@ Links are between distinct fingerprints only and each is listed once; the compon
 stars (one link per node and round), so a group of n copies or near copies is never expanded into its pairs
 of documents.
 
-Cases: null and empty texts have fingerprint zero and link like any other; null and repeated ids as in
-:mod:`feedwright.llm.common`; an empty table gives an empty result.
+Cases: null and empty texts have fingerprint zero and link like any other; texts of any length are read whole, in one task (shingles are
+hashed in parts of 16,384); equal smallest ids can't be; null and repeated ids as in
+:mod:`feedwright.llm.common`; only the two named columns are read, so others may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,23 @@ SEED = 42
 SEGMENTS = ((21, 1), (21, 1), (22, 0))
 
 
+def widths(n: int, distance: int = DISTANCE) -> tuple[tuple[int, int], ...]:
+    """Segments for ``n`` distinct fingerprints: the number of segments whose probes and expected random matches are the fewest.
+
+    Wider segments take more probes a fingerprint and let fewer random partners through: three segments of 21 bits up to some 25 million
+    fingerprints, two of 32 beyond."""
+    best = None
+    for k in range(2, min(3, distance + 1) + 1):
+        # the radii plus one add up to distance + 1; widths differ by one at most, the wider ones get the smaller radius
+        radii = sorted(((distance + 1) // k - 1 + (i < (distance + 1) % k) for i in range(k)), reverse=True)
+        bits = sorted(64 // k + (i < 64 % k) for i in range(k))
+        balls = [sum(comb(b, r) for r in range(radius + 1)) for b, radius in zip(bits, radii, strict=True)]
+        cost = n * sum(balls) + n * n * sum(ball / 2**b for ball, b in zip(balls, bits, strict=True))
+        if best is None or cost < best[0]:
+            best = cost, tuple(zip(bits, radii, strict=True))
+    return best[1]
+
+
 def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     """Fingerprint of one text (signed 64 bits)."""
     from xxhash import xxh64_intdigest
@@ -101,11 +120,14 @@ def links(fps: DataFrame, distance: int = DISTANCE, segments=SEGMENTS) -> DataFr
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                    distance: int = DISTANCE, segments=SEGMENTS) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links)."""
+                    distance: int = DISTANCE, segments=None) -> DataFrame:
+    """Per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links).
+
+    ``segments`` (default: ``widths`` of the number of distinct fingerprints) change the search, not the links."""
     df, low = own_ids(df, id_col)
     docs = written(fingerprints(df, id_col, text_col, width), "fingerprints")
     distinct = docs.groupBy("fp").agg(F.min("id").alias("first"))
+    segments = segments or widths(distinct.count(), distance)
     roots = components(links(distinct.select("fp"), distance, segments)).withColumnRenamed("node", "fp")
     member = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = member.groupBy("root").agg(F.min("first").alias("component"))

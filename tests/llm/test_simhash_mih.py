@@ -94,3 +94,15 @@ def test_nulls_repeated_ids_and_empty_table(spark):
     got = sorted(((r.doc_id, r.component_id, r.fingerprint == "0" * 16) for r in mih.near_duplicates(df).collect()), key=str)
     assert got == [(1, None, False), (2, 2, True), (None, None, False)]
     assert mih.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_widths_follow_the_number_of_fingerprints(spark):
+    assert mih.widths(1000) == mih.widths(10**7) == mih.SEGMENTS
+    assert [b for b, _ in mih.widths(10**9)] == [32, 32] and sum(r + 1 for _, r in mih.widths(10**9)) == 5
+    for d in (1, 2, 3, 5, 6):
+        w = mih.widths(10**6, d)
+        assert sum(b for b, _ in w) == 64 and sum(r + 1 for _, r in w) == d + 1
+    values = [(0,), (15,), (31,), (1 << 40 | 7,)]
+    df = spark.createDataFrame(values, "fp long")
+    pairs = lambda w: sorted(tuple(r) for r in mih.links(df, 4, w).collect())
+    assert pairs(mih.widths(10**9)) == pairs(mih.SEGMENTS) == sorted((a, b) for (a,) in values for (b,) in values if a < b and bin(a ^ b).count("1") <= 4)
