@@ -222,9 +222,7 @@ class CorpusPool:
 
     def __init__(self, docs: DataFrame, known: DataFrame, max_taught: int):
         self.docs, self.max_taught = docs, max_taught
-        ids = known.select(F.col("known_id").cast("long").alias("known_id"))
-        # the labelled ids are metadata of the corpus, not bounded: Spark picks the join
-        self.free = docs.where(F.col("doc_id").isNotNull()).join(ids, F.col("doc_id").cast("long") == F.col("known_id"), "left_anti")
+        self.known = known.select(F.col("known_id").cast("long").alias("doc_id"))
         self.taken = [set(), set()]
 
     def sure(self, models, step: int):
@@ -237,7 +235,9 @@ class CorpusPool:
                 first, second = _logits(shared.value, *(batch.column(i).to_pylist() for i in (1, 2, 3)))
                 yield pa.record_batch([batch.column(0), pa.array(bins(first)), pa.array(bins(second))], schema=schema)
 
-        at = written(self.free.select(*_columns(self.free)).mapInArrow(run, "doc_id long, first long, second long"), f"cotrain-round-{step}")
+        # three numbers a row meet the labelled ids, not the texts
+        scored = self.docs.select(*_columns(self.docs)).where("doc_id is not null").mapInArrow(run, "doc_id long, first long, second long")
+        at = written(scored.join(self.known, "doc_id", "left_anti"), f"cotrain-round-{step}")
         out = []
         for k, column in ((1, "second"), (0, "first")):  # view k teaches the other one
             counts = np.zeros(BINS, np.int64)
