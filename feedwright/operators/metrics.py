@@ -68,18 +68,27 @@ def database_size(files: DataFrame) -> DataFrame:
                                                          F.count(F.lit(1)).alias("n_files"))
 
 
-def total_and_external(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+def table_files(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """``(table_name, path, length)``: the listings of several table paths as one frame."""
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [file_listing(spark, path).select(F.lit(name).alias("table_name"), "path", "length")
+                                          for name, path in tables.items()])
+
+
+def total_and_external(spark: SparkSession, tables: dict[str, str], files: DataFrame | None = None) -> DataFrame:
     """E9 (re-aimed): per table path all bytes (hidden files included), the bytes of
     its data files and the bytes outside them (checksums, markers, metadata), largest first.
 
     Spark's own listing hides ``_`` and ``.`` files, so the totals come from
-    the file system: one content summary per table."""
+    the file system: one content summary per table. The data files are one job over all tables' listings (``files``, if
+    they are listed already)."""
     from feedwright.sources import storage
-    rows = []
-    for name, path in tables.items():
-        listed = file_listing(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long")).first()[0]
-        total = storage.total_bytes(spark, path)
-        rows.append((name, total, int(listed), total - int(listed)))
+    if not tables:
+        return spark.createDataFrame([], "table_name string, total_bytes long, data_bytes long, external_bytes long")
+    listed = files if files is not None else table_files(spark, tables)
+    data = {r["table_name"]: int(r["n"]) for r in listed.groupBy("table_name").agg(F.sum("length").cast("long").alias("n")).collect()}
+    rows = [(name, total, data.get(name, 0), total - data.get(name, 0))
+            for name, path in tables.items() for total in [storage.total_bytes(spark, path)]]
     out = spark.createDataFrame(rows, "table_name string, total_bytes long, data_bytes long, external_bytes long")
     return out.orderBy(F.desc("total_bytes"), "table_name")
 

@@ -36,7 +36,7 @@ from feedwright.operators.stored_profile import record as record_profile
 from feedwright.sinks.compaction import compact_folder, finish
 from feedwright.sinks.event_log import EventLog
 from feedwright.sinks.bucketed import BucketedTable
-from feedwright.sinks.tables import parse_bucketing_clause, retention_candidates, write_partitioned
+from feedwright.sinks.tables import observed, parse_bucketing_clause, retention_candidates, write_partitioned
 from feedwright.sinks.units import UNIT, UnitTable, unit_key
 from feedwright.sources import storage
 from feedwright.sources.jdbc import scan_jdbc
@@ -143,16 +143,6 @@ def persist_jobstat(spark: SparkSession, state: DataFrame, name: str = "run_stat
     return new_version(spark, state, name)
 
 
-def _observed(obs: Observation) -> dict:
-    """What a write has observed; nothing when the plan was empty (the optimiser
-    then removes the observation with the rest of the plan)."""
-    from py4j.protocol import Py4JJavaError
-    try:
-        return obs.get
-    except Py4JJavaError:
-        return {}
-
-
 def _is_date(type_name: str) -> bool:
     return type_name.upper().startswith(("DATE", "TIMESTAMP"))
 
@@ -287,7 +277,7 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
         obs = Observation(f"extract_{jobpid}")
         write_partitioned(raw.withColumn("loaddate", F.lit(loaddate)).observe(obs, F.count(F.lit(1)).alias("n")),
                           spec.raw_path, ["loaddate"], truncate="P")
-        info["linecount"] = info["rowcount"] = int(_observed(obs).get("n", 0))
+        info["linecount"] = info["rowcount"] = int(observed(obs).get("n", 0))
         if not info["rowcount"]:
             storage.delete(spark, raw_folder)      # a dynamic overwrite without rows leaves the old partition
         info["raw_size"], info["raw_replica_size"] = path_bytes(spark, raw_folder, spec.replicas)
@@ -371,7 +361,7 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
             units.load(refined, unit, [f"{c}_ptn" for c in ptn_src])
         else:
             write_partitioned(refined, spec.refined_path, [f"{c}_ptn" for c in ptn_src], truncate=mode, fmt=spec.refined_format)
-        info["cast_rejects"] = {k: int(v) for k, v in _observed(rejects).items() if k != "_rows" and v}
+        info["cast_rejects"] = {k: int(v) for k, v in observed(rejects).items() if k != "_rows" and v}
         emptied: list[str] = []
         if mode == "P":
             # partitions that this load has rows for: one small aggregate over the raw window

@@ -29,9 +29,6 @@ def run_size_metrics(relations: DataFrame, namespaces: DataFrame, partitions: Da
     rows = size_metric_rows(relations, namespaces, partitions, schemas, process_dt)
     if table_paths:
         spark = relations.sparkSession
-        files = None
-        for p in table_paths.values():
-            one = m.file_listing(spark, p)
-            files = one if files is None else files.unionByName(one)
-        rows = rows.unionByName(storage_metric_rows(files, m.total_and_external(spark, table_paths), process_dt))
+        files = m.table_files(spark, table_paths)
+        rows = rows.unionByName(storage_metric_rows(files, m.total_and_external(spark, table_paths, files), process_dt))
     write_metrics(rows, path, process_dt)

@@ -12,7 +12,8 @@ from feedwright.queries import register
 from feedwright.queries.duck import CATALOG, pretty_sql
 from feedwright.session import scratch_path
 from feedwright.plans.size_metrics import run_size_metrics
-from feedwright.sources import derive
+from feedwright.sinks.files import write_lines
+from feedwright.sources import derive, storage
 from feedwright.sources.tables import DRIVER_TABLES, read_table
 
 _W = "WITH " + CATALOG
@@ -119,3 +120,32 @@ def metrics_rerun_empty(spark, sf_dir):
     nothing = c["relations"].where("size_bytes < 0")
     run_size_metrics(nothing, c["namespaces"], c["partitions"], derive.METRIC_SCHEMAS, METRIC_DAYS[0], path)
     return spark.read.parquet(path).withColumn("process_dt", F.col("process_dt").cast("date"))
+
+
+# The lines of the written copies; a line is its bytes and one line feed, and a table has a 10-byte metadata file.
+_COPIES = {"nation": ("n_name", "n_name"), "part": ("p_name || '|' || p_type", "concat(p_name, '|', p_type)")}
+_BYTES = ", ".join(f"(SELECT sum(strlen({duck}) + 1) FROM {t}) AS {t}" for t, (duck, _) in _COPIES.items())
+_NO = "CAST(NULL AS DOUBLE) AS share_pct, CAST(NULL AS BIGINT) AS n_partitions, CAST(NULL AS BIGINT) AS n_rows"
+
+
+@register("metrics_all", _W + _METRIC_DAY_SQL.format(d=METRIC_DAYS[0].isoformat(), pretty_s=pretty_sql("size_bytes"), pretty_t=pretty_sql("size_bytes")) + f"""
+UNION ALL BY NAME
+SELECT 'DATABASE_SIZE' AS query_info, DATE '{METRIC_DAYS[0]}' AS process_dt, 'DATABASE' AS entity_type, 'DATABASE' AS container_name,
+       'DATABASE' AS entity_name, {pretty_sql("size_bytes")} AS size1, '2' AS size2, size_bytes, {_NO}
+FROM (SELECT CAST(nation + part AS BIGINT) AS size_bytes FROM (SELECT {_BYTES}))
+UNION ALL BY NAME
+SELECT 'TABLE_TOTAL_AND_EXTERNAL' AS query_info, DATE '{METRIC_DAYS[0]}' AS process_dt, 'TABLE' AS entity_type, 'DATABASE' AS container_name,
+       t AS entity_name, {pretty_sql("size_bytes")} AS size1, '10 bytes' AS size2, size_bytes, {_NO}
+FROM (SELECT t, CAST(n + 10 AS BIGINT) AS size_bytes FROM (SELECT {_BYTES}) UNPIVOT (n FOR t IN (nation, part)))""")
+def metrics_all(spark, sf_dir):
+    """All four size metrics in one run, the file metrics over written copies of known size: text files, with a metadata file
+    of ten bytes beside the data of each table."""
+    c = _catalog(spark, sf_dir)
+    paths = {}
+    for t, (_, line) in _COPIES.items():
+        paths[t] = scratch_path(spark, f"sized-{t}")
+        write_lines(read_table(spark, sf_dir, t).select(F.expr(line).alias("value")).coalesce(1), paths[t])
+        storage.create_new(spark, f"{paths[t]}/_stats", "0123456789")
+    out = scratch_path(spark, "metrics-all")
+    run_size_metrics(c["relations"], c["namespaces"], c["partitions"], derive.METRIC_SCHEMAS, METRIC_DAYS[0], out, paths)
+    return spark.read.parquet(out).withColumn("process_dt", F.col("process_dt").cast("date"))

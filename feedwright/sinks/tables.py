@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.session import scratch_path
@@ -33,13 +33,27 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], trunc
     w.save(path)
 
 
+def observed(obs: Observation) -> dict:
+    """What a write has observed; nothing when the plan was empty (the optimiser
+    then removes the observation with the rest of the plan)."""
+    from py4j.protocol import Py4JJavaError
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
+
+
 def write_metrics(df: DataFrame, path: str, process_dt=None) -> None:
     """L3: idempotent daily metrics — the rows of each ``process_dt`` present in
     ``df`` replace that day's partition, other days stay. With ``process_dt``
-    given, a rerun without rows for that day clears the day."""
+    given, a rerun without rows for that day clears the day; the day's rows are counted on the write itself."""
+    import uuid
+
     from feedwright.sources import storage
-    write_partitioned(df, path, ["process_dt"], truncate="P")
-    if process_dt is not None and df.where(F.col("process_dt") == F.lit(process_dt).cast("date")).limit(1).count() == 0:
+    seen = Observation(f"metrics-{uuid.uuid4().hex}")
+    day = F.count_if(F.col("process_dt").cast("date") == F.lit(process_dt).cast("date"))
+    write_partitioned(df.observe(seen, day.alias("n")) if process_dt is not None else df, path, ["process_dt"], truncate="P")
+    if process_dt is not None and not observed(seen).get("n"):
         storage.delete(df.sparkSession, f"{path.rstrip('/')}/process_dt={process_dt}")
 
 
