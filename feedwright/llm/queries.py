@@ -55,7 +55,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(documents(spark, sf_dir))
+    return token_counts.count_tokens(documents(spark, sf_dir), sums="library")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,13 +5,20 @@ was trained as a unigram model, so the pieces and scores of ``piece_bpe_32k.mode
 taken as one; the reference of the tests is the sentencepiece library on the same file with the model type
 set to unigram.) An Aho-Corasick automaton lists every vocabulary match of a word with its end;
 dynamic programming over the ends carries only the best score and the number of pieces. Tie rules are the
-library's: at each end the candidates come by ascending start and only a strictly better score replaces one; a
+library's: only a strictly better score replaces one, candidates come by ascending start, and a
 character that is no piece itself may stand alone as unknown, tried last, with the lowest score minus 10, and counts
 as its UTF-8 bytes (byte fallback).
 
-Scores are added in exact arithmetic, so splitting a text at its words is exact: no piece holds a blank mark after another character, hence every path has a boundary
-before each run of marks. (The library adds in 32-bit floats, so over long texts its sums round; word by word the results agree.)
-Words are counted once per block and kept by the worker within a bound; nothing is shuffled.
+``sums`` names the arithmetic of the scores. ``"exact"`` adds without rounding; it gives the paths of the library's n-best list. ``"library"`` is
+that of its ``encode``, and gives its counts: 32-bit floats, and where the best score on arriving at a character is beyond ``REBASE`` it is
+subtracted from those of all ends beyond it that a piece has reached, and becomes 0. This file has pieces of -1e9 (runs of blank marks, a single one too), near which
+that rounds scores to multiples of 64: "the" alone is one piece though "_t" + "he" has the better sum, and after "Ores" it is two.
+The score returned is the exact sum over the path taken.
+
+Texts are split at their words: no piece holds a blank mark after another character, hence every path has a boundary
+before each run of marks. With exact sums a word's count is the same everywhere; with the library's it depends on the score on arrival, which is handed from word to word.
+Where the scores are whole numbers and a lone mark is rounded to multiples of ``step``, only the score's rest by that step matters, so a word has few results.
+Words are counted once per block (and score on arrival) and kept by the worker within a bound of words and of characters; nothing is shuffled.
 
 Cases: null and empty texts have 0 pieces and score 0; null ids stay null; repeated rows count row by row; an empty table gives
 an empty result; a word of any length is handled in time linear in its matches.
@@ -19,7 +26,9 @@ an empty result; a word of any length is handled in time linear in its matches.
 
 from __future__ import annotations
 
+import gc
 import re
+from array import array
 from collections import defaultdict
 from itertools import islice
 
@@ -35,15 +44,36 @@ FILE = "piece_bpe_32k.model"
 MARK = "▁"
 BLOCK = 1 << 22
 KEEP = 400_000
+KEEP_CHARS = 32 * KEEP
+REBASE = 100_000.0  # fixed value of the library
+EXACT = float(1 << 24)
 UNKNOWN_PENALTY = 10.0
 
 
+def _step(score: dict[str, float], unknown: float) -> float | None:
+    """The spacing of 32-bit floats at a lone mark's score, if a score on arrival matters by its rest only.
+
+    That holds if all other scores are whole numbers whose sums with one on arrival are exact, and the lone mark's is so low that it is always
+    subtracted: an even multiple of the spacing, far enough inside its power of two. A break of lines then always leaves 0.
+    """
+    mark = score.get(MARK)
+    usual = [s for s in score.values() if s != mark]
+    if mark is None or mark > -(1 << 26) or unknown > -(1 << 26) or any(s != int(s) or abs(s) > (1 << 22) for s in usual):
+        return None
+    step = float(np.spacing(np.float32(-mark)))
+    inside = all(np.spacing(np.float32(-mark + d)) == step for d in (-4 * REBASE, 4 * REBASE))
+    return step if inside and mark % (2 * step) == 0 else None
+
+
 class Unigram:
-    """Automaton over the normal pieces of a vocabulary."""
+    """Automaton over the normal pieces of a vocabulary; ``sums``: "exact" or "library"."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]]):
+    def __init__(self, pieces: list[tuple[str, float, int]], sums: str = "exact"):
         import ahocorasick
 
+        if sums not in ("exact", "library"):
+            raise ValueError(f"sums is exact or library, not {sums!r}")
+
         normal = [(p, s) for p, s, kind in pieces if kind == 1]
         if any(MARK in p.lstrip(MARK) for p, _ in normal):
             raise ValueError("a piece spans words: texts can't be split at blanks")
@@ -55,6 +85,8 @@ class Unigram:
         # line breaks that stand in no piece are boundaries too: shorter words, the same paths
         alone = "" if any("\n" in p for p, _ in normal) else "\n"
         self.words = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if alone else rf"{MARK}*[^{MARK}]+|{MARK}+").findall
+        self.library = sums == "library"
+        self.step = _step({p: x for p, x in normal}, self.unknown) if alone else None
         self._forget()
 
     def _forget(self):
@@ -62,6 +94,9 @@ class Unigram:
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.counts, self.scores = np.zeros(0, np.int64), np.zeros(0)
+        # library sums: word -> score on arrival -> (pieces, score, score on arrival at the next word); under None, intervals of arrivals
+        self.ways: defaultdict[str, dict] = defaultdict(dict)
+        self.results = self.chars = 0
 
     def word(self, word: str) -> tuple[int, float]:
         """(pieces, score) of the best path."""
@@ -84,14 +119,147 @@ class Unigram:
             best[last + 1], count[last + 1] = top, pieces
         return count[n], best[n]
 
+    def library_word(self, word: str, arrival: float = 0.0) -> tuple[int, float, float]:
+        """(pieces, exact score, score on arrival at the next word) of the path that the library's sums make the best."""
+        n = len(word)
+        best, count, total = [arrival] + [0.0] * n, [0] * (n + 1), [0.0] * (n + 1)
+        moved, last_moved = [], 0  # places whose score was subtracted from all open ends, with that score
+        exact = EXACT if self.step else -1.0  # whole numbers below it need no rounding
+        one = array("f", [self.unknown])  # an array rounds what it stores
+        unknown = one[0]
+        matches: list[list[tuple[int, float]]] = [[] for _ in word]
+        for last, match in self.automaton.iter(word):
+            matches[last].append(match)  # the longest first: ascending starts
+
+        def at(value, seen, now):
+            """An open end's value of the time of place ``seen``, at that of place ``now``."""
+            for place, score in moved:
+                if seen < place <= now:
+                    one[0] = value - score
+                    value = one[0]
+            return value
+
+        for last, found in enumerate(matches):
+            top, seen = None, 0
+            for length, score in found:
+                start = last + 1 - length
+                if last_moved > seen and top is not None:
+                    top = at(top, seen, start)
+                s, seen = best[start] + score, start
+                if s > exact or s < -exact:
+                    one[0] = s
+                    s = one[0]
+                if top is None or s > top:
+                    top, pieces, whole = s, count[start] + 1, total[start] + score
+            if not found or found[-1][0] != 1:
+                if last_moved > seen and top is not None:
+                    top = at(top, seen, last)
+                one[0] = best[last] + unknown
+                if top is None or one[0] > top:
+                    top, pieces, whole = one[0], count[last] + len(word[last].encode()), total[last] + self.unknown
+            end = last + 1
+            if top > REBASE or top < -REBASE:
+                moved.append((end, top))
+                last_moved, top = end, 0.0
+            best[end], count[end], total[end] = top, pieces, whole
+        after = best[n]
+        if self.step:
+            after -= self.step * round(after / self.step)  # halves to the even one, as sums are rounded
+        return count[n], total[n], after
+
+    def usual_word(self, word: str, arrival: float):
+        """What :meth:`library_word` gives for most words, and the open interval of arrivals with that result; None for other words.
+
+        The lone mark is subtracted first, which leaves the pieces from the word's start on at whole steps; then the piece of mark and first
+        character is, which leaves it 0, the longer ones at whole steps from it, and what begins after the lone mark beyond reach. From there on sums are exact.
+        """
+        step, n = self.step, len(word)
+        if not step or n < 2 or word[0] != MARK or word[1] == MARK:
+            return None
+        matches: list[list[tuple[int, float]]] = [[] for _ in word]
+        for last, match in self.automaton.iter(word):
+            matches[last].append(match)  # the longest first: ascending starts
+        if not matches[1] or matches[1][0][0] != 2:
+            return None
+        one = matches[1][0][1]
+        base = round((arrival + one) / step)
+        half = step / 2
+        low, high = max(-half, base * step - half - one), min(half, base * step + half - one)
+        best, count, total = [0.0] * (n + 1), [1] * (n + 1), [one] * (n + 1)
+        for last in range(2, n):
+            found = matches[last]
+            if not found or found[-1][0] != 1:
+                return None
+            end = last + 1
+            top = None
+            for length, score in found:
+                start = end - length
+                if start > 1:
+                    s = best[start] + score
+                    if top is None or s > top:
+                        top, pieces, whole = s, count[start] + 1, total[start] + score
+                elif not start:
+                    steps = round((arrival + score) / step)
+                    low, high = max(low, steps * step - half - score), min(high, steps * step + half - score)
+                    top, pieces, whole = (steps - base) * step, 1, score
+            if top > REBASE or top < -REBASE:
+                return None
+            best[end], count[end], total[end] = top, pieces, whole
+        after = best[n]
+        return low, high, (count[n], total[n], after - step * round(after / step))
+
+    def library_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces and score of each text by the library's sums."""
+        counts, scores = [], []
+        for t in texts:
+            pieces, total, arrival, ways = 0, 0.0, 0.0, self.ways
+            for w in self.words((MARK + t).replace(" ", MARK)) if t else ():
+                found = ways[w].get(arrival)
+                if found is None:
+                    found = self._way(w, arrival)
+                    ways = self.ways
+                n, score, arrival = found
+                pieces += n
+                total += score
+            counts.append(pieces)
+            scores.append(total)
+        return np.array(counts, np.int64), np.array(scores, np.float64)
+
+    def _way(self, word: str, arrival: float) -> tuple[int, float, float]:
+        """The result of a word for a new score on arrival, kept."""
+        known = self.ways[word]
+        for low, high, found in known.get(None, ()):
+            if low < arrival < high:
+                known[arrival] = found
+                return found
+        if self.results >= KEEP or self.chars >= KEEP_CHARS:
+            self._forget()
+            known = self.ways[word]
+        usual = self.usual_word(word, arrival)
+        if usual:
+            known[None] = (*known.get(None, ()), usual)
+        found = known[arrival] = usual[2] if usual else self.library_word(word, arrival)
+        self.results += 1
+        self.chars += len(word)
+        return found
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces and score of each text."""
-        if len(self.known) > KEEP:
+        if self.library:
+            running = gc.isenabled()
+            gc.disable()  # the results kept hold no cycles, and searching them again and again takes a third of the time
+            try:
+                return self.library_texts(texts)
+            finally:
+                if running:
+                    gc.enable()
+        if len(self.known) > KEEP or self.chars > KEEP_CHARS:
             self._forget()
         old = len(self.known)
         split = [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
                  for words in (self.words((MARK + t).replace(" ", MARK)) if t else [] for t in texts)]
         new = [self.word(w) for w in islice(self.known, old, None)]
+        self.chars += sum(map(len, islice(self.known, old, None)))
         self.counts = np.concatenate([self.counts, np.array([c for c, _ in new], np.int64)])
         self.scores = np.concatenate([self.scores, np.array([s for _, s in new])])
         word = np.concatenate([np.zeros(0, np.int64), *split])
@@ -100,15 +268,15 @@ class Unigram:
         return total(self.counts).astype(np.int64), total(self.scores)
 
 
-def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, score`` of every row; ``path``: a sentencepiece file."""
+def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, sums: str = "exact") -> DataFrame:
+    """``doc_id, n_tokens, score`` of every row; ``path``: a sentencepiece file; ``sums``: "exact", or "library" for the counts of its ``encode``."""
     spark = df.sparkSession
     ship_package(spark)
     file = vocabularies.shared(spark, path or vocabularies.default_path(FILE))
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
-        model = vocabularies.built(("unigram", file.id), lambda: Unigram(vocabularies.pieces(file.value)))
+        model = vocabularies.built(("unigram", file.id, sums), lambda: Unigram(vocabularies.pieces(file.value), sums))
         for batch in byte_blocks(batches, BLOCK):
             counts, scores = model.texts(batch.column(1).to_pylist())
             yield pa.record_batch([batch.column(0), pa.array(counts), pa.array(scores)], schema=schema)

@@ -59,6 +59,58 @@ def test_equals_the_library_word_by_word(library, file):
             assert got == len(library.encode(f"{a} {b}"))
 
 
+def test_library_sums_equal_encode_on_whole_texts(spark, library, file):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {r.doc_id: len(library.encode(r.text)) if r.text else 0 for r in docs.select("doc_id", "text").toLocalIterator()}
+    got = {r.doc_id: r.n_tokens for r in tc.count_tokens(docs, sums="library").collect()}
+    assert got == want
+    exact = {r.doc_id: r.n_tokens for r in tc.count_tokens(docs).collect()}
+    assert sum(exact[d] != want[d] for d in want) > len(want) // 4  # the two arithmetics differ: "the"
+    r = random.Random(4)
+    model = tc.Unigram(voc.pieces(file), "library")
+    w = [*words(), "the", "hest", " ", "  ", "\n", "▁", "\t"]
+    texts = [r.choice(["", " ", "\n"]).join(r.choice(w) + r.choice(["", " ", "    "]) for _ in range(r.randint(1, 40)))
+             for _ in range(300)] + ["the", "x" * 5000, " " * 77, "\n\n", "the▁▁hest"]
+    assert model.texts(texts)[0].tolist() == [len(library.encode(t)) if t else 0 for t in texts]
+
+
+def test_usual_words_equal_the_whole_rule(file):
+    model = tc.Unigram(voc.pieces(file), "library")
+    r, usual = random.Random(8), 0
+    for w in words() + ["the", "hest", "there", "ariear", "esuemente"]:
+        w, a = "▁" + w, float(r.randint(-32, 32))
+        found = model.usual_word(w, a)
+        if found:
+            usual += 1
+            low, high, result = found
+            for b in [a, *(float(b) for b in range(-31, 32) if low < b < high)]:
+                assert result == model.library_word(w, b), (w, b)
+    assert usual > 500
+
+
+def test_library_sums_with_a_small_memory_and_without_steps(library, file, monkeypatch):
+    pieces = voc.pieces(file)
+    w = words()
+    texts = [" ".join(w[i:i + 40]) + " the hest\nthere" for i in range(0, 1200, 40)]
+    want = [len(library.encode(t)) for t in texts]
+    monkeypatch.setattr(tc, "KEEP", 15)
+    assert tc.Unigram(pieces, "library").texts(texts)[0].tolist() == want
+    plain = tc.Unigram(pieces, "library")
+    plain.step = None  # every score on arrival for itself
+    assert plain.texts(texts)[0].tolist() == want
+
+
+def test_library_sums_score_their_path(library, file):
+    pieces = voc.pieces(file)
+    score = {p: s for p, s, kind in pieces if kind == 1}
+    model = tc.Unigram(pieces, "library")
+    for w in ["the", "and", "hest", "esuemente", "information"]:
+        path = library.encode(w, out_type=str)
+        assert [x.tolist() for x in model.texts([w])] == [[len(path)], [sum(score[p] for p in path)]]
+    with pytest.raises(ValueError):
+        tc.Unigram(pieces, "other")
+
+
 def test_equals_brute_force_on_whole_texts(spark, file):
     r = random.Random(2)
     pieces = voc.pieces(file)
