@@ -47,6 +47,7 @@ KEEP = 400_000
 KEEP_CHARS = 32 * KEEP
 REBASE = 100_000.0  # fixed value of the library
 EXACT = float(1 << 24)
+NONE = float("-inf")
 UNKNOWN_PENALTY = 10.0
 
 
@@ -94,8 +95,8 @@ class Unigram:
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.counts, self.scores = np.zeros(0, np.int64), np.zeros(0)
-        # library sums: word -> score on arrival -> (pieces, score, score on arrival at the next word); under None, intervals of arrivals
-        self.ways: defaultdict[str, dict] = defaultdict(dict)
+        # library sums: word -> (low, high, pieces, score, score on arrival at the next word) for arrivals between, or for the one that low and high are
+        self.ways: dict[str, tuple] = {}
         self.results = self.chars = 0
 
     def word(self, word: str) -> tuple[int, float]:
@@ -185,60 +186,66 @@ class Unigram:
         base = round((arrival + one) / step)
         half = step / 2
         low, high = max(-half, base * step - half - one), min(half, base * step + half - one)
-        best, count, total = [0.0] * (n + 1), [1] * (n + 1), [one] * (n + 1)
+        best, back, first = [0.0] * (n + 1), [0] * (n + 1), {2: (0.0, one)}
         for last in range(2, n):
             found = matches[last]
             if not found or found[-1][0] != 1:
                 return None
             end = last + 1
-            top = None
+            top = NONE
             for length, score in found:
                 start = end - length
                 if start > 1:
                     s = best[start] + score
-                    if top is None or s > top:
-                        top, pieces, whole = s, count[start] + 1, total[start] + score
+                    if s > top:
+                        top, back[end] = s, start
                 elif not start:
                     steps = round((arrival + score) / step)
-                    low, high = max(low, steps * step - half - score), min(high, steps * step + half - score)
-                    top, pieces, whole = (steps - base) * step, 1, score
+                    edge = steps * step - score
+                    if edge - half > low:
+                        low = edge - half
+                    if edge + half < high:
+                        high = edge + half
+                    top = (steps - base) * step
+                    first[end] = top, score
             if top > REBASE or top < -REBASE:
                 return None
-            best[end], count[end], total[end] = top, pieces, whole
+            best[end] = top
+        end, pieces = n, 1
+        while back[end]:
+            end = back[end]
+            pieces += 1
+        whole_steps, score = first[end]
         after = best[n]
-        return low, high, (count[n], total[n], after - step * round(after / step))
+        return low, high, (pieces, after - whole_steps + score, after - step * round(after / step))
 
     def library_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces and score of each text by the library's sums."""
         counts, scores = [], []
         for t in texts:
-            pieces, total, arrival, ways = 0, 0.0, 0.0, self.ways
+            pieces, total, arrival = 0, 0.0, 0.0
+            get = self.ways.get
             for w in self.words((MARK + t).replace(" ", MARK)) if t else ():
-                found = ways[w].get(arrival)
-                if found is None:
-                    found = self._way(w, arrival)
-                    ways = self.ways
-                n, score, arrival = found
+                for low, high, n, score, after in get(w, ()):
+                    if low < arrival < high or low == arrival == high:
+                        break
+                else:
+                    n, score, after = self._way(w, arrival)
+                    get = self.ways.get
                 pieces += n
                 total += score
+                arrival = after
             counts.append(pieces)
             scores.append(total)
         return np.array(counts, np.int64), np.array(scores, np.float64)
 
     def _way(self, word: str, arrival: float) -> tuple[int, float, float]:
         """The result of a word for a new score on arrival, kept."""
-        known = self.ways[word]
-        for low, high, found in known.get(None, ()):
-            if low < arrival < high:
-                known[arrival] = found
-                return found
         if self.results >= KEEP or self.chars >= KEEP_CHARS:
             self._forget()
-            known = self.ways[word]
         usual = self.usual_word(word, arrival)
-        if usual:
-            known[None] = (*known.get(None, ()), usual)
-        found = known[arrival] = usual[2] if usual else self.library_word(word, arrival)
+        low, high, found = usual if usual and usual[0] < arrival < usual[1] else (arrival, arrival, usual[2] if usual else self.library_word(word, arrival))
+        self.ways[word] = (*self.ways.get(word, ()), (low, high, *found))
         self.results += 1
         self.chars += len(word)
         return found
