@@ -19,7 +19,7 @@ from feedwright.session import in_session, scratch_path, with_fixed_splits
 from feedwright.sinks.files import write_csv, write_lines, write_xml
 from feedwright.sinks.units import UnitTable
 from feedwright.sources import derive, storage
-from feedwright.sources.files import latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
+from feedwright.sources.files import _bytes, largest_file, latin1_line, read_first_n, read_multiline_csv, read_repaired_lines
 from feedwright.sources.tables import read_table
 from feedwright.sources.xml import read_xml_raw, read_xml_rows, xml_faults, xml_rows
 from feedwright.streaming.delimiter_stream import ledger, start_delimiter_stream, start_ledger_stream
@@ -27,6 +27,7 @@ from feedwright.streaming.delimiter_stream import ledger, start_delimiter_stream
 FILE_ROWS = 1000         # rows per landed CSV / line file (multi-line CSV: one task per file)
 XML_FILE_ROWS = 20000    # rows per landed XML file
 SPLIT_BYTES = 1 << 16    # a split of the single-file feeds, so that they are many tasks at any scale
+SPLITS = 64              # beyond as many splits of that size, the splits grow with the file (up to the session's own size)
 DOC_ROWS = 2000          # rows per XML document in the malformed feed
 
 ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -39,6 +40,15 @@ def _typed_orders(df):
     return project(df, spec)
 
 
+def _fine_splits(spark, path):
+    """A session that reads the file at ``path`` by many tasks: splits of 64 kB, or as large as ``SPLITS`` of them need to be."""
+    fine = with_fixed_splits(spark)
+    usual = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = -(-largest_file(spark, path) // SPLITS)
+    fine.conf.set("spark.sql.files.maxPartitionBytes", max(SPLIT_BYTES, min(size, usual)))
+    return fine
+
+
 @register("csv_multiline", """
 SELECT doc_id, substr(r, 2, length(r) - 2) AS text, lang FROM (
   SELECT doc_id, lang,
@@ -61,11 +71,11 @@ SELECT doc_id, substr(r, 2, length(r) - 2) AS text, lang, source FROM (
                                                  AND left(b, 1) <> ' ' THEN ' ' ELSE '' END || b) AS r
   FROM documents)""")
 def csv_split(spark, sf_dir):
-    """A8 on one file: all documents land in a single quoted CSV file, which many tasks read (splits of 64 kB here)."""
+    """A8 on one file: all documents land in a single quoted CSV file, which many tasks read (splits of 64 kB, larger
+    ones where the file has more than ``SPLITS`` of them)."""
     path = scratch_path(spark, "csv-split")
     write_csv(read_table(spark, sf_dir, "documents").coalesce(1), path, header=True)
-    fine = with_fixed_splits(spark)
-    fine.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    fine = _fine_splits(spark, path)
     df = read_multiline_csv(fine, path, 4)
     return in_session(spark, df).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
 

@@ -12,7 +12,8 @@ is read in splits, whatever its size.
 
 All passes read in one session whose splits are at fixed places (``with_fixed_splits``).
 
-What reaches the driver: the splits that begin inside quotes (8 bytes each, 128 MB of data a split) and the files they are of.
+What reaches the driver: the splits that begin inside quotes (8 bytes each, 128 MB of data a split) and the files they are of. They go to the
+workers as a broadcast, once a worker: in the tasks' own code they would grow with the splits times the tasks.
 """
 
 from __future__ import annotations
@@ -110,9 +111,9 @@ class _Joiner:
         return records
 
 
-def _mapper(inside: dict, quote: str, header: bool, pieces: bool):
+def _mapper(inside, quote: str, header: bool, pieces: bool):
     def run(batches):
-        joiner = _Joiner(inside, quote, pieces)
+        joiner = _Joiner(inside.value, quote, pieces)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -147,7 +148,7 @@ def split_records(spark: SparkSession, path: str, header: bool, quote: str = '"'
     for r in border:
         if r["inside"]:
             inside.setdefault(r["file"], []).append(r["block"])
-    inside = {f: np.sort(np.array(b)) for f, b in inside.items()}
+    inside = spark.sparkContext.broadcast({f: np.sort(np.array(b)) for f, b in inside.items()})
     names = {}
     for r in border:
         if names.setdefault(r["file"], r["path"]) != r["path"]:

@@ -167,3 +167,28 @@ def test_a_record_over_many_splits_between_faults(spark, tmp_path):
     got = sorted((len(r.k), r.v) for r in read_xml_rows(s, f"{tmp_path}/m", "row", ["k", "v"]).collect())
     assert got == [(0, "2"), (1200, ""), (1200, "1")]
     assert xml_faults(read_xml_raw(s, f"{tmp_path}/m", "row", ["k", "v"])).first()[0] == 2
+
+
+def test_the_code_of_a_task_doesnt_grow_with_the_splits(spark):
+    import numpy as np
+    from pyspark import cloudpickle
+
+    from feedwright.sources.split_csv import _mapper
+    sizes = []
+    for n in (10, 100_000):
+        inside = spark.sparkContext.broadcast({1: np.arange(n)})
+        sizes.append(len(cloudpickle.dumps(_mapper(inside, '"', True, False))))
+    assert sizes[1] < sizes[0] + 100
+
+
+def test_splits_of_single_file_feeds_grow_with_the_file(spark, tmp_path):
+    from feedwright.queries import formats
+    from feedwright.session import with_fixed_splits
+    s = with_fixed_splits(spark)
+    s.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    for size, want in ((1000, 1 << 16), (64 << 17, 1 << 17), (64 << 20, 1 << 20), (65 << 20, 1 << 20)):
+        path = f"{tmp_path}/s{size}"
+        os.makedirs(path)
+        with open(f"{path}/a.csv", "wb") as f:
+            f.truncate(size)
+        assert _bytes(formats._fine_splits(s, path).conf.get("spark.sql.files.maxPartitionBytes")) == want
