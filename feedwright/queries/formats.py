@@ -164,7 +164,7 @@ def xml_roundtrip(spark, sf_dir):
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus || ' > </row>' END AS note, 'outer' AS part FROM orders UNION ALL
 SELECT o_orderkey, -1, o_orderpriority, 'inner' FROM orders WHERE o_orderkey % 3 = 0""")
 def xml_split(spark, sf_dir):
-    """A10/A11 on one file without line breaks, read by many tasks (splits of 64 kB): rows in comments and CDATA sections that are no rows,
+    """A10/A11 on one file without line breaks, read by many tasks (splits as in ``csv_split``): rows in comments and CDATA sections that are no rows,
     closing tags with blanks, ``>`` in attributes, rows inside rows."""
     k = F.col("o_orderkey")
     inner = F.when(k % 3 == 0, F.concat(F.lit("<row><k>"), k.cast("string"), F.lit("</k><note>"), F.col("o_orderpriority"), F.lit("</note></row >")))
@@ -174,8 +174,7 @@ def xml_split(spark, sf_dir):
                     F.when(k % 2 == 0, F.lit("</row >")).otherwise(F.lit("</row>")))
     path = scratch_path(spark, "xml-split")
     (read_table(spark, sf_dir, "orders").select(text.alias("value")).coalesce(1).write.option("lineSep", " ").text(path))
-    fine = with_fixed_splits(spark)
-    fine.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    fine = _fine_splits(spark, path)
     rows = read_xml_rows(fine, path, "row", ["k", "c", "note"], key="k")
     return in_session(spark, rows).select(F.col("k").cast("long").alias("o_orderkey"), F.when(F.col("c") == "", F.lit(-1)).otherwise(F.col("c").try_cast("long")).alias("o_custkey"),
                        "note", F.when(F.col("c") == "", F.lit("inner")).otherwise(F.lit("outer")).alias("part"))
