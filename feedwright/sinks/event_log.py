@@ -13,8 +13,9 @@ feed are in one bucket (an append of one feed is one commit, so it counts wholly
 keys every row is an event of its own (the audit).
 
 ``merge`` (after an append, when a bucket has ``fan_in`` commits of one level) writes them as one folder of the next level
-and commits it with the numbers it covers; rows keep their own order number. So a bucket has at most ``fan_in`` files a level,
-and a row is rewritten once a level. Of two merges of the same commits the smaller number counts. What a merge covers is deleted
+and commits it with the numbers it covers; rows keep their own order number. So a bucket has at most ``fan_in`` folders a level,
+and a row is rewritten once a level. A folder is one file up to ``MERGED_BYTES`` and a file per so many bytes beyond, so no task merges
+more than that; the buckets of an append are merged side by side. Of two merges of the same commits the smaller number counts. What a merge covers is deleted
 ``grace`` seconds after it, so a reader of the older state still finds its files.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 import json
 import uuid
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,12 @@ from feedwright.sources import storage
 
 _SEQ = "_seq"
 
+#: Bytes of the merged files that become one file.
+MERGED_BYTES = 16 << 20
+
+#: Buckets that are merged at a time.
+_SIDE_BY_SIDE = 8
+
 
 class EventLog:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, feed_cols: tuple[str, ...], keys: tuple[str, ...] = (),
@@ -97,8 +105,7 @@ class EventLog:
             self._commit(bucket, folder)
         if merge:
             try:
-                for bucket in touched:
-                    self.merge(bucket)
+                self._merge_all(touched)
             except Exception as e:  # the rows are committed; a later append merges
                 warnings.warn(f"merge of {self.path} failed: {type(e).__name__}: {str(e)[:300]}", stacklevel=2)
 
@@ -151,12 +158,28 @@ class EventLog:
             if len(numbers) >= self.fan_in:
                 folder = uuid.uuid4().hex
                 rows = self._latest(self._rows({bucket: {n: commits[n] for n in numbers}}))
-                rows.withColumn("bucket", F.lit(bucket)).coalesce(1).write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
+                files = self._files(bucket, [commits[n]["folder"] for n in numbers])
+                rows.withColumn("bucket", F.lit(bucket)).coalesce(files).write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
                 made = self._commit(bucket, folder, level + 1, tuple(numbers))
                 break
         self._clean(bucket, self._commits(bucket) if made else commits, void)
         return made
 
+    def _merge_all(self, buckets: list[int]) -> None:
+        """A merge waits for small jobs mostly; those of several buckets run at the same time."""
+        from pyspark import inheritable_thread_target
+        if len(buckets) < 2:
+            for bucket in buckets:
+                self.merge(bucket)
+            return
+        with ThreadPoolExecutor(min(len(buckets), _SIDE_BY_SIDE)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(self.merge), buckets))
+
+    def _files(self, bucket: int, folders: list[str]) -> int:
+        """How many files the merge of these folders is."""
+        size = sum(sum(storage.data_files(self.spark, f"{self.path}/data/{f}/bucket={bucket}")) for f in folders)
+        return max(1, -(-size // MERGED_BYTES))
+
     def _old(self, bucket: int, n: int) -> bool:
         return storage.age_seconds(self.spark, f"{self.path}/commits/{bucket}/{n:012d}") >= self.grace
 

@@ -209,3 +209,26 @@ def test_feeds_side_by_side(spark):
     found = {r.feed: r for r in report.collect()}
     assert (found["GOOD"].status, found["GOOD"].refined_count) == ("LOADED", 20)
     assert found["BAD"].status == "FAILED" and "st" in found["BAD"].message and set(results) == {("", "GOOD")}
+
+
+def test_a_merge_is_as_many_files_as_its_size_needs(spark, monkeypatch):
+    from feedwright.sinks import event_log
+    for bound, keys in ((1, ()), (1, ("feed", "run")), (1 << 30, ())):
+        monkeypatch.setattr(event_log, "MERGED_BYTES", bound)
+        path = scratch_path(spark, "merge-files")
+        a = log(spark, path, keys=keys, fan_in=3, grace=0, buckets=1)
+        for i in range(3):
+            a.append(rows(spark, *[("A", 1000 * i + j, "s") for j in range(300)]))
+        assert len(storage.names(spark, f"{path}/commits/0")) == 1 and a.read().count() == 900
+        (folder,) = storage.names(spark, f"{path}/data")
+        n = len(storage.data_files(spark, f"{path}/data/{folder}/bucket=0"))
+        assert n == 1 if bound > 1 else n > 1 or keys
+
+
+def test_buckets_are_merged_side_by_side(spark):
+    import threading
+    a = log(spark, scratch_path(spark, "side"), buckets=4)
+    together, seen = threading.Barrier(3, timeout=30), []
+    a.merge = lambda b: (together.wait(), seen.append(b))
+    a._merge_all([0, 1, 2])
+    assert sorted(seen) == [0, 1, 2]
