@@ -19,6 +19,7 @@ Texts are split at their words: no piece holds a blank mark after another charac
 before each run of marks. With exact sums a word's count is the same everywhere; with the library's it depends on the score on arrival, which is handed from word to word.
 Where the scores are whole numbers and a lone mark is rounded to multiples of ``step``, only the score's rest by that step matters, so a word has few results.
 Words are counted once per block (and score on arrival) and kept by the worker within a bound of words and of characters; nothing is shuffled.
+With the library's sums two such bounds are kept, and a word of the older one moves to the newer when it comes up again, so frequent words aren't counted anew.
 
 Cases: null and empty texts have 0 pieces and score 0; null ids stay null; repeated rows count row by row; an empty table gives
 an empty result; a word of any length is handled in time linear in its matches.
@@ -97,6 +98,7 @@ class Unigram:
         self.counts, self.scores = np.zeros(0, np.int64), np.zeros(0)
         # library sums: word -> (low, high, pieces, score, score on arrival at the next word) for arrivals between, or for the one that low and high are
         self.ways: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}  # those of the time before, until they are asked for again
         self.results = self.chars = 0
 
     def word(self, word: str) -> tuple[int, float]:
@@ -242,10 +244,19 @@ class Unigram:
     def _way(self, word: str, arrival: float) -> tuple[int, float, float]:
         """The result of a word for a new score on arrival, kept."""
         if self.results >= KEEP or self.chars >= KEEP_CHARS:
-            self._forget()
+            # frequent words move on to the new time, the others are forgotten at the next turn
+            self.older, self.ways, self.results, self.chars = self.ways, {}, 0, 0
+        known = self.ways.get(word)
+        if known is None and (known := self.older.pop(word, None)):
+            self.ways[word] = known
+            self.results += len(known)
+            self.chars += len(word) * len(known)
+            for low, high, n, score, after in known:
+                if low < arrival < high or low == arrival == high:
+                    return n, score, after
         usual = self.usual_word(word, arrival)
         low, high, found = usual if usual and usual[0] < arrival < usual[1] else (arrival, arrival, usual[2] if usual else self.library_word(word, arrival))
-        self.ways[word] = (*self.ways.get(word, ()), (low, high, *found))
+        self.ways[word] = (*(known or ()), (low, high, *found))
         self.results += 1
         self.chars += len(word)
         return found

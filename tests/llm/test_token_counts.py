@@ -138,3 +138,17 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(None, "the"), (1, None), (1, "the"), (1, "the")], "doc_id long, text string")
     assert sorted(((r.doc_id, r.n_tokens) for r in tc.count_tokens(df).collect()), key=str) == sorted([(None, 2), (1, 0), (1, 2), (1, 2)], key=str)  # _t + he
     assert tc.count_tokens(df.limit(0)).count() == 0
+
+
+def test_frequent_words_are_kept_when_others_are_forgotten(file, monkeypatch):
+    monkeypatch.setattr(tc, "KEEP", 50)
+    model = tc.Unigram(voc.pieces(file), "library")
+    counted, usual = [], model.usual_word
+    monkeypatch.setattr(model, "usual_word", lambda w, a: counted.append(w) or usual(w, a))
+    rare = sorted(set(words()))[:600]
+    want = tc.Unigram(voc.pieces(file), "library").texts(["there"])[0].tolist()
+    for w in rare:
+        model.texts([w])
+        assert model.texts(["there"])[0].tolist() == want
+    assert len(counted) > 600 and counted.count("▁there") == 1
+    assert model.results <= 55 and len(model.ways) + len(model.older) <= 110
