@@ -179,40 +179,41 @@ class Unigram:
         step, n = self.step, len(word)
         if not step or n < 2 or word[0] != MARK or word[1] == MARK:
             return None
-        matches: list[list[tuple[int, float]]] = [[] for _ in word]
-        for last, match in self.automaton.iter(word):
-            matches[last].append(match)  # the longest first: ascending starts
-        if not matches[1] or matches[1][0][0] != 2:
-            return None
-        one = matches[1][0][1]
-        base = round((arrival + one) / step)
         half = step / 2
-        low, high = max(-half, base * step - half - one), min(half, base * step + half - one)
-        best, back, first = [0.0] * (n + 1), [0] * (n + 1), {2: (0.0, one)}
-        for last in range(2, n):
-            found = matches[last]
-            if not found or found[-1][0] != 1:
-                return None
-            end = last + 1
-            top = NONE
-            for length, score in found:
-                start = end - length
-                if start > 1:
-                    s = best[start] + score
-                    if s > top:
-                        top, back[end] = s, start
-                elif not start:
-                    steps = round((arrival + score) / step)
-                    edge = steps * step - score
-                    if edge - half > low:
-                        low = edge - half
-                    if edge + half < high:
-                        high = edge + half
-                    top = (steps - base) * step
-                    first[end] = top, score
-            if top > REBASE or top < -REBASE:
-                return None
-            best[end] = top
+        best, back, first, one = [0.0] * (n + 1), [0] * (n + 1), {}, None
+        done, top, at = 2, NONE, 0  # characters whose best score is known, then the best so far of the next one
+        for last, (length, score) in self.automaton.iter(word):  # by end, the longest first: ascending starts
+            start = last + 1 - length
+            if start > 1:
+                s = best[start] + score
+                if s > top:
+                    top, at = s, start
+                if length == 1:
+                    if last != done or top > REBASE or top < -REBASE:
+                        return None
+                    done += 1
+                    best[done], back[done] = top, at
+                    top = NONE
+            elif start or not last:
+                continue
+            elif last > 1:
+                if one is None:
+                    return None
+                steps = round((arrival + score) / step)
+                edge = steps * step - score
+                if edge - half > low:
+                    low = edge - half
+                if edge + half < high:
+                    high = edge + half
+                top, at = (steps - base) * step, 0
+                first[last + 1] = top, score
+            else:
+                one = score
+                base = round((arrival + one) / step)
+                low, high = max(-half, base * step - half - one), min(half, base * step + half - one)
+                first[2] = 0.0, one
+        if done != n or one is None:
+            return None
         end, pieces = n, 1
         while back[end]:
             end = back[end]

@@ -152,3 +152,19 @@ def test_frequent_words_are_kept_when_others_are_forgotten(file, monkeypatch):
         assert model.texts(["there"])[0].tolist() == want
     assert len(counted) > 600 and counted.count("▁there") == 1
     assert model.results <= 55 and len(model.ways) + len(model.older) <= 110
+
+
+def test_a_word_is_given_up_at_its_first_character_without_a_piece(file):
+    model = tc.Unigram(voc.pieces(file), "library")
+    seen, automaton = [], model.automaton
+
+    class Watched:
+        def iter(self, word):
+            for last, match in automaton.iter(word):
+                seen.append(last)
+                yield last, match
+
+    assert model.usual_word("▁there", 0.0) is not None
+    model.automaton = Watched()
+    assert model.usual_word("▁th\ue123" + "there" * 40, 0.0) is None
+    assert max(seen) < 12  # the rest of the word isn't looked at
