@@ -328,6 +328,12 @@ def _run(spark, spec, cols, mode, stages, from_d, end_d, run_d, loaddate, jobpid
                                                 [f"{c}_ptn" for c in ptn_src])).read()
             if unit:
                 return table.where(F.col(UNIT) == unit).drop(UNIT)
+        elif date_ptn and refined_schema is not None:
+            # the window's folders only: the cost of listing doesn't grow with the other days of the table
+            folders = [f"{spec.refined_path.rstrip('/')}/{f}" for f in window_folders()]
+            if not folders:
+                return spark.createDataFrame([], refined_schema)
+            table = spark.read.schema(refined_schema).option("basePath", spec.refined_path).format(spec.refined_format).load(folders)
         else:
             reader = spark.read.schema(refined_schema) if refined_schema is not None else spark.read
             table = reader.format(spec.refined_format).load(spec.refined_path)

@@ -232,3 +232,19 @@ def test_buckets_are_merged_side_by_side(spark):
     a.merge = lambda b: (together.wait(), seen.append(b))
     a._merge_all([0, 1, 2])
     assert sorted(seen) == [0, 1, 2]
+
+
+def test_a_window_is_counted_from_its_own_folders(spark, monkeypatch):
+    base = scratch_path(spark, "own-folders")
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    source = spark.createDataFrame([(i, d, s) for i, d in enumerate(days) for s in "AB"] + [(99, None, "A")], "k int, d date, s string")
+    meta = [{"SOURCECOLNM": c, "RAW_COL_INHIVE": c.upper(), "RFND_COL_INHIVE": c.upper(), "RFND_COL_TYPE_INHIVE": t, "IS_EXTRACTED": "Y",
+             "IS_PARTITIONED": p, "SEQ_NB": i} for i, (c, t, p) in enumerate([("k", "INT", "N"), ("d", "DATE", "Y"), ("s", "STRING", "Y")])]
+    spec = FeedSpec("OWN", source, meta, f"{base}/raw", f"{base}/refined", truncate="Y")
+    opened, load = [], type(spark.read).load
+    monkeypatch.setattr(type(spark.read), "load", lambda self, path=None, *a, **k: opened.append(path) or load(self, path, *a, **k))
+    res = ingest(spark, spec, "20200105", "20200107", jobpid=1)
+    assert res["rowcount"] == 81 and res["refined_count"] == 6
+    assert opened == [[f"{base}/refined/d_ptn=202001{d:02d}" for d in (5, 6, 7)]]  # not the other 37 days
+    assert ingest(spark, spec, "20210101", "20210102", jobpid=2)["refined_count"] == 81  # none in the window: the received count
+    assert spark.read.schema(res["refined_schema"]).parquet(spec.refined_path).count() == 81
