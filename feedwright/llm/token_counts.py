@@ -19,7 +19,8 @@ Texts are split at their words: no piece holds a blank mark after another charac
 before each run of marks. With exact sums a word's count is the same everywhere; with the library's it depends on the score on arrival, which is handed from word to word.
 Where the scores are whole numbers and a lone mark is rounded to multiples of ``step``, only the score's rest by that step matters, so a word has few results.
 Words are counted once per block (and score on arrival) and kept by the worker within a bound of words and of characters; nothing is shuffled.
-With the library's sums two such bounds are kept, and a word of the older one moves to the newer when it comes up again, so frequent words aren't counted anew.
+With the library's sums two such bounds are kept, and a word of the older one moves to the newer when it comes up again, so frequent words aren't counted anew;
+a block's new words are looked at together, and most turn out to have one result for every score on arrival.
 
 Cases: null and empty texts have 0 pieces and score 0; null ids stay null; repeated rows count row by row; an empty table gives
 an empty result; a word of any length is handled in time linear in its matches.
@@ -31,7 +32,8 @@ import gc
 import re
 from array import array
 from collections import defaultdict
-from itertools import islice
+from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,9 @@ MARK = "▁"
 BLOCK = 1 << 22
 KEEP = 400_000
 KEEP_CHARS = 32 * KEEP
+GROUP = 8192  # new words looked at together
+FEW = 64  # fewer are counted one by one
+LONG = 32  # longer words are, too
 REBASE = 100_000.0  # fixed value of the library
 EXACT = float(1 << 24)
 NONE = float("-inf")
@@ -89,8 +94,27 @@ class Unigram:
         self.words = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if alone else rf"{MARK}*[^{MARK}]+|{MARK}+").findall
         self.library = sums == "library"
         self.step = _step({p: x for p, x in normal}, self.unknown) if alone else None
+        if self.library and self.step:
+            self._beginnings(dict(normal))
         self._forget()
 
+    def _beginnings(self, score: dict[str, float]):
+        """All beginnings of pieces, numbered from 1 (0: the empty one), as arrays: many words are looked at together."""
+        numbers = {"": 0}
+        for p in score:
+            for n in range(1, len(p) + 1):
+                numbers.setdefault(p[:n], len(numbers))
+        chars = sorted({c for p in score for c in p if c != "\0"})  # 0 is no character of a piece, or none at all
+        code = {c: i for i, c in enumerate(chars, 1)}
+        self.code = np.zeros(0x110000, np.int32)
+        self.code[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.codes = len(chars) + 1
+        # (beginning, next character) -> beginning
+        after = sorted((numbers[p[:-1]] * self.codes + code.get(p[-1], 0), n) for p, n in numbers.items() if p and "\0" not in p)
+        self.steps, self.next = np.array([*after, (1 << 62, 0)], np.int64).T.copy()
+        self.value = np.array([score.get(p, NONE) for p in numbers])
+        self.longest = max(map(len, score))
+
     def _forget(self):
         # words seen so far get numbers; by number: pieces and score
         self.known: defaultdict[str, int] = defaultdict()
@@ -222,28 +246,119 @@ class Unigram:
         after = best[n]
         return low, high, (pieces, after - whole_steps + score, after - step * round(after / step))
 
+    def usual_words(self, words: list[str]) -> dict[str, tuple[float, float, int, float, float]]:
+        """The words for which :meth:`usual_word` gives one result for all scores on arrival: that result, as it is kept.
+
+        These scores lie within half a step of 0, so between two of them each first piece moves by a step at most, all to the same side.
+        Hence what leads by more than a step on an arrival at 0 always leads, and only ends on the best path matter. The score handed on is the same
+        up to whole steps, and so the same unless it is half a step, which may be rounded to either side.
+        """
+        words = sorted((w for w in words if 1 < len(w) <= LONG and w[0] == MARK != w[1]) if self.step else (), key=len)
+        found = {}
+        for i in range(0, len(words), GROUP):
+            group = words[i:i + GROUP]
+            good, *results = self._usual(group)
+            found |= {w: (-self.step, self.step, *r) for w, ok, *r in zip(group, good.tolist(), *(r.tolist() for r in results), strict=True) if ok}
+        return found
+
+    def _matches(self, text: np.ndarray, start: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of words (by column) from a character on: (length, the words with a piece's beginning of this length there, the pieces' scores)."""
+        here, at = np.arange(text.shape[1]), np.zeros(text.shape[1], np.int64)
+        for length in range(1, min(self.longest, len(text) - start) + 1):
+            key = at * self.codes + text[start + length - 1, here]
+            i = np.searchsorted(self.steps, key)
+            same = np.flatnonzero(self.steps[i] == key)
+            here, at = here[same], self.next[i[same]]
+            if not len(here):
+                return
+            yield length, here, self.value[at]
+
+    def _usual(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Whether a word has one result for all scores on arrival; pieces, score, score on arrival at the next word."""
+        step, longest, each = self.step, max(map(len, words)), np.arange(len(words))
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        text = self.code[np.array(words, f"U{longest}").view(np.uint32).reshape(-1, longest)].T.copy()
+        # by end and word: the best sum and the next best so far, the best one's last piece; then pieces, score and whether the lead is too small
+        best, other = np.full((longest + 1, len(words)), NONE), np.full((longest + 1, len(words)), NONE)
+        start, score = np.zeros(best.shape, np.int64), np.zeros(best.shape)
+        pieces, total, close = np.zeros(best.shape, np.int64), np.zeros(best.shape), np.zeros(best.shape, bool)
+
+        def reach(end, here, sums, begin, scores):
+            top = best[end, here]
+            lead = sums > top
+            other[end, here] = np.maximum(other[end, here], np.where(lead, top, sums))
+            here = here[lead]
+            best[end, here], start[end, here], score[end, here] = sums[lead], begin, scores[lead]
+
+        base = np.zeros(len(words))
+        for length, here, value in self._matches(text, 0):
+            if length == 2:
+                is_piece = value > NONE
+                base[here] = np.rint(np.where(is_piece, value, 0.0) / step)
+                reach(2, here[is_piece], np.zeros(is_piece.sum()), 0, value[is_piece])
+            elif length > 2:
+                reach(length, here, (np.rint(value / step) - base[here]) * step, 0, value)
+        good = best[2] == 0
+        for at in range(2, longest + 1):
+            good &= (np.abs(best[at]) <= REBASE - step) | (at > n)
+            pieces[at] = pieces[start[at], each] + 1
+            total[at] = total[start[at], each] + score[at]
+            close[at] = close[start[at], each] | (other[at] >= best[at] - step)
+            alone = np.zeros(len(words), bool)
+            for length, here, value in self._matches(text, at) if at < longest else ():
+                if length == 1:
+                    alone[here] = value > NONE
+                reach(at + length, here, best[at, here] + value, at, value)
+            good &= alone | (at >= n)
+        after = best[n, each]
+        with np.errstate(invalid="ignore"):
+            after = after - step * np.rint(after / step)
+            good &= ~close[n, each] & (np.abs(after) < step / 2)
+        return good, pieces[n, each], total[n, each], after
+
     def library_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces and score of each text by the library's sums."""
-        counts, scores = [], []
-        for t in texts:
-            pieces, total, arrival = 0, 0.0, 0.0
-            get = self.ways.get
-            for w in self.words((MARK + t).replace(" ", MARK)) if t else ():
-                for low, high, n, score, after in get(w, ()):
-                    if low < arrival < high or low == arrival == high:
-                        break
-                else:
-                    n, score, after = self._way(w, arrival)
-                    get = self.ways.get
-                pieces += n
-                total += score
-                arrival = after
-            counts.append(pieces)
-            scores.append(total)
-        return np.array(counts, np.int64), np.array(scores, np.float64)
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        split = [np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                 for words in (self.words((MARK + t).replace(" ", MARK)) if t else [] for t in texts)]
+        distinct = list(number)
+        kept = [self._known(w) for w in distinct]
+        new = [i for i, known in enumerate(kept) if not known]
+        found = self.usual_words([distinct[i] for i in new]) if len(new) >= FEW else {}
+        for i in new:
+            if result := found.get(distinct[i]):
+                kept[i] = self._keep(distinct[i], self._known(distinct[i]), result)
+        # by number of the word: pieces, score, score on arrival at the next word (not a number where it depends on that at this one)
+        always = -self.step if self.step else None
+        varies = (0.0, 0.0, 0, 0.0, np.nan)
+        results = (known[0] if known and known[0][0] == always else varies for known in kept)
+        _, _, *results = np.fromiter(chain.from_iterable(results), np.float64, 5 * len(kept)).reshape(-1, 5).T.copy()
+        word = np.concatenate([np.zeros(0, np.int64), *split])
+        owner = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        pieces, total, after = (r[word] for r in results)
+        arrivals = np.concatenate([[0.0], after])[:-1]
+        arrivals[np.diff(owner, prepend=-1) > 0] = 0.0
+        open_ = np.flatnonzero(np.isnan(after))
+        counted, last, get = [], 0.0, self.ways.get
+        for i, arrival in zip(word[open_].tolist(), arrivals[open_].tolist(), strict=True):
+            if arrival != arrival:  # after a word of this loop
+                arrival = last
+            w = distinct[i]
+            for low, high, n, score, last in get(w, ()):
+                if low < arrival < high or low == arrival == high:
+                    break
+            else:
+                n, score, last = self._way(w, arrival)
+                get = self.ways.get
+            counted.append((n, score))
+        if counted:
+            pieces[open_], total[open_] = np.array(counted).T
+        sums = [np.bincount(owner, weights=v, minlength=len(texts)) for v in (pieces, total)]
+        return sums[0].astype(np.int64), sums[1]
 
-    def _way(self, word: str, arrival: float) -> tuple[int, float, float]:
-        """The result of a word for a new score on arrival, kept."""
+    def _known(self, word: str) -> tuple:
+        """The results kept of a word."""
         if self.results >= KEEP or self.chars >= KEEP_CHARS:
             # frequent words move on to the new time, the others are forgotten at the next turn
             self.older, self.ways, self.results, self.chars = self.ways, {}, 0, 0
@@ -252,14 +367,24 @@ class Unigram:
             self.ways[word] = known
             self.results += len(known)
             self.chars += len(word) * len(known)
-            for low, high, n, score, after in known:
-                if low < arrival < high or low == arrival == high:
-                    return n, score, after
-        usual = self.usual_word(word, arrival)
-        low, high, found = usual if usual and usual[0] < arrival < usual[1] else (arrival, arrival, usual[2] if usual else self.library_word(word, arrival))
-        self.ways[word] = (*(known or ()), (low, high, *found))
+        return known or ()
+
+    def _keep(self, word: str, known: tuple, result: tuple) -> tuple:
+        """Keeps a result beside those known."""
+        self.ways[word] = known = (*known, result)
         self.results += 1
         self.chars += len(word)
+        return known
+
+    def _way(self, word: str, arrival: float) -> tuple[int, float, float]:
+        """The result of a word for a new score on arrival, kept."""
+        known = self._known(word)
+        for low, high, *found in known:
+            if low < arrival < high or low == arrival == high:
+                return found
+        usual = self.usual_word(word, arrival)
+        low, high, found = usual if usual and usual[0] < arrival < usual[1] else (arrival, arrival, usual[2] if usual else self.library_word(word, arrival))
+        self._keep(word, known, (low, high, *found))
         return found
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

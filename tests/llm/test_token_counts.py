@@ -168,3 +168,28 @@ def test_a_word_is_given_up_at_its_first_character_without_a_piece(file):
     model.automaton = Watched()
     assert model.usual_word("▁th\ue123" + "there" * 40, 0.0) is None
     assert max(seen) < 12  # the rest of the word isn't looked at
+
+
+def test_words_with_one_result_equal_the_whole_rule(file, monkeypatch):
+    model = tc.Unigram(voc.pieces(file), "library")
+    w = sorted({"▁" + w for w in words() + ["the", "hest", "there", "ariear", "a", "e\0a", "th", "x" * 20, "there" * 9]})
+    monkeypatch.setattr(tc, "GROUP", 100)
+    found = model.usual_words([*w, "▁", "▁▁", "▁▁the", "the", "\n"])
+    assert len(found) > 500 and set(found) <= set(w)
+    for word, (low, high, *result) in found.items():
+        assert all(low < b < high and tuple(result) == model.library_word(word, float(b)) for b in range(-32, 33)), word
+    assert model.usual_words([]) == {} == tc.Unigram(voc.pieces(file)).usual_words(["\n"])
+
+
+def test_a_blocks_new_words_are_looked_at_together(file, monkeypatch):
+    model = tc.Unigram(voc.pieces(file), "library")
+    r, counted, usual = random.Random(3), [], model.usual_word
+    monkeypatch.setattr(model, "usual_word", lambda w, a: counted.append(w) or usual(w, a))
+    w = [*words(), "the", "hest", "\0", "a\0b", "\n", "▁", "", "x" * 5000]
+    texts = [r.choice([" ", "\n"]).join(r.choice(w) for _ in range(r.randint(0, 60))) for _ in range(100)] + ["", " "]
+    got = [x.tolist() for x in model.texts(texts)]
+    plain = {"▁" + w for w in words()[:600] if f" {w} " in " ".join(texts)}  # letters only
+    assert len(plain) > 250 and len(plain & set(counted)) < len(plain) / 2
+    monkeypatch.setattr(tc, "FEW", 10**9)  # one by one
+    assert got == [x.tolist() for x in tc.Unigram(voc.pieces(file), "library").texts(texts)]
+    assert [x.tolist() for x in model.texts([])] == [[], []]
